@@ -413,3 +413,7 @@ def q_check_schema(spark, sf):
     ])
     p = S.panel(spark, sf).withColumn("value", F.when(F.month("date") != 2, F.col("value")))
     return C.check_schema(p, schema)
+
+
+# Further registered queries live in sibling modules; importing them fills REGISTRY.
+from . import catalog_io  # noqa: E402,F401

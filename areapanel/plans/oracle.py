@@ -21,7 +21,7 @@ SUPPLY_PANEL = f"""supply AS (
   SELECT {AREA.format(k='s.s_nationkey')} AS area_code,
          CAST(date_trunc('month', l.l_shipdate) AS DATE) AS date,
          round(sum(l.l_quantity), 2) AS qty,
-         round(sum(l.l_extendedprice * (1 - l.l_discount)), 2) AS revenue
+         round(sum(l.l_extendedprice), 2) AS gross
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
   GROUP BY 1, 2)"""
 
@@ -316,3 +316,106 @@ n AS (SELECT count(*) FILTER (WHERE month(date) = 2) AS n FROM panel)
 SELECT 'count' AS "column", 'type bigint != double' AS problem
 UNION ALL SELECT 'population', 'missing'
 UNION ALL SELECT 'value', 'nulls: ' || CAST(n AS VARCHAR) FROM n WHERE n > 0"""
+
+# --- sources, sinks, links, views, panel joins -----------------------------------------------
+
+SQL["trimmed_csv"] = "SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer"
+
+SQL["read_csv"] = "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"
+
+SQL["pick_sheet"] = "SELECT o_orderkey, o_totalprice FROM orders WHERE year(o_orderdate) = 1997"
+
+SQL["multi_file_read"] = """
+SELECT CAST(year(o_orderdate) AS VARCHAR) AS source_key, o_orderkey, o_totalprice FROM orders"""
+
+SQL["promote_header"] = """
+SELECT CAST(n_nationkey AS BIGINT) AS "Nation Key", n_name AS "Nation Name", CAST(n_regionkey AS BIGINT) AS "Region Key"
+FROM nation"""
+
+SQL["replace_table"] = f"WITH {PANEL} SELECT * FROM panel"
+
+SQL["gated_replace"] = f"WITH {SUPPLY_PANEL} SELECT * FROM supply"
+
+SQL["extract_lookup"] = f"SELECT 'P' || CAST(s_suppkey AS VARCHAR) AS area_code, {norm('s_name')} AS s_name FROM supplier"
+
+LINKS = """
+a AS (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\\b[^>]*>.*?</a>') AS arr FROM pages),
+l AS (SELECT page_id, url, unnest(range(0, len(arr))) AS link_pos, unnest(arr) AS anchor FROM a),
+t AS (SELECT *, regexp_extract(anchor, '(?is)^<a\\b([^>]*)>', 1) AS tag,
+             regexp_extract(anchor, '(?is)^<a\\b[^>]*>(.*)</a>$', 1) AS inner_html FROM l),
+links AS (
+  SELECT page_id, url, CAST(link_pos AS BIGINT) AS link_pos,
+         CASE WHEN regexp_matches(tag, '(?is)(?:^|\\s)href\\s*=')
+              THEN replace(regexp_extract(tag, '(?is)(?:^|\\s)href\\s*=\\s*["'']([^"'']*)["'']', 1), '&amp;', '&')
+         END AS href,
+         replace(regexp_replace(inner_html, '<[^>]*>', '', 'g'), '&amp;', '&') AS text
+  FROM t)"""
+
+SQL["links_by_title"] = f"""
+WITH {LINKS}
+SELECT page_id, link_pos, text AS title, 'https://example.org' || href AS url FROM links
+WHERE text IS NOT NULL AND text <> '' AND contains(text, 'the') AND href IS NOT NULL"""
+
+SQL["nth_link_by_regex"] = f"""
+WITH {LINKS},
+m AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY link_pos) - 1 AS k FROM links
+      WHERE regexp_matches(href, '^/[a-z]')),
+b AS (SELECT *, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) AS scheme,
+             regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS origin,
+             regexp_extract(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '^(.*/)', 1) AS dir
+      FROM m WHERE k = 1)
+SELECT page_id, link_pos, href,
+       CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href
+            WHEN starts_with(href, '//') THEN scheme || ':' || href
+            WHEN starts_with(href, '/') THEN origin || href
+            ELSE origin || CASE WHEN dir = '' THEN '/' ELSE dir END || href END AS url
+FROM b"""
+
+SQL["first_link_by_type"] = f"""
+WITH {LINKS}
+SELECT page_id, arg_min(href, link_pos) AS href, min(link_pos) AS link_pos FROM links
+WHERE href IS NOT NULL AND (contains(lower(href), 'th') OR contains(lower(href), 'qu')) GROUP BY 1"""
+
+CRIME = f"""crime AS (SELECT count, CASE WHEN area_code <> 'S00000005' THEN area_code END AS ward_code, date
+                    FROM panel)"""
+
+SQL["history_crime"] = f"""
+WITH {PANEL}, {CRIME}
+SELECT count, ward_code, date FROM crime WHERE ward_code IS NOT NULL AND date IS NOT NULL"""
+
+SQL["history_optional"] = f"WITH {PANEL}, {CRIME} SELECT * FROM crime"
+
+SQL["area_names"] = f"SELECT {AREA.format(k='n_nationkey')} AS ward_code, n_name AS ward_name FROM nation"
+
+SQL["area_series"] = SQL["history_crime"]
+
+SQL["map_slice"] = f"""
+WITH {PANEL}, {NAMES}
+SELECT p.area_code, p.date, p.count, p.value, n.area_name,
+       round(CASE WHEN p.count > 0 THEN ln(p.count) END, 6) AS log_count
+FROM panel p JOIN names n ON p.area_code = n.area_code WHERE p.date = DATE '1998-01-01'"""
+
+SQL["param_sql"] = f"""
+WITH {PANEL} SELECT area_code, date, count FROM panel WHERE date >= DATE '1999-01-01' AND count > 5"""
+
+SQL["join_panel"] = f"""
+WITH {PANEL}, {SUPPLY_PANEL}, {NAMES}
+SELECT p.area_code, p.date, p.count, p.value, s.qty, s.gross, n.area_name
+FROM panel p JOIN supply s ON p.area_code = s.area_code AND p.date = s.date
+JOIN names n ON p.area_code = n.area_code"""
+
+TREND = f"""{ANCHORS},
+tv AS (SELECT b.area_code, b.d0, b.d1, p0.value AS v0, p1.value AS v1 FROM bounds b
+       JOIN panel p0 ON p0.area_code = b.area_code AND p0.date = b.d0
+       JOIN panel p1 ON p1.area_code = b.area_code AND p1.date = b.d1),
+tg AS (SELECT *, CAST(unnest(generate_series(d0, d1, INTERVAL 1 MONTH)) AS DATE) AS date FROM tv),
+ti AS (SELECT *, datediff('month', d0, date) AS i, datediff('month', d0, d1) AS n FROM tg),
+trend AS (SELECT area_code, date, round(CASE WHEN date = d1 THEN v1 WHEN i = 0 THEN v0
+                                        ELSE coalesce(v0 + ((v1 - v0) * i) / n, v0) END, 6) AS value_trend FROM ti)"""
+
+SQL["area_history"] = f"""
+WITH {PANEL}, {SUPPLY_PANEL}, {NAMES}, {TREND}
+SELECT p.area_code, p.date, p.count, p.value, s.qty, s.gross, t.value_trend, n.area_name
+FROM panel p JOIN supply s ON p.area_code = s.area_code AND p.date = s.date
+JOIN trend t ON p.area_code = t.area_code AND p.date = t.date
+JOIN names n ON p.area_code = n.area_code"""
