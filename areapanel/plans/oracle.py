@@ -419,3 +419,39 @@ SELECT p.area_code, p.date, p.count, p.value, s.qty, s.gross, t.value_trend, n.a
 FROM panel p JOIN supply s ON p.area_code = s.area_code AND p.date = s.date
 JOIN trend t ON p.area_code = t.area_code AND p.date = t.date
 JOIN names n ON p.area_code = n.area_code"""
+
+# --- spatial ----------------------------------------------------------------------------------
+
+SQUARES = f"""
+sa AS (SELECT 'P' || CAST(s_suppkey AS VARCHAR) AS source_code, s_acctbal,
+              CAST(s_suppkey % 10 AS DOUBLE) AS x0, CAST(floor(s_suppkey / 10) AS DOUBLE) AS y0, 1.0 AS w
+       FROM supplier),
+sb AS (SELECT {AREA.format(k='n_nationkey')} AS target_code, CAST(n_nationkey % 4 AS DOUBLE) * 2.5 AS x0,
+              CAST(floor(n_nationkey / 4) AS DOUBLE) * 2.5 AS y0, 2.5 AS w FROM nation),
+ov AS (SELECT sa.source_code, sb.target_code, sa.s_acctbal, sa.w * sa.w AS src_area,
+              greatest(0, least(sa.x0 + sa.w, sb.x0 + sb.w) - greatest(sa.x0, sb.x0))
+              * greatest(0, least(sa.y0 + sa.w, sb.y0 + sb.w) - greatest(sa.y0, sb.y0)) AS a,
+              least(sa.w * sa.w, sb.w * sb.w) AS small
+       FROM sa, sb),
+pairs AS (SELECT * FROM ov WHERE a > 1e-9 * small)"""
+
+SQL["polygon_area"] = """
+SELECT 'Q' || CAST(p_partkey AS VARCHAR) AS area_code,
+       round(0.65 * (1 + p_size / 50.0) * (1 + (p_retailprice % 100) / 100.0), 6) AS area FROM part"""
+
+SQL["overlap_area"] = f"WITH {SQUARES} SELECT source_code, target_code, round(a, 6) AS overlap_area FROM pairs"
+
+SQL["overlap_weight"] = f"WITH {SQUARES} SELECT source_code, target_code, round(a / src_area, 6) AS weight FROM pairs"
+
+SQL["crosswalk_reweight"] = f"""
+WITH {SQUARES}
+SELECT target_code, round(sum(s_acctbal * (a / src_area)), 4) AS acctbal, round(sum(a / src_area), 6) AS suppliers
+FROM pairs GROUP BY 1"""
+
+SQL["prepare_boundaries"] = f"""
+SELECT {AREA.format(k='n_nationkey')} AS ward_code_2022, {norm('n_name')} AS ward_name_2022, CAST(6.25 AS DOUBLE) AS area_2022
+FROM nation"""
+
+SQL["boundary_features"] = f"""
+SELECT {AREA.format(k='n_nationkey')} AS area_code, 'Feature' AS feature_type, 'MultiPolygon' AS geometry_type,
+       CAST(5 AS BIGINT) AS n_positions FROM nation"""

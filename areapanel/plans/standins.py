@@ -69,11 +69,13 @@ def anchors(panel_df: DataFrame, value_col: str) -> DataFrame:
             .select("area_code", "date", value_col))
 
 
-def squares(df: DataFrame, key: str, width: float, code_prefix: str, cols: int = 10, step: float = 1.0
-            ) -> DataFrame:
+def squares(df: DataFrame, key: str, width: float, code_prefix: str, cols: int = 10, step: float = 1.0,
+            code: Column | None = None) -> DataFrame:
     """Axis-aligned square per key as a vertex table (counter-clockwise outer ring):
-    lower-left corner at ``((k % cols) * step, (k // cols) * step)``."""
+    lower-left corner at ``((k % cols) * step, (k // cols) * step)``; the area code is
+    ``code_prefix || k`` unless ``code`` is given."""
     k = F.col(key).cast("long")
+    code = code if code is not None else F.concat(F.lit(code_prefix), k.cast("string"))
     x0 = (k % cols).cast("double") * step
     y0 = F.floor(k / cols).cast("double") * step
     corners = F.array(
@@ -82,6 +84,31 @@ def squares(df: DataFrame, key: str, width: float, code_prefix: str, cols: int =
         F.struct(F.lit(2).alias("seq"), (x0 + width).alias("x"), (y0 + width).alias("y")),
         F.struct(F.lit(3).alias("seq"), x0.alias("x"), (y0 + width).alias("y")),
     )
-    return (df.select(F.concat(F.lit(code_prefix), k.cast("string")).alias("area_code"),
-                      F.explode(corners).alias("v"))
+    return (df.select(code.alias("area_code"), F.explode(corners).alias("v"))
+            .select("area_code", F.lit(0).alias("part"), F.lit(0).alias("ring"), "v.seq", "v.x", "v.y"))
+
+
+def supplier_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source layer ("old boundaries"): unit squares on a 10-wide grid, code ``P<suppkey>``."""
+    return squares(table(spark, sf_dir, "supplier"), "s_suppkey", 1.0, "P", cols=10, step=1.0)
+
+
+def nation_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target layer ("new boundaries"): 2.5-wide squares on a 4-wide grid, nation area codes."""
+    return squares(table(spark, sf_dir, "nation"), "n_nationkey", 2.5, "", cols=4, step=2.5,
+                   code=area_code("n_nationkey"))
+
+
+def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A concave pentagon per part (a rectangle with a V-notch in its top edge):
+    ``w = 1 + p_size / 50``, ``h = 1 + (p_retailprice % 100) / 100``, area ``0.65 w h``."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey").cast("long")
+    x0 = (k % 50).cast("double")
+    y0 = F.floor(k / 50).cast("double")
+    w = 1 + F.col("p_size") / 50.0
+    h = 1 + (F.col("p_retailprice") % 100) / 100.0
+    pts = [(x0, y0), (x0 + w, y0), (x0 + w, y0 + h), (x0 + 0.5 * w, y0 + 0.3 * h), (x0, y0 + h)]
+    arr = F.array(*[F.struct(F.lit(i).alias("seq"), x.alias("x"), y.alias("y")) for i, (x, y) in enumerate(pts)])
+    return (p.select(F.concat(F.lit("Q"), k.cast("string")).alias("area_code"), F.explode(arr).alias("v"))
             .select("area_code", F.lit(0).alias("part"), F.lit(0).alias("ring"), "v.seq", "v.x", "v.y"))
