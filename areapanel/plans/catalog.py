@@ -418,3 +418,4 @@ def q_check_schema(spark, sf):
 # Further registered queries live in sibling modules; importing them fills REGISTRY.
 from . import catalog_io  # noqa: E402,F401
 from . import catalog_spatial  # noqa: E402,F401
+from . import catalog_models  # noqa: E402,F401

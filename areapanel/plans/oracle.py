@@ -455,3 +455,79 @@ FROM nation"""
 SQL["boundary_features"] = f"""
 SELECT {AREA.format(k='n_nationkey')} AS area_code, 'Feature' AS feature_type, 'MultiPolygon' AS geometry_type,
        CAST(5 AS BIGINT) AS n_positions FROM nation"""
+
+# --- features and models ----------------------------------------------------------------------
+
+HIST = """hist AS (SELECT p.area_code, p.date, p.count, p.value, s.qty, s.gross
+                 FROM panel p JOIN supply s ON p.area_code = s.area_code AND p.date = s.date)"""
+
+DENSITY = f"""darea AS (SELECT {AREA.format(k='n_nationkey')} AS area_code, (n_regionkey + 1) * 1.5 AS area FROM nation),
+dens AS (SELECT p.area_code, p.date, p.count / nullif(a.area, 0) AS population_density
+         FROM panel p LEFT JOIN darea a ON p.area_code = a.area_code)"""
+
+
+def trend_sql(src: str, cols: list[str], extra_null: str = "count") -> str:
+    aggs = ", ".join(f"regr_slope({c}, x) AS s_{c}, regr_intercept({c}, x) AS i_{c}, avg({c}) AS m_{c}"
+                     for c in cols)
+    preds = ", ".join(f"coalesce(i_{c}, m_{c}) + coalesce(s_{c}, 0) * n AS {c}" for c in cols)
+    return f"""
+  tx AS (SELECT *, CAST(row_number() OVER (PARTITION BY area_code ORDER BY date) - 1 AS DOUBLE) AS x FROM {src}),
+  tg AS (SELECT area_code, CAST(count(*) AS DOUBLE) AS n, max(date) AS last, {aggs} FROM tx GROUP BY 1),
+  fc AS (SELECT area_code, CAST(last + INTERVAL 1 MONTH AS DATE) AS date, CAST(NULL AS BIGINT) AS {extra_null},
+                {preds} FROM tg)"""
+
+
+FEATS = f"""
+    lag(count, 1) OVER ({_W}) AS crime_last_month, lag(count, 2) OVER ({_W}) AS crime_last_two_months,
+    lag(count, 3) OVER ({_W}) AS crime_last_three_months,
+    round(CASE WHEN count(count) OVER ({_W} ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) = 3
+          THEN avg(count) OVER ({_W} ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) END, 6) AS crime_3month_avg"""
+
+SQL["trend_forecast"] = f"""
+WITH {PANEL}, {SUPPLY_PANEL}, {HIST}, {trend_sql('hist', ['value', 'qty', 'gross'])}
+SELECT area_code, date, count, round(value, 4) AS value, round(qty, 4) AS qty, round(gross, 4) AS gross FROM fc"""
+
+SQL["prediction_features"] = f"""
+WITH {PANEL}, {SUPPLY_PANEL}, {DENSITY},
+h2 AS (SELECT h.area_code, h.date, h.count, h.value, s.qty, s.gross, d.population_density
+       FROM panel h JOIN supply s ON h.area_code = s.area_code AND h.date = s.date
+       JOIN dens d ON h.area_code = d.area_code AND h.date = d.date),
+{trend_sql('h2', ['value', 'qty', 'gross', 'population_density'])},
+u AS (SELECT area_code, date, count, value, qty, gross, population_density FROM h2
+      UNION ALL SELECT area_code, date, count, value, qty, gross, population_density FROM fc),
+l AS (SELECT area_code, date, count, round(value, 4) AS value, round(qty, 4) AS qty, round(gross, 4) AS gross,
+             {FEATS}, round(ln(1 + population_density), 6) AS pop_density_log FROM u)
+SELECT * FROM l WHERE crime_last_three_months IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY area_code ORDER BY date DESC) = 1"""
+
+SQL["training_features"] = f"""
+WITH {PANEL}, {SUPPLY_PANEL}, {NAMES}, {TREND}, {DENSITY},
+j AS (SELECT p.area_code, p.date, p.count, p.value, s.qty, s.gross, t.value_trend, d.population_density, n.area_name
+      FROM panel p JOIN supply s ON p.area_code = s.area_code AND p.date = s.date
+      JOIN trend t ON p.area_code = t.area_code AND p.date = t.date
+      JOIN dens d ON p.area_code = d.area_code AND p.date = d.date
+      JOIN names n ON p.area_code = n.area_code),
+l AS (SELECT area_code, date, count, value, qty, gross, value_trend, area_name, {FEATS},
+             round(ln(1 + population_density), 6) AS pop_density_log FROM j)
+SELECT * FROM l WHERE crime_last_three_months IS NOT NULL"""
+
+LAGRES = f"""lr AS (SELECT area_code, date, CAST(lag(count, 1) OVER ({_W}) AS DOUBLE) AS predicted_crime,
+                    CAST(count AS DOUBLE) AS actual_crime FROM panel),
+res AS (SELECT * FROM lr WHERE predicted_crime IS NOT NULL)"""
+
+SQL["regression_metrics"] = f"""
+WITH {PANEL}, {LAGRES}
+SELECT CAST(count(*) AS BIGINT) AS n, round(avg(pow(actual_crime - predicted_crime, 2)), 6) AS mse,
+       round(sqrt(avg(pow(actual_crime - predicted_crime, 2))), 6) AS rmse FROM res"""
+
+SQL["metrics_by_area"] = f"""
+WITH {PANEL}, {LAGRES}
+SELECT area_code, CAST(count(*) AS BIGINT) AS n, round(avg(pow(actual_crime - predicted_crime, 2)), 6) AS mse
+FROM res GROUP BY 1"""
+
+SQL["linear_fit"] = f"""
+WITH {PANEL},
+l AS (SELECT count, lag(count, 1) OVER ({_W}) AS prev FROM panel),
+r AS (SELECT regr_intercept(count, prev) AS b0, regr_slope(count, prev) AS b1 FROM l WHERE prev IS NOT NULL)
+SELECT 'intercept' AS term, round(b0, 6) AS coefficient FROM r
+UNION ALL SELECT 'crime_last_month', round(b1, 6) FROM r"""
