@@ -61,9 +61,16 @@ def _nfkd_ascii_tables() -> tuple[str, str, dict[str, str], str]:
     return "".join(one_from), "".join(one_to), multi, "".join(sorted(multi))
 
 
+_SEP = "\x01"  # never part of a key (all >= U+0080) nor of an NFKD residue
+
+
 def _multi_map_column() -> Column:
+    """The multi-character folds as one map literal, built JVM-side from two
+    delimited strings (a handful of calls, not one per entry)."""
     _, _, multi, _ = _nfkd_ascii_tables()
-    return F.create_map(*[F.lit(x) for kv in sorted(multi.items()) for x in kv])
+    keys, values = zip(*sorted(multi.items()))
+    assert not any(_SEP in k or _SEP in v for k, v in multi.items())
+    return F.map_from_arrays(F.split(F.lit(_SEP.join(keys)), _SEP), F.split(F.lit(_SEP.join(values)), _SEP))
 
 
 def ascii_fold(c: Column) -> Column:
@@ -125,7 +132,10 @@ def map_literal(mapping: Mapping[str, str]) -> Column:
     """A ``MAP<STRING,STRING>`` literal (small, driver-side specs only)."""
     if not mapping:
         return F.create_map().cast("map<string,string>")
-    return F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
+    if any(_SEP in str(k) or _SEP in str(v) for k, v in mapping.items()):
+        return F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
+    keys, values = zip(*mapping.items())
+    return F.map_from_arrays(F.split(F.lit(_SEP.join(keys)), _SEP), F.split(F.lit(_SEP.join(values)), _SEP))
 
 
 def value_edits(c: Column | str, mapping: Mapping[str, str]) -> Column:

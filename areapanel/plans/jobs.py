@@ -48,8 +48,11 @@ def crosswalk(geometry_2007: DataFrame, geometry_2022: DataFrame) -> DataFrame:
     """``(ward_code_2007, ward_code_2022, overlap_pct)``: share of each 2007 ward's area
     lying in each 2022 ward."""
     w = G.overlap_weights(geometry_2007, geometry_2022)
-    return w.select(F.col("source_code").alias("ward_code_2007"), F.col("target_code").alias("ward_code_2022"),
-                    F.col("weight").alias("overlap_pct"))
+    cw = w.select(F.col("source_code").alias("ward_code_2007"), F.col("target_code").alias("ward_code_2022"),
+                  F.col("weight").alias("overlap_pct"))
+    # Computed once and written to the shared checkpoint folder: the jobs that use
+    # it (and the size check before broadcasting it) read the written table.
+    return cw.checkpoint()
 
 
 def name_lookup_job(features_2022: DataFrame, spec: Mapping = SP.BOUNDARIES_2022) -> DataFrame:
