@@ -55,6 +55,18 @@ def check_columns(df: DataFrame, cols: str | Iterable[str]) -> DataFrame:
     return _spark(df).createDataFrame([(c,) for c in missing], "column string")
 
 
+def column_report(df: DataFrame, cols: str | Iterable[str]) -> DataFrame:
+    """Q1 + Q2 as one table: ``(column, present, null_count)`` for each expected
+    column; null counts for all present columns come from one aggregate pass."""
+    cols = _as_list(cols)
+    have = [c for c in cols if c in set(df.columns)]
+    rows = [F.struct(F.lit(c).alias("column"), F.lit(True).alias("present"),
+                     F.count_if(F.col(f"`{c}`").isNull()).cast("bigint").alias("null_count")) for c in have]
+    missing = [F.struct(F.lit(c).alias("column"), F.lit(False).alias("present"),
+                        F.lit(None).cast("bigint").alias("null_count")) for c in cols if c not in have]
+    return df.agg(F.array(*rows, *missing).alias("r")).select(F.explode("r").alias("r")).select("r.*")
+
+
 def check_nulls(df: DataFrame, cols: str | Iterable[str] | None = None) -> DataFrame:
     """Q2: ``(column, null_count)`` for each named column with nulls, in one pass."""
     cols = df.columns if cols is None else _as_list(cols)

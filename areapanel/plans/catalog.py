@@ -401,6 +401,12 @@ def q_check_month_series(spark, sf):
         .withColumn("position", F.col("position").cast("bigint"))
 
 
+@register
+def q_check_columns(spark, sf):
+    """Q1 (with Q2 counts) on the flagship job's output."""
+    return C.column_report(q_monthly_area_counts(spark, sf), ["count", "ward_code", "date", "population"])
+
+
 @register
 def q_check_schema(spark, sf):
     from pyspark.sql import types as T

@@ -531,3 +531,11 @@ l AS (SELECT count, lag(count, 1) OVER ({_W}) AS prev FROM panel),
 r AS (SELECT regr_intercept(count, prev) AS b0, regr_slope(count, prev) AS b1 FROM l WHERE prev IS NOT NULL)
 SELECT 'intercept' AS term, round(b0, 6) AS coefficient FROM r
 UNION ALL SELECT 'crime_last_month', round(b1, 6) FROM r"""
+
+SQL["check_columns"] = f"""
+WITH mac AS ({SQL["monthly_area_counts"]})
+SELECT 'count' AS "column", true AS present, CAST(count(*) FILTER (WHERE count IS NULL) AS BIGINT) AS null_count
+FROM mac
+UNION ALL SELECT 'ward_code', true, CAST(count(*) FILTER (WHERE ward_code IS NULL) AS BIGINT) FROM mac
+UNION ALL SELECT 'date', true, CAST(count(*) FILTER (WHERE date IS NULL) AS BIGINT) FROM mac
+UNION ALL SELECT 'population', false, CAST(NULL AS BIGINT)"""

@@ -7,6 +7,9 @@ match the boundary files' names. They are metadata (driver-side dicts), never da
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
 CRIME = {
     "column_rename": {
         "PSOS_MMW_Name": "ward_name_2022",
@@ -160,3 +163,9 @@ WARD_AREA = {
 }
 
 SIMPLIFY_TOLERANCE_DEGREES = 0.002
+
+
+def load_specs(path: str | Path) -> dict:
+    """Job specs from a JSON file (same keys as the dicts above); metadata only."""
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
