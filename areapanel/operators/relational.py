@@ -189,7 +189,7 @@ def ordered_split(df: DataFrame, order: Sequence[str] = ("area_code", "date"), t
     off_df = spark.createDataFrame(offsets, f"{group} {key_type}, _offset bigint")
     from pyspark.sql import Window
     w = Window.partitionBy(group).orderBy(*order[1:]) if len(order) > 1 else Window.partitionBy(group).orderBy(group)
-    pos = df.join(F.broadcast(off_df), on=group, how="left") \
+    pos = df.join(bounded_broadcast(off_df), on=group, how="left") \
         .withColumn("_pos", F.col("_offset") + F.row_number().over(w) - 1)
     train = pos.where(F.col("_pos") < start_test).drop("_offset", "_pos")
     test = pos.where(F.col("_pos") >= start_test).drop("_offset", "_pos")

@@ -117,7 +117,7 @@ def candidate_pairs(src_bounds: DataFrame, dst_bounds: DataFrame, cell: float) -
 def overlap_area(src: DataFrame, dst: DataFrame, key: str = "area_code", cell: float | None = None,
                  slab_edges: float = 4.0, rel_eps: float = 1e-9) -> DataFrame:
     """I4: intersection area of every overlapping (source, target) pair:
-    ``(source_code, target_code, overlap_area)``. Pairs that only touch are dropped
+    ``(source_code, target_code, overlap_area, source_area)``. Pairs that only touch are dropped
     (relative to the smaller polygon), as overlays keeping polygon results do.
 
     ``cell`` is the candidate grid size (default: median box size of the source
@@ -194,17 +194,15 @@ def overlap_area(src: DataFrame, dst: DataFrame, key: str = "area_code", cell: f
     out = inter.join(sizes, "src").join(dsizes, "dst")
     keep = F.col("overlap_area") > F.lit(rel_eps) * F.least("_sa", "_da")
     return out.where(keep).select(F.col("src").alias("source_code"), F.col("dst").alias("target_code"),
-                                  "overlap_area")
+                                  "overlap_area", F.col("_sa").alias("source_area"))
 
 
 def overlap_weights(src: DataFrame, dst: DataFrame, key: str = "area_code", **kw) -> DataFrame:
     """I4: ``(source_code, target_code, overlap_area, weight)`` with
     ``weight = overlap_area / area(source)`` (the crosswalk's ``overlap_pct``)."""
     ov = overlap_area(src, dst, key, **kw)
-    sa = polygon_area(src.select(F.col(key).alias("area_code"), "part", "ring", "seq", "x", "y")) \
-        .select(F.col("area_code").alias("source_code"), F.col("area").alias("_sa"))
-    return ov.join(sa, "source_code").select("source_code", "target_code", "overlap_area",
-                                             F.try_divide(F.col("overlap_area"), F.col("_sa")).alias("weight"))
+    return ov.select("source_code", "target_code", "overlap_area",
+                     F.try_divide(F.col("overlap_area"), F.col("source_area")).alias("weight"))
 
 
 def crosswalk_reweight(values: DataFrame, crosswalk: DataFrame, value_cols: list[str], source_col: str = "source_code",

@@ -50,7 +50,8 @@ def q_monthly_area_counts(spark: SparkSession, sf: str) -> DataFrame:
     code lookup on the name key → first-of-month date."""
     nation = S.table(spark, sf, "nation")
     rows = (S.order_rows(spark, sf)
-            .join(F.broadcast(nation.select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(R.bounded_broadcast(nation.select("n_nationkey", "n_name")),
+                  F.col("c_nationkey") == F.col("n_nationkey"))
             .select(F.col("n_name").alias("ward_name"), F.col("c_mktsegment").alias("council_name"),
                     F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
                     F.lit(1).cast("bigint").alias("count")))
@@ -77,7 +78,7 @@ def q_group_sum(spark, sf):
 @register
 def q_group_sum_wide(spark, sf):
     nation = S.table(spark, sf, "nation").select("n_nationkey", "n_name")
-    rows = (S.order_rows(spark, sf).join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = (S.order_rows(spark, sf).join(R.bounded_broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
             .select(F.col("c_mktsegment").alias("council_name"), F.col("n_name").alias("ward_name"),
                     F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
                     F.col("o_orderstatus").alias("crime_group"), F.col("o_orderpriority").alias("group_description"),
