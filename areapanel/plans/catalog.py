@@ -426,3 +426,4 @@ def q_check_schema(spark, sf):
 from . import catalog_io  # noqa: E402,F401
 from . import catalog_spatial  # noqa: E402,F401
 from . import catalog_models  # noqa: E402,F401
+from . import catalog_jobs  # noqa: E402,F401

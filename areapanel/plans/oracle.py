@@ -539,3 +539,37 @@ FROM mac
 UNION ALL SELECT 'ward_code', true, CAST(count(*) FILTER (WHERE ward_code IS NULL) AS BIGINT) FROM mac
 UNION ALL SELECT 'date', true, CAST(count(*) FILTER (WHERE date IS NULL) AS BIGINT) FROM mac
 UNION ALL SELECT 'population', false, CAST(NULL AS BIGINT)"""
+
+# --- whole jobs on derived inputs -------------------------------------------------------------
+
+SQL["crime_job"] = f"""
+WITH r AS (
+  SELECT CASE WHEN n.n_name = 'NATION_7' THEN 'Nation 7 Ward' ELSE n.n_name END AS ward_name,
+         c.c_mktsegment AS council_name, year(o.o_orderdate) AS year, month(o.o_orderdate) AS month
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  WHERE (c.c_mktsegment IS NULL OR c.c_mktsegment NOT IN ('AUTOMOBILE'))
+    AND (n.n_name IS NULL OR n.n_name NOT IN ('NATION_3'))),
+s AS (SELECT {norm('ward_name')} AS ward_name, council_name, year, month, CAST(count(*) AS BIGINT) AS count
+      FROM r WHERE council_name IS NOT NULL GROUP BY 1, 2, 3, 4),
+l AS (SELECT {norm('n_name')} AS ward_name, {AREA.format(k='n_nationkey')} AS ward_code FROM nation)
+SELECT s.count, l.ward_code, make_date(CAST(s.year AS INTEGER), CAST(s.month AS INTEGER), 1) AS date
+FROM s LEFT JOIN l ON s.ward_name = l.ward_name"""
+
+SQL["ward_area"] = f"""
+SELECT {AREA.format(k='n_nationkey')} AS ward_code, round((n_regionkey + 1) * 1.5e6 * 1e-6, 6) AS area FROM nation"""
+
+SQL["population_density_job"] = f"""
+WITH y AS (
+  SELECT c.c_nationkey AS k, year(o.o_orderdate) AS yr, CAST(count(*) AS DOUBLE) AS n
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  WHERE year(o.o_orderdate) IN (1996, 2000) GROUP BY 1, 2),
+a AS (SELECT n_nationkey AS k, (n_regionkey + 1) * 1.5e6 * 1e-6 AS area FROM nation),
+v AS (SELECT {AREA.format(k='a.k')} AS ward_code,
+             y0.n / a.area AS v0, y1.n / a.area AS v1
+      FROM a JOIN y y0 ON y0.k = a.k AND y0.yr = 1996 JOIN y y1 ON y1.k = a.k AND y1.yr = 2000),
+g AS (SELECT *, CAST(unnest(generate_series(DATE '1996-01-01', DATE '2001-01-01', INTERVAL 1 MONTH)) AS DATE) AS date
+      FROM v),
+i AS (SELECT *, datediff('month', DATE '1996-01-01', date) AS i FROM g)
+SELECT ward_code, date, round(CASE WHEN i = 0 THEN v0 WHEN i >= 48 THEN v1
+                                   ELSE coalesce(v0 + ((v1 - v0) * i) / 48, v0) END, 6) AS population_density
+FROM i"""
