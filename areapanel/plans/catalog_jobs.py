@@ -88,3 +88,141 @@ def q_population_density_job(spark, sf):
     """Sheets → header promotion → Persons → density → monthly line → flat to the end."""
     out = J.population_density_job(population_sheets(spark, sf), area_csv(spark, sf), POP_SPEC)
     return out.withColumn("population_density", _r(F.col("population_density")))
+
+
+# --- J2 education: two census years on two boundary layers -----------------------------------
+
+EDU_2011 = {**SP.EDUCATION_2011, "manual_ward_edits": {}}
+EDU_2022 = {**SP.EDUCATION_2022, "manual_ward_edits": {}}
+LAYER = {"code": "code", "name": "name", "name_disambiguation": {}}
+LAYER_2007 = {**LAYER, "code_prefix": "P"}
+
+
+def _long(df: DataFrame, index_col: str, index_name: str, levels: dict) -> DataFrame:
+    """Long census layout ``(index, level, count)`` from per-area count columns."""
+    arr = F.array(*[F.struct(F.lit(name).alias("level"), F.col(col).cast("string").alias("n"))
+                    for name, col in levels.items()])
+    return (df.select(F.col(index_col).alias(index_name), F.explode(arr).alias("r"))
+            .select(index_name, F.col("r.level").alias("Highest level of qualification"),
+                    F.col("r.n").alias("Count")))
+
+
+def census_2011(spark, sf) -> DataFrame:
+    li = S.table(spark, sf, "lineitem")
+    per = li.groupBy("l_suppkey").agg(
+        F.count_if(F.col("l_returnflag") == "A").alias("l1"), F.count_if(F.col("l_returnflag") == "N").alias("l2"),
+        F.count_if(F.col("l_returnflag") == "R").alias("l3"), F.count_if(F.col("l_linestatus") == "F").alias("l4"),
+        F.count_if(F.col("l_linestatus") == "O").alias("nq"), F.count(F.lit(1)).alias("tot"))
+    sup = S.table(spark, sf, "supplier").select("s_suppkey", "s_name")
+    per = per.join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
+    names = list(EDU_2011["column_rename"])[1:]
+    return _long(per, "s_name", "Electoral Ward 2007", dict(zip(names, ["l1", "l2", "l3", "l4", "nq", "tot"])))
+
+
+def census_2022(spark, sf) -> DataFrame:
+    c = S.table(spark, sf, "customer")
+    seg = F.col("c_mktsegment")
+    per = c.groupBy("c_nationkey").agg(
+        F.count(F.lit(1)).alias("tot"), F.count_if(seg == "AUTOMOBILE").alias("nq"),
+        F.count_if(seg == "BUILDING").alias("l1"), F.count_if(seg == "FURNITURE").alias("l2"),
+        F.count_if(seg == "HOUSEHOLD").alias("l3"), F.count_if(seg == "MACHINERY").alias("l35"),
+        F.count_if(F.col("c_acctbal") > 5000).alias("l4"))
+    nation = S.table(spark, sf, "nation").select("n_nationkey", "n_name")
+    per = per.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    names = list(EDU_2022["column_rename"])[1:]
+    return _long(per, "n_name", "Electoral Ward 2022",
+                 dict(zip(names, ["tot", "nq", "l1", "l2", "l3", "l35", "l4"])))
+
+
+def layer_features(spark, sf, which: str) -> DataFrame:
+    from ..sinks.tables import boundary_features
+    if which == "2007":
+        verts = S.supplier_squares(spark, sf)
+        props = S.table(spark, sf, "supplier").select(
+            F.concat(F.lit("P"), F.col("s_suppkey").cast("string")).alias("area_code"), F.col("s_name").alias("name"))
+    else:
+        verts = S.nation_squares(spark, sf)
+        props = S.names(spark, sf).select("area_code", F.col("area_name").alias("name"))
+    props = props.withColumn("code", F.col("area_code"))
+    return boundary_features(verts, "area_code", props)
+
+
+@register
+def q_education_job(spark, sf):
+    """2011 shares on old boundaries moved to new ones by area share, 2022 shares,
+    monthly line in between. Areas without a 2011 value keep their single 2022 row
+    (the run-time series check is left to the caller here)."""
+    geo07, look07 = J.boundary_lookup(layer_features(spark, sf, "2007"), LAYER_2007, "2007")
+    geo22, look22 = J.boundary_lookup(layer_features(spark, sf, "2022"), LAYER, "2022")
+    cw = J.crosswalk(geo07, geo22)
+    out = J.education_job(census_2011(spark, sf), census_2022(spark, sf), look07, look22, cw, EDU_2011, EDU_2022,
+                          check=False)
+    return out.select("ward_code", _r(F.col("pop_with_qual")).alias("pop_with_qual"),
+                      _r(F.col("pop_without_qual")).alias("pop_without_qual"), "date")
+
+
+# --- J3 employment, J5 boundaries, J6 names ----------------------------------------------------
+
+def employment_2011(spark, sf) -> DataFrame:
+    """Wide 2011 layout per old area (counts from lineitem per supplier, as text)."""
+    li = S.table(spark, sf, "lineitem")
+    per = li.groupBy("l_suppkey").agg(
+        F.count(F.lit(1)).alias("tot"), F.count_if(F.col("l_linestatus") == "F").alias("emp"),
+        F.count_if(F.col("l_returnflag") == "R").alias("unemp"), F.count_if(F.col("l_discount") < 0.02).alias("care"),
+        F.count_if(F.col("l_tax") > 0.07).alias("sick"))
+    sup = S.table(spark, sf, "supplier").select("s_suppkey", "s_name")
+    per = per.join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
+    cols = {"Electoral Ward 2007": "s_name", "All people aged 16 to 74": "tot", "Economically active: Employee": "emp",
+            "Economically active: Unemployed": "unemp",
+            "Economically inactive: Looking after home or family": "care",
+            "Economically inactive: Long-term sick or disabled": "sick"}
+    return per.select(*[F.col(v).cast("string").alias(k) for k, v in cols.items()])
+
+
+def employment_2022(spark, sf) -> DataFrame:
+    """Wide 2022 layout per new area (counts from customer per nation, as text)."""
+    c = S.table(spark, sf, "customer")
+    seg = F.col("c_mktsegment")
+    per = c.groupBy("c_nationkey").agg(
+        F.count(F.lit(1)).alias("tot"), F.count_if(seg == "BUILDING").alias("act1"),
+        F.count_if(seg == "FURNITURE").alias("act2"), F.count_if(F.col("c_acctbal") < 0).alias("un1"),
+        F.count_if(F.col("c_acctbal") > 9000).alias("un2"), F.count_if(seg == "HOUSEHOLD").alias("care"),
+        F.count_if(seg == "MACHINERY").alias("sick"))
+    nation = S.table(spark, sf, "nation").select("n_nationkey", "n_name")
+    per = per.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    spec = SP.EMPLOYMENT_2022
+    cols = {"Economic activity - 20 groups, all": "n_name", "All people aged 16 and over": "tot",
+            spec["active_columns"][0]: "act1", spec["active_columns"][1]: "act2",
+            spec["unemployed_columns"][0]: "un1", spec["unemployed_columns"][1]: "un2",
+            "Economically inactive - Looking after home/ family": "care",
+            "Economically inactive - Long term sick or disabled": "sick"}
+    return per.select(*[F.col(v).cast("string").alias(k) for k, v in cols.items()])
+
+
+@register
+def q_employment_job(spark, sf):
+    """2011 rates on old boundaries moved by area share, 2022 rates, monthly line."""
+    geo07, look07 = J.boundary_lookup(layer_features(spark, sf, "2007"), LAYER_2007, "2007")
+    geo22, look22 = J.boundary_lookup(layer_features(spark, sf, "2022"), LAYER, "2022")
+    cw = J.crosswalk(geo07, geo22)
+    out = J.employment_job(employment_2011(spark, sf), employment_2022(spark, sf), look07, look22, cw,
+                           {**SP.EMPLOYMENT_2011, "manual_ward_edits": {}},
+                           {**SP.EMPLOYMENT_2022, "manual_ward_edits": {}})
+    return out.select("ward_code", "date", *[_r(F.col(c)).alias(c) for c in
+                                             ("unemployed_adults", "long_term_sick_or_disabled", "caring_for_family")])
+
+
+@register
+def q_name_lookup_job(spark, sf):
+    """Code → name as read from the new boundary features."""
+    return J.name_lookup_job(layer_features(spark, sf, "2022"), LAYER)
+
+
+@register
+def q_boundary_job(spark, sf):
+    """New boundaries placed on the British National Grid → WGS84 → simplified."""
+    from .catalog_spatial import grid_layer
+    from ..sinks.tables import boundary_features
+    verts = grid_layer(spark, sf)
+    props = S.names(spark, sf).select("area_code", F.col("area_code").alias("code"))
+    return J.boundary_job(boundary_features(verts, "area_code", props), LAYER)

@@ -38,6 +38,7 @@ def boundary_lookup(features: DataFrame, spec: Mapping, year: str, normalise: bo
     """Boundary features → (geometry keyed ``area_code``, lookup ``(ward_code_Y, ward_name_Y)``)
     with name keys and the code-based disambiguation applied."""
     geometry, lookup = G.prepare_boundaries(features, spec["code"], spec["name"], year,
+                                            prefix=spec.get("code_prefix", "S"),
                                             name_fn=normalise_name if normalise else None)
     code, name = f"ward_code_{year}", f"ward_name_{year}"
     lookup = B.disambiguate(lookup.select(code, name), code, name, spec.get("name_disambiguation", {}))

@@ -573,3 +573,77 @@ i AS (SELECT *, datediff('month', DATE '1996-01-01', date) AS i FROM g)
 SELECT ward_code, date, round(CASE WHEN i = 0 THEN v0 WHEN i >= 48 THEN v1
                                    ELSE coalesce(v0 + ((v1 - v0) * i) / 48, v0) END, 6) AS population_density
 FROM i"""
+
+SQL["education_job"] = f"""
+WITH {SQUARES},
+c11 AS (SELECT 'P' || CAST(l_suppkey AS VARCHAR) AS source_code,
+               count(*) FILTER (WHERE l_returnflag = 'A') AS l1, count(*) FILTER (WHERE l_returnflag = 'N') AS l2,
+               count(*) FILTER (WHERE l_returnflag = 'R') AS l3, count(*) FILTER (WHERE l_linestatus = 'F') AS l4,
+               count(*) FILTER (WHERE l_linestatus = 'O') AS nq, count(*) AS tot
+        FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier) GROUP BY 1),
+s11 AS (SELECT source_code, CAST(l3 + l4 AS DOUBLE) / tot AS w, CAST(l1 + l2 + nq AS DOUBLE) / tot AS wo FROM c11),
+e11 AS (SELECT p.target_code AS ward_code, sum(s.w * (p.a / p.src_area)) AS w, sum(s.wo * (p.a / p.src_area)) AS wo
+        FROM s11 s JOIN pairs p ON s.source_code = p.source_code GROUP BY 1),
+c22 AS (SELECT {AREA.format(k='c_nationkey')} AS ward_code, count(*) AS tot,
+               count(*) FILTER (WHERE c_mktsegment = 'AUTOMOBILE') AS nq,
+               count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS l1,
+               count(*) FILTER (WHERE c_mktsegment = 'FURNITURE') AS l2,
+               count(*) FILTER (WHERE c_mktsegment = 'HOUSEHOLD') AS l3,
+               count(*) FILTER (WHERE c_mktsegment = 'MACHINERY') AS l35,
+               count(*) FILTER (WHERE c_acctbal > 5000) AS l4
+        FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation) GROUP BY 1),
+e22 AS (SELECT ward_code, CAST(l3 + l35 + l4 AS DOUBLE) / tot AS w, CAST(l1 + l2 + nq AS DOUBLE) / tot AS wo FROM c22),
+both_years AS (SELECT e22.ward_code, e11.w AS w0, e11.wo AS wo0, e22.w AS w1, e22.wo AS wo1
+               FROM e22 JOIN e11 ON e22.ward_code = e11.ward_code),
+g AS (SELECT *, CAST(unnest(generate_series(DATE '2011-01-01', DATE '2022-01-01', INTERVAL 1 MONTH)) AS DATE) AS date
+      FROM both_years),
+i AS (SELECT *, datediff('month', DATE '2011-01-01', date) AS i FROM g)
+SELECT ward_code, round(CASE WHEN i = 0 THEN w0 WHEN i = 132 THEN w1 ELSE w0 + ((w1 - w0) * i) / 132 END, 6)
+         AS pop_with_qual,
+       round(CASE WHEN i = 0 THEN wo0 WHEN i = 132 THEN wo1 ELSE wo0 + ((wo1 - wo0) * i) / 132 END, 6)
+         AS pop_without_qual,
+       date
+FROM i
+UNION ALL
+SELECT ward_code, round(w, 6), round(wo, 6), DATE '2022-01-01' FROM e22
+WHERE ward_code NOT IN (SELECT ward_code FROM e11)"""
+
+SQL["employment_job"] = f"""
+WITH {SQUARES},
+c11 AS (SELECT 'P' || CAST(l_suppkey AS VARCHAR) AS source_code, CAST(count(*) AS DOUBLE) AS tot,
+               CAST(count(*) FILTER (WHERE l_linestatus = 'F') AS DOUBLE) AS emp,
+               CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS DOUBLE) AS unemp,
+               CAST(count(*) FILTER (WHERE l_discount < 0.02) AS DOUBLE) AS care,
+               CAST(count(*) FILTER (WHERE l_tax > 0.07) AS DOUBLE) AS sick
+        FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier) GROUP BY 1),
+s11 AS (SELECT source_code, unemp / nullif(emp, 0) AS un, sick / nullif(tot, 0) AS si, care / nullif(tot, 0) AS ca
+        FROM c11),
+e11 AS (SELECT p.target_code AS ward_code, coalesce(sum(s.un * (p.a / p.src_area)), 0) AS un,
+               coalesce(sum(s.si * (p.a / p.src_area)), 0) AS si, coalesce(sum(s.ca * (p.a / p.src_area)), 0) AS ca
+        FROM s11 s JOIN pairs p ON s.source_code = p.source_code GROUP BY 1),
+c22 AS (SELECT {AREA.format(k='c_nationkey')} AS ward_code, CAST(count(*) AS DOUBLE) AS tot,
+               CAST(count(*) FILTER (WHERE c_mktsegment IN ('BUILDING', 'FURNITURE')) AS DOUBLE) AS act,
+               CAST(count(*) FILTER (WHERE c_acctbal < 0) + count(*) FILTER (WHERE c_acctbal > 9000) AS DOUBLE) AS un,
+               CAST(count(*) FILTER (WHERE c_mktsegment = 'HOUSEHOLD') AS DOUBLE) AS care,
+               CAST(count(*) FILTER (WHERE c_mktsegment = 'MACHINERY') AS DOUBLE) AS sick
+        FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation) GROUP BY 1),
+e22 AS (SELECT ward_code, un / nullif(act, 0) AS un, sick / nullif(tot, 0) AS si, care / nullif(tot, 0) AS ca
+        FROM c22),
+b AS (SELECT e22.ward_code, e11.un AS u0, e11.si AS s0, e11.ca AS c0, e22.un AS u1, e22.si AS s1, e22.ca AS c1
+      FROM e22 JOIN e11 ON e22.ward_code = e11.ward_code),
+g AS (SELECT *, CAST(unnest(generate_series(DATE '2011-01-01', DATE '2022-01-01', INTERVAL 1 MONTH)) AS DATE) AS date
+      FROM b),
+i AS (SELECT *, datediff('month', DATE '2011-01-01', date) AS i FROM g)
+SELECT ward_code, date,
+  round(CASE WHEN i = 0 THEN u0 WHEN i = 132 THEN u1 ELSE coalesce(u0 + ((u1 - u0) * i) / 132, u0) END, 6)
+    AS unemployed_adults,
+  round(CASE WHEN i = 0 THEN s0 WHEN i = 132 THEN s1 ELSE coalesce(s0 + ((s1 - s0) * i) / 132, s0) END, 6)
+    AS long_term_sick_or_disabled,
+  round(CASE WHEN i = 0 THEN c0 WHEN i = 132 THEN c1 ELSE coalesce(c0 + ((c1 - c0) * i) / 132, c0) END, 6)
+    AS caring_for_family
+FROM i
+UNION ALL
+SELECT ward_code, DATE '2022-01-01', round(un, 6), round(si, 6), round(ca, 6) FROM e22
+WHERE ward_code NOT IN (SELECT ward_code FROM e11)"""
+
+SQL["name_lookup_job"] = f"SELECT {AREA.format(k='n_nationkey')} AS ward_code, n_name AS ward_name FROM nation"
