@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .checks import require_columns
+from .relational import bounded_broadcast
 
 VERTEX_COLS = ["area_code", "part", "ring", "seq", "x", "y"]
 
@@ -141,6 +142,10 @@ def overlap_area(src: DataFrame, dst: DataFrame, key: str = "area_code", cell: f
         F.least("a_ymin", "b_ymin").alias("base"),
         F.greatest("a_xmin", "b_xmin").alias("lo"), F.least("a_xmax", "b_xmax").alias("hi"),
         (width * F.lit(slab_edges) / dens).alias("slab_w"))
+    # Pairs of neighbouring areas are few next to the edges: they are written once
+    # (shared checkpoint folder) and broadcast behind the row bound, so the edge
+    # tables are not shuffled to meet them.
+    pairs = bounded_broadcast(pairs.checkpoint())
     ea = oriented_edges(src).where(F.col("x1") != F.col("x2"))
     eb = oriented_edges(dst).where(F.col("x1") != F.col("x2"))
     pa = ea.join(pairs, ea.area_code == pairs.src).drop("area_code")
