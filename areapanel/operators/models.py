@@ -16,6 +16,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
 from .checks import require_columns
 
 FOREST_TREES = 500
@@ -55,7 +56,7 @@ def fit(pipeline: Pipeline, train: DataFrame, label: str = "count") -> PipelineM
     """Fit on rows with a label. The input is checkpointed to the shared checkpoint
     folder first: iterative training re-reads it many times, and a lost executor
     then recomputes from the checkpoint, not from the raw tables."""
-    return pipeline.fit(train.where(F.col(label).isNotNull()).checkpoint())
+    return pipeline.fit(reliable_checkpoint(train.where(F.col(label).isNotNull())))
 
 
 def predict_frame(model: PipelineModel, test: DataFrame, key: str = "area_code", date_col: str = "date",

@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import reliable_checkpoint
 from .checks import require_columns
 from .relational import bounded_broadcast
 
@@ -145,7 +146,7 @@ def overlap_area(src: DataFrame, dst: DataFrame, key: str = "area_code", cell: f
     # Pairs of neighbouring areas are few next to the edges: they are written once
     # (shared checkpoint folder) and broadcast behind the row bound, so the edge
     # tables are not shuffled to meet them.
-    pairs = bounded_broadcast(pairs.checkpoint())
+    pairs = bounded_broadcast(reliable_checkpoint(pairs))
     ea = oriented_edges(src).where(F.col("x1") != F.col("x2"))
     eb = oriented_edges(dst).where(F.col("x1") != F.col("x2"))
     pa = ea.join(pairs, ea.area_code == pairs.src).drop("area_code")

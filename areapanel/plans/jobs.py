@@ -23,6 +23,7 @@ from ..operators import relational as R
 from ..operators import spatial as G
 from ..operators import timeseries as TS
 from ..sources.files import pick_sheet, promote_header
+from ..session import reliable_checkpoint
 from . import specs as SP
 
 
@@ -53,7 +54,7 @@ def crosswalk(geometry_2007: DataFrame, geometry_2022: DataFrame) -> DataFrame:
                   F.col("weight").alias("overlap_pct"))
     # Computed once and written to the shared checkpoint folder: the jobs that use
     # it (and the size check before broadcasting it) read the written table.
-    return cw.checkpoint()
+    return reliable_checkpoint(cw)
 
 
 def name_lookup_job(features_2022: DataFrame, spec: Mapping = SP.BOUNDARIES_2022) -> DataFrame:

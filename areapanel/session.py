@@ -67,6 +67,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def reliable_checkpoint(df):
+    """``df.checkpoint()`` into the shared checkpoint folder (registered first if this
+    session has none yet). Cuts lineage so a lost executor recomputes from the
+    written data; never a local checkpoint."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder.
 
@@ -86,5 +94,5 @@ def is_local_master(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "local_path", "is_local_master",
+__all__ = ["get_session", "checkpoint_dir", "reliable_checkpoint", "scratch_path", "local_path", "is_local_master",
            "DEFAULT_CONF"]
