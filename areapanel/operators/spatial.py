@@ -470,38 +470,52 @@ def _douglas_peucker(xy: np.ndarray, tol: float) -> np.ndarray:
     return np.flatnonzero(keep)
 
 
-def simplify_rings(vertices: DataFrame, tolerance: float, key: str = "area_code") -> DataFrame:
-    """Douglas-Peucker per ring, one ring per group (``applyInPandas``; a ring is
-    one outline, bounded by the geometry, not by the data volume).
-
-    A ring is split at its farthest vertex from the first so both halves are open
-    polylines; rings never drop below 3 vertices. Shared borders of neighbouring
-    areas are simplified independently (topology is not preserved).
+def simplify_rings(vertices: DataFrame, tolerance: float, key: str = "area_code",
+                   chunk_size: int = 50_000) -> DataFrame:
+    """Douglas-Peucker on every ring, in bounded pieces (``applyInPandas``).
+
+    A ring is cut into chunks of ``chunk_size`` consecutive positions (``seq``); each
+    chunk is simplified as an open polyline that ends at the first vertex of the next
+    chunk (the ring's first vertex for the last chunk). Chunk ends are always kept, so
+    every input vertex stays within ``tolerance`` of the output and no group holds
+    more than ``chunk_size + 1`` vertices, however long a coastline is. A ring keeps
+    at least three vertices. ``seq`` keeps the input positions. Shared borders of
+    neighbouring areas are simplified independently (topology is not preserved).
     """
     require_columns(vertices, [key, "part", "ring", "seq", "x", "y"])
+    ring_keys = [key, "part", "ring"]
     schema = T.StructType([vertices.schema[key], T.StructField("part", T.IntegerType()),
                            T.StructField("ring", T.IntegerType()), T.StructField("seq", T.IntegerType()),
                            T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
+    src = vertices.select(key, F.col("part").cast("int").alias("part"), F.col("ring").cast("int").alias("ring"),
+                          F.col("seq").cast("int").alias("seq"), F.col("x").cast("double").alias("x"),
+                          F.col("y").cast("double").alias("y"))
+    src = src.withColumn("chunk", F.floor(F.col("seq") / chunk_size).cast("int"))
+    # One row per chunk (partial aggregate), then a window over a ring's chunks only.
+    firsts = src.groupBy(*ring_keys, "chunk").agg(F.min_by(F.struct("x", "y"), "seq").alias("p"))
+    w = Window.partitionBy(*ring_keys).orderBy("chunk")
+    wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = firsts.select(*ring_keys, "chunk", F.coalesce(F.lead("p").over(w), F.first("p").over(wall)).alias("e"),
+                         F.count(F.lit(1)).over(wall).alias("n_chunks"))
+    end_rows = ends.select(*ring_keys, "chunk", F.lit(None).cast("int").alias("seq"), F.col("e.x").alias("x"),
+                           F.col("e.y").alias("y"), F.lit(True).alias("_end"), "n_chunks")
+    body = src.select(*ring_keys, "chunk", "seq", "x", "y", F.lit(False).alias("_end"),
+                      F.lit(None).cast("long").alias("n_chunks"))
 
     def simplify(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq")
-        xy = pdf[["x", "y"]].to_numpy(dtype=float)
-        n = len(xy)
-        if n <= 3:
-            kept = np.arange(n)
-        else:
-            far = int(np.argmax(np.hypot(*(xy - xy[0]).T)))
-            first = _douglas_peucker(xy[: far + 1], tolerance)
-            second = _douglas_peucker(np.vstack([xy[far:], xy[:1]]), tolerance)[1:-1] + far
-            kept = np.unique(np.concatenate([first, second]))
-            if len(kept) < 3:
-                kept = np.unique(np.concatenate([kept, [0, far, (far + n) // 2 % n]]))
-        out = pdf.iloc[kept]
+        end = pdf[pdf["_end"]]
+        pts = pdf[~pdf["_end"]].sort_values("seq")
+        xy = np.vstack([pts[["x", "y"]].to_numpy(dtype=float), end[["x", "y"]].to_numpy(dtype=float)])
+        n = len(pts)
+        kept = _douglas_peucker(xy, tolerance)
+        kept = kept[kept < n]
+        if int(end["n_chunks"].iloc[0]) == 1 and len(kept) < 3 <= n:
+            far = int(np.argmax(np.hypot(*(xy[:n] - xy[0]).T)))
+            kept = np.unique(np.concatenate([kept, [0, far, (far + n) // 2 % n, far // 2]]))[:max(3, len(kept))]
+        out = pts.iloc[np.sort(kept)]
         return pd.DataFrame({key: out[key].to_numpy(), "part": out["part"].astype("int32").to_numpy(),
                              "ring": out["ring"].astype("int32").to_numpy(),
-                             "seq": np.arange(len(out), dtype="int32"),
+                             "seq": out["seq"].astype("int32").to_numpy(),
                              "x": out["x"].to_numpy(dtype=float), "y": out["y"].to_numpy(dtype=float)})
 
-    src = vertices.select(key, F.col("part").cast("int"), F.col("ring").cast("int"), F.col("seq").cast("int"),
-                          F.col("x").cast("double"), F.col("y").cast("double"))
-    return src.groupBy(key, "part", "ring").applyInPandas(simplify, schema)
+    return body.unionByName(end_rows).groupBy(*ring_keys, "chunk").applyInPandas(simplify, schema)

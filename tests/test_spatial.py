@@ -135,3 +135,28 @@ def test_geojson_round_trip_and_prepare(spark):
     geom, lookup = G.prepare_boundaries(feats, "area_code", "name", 2022, name_fn=normalise_name)
     row = lookup.first()
     assert lookup.count() == 1 and row.ward_name_2022 == "stea2rnabhaghadeas" and row.area_2022 == 3.0
+
+
+def _seg_dist(p, a, b):
+    (px, py), (ax, ay), (bx, by) = p, a, b
+    dx, dy = bx - ax, by - ay
+    L = dx * dx + dy * dy
+    t = 0.0 if L == 0 else max(0.0, min(1.0, ((px - ax) * dx + (py - ay) * dy) / L))
+    return math.hypot(px - ax - t * dx, py - ay - t * dy)
+
+
+def test_simplify_in_chunks_stays_within_tolerance(spark):
+    rnd = random.Random(3)
+    ring = [(math.cos(2 * math.pi * i / 200) * (10 + rnd.uniform(-0.3, 0.3)),
+             math.sin(2 * math.pi * i / 200) * (10 + rnd.uniform(-0.3, 0.3))) for i in range(200)]
+    v = spark.createDataFrame(poly("c", [ring]), SCHEMA)
+    tol = 0.5
+    for chunk in (7, 50_000):
+        out = sorted((r.seq, r.x, r.y) for r in G.simplify_rings(v, tol, chunk_size=chunk).collect())
+        pts = [(x, y) for _, x, y in out]
+        assert 3 <= len(pts) < 200
+        segs = list(zip(pts, pts[1:] + pts[:1]))
+        worst = max(min(_seg_dist(p, a, b) for a, b in segs) for p in ring)
+        assert worst <= tol + 1e-9, (chunk, worst)
+        if chunk == 7:  # chunk starts are kept
+            assert {s for s, _, _ in out} >= set(range(0, 200, 7))
