@@ -45,16 +45,30 @@ VERTEX_COLS = ["area_code", "part", "ring", "seq", "x", "y"]
 
 # --- edges, areas, winding --------------------------------------------------------------------
 
-def edges(vertices: DataFrame, key: str = "area_code") -> DataFrame:
+EDGE_CHUNK = 50_000  # consecutive vertex positions handled by one window partition
+
+
+def edges(vertices: DataFrame, key: str = "area_code", chunk_size: int = EDGE_CHUNK) -> DataFrame:
     """Directed ring edges ``(key, part, ring, x1, y1, x2, y2)``; rings are closed
-    implicitly (last → first) and zero-length edges are dropped."""
+    implicitly (last → first) and zero-length edges are dropped.
+
+    Rings are cut into chunks of ``chunk_size`` consecutive positions: ``lead`` runs
+    within a chunk, and a chunk's last vertex is joined to the first vertex of the
+    next chunk (or of the ring). A window partition therefore never holds more than
+    one chunk, however long a ring is; positions may have gaps.
+    """
     require_columns(vertices, [key, "part", "ring", "seq", "x", "y"])
-    w = Window.partitionBy(key, "part", "ring").orderBy("seq")
-    wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    e = vertices.select(
-        key, "part", "ring", F.col("x").alias("x1"), F.col("y").alias("y1"),
-        F.coalesce(F.lead("x").over(w), F.first("x").over(wall)).alias("x2"),
-        F.coalesce(F.lead("y").over(w), F.first("y").over(wall)).alias("y2"))
+    rk = [key, "part", "ring"]
+    v = vertices.select(*rk, "seq", "x", "y").withColumn("chunk", F.floor(F.col("seq") / chunk_size))
+    firsts = v.groupBy(*rk, "chunk").agg(F.min_by(F.struct("x", "y"), "seq").alias("p"))
+    wr = Window.partitionBy(*rk).orderBy("chunk")
+    wall = wr.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    nxt = firsts.select(*rk, "chunk", F.coalesce(F.lead("p").over(wr), F.first("p").over(wall)).alias("np"))
+    wc = Window.partitionBy(*rk, "chunk").orderBy("seq")
+    e = v.select(*rk, "chunk", F.col("x").alias("x1"), F.col("y").alias("y1"),
+                 F.lead("x").over(wc).alias("_x2"), F.lead("y").over(wc).alias("_y2"))
+    e = e.join(nxt, [*rk, "chunk"]).select(
+        *rk, "x1", "y1", F.coalesce("_x2", F.col("np.x")).alias("x2"), F.coalesce("_y2", F.col("np.y")).alias("y2"))
     return e.where((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
 
 

@@ -160,3 +160,14 @@ def test_simplify_in_chunks_stays_within_tolerance(spark):
         assert worst <= tol + 1e-9, (chunk, worst)
         if chunk == 7:  # chunk starts are kept
             assert {s for s, _, _ in out} >= set(range(0, 200, 7))
+
+
+def test_edges_in_chunks_close_rings(spark):
+    ring = [(0, 0), (4, 0), (4, 1), (2, 3), (0, 1)]
+    rows = [("r", 0, 0, s, float(x), float(y)) for s, (x, y) in zip([0, 1, 3, 7, 8], ring)]  # gaps in seq
+    v = spark.createDataFrame(rows, SCHEMA)
+    for chunk in (2, 3, 50_000):
+        e = {(r.x1, r.y1, r.x2, r.y2) for r in G.edges(v, chunk_size=chunk).collect()}
+        want = {(float(a), float(b), float(c), float(d)) for (a, b), (c, d) in zip(ring, ring[1:] + ring[:1])}
+        assert e == want, chunk
+        assert G.polygon_area(v).first().area == 8.0
