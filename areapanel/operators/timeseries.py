@@ -164,11 +164,25 @@ def sheets_to_monthly(df: DataFrame, sheet_col: str, key: str, value_col: str, d
     return resample_monthly(years, key, date_col, value_col)
 
 
+def fill_calendar(df: DataFrame, key: str, date_col: str, col: str, fill=0) -> DataFrame:
+    """Insert the missing months between a key's first and last row (G1) with ``col``
+    set to ``fill`` (an area-month without events has no row in a count panel)."""
+    out = expand_months(df, key, date_col)
+    return out.withColumn(col, F.coalesce(q(col), F.lit(fill).cast(df.schema[col].dataType)))
+
+
 def lag_features(df: DataFrame, key: str, order: str, col: str, lags: Sequence[int] = (1, 2, 3),
-                 names: Sequence[str] | None = None, dropna: bool = True) -> DataFrame:
-    """lagged copies of ``col`` per key in ``order`` (by row, not calendar);
-    rows lacking the deepest lag are dropped when ``dropna``."""
+                 names: Sequence[str] | None = None, dropna: bool = True, calendar: bool = False) -> DataFrame:
+    """lagged copies of ``col`` per key in ``order``; rows lacking the deepest lag
+    are dropped when ``dropna``.
+
+    By default lags are by row, as in the reference (a month without a row is
+    skipped); ``calendar=True`` first inserts missing months with ``col = 0``, so a
+    lag of 1 is always the previous calendar month.
+    """
     require_columns(df, [key, order, col])
+    if calendar:
+        df = fill_calendar(df, key, order, col)
     names = list(names) if names else [f"{col}_lag{k}" for k in lags]
     w = _w(key, order)
     out = df.withColumns({n: F.lag(q(col), k).over(w) for n, k in zip(names, lags)})

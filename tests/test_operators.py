@@ -191,3 +191,20 @@ def test_find_column_and_suffix(spark):
     with pytest.raises(ValueError):
         B.find_column(df, "_20")
     assert B.select_by_suffix(df, "_2011").columns == ["ward_code", "a"]
+
+
+def test_lag_features_calendar(spark):
+    df = spark.createDataFrame([("k", d(2020, m), m) for m in (1, 2, 4, 5)], "k string, date date, c int")
+    out = TS.lag_features(df, "k", "date", "c", calendar=True).orderBy("date").collect()
+    assert [(r.date, r.c, r.c_lag1, r.c_lag3) for r in out] == [(d(2020, 4), 4, 0, 1), (d(2020, 5), 5, 4, 2)]
+
+
+def test_crosswalk_rate_weights_by_target_share(spark):
+    from areapanel.operators import spatial as G
+    values = spark.createDataFrame([("s1", 0.2), ("s2", 0.6)], "source_code string, rate double")
+    cw = spark.createDataFrame([("s1", "t", 1.0, 1.0), ("s2", "t", 3.0, 0.5)],
+                               "source_code string, target_code string, overlap_area double, weight double")
+    count_style = G.crosswalk_reweight(values, cw, ["rate"]).first().rate
+    rate_style = G.crosswalk_reweight(values, cw, ["rate"], kind="rate").first().rate
+    assert abs(count_style - (0.2 * 1.0 + 0.6 * 0.5)) < 1e-12        # reference rule (X1)
+    assert abs(rate_style - (0.2 * 1.0 + 0.6 * 3.0) / 4.0) < 1e-12    # area-weighted mean over the target
