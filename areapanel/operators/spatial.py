@@ -78,10 +78,18 @@ def ring_signed_areas(edge_df: DataFrame, key: str = "area_code") -> DataFrame:
             .agg((F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) / 2.0).alias("signed_area")))
 
 
+def _areas(sa: DataFrame, key: str = "area_code") -> DataFrame:
+    signed = F.when(F.col("ring") == 0, F.abs("signed_area")).otherwise(-F.abs("signed_area"))
+    return sa.groupBy(key).agg(F.sum(signed).alias("area"))
+
+
 def oriented_edges(vertices: DataFrame, key: str = "area_code") -> DataFrame:
     """Edges with outer rings counter-clockwise and holes clockwise (flipped where needed)."""
     e = edges(vertices, key)
-    sa = ring_signed_areas(e, key)
+    return _orient(e, ring_signed_areas(e, key), key)
+
+
+def _orient(e: DataFrame, sa: DataFrame, key: str) -> DataFrame:
     want_ccw = F.col("ring") == 0
     flip = (want_ccw & (F.col("signed_area") < 0)) | (~want_ccw & (F.col("signed_area") > 0))
     j = e.join(sa.select(key, "part", "ring", flip.alias("_flip")), [key, "part", "ring"])
@@ -95,9 +103,7 @@ def oriented_edges(vertices: DataFrame, key: str = "area_code") -> DataFrame:
 
 def polygon_area(vertices: DataFrame, key: str = "area_code", out_col: str = "area") -> DataFrame:
     """Area per key = Σ |outer rings| − Σ |holes| (shoelace; projected units²)."""
-    sa = ring_signed_areas(edges(vertices, key), key)
-    signed = F.when(F.col("ring") == 0, F.abs("signed_area")).otherwise(-F.abs("signed_area"))
-    return sa.groupBy(key).agg(F.sum(signed).alias(out_col))
+    return _areas(ring_signed_areas(edges(vertices, key), key), key).withColumnRenamed("area", out_col)
 
 
 def bounds(vertices: DataFrame, key: str = "area_code") -> DataFrame:
@@ -161,8 +167,12 @@ def overlap_area(src: DataFrame, dst: DataFrame, key: str = "area_code", cell: f
     # (shared checkpoint folder) and broadcast behind the row bound, so the edge
     # tables are not shuffled to meet them.
     pairs = bounded_broadcast(reliable_checkpoint(pairs))
-    ea = oriented_edges(src).where(F.col("x1") != F.col("x2"))
-    eb = oriented_edges(dst).where(F.col("x1") != F.col("x2"))
+    # Edges and ring areas are derived once per layer and feed both the winding fix
+    # and the polygon areas.
+    e_s, e_d = edges(src), edges(dst)
+    r_s, r_d = ring_signed_areas(e_s), ring_signed_areas(e_d)
+    ea = _orient(e_s, r_s, "area_code").where(F.col("x1") != F.col("x2"))
+    eb = _orient(e_d, r_d, "area_code").where(F.col("x1") != F.col("x2"))
     pa = ea.join(pairs, ea.area_code == pairs.src).drop("area_code")
     pb = eb.join(pairs.select("src", "dst", "base", "lo", "hi", "slab_w"), eb.area_code == pairs.dst) \
         .drop("area_code")
@@ -209,8 +219,8 @@ def overlap_area(src: DataFrame, dst: DataFrame, key: str = "area_code", cell: f
     cross = F.col("w") * (tt * (F.least("aL", "bL") + m) / 2.0 + (1 - tt) * (m + F.least("aR", "bR")) / 2.0)
     integral = F.when(dL * dR >= 0, no_cross).otherwise(cross)
     inter = t.groupBy("src", "dst").agg(F.sum(F.col("ss") * integral).alias("overlap_area"))
-    sizes = polygon_area(src).select(F.col("area_code").alias("src"), F.col("area").alias("_sa"))
-    dsizes = polygon_area(dst).select(F.col("area_code").alias("dst"), F.col("area").alias("_da"))
+    sizes = _areas(r_s).select(F.col("area_code").alias("src"), F.col("area").alias("_sa"))
+    dsizes = _areas(r_d).select(F.col("area_code").alias("dst"), F.col("area").alias("_da"))
     out = inter.join(sizes, "src").join(dsizes, "dst")
     keep = F.col("overlap_area") > F.lit(rel_eps) * F.least("_sa", "_da")
     return out.where(keep).select(F.col("src").alias("source_code"), F.col("dst").alias("target_code"),
