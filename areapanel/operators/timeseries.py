@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import months_elapsed
+from ..session import reliable_checkpoint
 from .checks import require_columns
 from .columns import q
 
@@ -118,13 +119,16 @@ def interpolate_linear(df: DataFrame, key: str | Sequence[str] | None, order: st
     """positional linear fill per key: leading NULLs stay, inner NULLs lie on
     the line between the neighbouring values, trailing NULLs hold the last value.
 
-    With ``key=None`` the whole frame is one series (single partition; only for
-    small frames).
+    With ``key=None`` the whole frame is one series, as the reference fills it
+    (X9); that path is a distributed scan (``_interpolate_series``), not a
+    single-partition window.
     """
     cols = _as_list(cols)
     keys = _as_list(key) if key is not None else []
     require_columns(df, [*keys, order, *cols])
-    w = Window.partitionBy(*[q(k) for k in keys]).orderBy(q(order)) if keys else Window.orderBy(q(order))
+    if not keys:
+        return _interpolate_series(df, order, cols)
+    w = Window.partitionBy(*[q(k) for k in keys]).orderBy(q(order))
     before = w.rowsBetween(Window.unboundedPreceding, 0)
     after = w.rowsBetween(0, Window.unboundedFollowing)
     pos = F.row_number().over(w)
@@ -141,6 +145,65 @@ def interpolate_linear(df: DataFrame, key: str | Sequence[str] | None, order: st
     return staged.withColumns(fills).drop("_pos")
 
 
+def _interpolate_series(df: DataFrame, order: str, cols: list[str]) -> DataFrame:
+    """F3 over one series spread across many tasks.
+
+    The frame is range-partitioned on ``order``, so every task holds one
+    contiguous stretch of the series. Within a stretch, positions and the
+    neighbouring non-null values come from windows partitioned by the stretch.
+    A summary of one row per stretch (row count, first and last non-null value
+    and position) gives each stretch its position offset and the non-null values
+    just outside it; that table is bounded by the number of partitions, so it is
+    broadcast. Local positions are checkpointed once, so the summary and the
+    fill see the same numbering of rows tied on ``order`` (shuffle fetch order
+    is not fixed) and a lost executor recomputes from the written stretches.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    staged = df.repartitionByRange(n, q(order)).withColumn("_part", F.spark_partition_id())
+    w = Window.partitionBy("_part").orderBy(q(order))
+    staged = reliable_checkpoint(staged.withColumn("_i", F.row_number().over(w)))
+    # Later windows order by the position itself, so rows tied on ``order`` keep it.
+    wi = Window.partitionBy("_part").orderBy("_i")
+    before = wi.rowsBetween(Window.unboundedPreceding, 0)
+    after = wi.rowsBetween(0, Window.unboundedFollowing)
+    vals = {c: q(c).cast("double") for c in cols}
+
+    # One row per stretch: size, and per column the first/last non-null (local position, value).
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for k, (c, v) in enumerate(vals.items()):
+        at = F.when(v.isNotNull(), F.col("_i"))
+        aggs += [F.min(at).alias(f"_fi{k}"), F.min_by(v, at).alias(f"_fv{k}"),
+                 F.max(at).alias(f"_li{k}"), F.max_by(v, at).alias(f"_lv{k}")]
+    summary = staged.groupBy("_part").agg(*aggs)
+    sw = Window.orderBy("_part")
+    prior = sw.rowsBetween(Window.unboundedPreceding, -1)
+    later = sw.rowsBetween(1, Window.unboundedFollowing)
+    off = F.coalesce(F.sum("_n").over(prior), F.lit(0))
+    summary = summary.withColumn("_off", off)
+    edges = [F.col("_part"), F.col("_off")]
+    for k in range(len(cols)):
+        # Non-null neighbours outside the stretch, with global positions.
+        edges += [F.last(F.col(f"_li{k}") + F.col("_off"), ignorenulls=True).over(prior).alias(f"_pi{k}"),
+                  F.last(f"_lv{k}", ignorenulls=True).over(prior).alias(f"_pv{k}"),
+                  F.first(F.col(f"_fi{k}") + F.col("_off"), ignorenulls=True).over(later).alias(f"_ni{k}"),
+                  F.first(f"_fv{k}", ignorenulls=True).over(later).alias(f"_nv{k}")]
+    # At most spark.sql.shuffle.partitions rows: a proven broadcast bound.
+    edge_table = F.broadcast(summary.select(*edges))
+
+    joined = staged.join(edge_table, "_part").withColumn("_pos", F.col("_i") + F.col("_off"))
+    fills = {}
+    for k, (c, v) in enumerate(vals.items()):
+        at = F.when(v.isNotNull(), F.col("_pos"))
+        y0 = F.coalesce(F.last(v, ignorenulls=True).over(before), F.col(f"_pv{k}"))
+        i0 = F.coalesce(F.last(at, ignorenulls=True).over(before), F.col(f"_pi{k}"))
+        y1 = F.coalesce(F.first(v, ignorenulls=True).over(after), F.col(f"_nv{k}"))
+        i1 = F.coalesce(F.first(at, ignorenulls=True).over(after), F.col(f"_ni{k}"))
+        line = y0 + F.try_divide(y1 - y0, (i1 - i0).cast("double")) * (F.col("_pos") - i0)
+        fills[c] = F.coalesce(line, y0)
+    return joined.withColumns(fills).select(*[q(c) for c in df.columns])
+
+
 def resample_monthly(df: DataFrame, key: str, date_col: str, value_col: str) -> DataFrame:
     """Mean per (key, month), then every month between a key's first and last
     month filled on the straight line (within the key, X9).

@@ -100,6 +100,39 @@ def test_interpolate_stays_within_group(spark):
     assert out[("b", 0)] is None
 
 
+def _fill_by_position(vals):
+    out = []
+    for i, v in enumerate(vals):
+        prev = [j for j in range(i) if vals[j] is not None]
+        nxt = [j for j in range(i + 1, len(vals)) if vals[j] is not None]
+        if v is not None or not prev:
+            out.append(v)
+        elif not nxt:
+            out.append(vals[prev[-1]])
+        else:
+            i0, i1 = prev[-1], nxt[0]
+            out.append(vals[i0] + (vals[i1] - vals[i0]) / (i1 - i0) * (i - i0))
+    return out
+
+
+def test_interpolate_whole_frame_across_partitions(spark):
+    """key=None (the reference's whole-frame fill) is a distributed scan: runs of
+    nulls crossing range-partition boundaries are filled as one series."""
+    import random
+    rng = random.Random(7)
+    for n, p_null in [(1, 0.5), (37, 0.8), (250, 0.95), (250, 0.3)]:
+        a = [None if rng.random() < p_null else float(rng.randint(0, 99)) for _ in range(n)]
+        b = [None if rng.random() < 0.5 else float(rng.randint(0, 99)) for _ in range(n)]
+        rows = [(3 * i, a[i], b[i]) for i in range(n)]
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "t int, a double, b double").repartition(5)
+        out = TS.interpolate_linear(df, None, "t", ["a", "b"]).orderBy("t").collect()
+        assert len(out) == n
+        for got, want in [([r.a for r in out], _fill_by_position(a)), ([r.b for r in out], _fill_by_position(b))]:
+            assert all((g is None and w is None) or (g is not None and w is not None and abs(g - w) < 1e-9)
+                       for g, w in zip(got, want))
+
+
 def test_densify_linear_12_and_133(spark):
     df = spark.createDataFrame([("w", d(2011, 1), 1.0), ("w", d(2011, 12), 12.0)], "k string, date date, v double")
     out = TS.densify_linear(df, "k", "date", "v").orderBy("date").collect()
