@@ -162,37 +162,55 @@ def first_k_keys(df: DataFrame, key: str, k: int) -> DataFrame:
     return df.join(F.broadcast(top), on=key, how="left_semi")
 
 
-def ordered_split(df: DataFrame, order: Sequence[str] = ("area_code", "date"), test_fraction: float = 0.1,
-                  max_groups: int = 5_000_000) -> tuple[DataFrame, DataFrame]:
+def range_stretches(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Range-partition ``df`` on ``order`` and number rows within each partition.
+
+    Adds ``_part`` (the partition, i.e. one contiguous stretch of the order) and
+    ``_i`` (1-based position inside it). Equal order values never straddle two
+    stretches, and a key holding a third of all rows spreads over many stretches
+    when later order columns vary. The result is checkpointed to the session's
+    checkpoint folder, so every later branch sees the same numbering of tied rows
+    (shuffle fetch order is not fixed) and a lost executor recomputes from it.
+    """
+    from pyspark.sql import Window
+    from ..session import reliable_checkpoint
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    staged = df.repartitionByRange(n, *[q(c) for c in order]).withColumn("_part", F.spark_partition_id())
+    w = Window.partitionBy("_part").orderBy(*[q(c) for c in order])
+    return reliable_checkpoint(staged.withColumn("_i", F.row_number().over(w)))
+
+
+def stretch_offsets(stretches: DataFrame) -> DataFrame:
+    """``(_part, _n, _off)``: rows per stretch and rows in all earlier stretches.
+    One row per partition, so it is small whatever the data size."""
+    from pyspark.sql import Window
+    counts = stretches.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    prior = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("_off", F.coalesce(F.sum("_n").over(prior), F.lit(0)))
+
+
+def ordered_split(df: DataFrame, order: Sequence[str] = ("area_code", "date"), test_fraction: float = 0.1
+                  ) -> tuple[DataFrame, DataFrame]:
     """L4: unshuffled split: the last ``ceil(test_fraction * n)`` rows in ``order`` are test.
 
-    Rows per first-order key are counted (one row per key: bounded by the number
-    of areas, not by data), prefix offsets are computed on that small table, and a
-    row number within each key plus its offset gives the global position.
+    Global positions come from a distributed scan: rows are numbered inside
+    range-partitioned stretches of ``order`` and shifted by the row count of the
+    earlier stretches (a table of one row per partition, broadcast). No task
+    holds a whole area and nothing per area reaches the driver; the driver sees
+    only the total row count.
     """
     order = list(order)
     require_columns(df, order)
-    group = order[0]
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.orderBy(group).limit(max_groups + 1).collect()
-    if len(rows) > max_groups:
-        raise ValueError(f"ordered_split: more than {max_groups} groups in {group!r}")
-    total = sum(r["n"] for r in rows)
-    n_test = math.ceil(test_fraction * total)
-    start_test = total - n_test
-    offsets, acc = [], 0
-    for r in rows:
-        offsets.append((r[group], acc))
-        acc += r["n"]
-    spark = df.sparkSession
-    key_type = dict(df.dtypes)[group]
-    off_df = spark.createDataFrame(offsets, f"{group} {key_type}, _offset bigint")
-    from pyspark.sql import Window
-    w = Window.partitionBy(group).orderBy(*order[1:]) if len(order) > 1 else Window.partitionBy(group).orderBy(group)
-    pos = df.join(bounded_broadcast(off_df), on=group, how="left") \
-        .withColumn("_pos", F.col("_offset") + F.row_number().over(w) - 1)
-    train = pos.where(F.col("_pos") < start_test).drop("_offset", "_pos")
-    test = pos.where(F.col("_pos") >= start_test).drop("_offset", "_pos")
+    stretches = range_stretches(df, order)
+    offsets = stretch_offsets(stretches)
+    total = offsets.agg(F.sum("_n")).first()[0] or 0
+    start_test = total - math.ceil(test_fraction * total)
+    # At most spark.sql.shuffle.partitions rows: a proven broadcast bound.
+    pos = stretches.join(F.broadcast(offsets.select("_part", "_off")), "_part") \
+        .withColumn("_pos", F.col("_off") + F.col("_i") - 1)
+    keep = [q(c) for c in df.columns]
+    train = pos.where(F.col("_pos") < start_test).select(*keep)
+    test = pos.where(F.col("_pos") >= start_test).select(*keep)
     return train, test
 
 

@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import months_elapsed
-from ..session import reliable_checkpoint
 from .checks import require_columns
 from .columns import q
+from .relational import range_stretches
 
 
 def _as_list(cols: str | Iterable[str]) -> list[str]:
@@ -154,15 +154,10 @@ def _interpolate_series(df: DataFrame, order: str, cols: list[str]) -> DataFrame
     A summary of one row per stretch (row count, first and last non-null value
     and position) gives each stretch its position offset and the non-null values
     just outside it; that table is bounded by the number of partitions, so it is
-    broadcast. Local positions are checkpointed once, so the summary and the
-    fill see the same numbering of rows tied on ``order`` (shuffle fetch order
-    is not fixed) and a lost executor recomputes from the written stretches.
+    broadcast. The stretches are checkpointed (``range_stretches``), so the
+    summary and the fill see the same numbering of rows tied on ``order``.
     """
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = df.repartitionByRange(n, q(order)).withColumn("_part", F.spark_partition_id())
-    w = Window.partitionBy("_part").orderBy(q(order))
-    staged = reliable_checkpoint(staged.withColumn("_i", F.row_number().over(w)))
+    staged = range_stretches(df, [order])
     # Later windows order by the position itself, so rows tied on ``order`` keep it.
     wi = Window.partitionBy("_part").orderBy("_i")
     before = wi.rowsBetween(Window.unboundedPreceding, 0)

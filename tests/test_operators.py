@@ -207,6 +207,22 @@ def test_ordered_split_matches_position_rule(spark):
     assert train.count() == 18
 
 
+def test_ordered_split_hot_area_spread_over_partitions(spark):
+    """One area holds most rows; positions still follow (area, date) exactly."""
+    import random
+    rng = random.Random(11)
+    rows = [("hot", d(2000 + m // 12, m % 12 + 1), m) for m in range(240)]
+    rows += [(k, d(2020, m), 0) for k in ("a", "z") for m in range(1, 13)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, date date, v int").repartition(6)
+    train, test = R.ordered_split(df, ["k", "date"], 0.25)
+    ordered = sorted((r[0], r[1]) for r in rows)
+    n_test = -(-len(rows) // 4)
+    assert sorted((r.k, r.date) for r in test.collect()) == ordered[-n_test:]
+    assert sorted((r.k, r.date) for r in train.collect()) == ordered[:-n_test]
+    assert train.columns == df.columns
+
+
 def test_checks(spark):
     df = spark.createDataFrame([("a", d(2020, 1), None), ("a", d(2020, 3), 1.0)], "k string, date date, v double")
     assert C.check_nulls(df, ["k", "v"]).collect()[0].column == "v"
