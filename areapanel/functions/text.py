@@ -95,6 +95,7 @@ def ascii_fold(c: Column) -> Column:
     decomposes and reorders combining marks, which are non-ASCII and dropped.
     """
     one_from, one_to, multi, _ = _nfkd_ascii_tables()
+    assert all(ord(ch) > 0x7F for ch in one_from + "".join(multi))
     single = F.translate(c, one_from, one_to)
     # The per-character map is needed only for ligatures, fractions and similar
     # forms; most rows never take this branch. The gate is a hash-based delete
@@ -111,7 +112,10 @@ def ascii_fold(c: Column) -> Column:
             "",
         ),
     ).otherwise(single)
-    return F.regexp_replace(expanded, _NON_ASCII_RE, "")
+    folded = F.regexp_replace(expanded, _NON_ASCII_RE, "")
+    # NFKD leaves ASCII unchanged, so pure-ASCII text (one byte per character, a
+    # byte count against the O(1) byte length) skips the tables and the regex.
+    return F.when(F.length(c) == F.octet_length(c), c).otherwise(folded)
 
 
 def normalise_name(c: Column | str) -> Column:
