@@ -21,6 +21,7 @@ from ..operators import checks as C
 from ..operators import columns as B
 from ..operators import relational as R
 from ..operators import timeseries as TS
+from ..session import spread_scan
 from . import standins as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -280,7 +281,7 @@ def q_to_month_date(spark, sf):
 
 @register
 def q_normalise_name(spark, sf):
-    d = S.table(spark, sf, "documents").select("doc_id", "text")
+    d = spread_scan(S.table(spark, sf, "documents").select("doc_id", "text"))
     return d.select("doc_id", normalise_name_expr("text").alias("name_key"))
 
 
