@@ -186,9 +186,10 @@ def q_join_panel(spark, sf):
     return R.join_panels([S.panel(spark, sf), S.supply_panel(spark, sf)], names=S.names(spark, sf))
 
 
-def trend_panel(spark, sf) -> DataFrame:
+def trend_panel(spark, sf, panel_df: DataFrame | None = None) -> DataFrame:
     """Census-style panel: value at each area's first and last month, densified."""
-    out = TS.densify_linear(S.anchors(S.panel(spark, sf), "value"), "area_code", "date", "value")
+    panel_df = S.panel(spark, sf) if panel_df is None else panel_df
+    out = TS.densify_linear(S.anchors(panel_df, "value"), "area_code", "date", "value")
     return out.select("area_code", "date", _r(F.col("value")).alias("value_trend"))
 
 

@@ -9,14 +9,16 @@ from ..operators import features as M
 from ..operators import models as ML
 from ..operators import relational as R
 from ..operators import timeseries as TS
+from ..session import reliable_checkpoint
 from . import standins as S
 from .catalog import _r, register
 from .catalog_io import trend_panel
 
 
-def density_panel(spark, sf) -> DataFrame:
+def density_panel(spark, sf, panel_df: DataFrame | None = None) -> DataFrame:
     """Orders per km² of a nation's stand-in area (population density stand-in)."""
-    pop = S.panel(spark, sf).select("area_code", "date", F.col("count").alias("population"))
+    panel_df = S.panel(spark, sf) if panel_df is None else panel_df
+    pop = panel_df.select("area_code", "date", F.col("count").alias("population"))
     area = S.table(spark, sf, "nation").select(S.area_code("n_nationkey").alias("area_code"),
                                                ((F.col("n_regionkey") + 1) * 1.5).alias("area"))
     return R.ratio_join_density(pop, area, "area_code", "population", "area")
@@ -40,8 +42,16 @@ def q_prediction_features(spark, sf):
                             M.ROLLING_NAME: _r(F.col(M.ROLLING_NAME)), M.DENSITY_LOG: _r(F.col(M.DENSITY_LOG))})
 
 
-def training_frame(spark, sf):
-    panels = [S.panel(spark, sf), S.supply_panel(spark, sf), trend_panel(spark, sf), density_panel(spark, sf)]
+def model_panels(spark, sf) -> list[DataFrame]:
+    """The four panels the model reads. The order panel feeds three of them, so its
+    aggregate over the raw orders runs once and is checkpointed (it is small:
+    areas × months), instead of rescanning the orders table per branch."""
+    p = reliable_checkpoint(S.panel(spark, sf))
+    return [p, S.supply_panel(spark, sf), trend_panel(spark, sf, p), density_panel(spark, sf, p)]
+
+
+def training_frame(spark, sf, panels: list[DataFrame] | None = None):
+    panels = model_panels(spark, sf) if panels is None else panels
     return M.training_features(panels, "area_code", "date", "count", "population_density", names=S.names(spark, sf))
 
 
@@ -88,9 +98,9 @@ def q_rf_fit_predict(spark, sf):
 
 @register
 def q_score_next_month(spark, sf):
-    feats, cols = training_frame(spark, sf)
+    panels = model_panels(spark, sf)
+    feats, cols = training_frame(spark, sf, panels)
     model = ML.fit(ML.forest_pipeline(cols), feats)
-    panels = [S.panel(spark, sf), S.supply_panel(spark, sf), trend_panel(spark, sf), density_panel(spark, sf)]
     hist = R.join_panels(panels)
     pred_rows = M.prediction_features(hist, "area_code", "date", "count", "population_density")
     return ML.score(model, pred_rows)
