@@ -6,6 +6,8 @@ in settings that are still unset, so cluster-level values always win.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -53,8 +55,9 @@ def get_session(master: str | None = None, app_name: str = "areapanel",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private folder
-    is created and registered, so ``DataFrame.checkpoint()`` always has a target.
+    Read from the session. Only on a local master, where every task sees the
+    driver's disk, is a private folder made when the setting is absent; on a
+    cluster that would be a folder the executors cannot share, so it raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,7 +65,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not is_local_master(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="areapanel-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -85,23 +91,42 @@ def spread_scan(df):
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder.
+    """A fresh, unique path below the shared checkpoint folder, removed when the
+    application ends.
 
     Used for intermediate tables that cut lineage or that a step renders and
     reads back; never a machine-local folder.
     """
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/areapanel-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/areapanel-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    target, fs = _hadoop_path(spark, path)
+    fs.deleteOnExit(target)
+    return path
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (used only when Python itself must read a path)."""
-    return path[len("file:"):] if path.startswith("file:") else path
+def write_scratch(df, name: str):
+    """``df`` written as Parquet to a fresh scratch path and read back: cuts the
+    lineage like a checkpoint, but columnar and compressed."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(*frames) -> None:
+    """Delete the files behind frames from ``write_scratch`` that nothing reads any more."""
+    for df in frames:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            target, fs = _hadoop_path(df.sparkSession, folder)
+            fs.delete(target, True)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def is_local_master(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
-__all__ = ["get_session", "checkpoint_dir", "reliable_checkpoint", "scratch_path", "local_path", "is_local_master",
-           "DEFAULT_CONF"]
+__all__ = ["get_session", "checkpoint_dir", "reliable_checkpoint", "scratch_path", "write_scratch", "drop_scratch",
+           "is_local_master", "DEFAULT_CONF"]
