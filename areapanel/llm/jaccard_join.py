@@ -11,8 +11,9 @@ regions whose window of width ``r`` (or ``2 r`` between two nearest pivots) it l
    decides how full regions get; it is taken from a sample of documents.
 2. Document pivots split regions that are still large. Exact distances to a few member documents give each member a
    nearest pivot (Voronoi region) and copy it to every other region with ``d(x, p) <= d(x, nearest) + 2 r``. Links to
-   the pivots join members at once, and a region whose members are all joined is done. What is left is split again with
-   new pivots; after ``DEPTH`` rounds the rest is compared pair by pair, cut by the windows of all pivots met so far.
+   the pivots join members at once, and a region whose members are all joined is done. A part that is still large is
+   split again with new pivots. Where the pairs not joined yet are few, or where the windows would copy a region almost
+   whole (all members equally far from all pivots), those pairs are compared, cut by the windows of all its pivots.
 
 Small regions are joined exactly. Candidates are checked against size, position and a folded bitmap (none can refute a
 true link), and the survivors by the exact size of the intersection. Documents with equal sets are one class and are
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from areapanel.llm.components import connected_components
@@ -37,8 +38,8 @@ from areapanel.session import drop_scratch, write_scratch
 ORDER_SAMPLE, COMMON = 20_000, 4
 #: Most shingles told apart as common in the order (8 bytes each are sent to the tasks).
 ORDER_SIZE = 500_000
-#: Members up to which a region is joined directly; pivots for a larger one; rounds of pivots.
-LEAF, PIVOTS, DEPTH = 64, 16, 3
+#: Members up to which a region is joined directly; pivots for a larger one.
+LEAF, PIVOTS = 64, 16
 
 
 def _order(docs: DataFrame, key: str, text: str, width: int) -> np.ndarray:
@@ -203,12 +204,12 @@ class _Join:
         open_ = named.groupBy("region").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y")
         return self.write(named.join(open_.select("region"), "region"), "regions")
 
-    def split(self, regions: DataFrame, level: int) -> DataFrame:
-        """One round of document pivots on regions (region, cid, n): links members to pivots, then copies what is
-        left in regions that are still open to the nearest pivot's region and to those whose window it lies in.
-        Returns rows (region, cid, n, root, home)."""
+    def pivots(self, regions: DataFrame, level: int) -> DataFrame:
+        """One round of document pivots on regions (region, cid, n): measures each member's distance to the region's
+        pivots, links what is near, and returns the members (region, cid, n, root, near, k, cross) of regions that are
+        still open: ``near`` has (pivot, distance) for each pivot, ``cross`` counts the pairs that are not joined."""
         drawn = F.xxhash64(F.lit(level), "cid")
-        few = regions.groupBy("region", F.pmod(drawn, F.lit(64)).alias("salt")).agg(
+        few = regions.groupBy("region", F.pmod(drawn, F.lit(4 * PIVOTS)).alias("salt")).agg(
             F.min(F.struct(drawn.alias("h"), F.col("cid").alias("p"))).alias("m"))
         pivots = few.groupBy("region").agg(
             F.slice(F.transform(F.array_sort(F.collect_list("m")), lambda m: m["p"]), 1, PIVOTS).alias("pivots"))
@@ -219,22 +220,44 @@ class _Join:
         self.link(distances)
         left = self.still_open(held.where(~F.array_contains("pivots", F.col("cid"))))
         near = distances.select(F.col("a").alias("p"), F.col("b").alias("cid"),
-                                (1.0 - F.col("common") / F.col("total")).alias("d"))
+                                (1.0 - F.col("common") / F.col("total")).alias("d")).distinct()
         seen = left.select("region", "cid", "n", "root", F.explode("pivots").alias("p")).join(near, ["p", "cid"])
-        mine = Window.partitionBy("region", "cid")  # a row for each pivot of the region
-        seen = seen.withColumn("nearest", F.min(F.struct("d", "p")).over(mine))
+        members = seen.groupBy("region", "cid", "n", "root").agg(
+            F.array_sort(F.collect_list(F.struct("p", "d"))).alias("near"))
+        counts = left.groupBy("region", "root").agg(F.count("*").alias("c")).groupBy("region").agg(
+            F.sum("c").alias("k"), F.sum(F.col("c") * F.col("c")).alias("joined"))
+        cross = ((F.col("k") * F.col("k") - F.col("joined")) / 2).alias("cross")
+        return self.write(members.join(counts.select("region", "k", cross), "region"), "members")
+
+    def voronoi(self, members: DataFrame) -> DataFrame:
+        """Members copied to their nearest pivot's region (home) and to those whose window they lie in; ``shrunk`` says
+        that the parts of a region hold at most half of its pairs."""
         window = 2 * (100 - self.percent) / 100 + 1e-9
-        return seen.where(F.col("d") <= F.col("nearest.d") + window).select(
-            F.xxhash64("region", "p").alias("region"), "cid", "n", "root", (F.col("p") == F.col("nearest.p")).alias("home"))
+        least = F.array_min(F.transform("near", lambda x: F.struct(x["d"], x["p"])))
+        parts = members.withColumn("least", least).select("*", F.explode("near").alias("to")).where(
+            F.col("to.d") <= F.col("least.d") + window).select(
+            F.col("region").alias("parent"), F.xxhash64("region", "to.p").alias("region"), "cid", "n", "root", "near",
+            F.col("k").alias("whole"), (F.col("to.p") == F.col("least.p")).alias("home"))
+        sizes = parts.groupBy("parent", "region", "whole").agg(F.count("*").alias("k"))
+        halves = sizes.groupBy("parent").agg(
+            (F.sum(F.col("k") * F.col("k")) * 2 <= F.max(F.col("whole") * F.col("whole"))).alias("shrunk"))
+        return self.write(parts.join(sizes.select("region", "k"), "region").join(halves, "parent"), "parts")
 
     def pairs(self, regions: DataFrame) -> DataFrame:
-        """Pairs of a region's members that are not joined yet, at least one of them at home there, sizes near enough."""
+        """Pairs of a region's members that are not joined yet, at least one of them at home there, whose sizes and
+        whose distances to every pivot are within the radius."""
         a, b = regions.alias("a"), regions.alias("b")
+        radius = (100 - self.percent) / 100 + 1e-9
         sizes = F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * self.percent
+        windows = F.forall(F.arrays_zip(F.col("a.near").alias("x"), F.col("b.near").alias("y")),
+                           lambda z: F.abs(z["x"]["d"] - z["y"]["d"]) <= radius)
         return a.join(b, (F.col("a.region") == F.col("b.region")) & (F.col("a.cid") < F.col("b.cid")) & sizes
-                      & (F.col("a.root") != F.col("b.root")) & (F.col("a.home") | F.col("b.home"))).select(
+                      & (F.col("a.root") != F.col("b.root")) & (F.col("a.home") | F.col("b.home")) & windows).select(
             F.col("a.cid").alias("a"), F.col("b.cid").alias("b")).distinct()
 
+    def compare(self, regions: DataFrame) -> None:
+        self.link(self.measured(self.write(self.unrefuted(self.pairs(regions)), "pairs")))
+
     def run(self, docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
         """Rows (node, root) of the classes that link with any other."""
         members = self.members()
@@ -251,15 +274,18 @@ class _Join:
         self.gather(pairs.select(F.explode(F.array("a", "b")).alias("cid")).unionByName(regions.select("cid")),
                     docs, key, text, width)
         self.link(self.measured(pairs))
-        for level in range(DEPTH):
-            if regions.isEmpty():
-                break
-            parts = self.write(self.split(regions, level), "parts")
-            full = parts.groupBy("region").agg(F.count("*").alias("k"))
-            sized = self.write(parts.join(full, "region"), "parts")
-            leaves = sized.where(F.col("k") <= LEAF) if level < DEPTH - 1 else sized
-            self.link(self.measured(self.write(self.unrefuted(self.pairs(leaves)), "pairs")))
-            regions = self.write(sized.where(F.col("k") > LEAF).select("region", "cid", "n"), "regions")
+        level = 0
+        while not regions.isEmpty():
+            members = self.pivots(regions, level)
+            few = F.col("cross") <= F.col("k") * LEAF
+            self.compare(members.where(few).withColumn("home", F.lit(True)))
+            parts = self.voronoi(members.where(~few))
+            self.compare(parts.where(F.col("shrunk") & (F.col("k") <= LEAF)))
+            self.compare(members.join(parts.where(~F.col("shrunk")).select(F.col("parent").alias("region")).distinct(),
+                                      "region", "left_semi").withColumn("home", F.lit(True)))
+            regions = self.write(parts.where(F.col("shrunk") & (F.col("k") > LEAF)).select("region", "cid", "n"),
+                                 "regions")
+            level += 1
         return self.roots()
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -43,3 +44,35 @@ reach AS (SELECT doc_id, doc_id AS to_id FROM documents
 least AS (SELECT doc_id, min(to_id) AS component_id FROM reach GROUP BY doc_id)
 SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, component_id FROM sets JOIN least USING (doc_id)
 """
+
+
+@query
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from areapanel.llm.sharding import shard_documents
+
+    return shard_documents(table(spark, sf_dir, "documents"), shards=40)
+
+
+@query
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from areapanel.llm.exact_dedup import exact_groups
+
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
+SQL["op9_exact_dedup"] = r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS s FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id = min(doc_id) OVER w AS kept, sha256(s) AS text_sha256
+FROM t WINDOW w AS (PARTITION BY s)
+"""
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from areapanel.llm.language_id import held_out, identify, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
+    found = identify(docs, model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
