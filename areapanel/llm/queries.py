@@ -76,3 +76,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
     found = identify(docs, model)
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from areapanel.llm.toxicity import score_toxicity, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
