@@ -84,3 +84,20 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return score_toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from areapanel.llm.html_content import extract_text, learn_weights
+
+    pages = table(spark, sf_dir, "pages")
+    return extract_text(pages, learn_weights(pages))
+
+
+@query
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from areapanel.llm.fingerprints import fingerprint_documents
+
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+

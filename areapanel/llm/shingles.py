@@ -45,12 +45,12 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _block_shingles(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
+def _block_words(texts: list[bytes]) -> tuple[np.ndarray, list[int], list[int]]:
+    """Hashes of the words of all texts in order, and where each text's words begin and end."""
     lengths = np.fromiter((len(t) for t in texts), np.int64, len(texts))
     data = np.frombuffer(b"".join(texts), np.uint8)
     if not len(data):
-        yield from (np.zeros(0, np.uint64) for _ in texts)
-        return
+        return np.zeros(0, np.uint64), [0] * len(texts), [0] * len(texts)
     low = _LOWER[data]
     word = ~_SPACE[data]
     ends_doc = np.cumsum(lengths)
@@ -66,14 +66,17 @@ def _block_shingles(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((low.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
     hashes = mix((sums[stop] - sums[start]) * inverse[start] + (stop - start).astype(np.uint64))
+    return hashes, np.searchsorted(start, starts_doc).tolist(), np.searchsorted(start, ends_doc).tolist()
+
+
+def _block_shingles(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
+    hashes, first, last = _block_words(texts)
     rolled = hashes.copy()
     for k in range(1, width):
         ahead = np.zeros_like(hashes)
         ahead[: max(0, len(hashes) - k)] = hashes[k:]
         rolled = mix(rolled * np.uint64(_BASE) + ahead)
-    first = np.searchsorted(start, starts_doc)
-    last = np.searchsorted(start, ends_doc)
-    for a, b in zip(first.tolist(), last.tolist(), strict=True):
+    for a, b in zip(first, last, strict=True):
         if b - a >= width:
             yield np.unique(rolled[a : b - width + 1])
         elif b > a:
@@ -85,17 +88,32 @@ def _block_shingles(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
-def shingle_sets(texts: list[bytes | None], width: int) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes (uint64) of each text, in order; a null text counts as empty."""
+def text_blocks(texts: list[bytes | None]) -> Iterator[list[bytes]]:
+    """Consecutive texts, about ``BLOCK`` bytes at a time; a null text counts as empty."""
     block: list[bytes] = []
     size = 0
+    for t in texts:
+        t = t or b""
+        if block and size + len(t) > BLOCK:
+            yield block
+            block, size = [], 0
+        block.append(t)
+        size += len(t)
+    if block:
+        yield block
+
+
+def shingle_sets(texts: list[bytes | None], width: int) -> Iterator[np.ndarray]:
+    """The sorted distinct shingle hashes (uint64) of each text, in order."""
     with np.errstate(over="ignore"):
-        for t in texts:
-            t = t or b""
-            if block and size + len(t) > BLOCK:
-                yield from _block_shingles(block, width)
-                block, size = [], 0
-            block.append(t)
-            size += len(t)
-        if block:
+        for block in text_blocks(texts):
             yield from _block_shingles(block, width)
+
+
+def word_counts(texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct word hashes of each text and how often each occurs."""
+    with np.errstate(over="ignore"):
+        for block in text_blocks(texts):
+            hashes, first, last = _block_words(block)
+            for a, b in zip(first, last, strict=True):
+                yield np.unique(hashes[a:b], return_counts=True)
