@@ -1,6 +1,6 @@
 """Document fingerprints by consistent weighted sampling.
 
-A text is its lower-cased words, each weighted by how often it occurs. For every sample and word, two Gamma(2, 1) draws
+A text is its lower-cased words (white space and ASCII punctuation part them), each weighted by how often it occurs. For every sample and word, two Gamma(2, 1) draws
 and one uniform draw, all functions of the word alone, turn the weight into a level and a rank; the sample is the word and
 level of the smallest rank. Two texts agree in a sample with a probability equal to their generalised Jaccard similarity,
 the sum of the smaller weights over the sum of the larger ones.
@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from areapanel.llm.shingles import mix, word_counts
 
-#: Samples of a fingerprint (4 hex digits each), and weighted words whose draws a task remembers.
-SAMPLES, REMEMBERED = 128, 60_000
+#: Samples of a fingerprint (4 hex digits each), slots for weighted words whose draws a task remembers, and words of a
+#: text drawn at once.
+SAMPLES, REMEMBERED, AT_ONCE = 64, 1 << 17, 4096
 #: Ranges of the key order for each shuffle partition.
 RANGES = 4
 
@@ -29,68 +30,53 @@ class Sampler:
 
     def __init__(self, samples: int = SAMPLES):
         self.samples = samples
-        self.rows: dict[int, int] = {}
+        self.keys = np.zeros(REMEMBERED, np.uint64)
         self.rank = np.zeros((REMEMBERED, samples), np.float32)
         self.code = np.zeros((REMEMBERED, samples), np.uint16)
-        self.steps = mix(np.arange(1, 3 * samples + 1, dtype=np.uint64)).reshape(3, samples)
+        self.steps = mix(np.arange(1, 2 * samples + 1, dtype=np.uint64)).reshape(2, samples)
 
     def draw(self, words: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ranks (logarithms) and codes of weighted words: words x samples."""
 
-        def halves(k: int) -> tuple[np.ndarray, np.ndarray]:
-            h = mix(words[:, None] ^ self.steps[k])
-            return ((h >> np.uint64(32)).astype(np.float64) + 0.5) / 2**32, (
-                (h & np.uint64(0xFFFFFFFF)).astype(np.float64) + 0.5) / 2**32
-
-        a, b = halves(0)
-        r = -np.log(a * b)
-        a, b = halves(1)
-        c = -np.log(a * b)
-        beta = halves(2)[0]
-        level = np.floor(np.log(weights)[:, None] / r + beta)
+        def uniform(h: np.ndarray, shift: int, bits: int) -> np.ndarray:
+            part = (h >> np.uint64(shift)) & np.uint64((1 << bits) - 1)
+            return (part.astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-bits)
+
+        one, two = mix(words[:, None] ^ self.steps[0]), mix(words[:, None] ^ self.steps[1])
+        r = -np.log(uniform(one, 40, 24) * uniform(one, 16, 24))  # Gamma(2, 1)
+        c = -np.log(uniform(two, 43, 21) * uniform(two, 22, 21))  # Gamma(2, 1)
+        beta = uniform(two, 0, 22)
+        level = np.floor(np.log(weights.astype(np.float32))[:, None] / r + beta)
         rank = np.log(c) - r * (level - beta + 1)
-        code = mix((words[:, None] ^ self.steps[0]) + level.astype(np.int64).view(np.uint64)) >> np.uint64(48)
-        return rank.astype(np.float32), code.astype(np.uint16)
+        code = (one & np.uint64(0xFFFF)).astype(np.uint16) + level.astype(np.int32).astype(np.uint16) * np.uint16(40503)
+        return rank, code
+
+    def recall(self, words: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``draw``; each weighted word has one slot, which holds the draws of the last word that used it."""
+        keys = mix(words + weights.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
+        slots = (keys >> np.uint64(64 - (REMEMBERED - 1).bit_length())).astype(np.int64)
+        new = np.flatnonzero(self.keys[slots] != keys)
+        rank, code = self.rank[slots], self.code[slots]
+        if len(new):
+            rank[new], code[new] = self.draw(words[new], weights[new])
+            at = slots[new]
+            self.keys[at], self.rank[at], self.code[at] = keys[new], rank[new], code[new]
+        return rank, code
 
     def fingerprints(self, texts: list[bytes]) -> list[bytes]:
         """Two bytes a sample; empty for a text without words."""
-        out = []
+        out, each = [], np.arange(self.samples)
         with np.errstate(over="ignore"):
             for words, weights in word_counts(texts):
-                if not len(words):
-                    out.append(b"")
-                    continue
-                keys = mix(words + weights.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)).tolist()
-                at = [self.rows.get(k, -1) for k in keys]
-                new = [i for i, x in enumerate(at) if x < 0]
-                if len(new) + len(self.rows) > REMEMBERED:
-                    self.rows.clear()
-                    new = list(range(len(keys))) if len(keys) <= REMEMBERED else None
-                if new is None:
-                    rank, code = self._best(words, weights)
-                else:
-                    for lo in range(0, len(new), 4096):
-                        some = new[lo : lo + 4096]
-                        rows = range(len(self.rows), len(self.rows) + len(some))
-                        self.rank[rows.start : rows.stop], self.code[rows.start : rows.stop] = self.draw(
-                            words[some], weights[some])
-                        for i, row in zip(some, rows, strict=True):
-                            self.rows[keys[i]] = at[i] = row
-                    rank, code = self.rank[at], self.code[at]
-                best = rank.argmin(axis=0)
-                out.append(code[best, np.arange(self.samples)].astype("<u2").tobytes())
+                ranks, codes = [], []
+                for lo in range(0, len(words), AT_ONCE):
+                    rank, code = self.recall(words[lo : lo + AT_ONCE], weights[lo : lo + AT_ONCE])
+                    best = rank.argmin(axis=0)
+                    ranks.append(rank[best, each])
+                    codes.append(code[best, each])
+                out.append(np.array(codes)[np.argmin(ranks, axis=0), each].astype("<u2").tobytes() if ranks else b"")
         return out
 
-    def _best(self, words: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Best ranks and codes of each block of words of a text with more words than are remembered."""
-        ranks, codes = [], []
-        for lo in range(0, len(words), 4096):
-            rank, code = self.draw(words[lo : lo + 4096], weights[lo : lo + 4096])
-            best = rank.argmin(axis=0)
-            ranks.append(rank[best, np.arange(self.samples)])
-            codes.append(code[best, np.arange(self.samples)])
-        return np.array(ranks), np.array(codes)
-
 
 def likeness(a: bytes, b: bytes) -> float:
     """Share of equal samples; two empty fingerprints are alike, an empty and another are not."""

@@ -16,6 +16,10 @@ _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
+#: For bags of words: ASCII punctuation parts words as white space does.
+PUNCTUATION = _SPACE.copy()
+PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -45,14 +49,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _block_words(texts: list[bytes]) -> tuple[np.ndarray, list[int], list[int]]:
+def _block_words(texts: list[bytes], space: np.ndarray = _SPACE) -> tuple[np.ndarray, list[int], list[int]]:
     """Hashes of the words of all texts in order, and where each text's words begin and end."""
     lengths = np.fromiter((len(t) for t in texts), np.int64, len(texts))
     data = np.frombuffer(b"".join(texts), np.uint8)
     if not len(data):
         return np.zeros(0, np.uint64), [0] * len(texts), [0] * len(texts)
     low = _LOWER[data]
-    word = ~_SPACE[data]
+    word = ~space[data]
     ends_doc = np.cumsum(lengths)
     starts_doc = ends_doc - lengths
     begins, stops = word.copy(), word.copy()
@@ -111,9 +115,9 @@ def shingle_sets(texts: list[bytes | None], width: int) -> Iterator[np.ndarray]:
 
 
 def word_counts(texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Distinct word hashes of each text and how often each occurs."""
+    """Distinct hashes of each text's words (white space and ASCII punctuation part them) and how often each occurs."""
     with np.errstate(over="ignore"):
         for block in text_blocks(texts):
-            hashes, first, last = _block_words(block)
+            hashes, first, last = _block_words(block, PUNCTUATION)
             for a, b in zip(first, last, strict=True):
                 yield np.unique(hashes[a:b], return_counts=True)
