@@ -101,3 +101,10 @@ def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+
+
+@query
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from areapanel.llm.pii import find_pii
+
+    return find_pii(table(spark, sf_dir, "documents"))
