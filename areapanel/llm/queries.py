@@ -108,3 +108,23 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from areapanel.llm.pii import find_pii
 
     return find_pii(table(spark, sf_dir, "documents"))
+
+
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from areapanel.llm.bpe import encode_and_decode
+
+    return encode_and_decode(table(spark, sf_dir, "documents"), _tokenizer())
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from areapanel.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), _tokenizer())
