@@ -35,11 +35,13 @@ from areapanel.llm.shingles import shingle_sets
 from areapanel.session import drop_scratch, write_scratch
 
 #: Documents whose shingles give the order of rarity, and the number of sampled documents that makes a shingle common.
-ORDER_SAMPLE, COMMON = 20_000, 4
+ORDER_SAMPLE, COMMON = 10_000, 3
 #: Most shingles told apart as common in the order (8 bytes each are sent to the tasks).
 ORDER_SIZE = 500_000
 #: Members up to which a region is joined directly; pivots for a larger one.
 LEAF, PIVOTS = 64, 16
+#: Bits of the filter that tells rows whose sets are needed.
+FILTER_BITS = 1 << 23
 
 
 def _order(docs: DataFrame, key: str, text: str, width: int) -> np.ndarray:
@@ -153,25 +155,33 @@ class _Join:
         return self.write(rows.join(full, "region"), "members")
 
     def gather(self, cids: DataFrame, docs: DataFrame, key: str, text: str, width: int) -> None:
-        """Sets of the classes in ``cids``, from the whole text of one row of each."""
+        """Sets of the classes in ``cids``, from the whole text of one row of each.
+
+        A filter of fixed size over the hashes of the wanted keys spares most other rows the work; rows that pass by
+        chance, and other rows of a wanted key, fail the join on the signature."""
+        wanted = self.write(self.classes.join(cids.distinct(), "cid").select(
+            "cid", "signature", F.pmod(F.xxhash64("owner"), F.lit(FILTER_BITS)).alias("bit")), "wanted")
+        words = wanted.groupBy(F.shiftright("bit", 3).alias("at")).agg(
+            F.expr("bit_or(shiftleft(1, cast(bit % 8 AS int)))").alias("bits")).toArrow()
+        filled = np.zeros(FILTER_BITS // 8, np.uint8)
+        filled[words["at"].to_numpy()] = words["bits"].to_numpy().astype(np.uint8)
+        shared = docs.sparkSession.sparkContext.broadcast(filled)
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = list(shingle_sets(batch.column(2).to_pylist(), width))
-                ours = [_signature(s) == x for s, x in zip(found, batch.column(1).to_pylist(), strict=True)]
-                found = [s.view(np.int64) for s, x in zip(found, ours, strict=True) if x]
+                bit = batch.column(0).to_numpy()
+                passed = (shared.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+                found = list(shingle_sets(batch.column(1).filter(pa.array(passed)).to_pylist(), width))
                 offsets = np.cumsum([0, *map(len, found)])
-                values = pa.array(np.concatenate([np.zeros(0, np.int64), *found]))
-                yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ours, pa.bool_())),
-                                                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)],
-                                                 ["cid", "s"])
-
-        # Joined on a hash of the owner's key: null keys meet too, and other rows of the key fail the signature.
-        owners = self.classes.join(cids.distinct(), "cid").select(F.xxhash64("owner").alias("at"), "cid", "signature")
-        body = F.col(text).cast("binary")
-        rows = docs.select(F.xxhash64(key).alias("at"), body.alias("text"), F.xxhash64(body).alias("same"))
-        texts = rows.join(owners, "at").dropDuplicates(["at", "cid", "same"]).select("cid", "signature", "text")
-        self.sets = self.write(texts.mapInArrow(sets, "cid long, s array<long>"), "sets")
+                values = pa.array(np.concatenate([np.zeros(0, np.int64), *(s.view(np.int64) for s in found)]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([_signature(s) for s in found], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)], ["signature", "s"])
+
+        rows = docs.select(F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).alias("bit"), F.col(text).cast("binary").alias("text"))
+        found = rows.mapInArrow(sets, "signature binary, s array<long>")
+        self.sets = self.write(found.join(wanted.select("cid", "signature"), "signature").groupBy("signature").agg(
+            F.first("cid").alias("cid"), F.first("s").alias("s")).select("cid", "s"), "sets")
 
     def unrefuted(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that their bitmaps do not rule out."""
@@ -213,21 +223,23 @@ class _Join:
             F.min(F.struct(drawn.alias("h"), F.col("cid").alias("p"))).alias("m"))
         pivots = few.groupBy("region").agg(
             F.slice(F.transform(F.array_sort(F.collect_list("m")), lambda m: m["p"]), 1, PIVOTS).alias("pivots"))
-        held = self.write(regions.join(pivots, "region"), "pivots")
-        pairs = held.groupBy("cid").agg(F.array_distinct(F.flatten(F.collect_set("pivots"))).alias("p")).select(
-            F.col("cid").alias("b"), F.explode("p").alias("a")).where("a != b")
-        distances = self.write(self.measured(pairs), "distances")
-        self.link(distances)
-        left = self.still_open(held.where(~F.array_contains("pivots", F.col("cid"))))
-        near = distances.select(F.col("a").alias("p"), F.col("b").alias("cid"),
-                                (1.0 - F.col("common") / F.col("total")).alias("d")).distinct()
-        seen = left.select("region", "cid", "n", "root", F.explode("pivots").alias("p")).join(near, ["p", "cid"])
-        members = seen.groupBy("region", "cid", "n", "root").agg(
-            F.array_sort(F.collect_list(F.struct("p", "d"))).alias("near"))
+        sets = pivots.select("region", F.explode("pivots").alias("cid")).join(self.sets, "cid").groupBy("region").agg(
+            F.collect_list(F.struct(F.col("cid").alias("p"), "s")).alias("pivots"))  # PIVOTS a region
+        here = regions.join(self.sets, "cid").join(sets, "region")
+        common = F.transform("pivots", lambda p: F.struct(p["p"].alias("p"), F.size(F.array_intersect(p["s"], "s")).alias(
+            "common"), (F.size(p["s"]) + F.size("s")).alias("both")))
+        near = F.array_sort(F.transform("common", lambda x: F.struct(
+            x["p"].alias("p"), (1.0 - x["common"] / (x["both"] - x["common"])).alias("d"),
+            ((x["common"] * 100) >= (x["both"] - x["common"]) * self.percent).alias("linked"))))
+        held = self.write(here.select("region", "cid", "n", common.alias("common")).select(
+            "region", "cid", "n", near.alias("near")), "near")
+        self.links.append(self.write(held.select(F.col("cid").alias("u"), F.explode("near").alias("to")).where(
+            "to.linked AND u != to.p").select("u", F.col("to.p").alias("v")).distinct(), "links"))
+        left = self.still_open(held.where(~F.exists("near", lambda x: x["p"] == F.col("cid"))))
         counts = left.groupBy("region", "root").agg(F.count("*").alias("c")).groupBy("region").agg(
             F.sum("c").alias("k"), F.sum(F.col("c") * F.col("c")).alias("joined"))
         cross = ((F.col("k") * F.col("k") - F.col("joined")) / 2).alias("cross")
-        return self.write(members.join(counts.select("region", "k", cross), "region"), "members")
+        return self.write(left.join(counts.select("region", "k", cross), "region"), "members")
 
     def voronoi(self, members: DataFrame) -> DataFrame:
         """Members copied to their nearest pivot's region (home) and to those whose window they lie in; ``shrunk`` says
@@ -303,17 +315,19 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     * An empty table gives an empty result.
     """
     common = _order(docs, key, text, width)
-    rows = write_scratch(_summaries(docs, key, text, width, percent, common), "rows")
-    found = rows.where("n > 0").groupBy("signature").agg(
+    all_rows = write_scratch(_summaries(docs, key, text, width, percent, common), "rows")
+    found = all_rows.where("n > 0").groupBy("signature").agg(
         F.min("key").alias("owner"), *(F.first(c).alias(c) for c in ("n", "first", "bitmap")))
     classes = write_scratch(found.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    rows = write_scratch(all_rows.select("key", "n", "signature"), "rows")
+    drop_scratch(all_rows)
     join = _Join(classes, percent)
     roots = join.run(docs, key, text, width)
     lowest = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
         "root", F.coalesce("root", "cid")).select("signature", "root", "owner")
     least = lowest.groupBy("root").agg(F.min("owner").alias("component_id"))
     named = write_scratch(lowest.join(least, "root").select("signature", "component_id"), "named")
-    out = rows.select("key", "n", "signature").join(named, "signature", "left").select(
+    out = rows.join(named, "signature", "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"),
         F.coalesce("component_id", F.when(F.col("n") == 0, F.col("key"))).alias("component_id"))
     drop_scratch(*join.tables, classes)

@@ -51,7 +51,7 @@ def with_slot(rows: DataFrame, order: Sequence[str], shard: str = "shard", slot:
     before = Window.partitionBy(shard).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(shard, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     place = F.row_number().over(Window.partitionBy(shard, "_bucket").orderBy(*order)) - 1
-    return dealt.withColumn("_place", place).join(F.broadcast(starts), [shard, "_bucket"]).withColumn(
+    return dealt.withColumn("_place", place).join(starts, [shard, "_bucket"]).withColumn(
         slot, (F.col("_start") + F.col("_place")).cast("long")).drop("_bucket", "_place", "_start")
 
 
