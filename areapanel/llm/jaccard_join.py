@@ -9,11 +9,12 @@ regions whose window of width ``r`` (or ``2 r`` between two nearest pivots) it l
    shingle (``f_s = 0``); its window reaches the other regions with ``f_s(x) <= r``. Two documents with
    ``d <= r`` meet in the region of their first common shingle, so no link is lost, whatever the order. The order only
    decides how full regions get; it is taken from a sample of documents.
-2. Document pivots split regions that are still large. Exact distances to a few member documents give each member a
-   nearest pivot (Voronoi region) and copy it to every other region with ``d(x, p) <= d(x, nearest) + 2 r``. Links to
-   the pivots join members at once, and a region whose members are all joined is done. A part that is still large is
-   split again with new pivots. Where the pairs not joined yet are few, or where the windows would copy a region almost
-   whole (all members equally far from all pivots), those pairs are compared, cut by the windows of all its pivots.
+2. Document pivots work on regions that are still large. Links to a few member documents join members at once, and a
+   region whose members are all joined is done. If the pairs not joined yet are at most ``DIRECT`` a member, they are
+   compared. Else exact distances to the pivots give each member a nearest pivot (Voronoi region) and copy it to every
+   other region with ``d(x, p) <= d(x, nearest) + 2 r``, and these regions are joined in the same way. Where the windows
+   would copy a region almost whole (all members equally far from all pivots), its pairs are compared, cut by the windows
+   of all its pivots.
 
 Small regions are joined exactly. Candidates are checked against size, position and a folded bitmap (none can refute a
 true link), and the survivors by the exact size of the intersection. Documents with equal sets are one class and are
@@ -38,8 +39,8 @@ from areapanel.session import drop_scratch, write_scratch
 ORDER_SAMPLE, COMMON = 10_000, 3
 #: Most shingles told apart as common in the order (8 bytes each are sent to the tasks).
 ORDER_SIZE = 500_000
-#: Members up to which a region is joined directly; pivots for a larger one.
-LEAF, PIVOTS = 64, 16
+#: Members up to which a region is joined directly; pivots for a larger one; comparisons a member that need no split.
+LEAF, PIVOTS, DIRECT = 64, 16, 1024
 #: Bits of the filter that tells rows whose sets are needed.
 FILTER_BITS = 1 << 23
 
@@ -63,18 +64,24 @@ def _order(docs: DataFrame, key: str, text: str, width: int) -> np.ndarray:
     return rows.column(0).to_numpy().view(np.uint64)
 
 
-def _bitmap(s: np.ndarray) -> bytes:
-    """Parity of the set's shingles in about ``len(s) / 2`` buckets: two sets differ in at least as many elements as
-    their bitmaps differ in bits."""
+def _bitmap(s: np.ndarray) -> np.ndarray:
+    """Parity of the set's shingles in about ``len(s) / 2`` buckets, 64 to a long: two sets differ in at least as many
+    elements as their bitmaps differ in bits."""
     bits = max(64, 1 << max(0, len(s) // 2 - 1).bit_length())
     cells = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(cells.astype(np.uint8), bitorder="little").tobytes()
+    return np.packbits(cells.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def _signature(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, arrays)])
+    values = np.concatenate([np.zeros(0, np.int64), *(a.view(np.int64) for a in arrays)])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+
+
 def _summaries(docs: DataFrame, key: str, text: str, width: int, percent: int, common: np.ndarray) -> DataFrame:
     """Per row: key, set size, 128-bit signature of the set, the first shingles in the global order, the bitmap."""
     by_value = np.argsort(common)
@@ -95,16 +102,14 @@ def _summaries(docs: DataFrame, key: str, text: str, width: int, percent: int, c
                 rank = np.where(values[at] == s, ranks[at], 0) if len(values) else np.zeros(n, np.int64)
                 firsts.append(s[np.lexsort((s, rank))[:reach]].view(np.int64))
                 bitmaps.append(_bitmap(s))
-            offsets = np.cumsum([0, *map(len, firsts)])
-            first = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
-                                             pa.array(np.concatenate([np.zeros(0, np.int64), *firsts])))
+            first, bitmap = _lists(firsts), _lists(bitmaps)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), first,
-                 pa.array(bitmaps, pa.binary())], ["key", "n", "signature", "first", "bitmap"])
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), first, bitmap],
+                ["key", "n", "signature", "first", "bitmap"])
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text")).mapInArrow(
-        summarise, f"key {kind}, n long, signature binary, first array<long>, bitmap binary")
+        summarise, f"key {kind}, n long, signature binary, first array<long>, bitmap array<long>")
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
@@ -114,33 +119,29 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     return common * (100 + percent) >= F.lit(percent) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
 
 
-def _refuted(percent: int):
-    """Arrow filter on (a, b, n_a, n_b, bit_a, bit_b): drops pairs whose bitmaps differ in more bits than a link allows."""
+def _unrefuted(a: str, b: str, percent: int) -> Column:
+    """Whether sizes and bitmaps of two sets allow a link: the bitmaps differ in no more bits than the sets may in
+    elements. A longer bitmap is folded once; sizes further apart than that link at low ``percent`` only, unfiltered."""
 
-    def fold(x: np.ndarray, size: int) -> np.ndarray:
-        while len(x) > size:
-            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-        return x
+    def fold(x: Column) -> Column:
+        half = (F.size(x) / 2).cast("int")
+        return F.zip_with(F.slice(x, 1, half), F.slice(x, half + 1, half), lambda u, v: u.bitwiseXOR(v))
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            ok = []
-            for total, x, y in zip(n.tolist(), batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-                size = min(len(x), len(y))
-                differ = int(np.bitwise_count(fold(x, size) ^ fold(y, size)).sum())
-                ok.append(differ * (100 + percent) <= (100 - percent) * total)
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+    def apart(x: Column, y: Column) -> Column:
+        return F.aggregate(F.zip_with(x, y, lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda t, n: t + n)
 
-    return keep
+    x, y = F.col(f"{a}.bitmap"), F.col(f"{b}.bitmap")
+    differ = F.when(F.size(x) == F.size(y), apart(x, y)).when(F.size(x) == 2 * F.size(y), apart(fold(x), y)).when(
+        2 * F.size(x) == F.size(y), apart(x, fold(y))).otherwise(0)
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (differ * (100 + percent) <= (n + m) * (100 - percent))
 
 
 class _Join:
     """One join over the class table: its members in regions, the sets that any comparison needs, and the links found."""
 
-    def __init__(self, classes: DataFrame, percent: int):
-        self.classes, self.percent = classes, percent
+    def __init__(self, classes: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int):
+        self.classes, self.docs, self.key, self.text, self.width, self.percent = classes, docs, key, text, width, percent
         self.links: list[DataFrame] = []
         self.tables: list[DataFrame] = []
 
@@ -154,8 +155,8 @@ class _Join:
         full = rows.groupBy("region").agg(F.count("*").alias("k")).where("k > 1")
         return self.write(rows.join(full, "region"), "members")
 
-    def gather(self, cids: DataFrame, docs: DataFrame, key: str, text: str, width: int) -> None:
-        """Sets of the classes in ``cids``, from the whole text of one row of each.
+    def sets(self, cids: DataFrame) -> DataFrame:
+        """Sets (cid, s) of the classes in ``cids``, from the whole text of one row of each.
 
         A filter of fixed size over the hashes of the wanted keys spares most other rows the work; rows that pass by
         chance, and other rows of a wanted key, fail the join on the signature."""
@@ -165,81 +166,85 @@ class _Join:
             F.expr("bit_or(shiftleft(1, cast(bit % 8 AS int)))").alias("bits")).toArrow()
         filled = np.zeros(FILTER_BITS // 8, np.uint8)
         filled[words["at"].to_numpy()] = words["bits"].to_numpy().astype(np.uint8)
+        docs, width = self.docs, self.width
         shared = docs.sparkSession.sparkContext.broadcast(filled)
 
-        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 bit = batch.column(0).to_numpy()
                 passed = (shared.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
                 found = list(shingle_sets(batch.column(1).filter(pa.array(passed)).to_pylist(), width))
-                offsets = np.cumsum([0, *map(len, found)])
-                values = pa.array(np.concatenate([np.zeros(0, np.int64), *(s.view(np.int64) for s in found)]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_signature(s) for s in found], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)], ["signature", "s"])
+                    [pa.array([_signature(s) for s in found], pa.binary()), _lists(found)], ["signature", "s"])
 
-        rows = docs.select(F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).alias("bit"), F.col(text).cast("binary").alias("text"))
-        found = rows.mapInArrow(sets, "signature binary, s array<long>")
-        self.sets = self.write(found.join(wanted.select("cid", "signature"), "signature").groupBy("signature").agg(
+        rows = docs.select(F.pmod(F.xxhash64(self.key), F.lit(FILTER_BITS)).alias("bit"),
+                           F.col(self.text).cast("binary").alias("text"))
+        found = rows.mapInArrow(hashed, "signature binary, s array<long>")
+        return self.write(found.join(wanted.select("cid", "signature"), "signature").groupBy("signature").agg(
             F.first("cid").alias("cid"), F.first("s").alias("s")).select("cid", "s"), "sets")
 
     def unrefuted(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that their bitmaps do not rule out."""
         bits = self.classes.select("cid", "n", "bitmap")
-        joined = pairs.join(bits.toDF("a", "n_a", "bit_a"), "a").join(bits.toDF("b", "n_b", "bit_b"), "b")
-        return joined.select("a", "b", "n_a", "n_b", "bit_a", "bit_b").mapInArrow(
-            _refuted(self.percent), "a long, b long")
-
-    def measured(self, pairs: DataFrame) -> DataFrame:
-        """Rows (a, b, common, total): exact intersection and union sizes of pairs."""
-        sized = pairs.join(self.sets.toDF("a", "s_a"), "a").join(self.sets.toDF("b", "s_b"), "b").select(
-            "a", "b", F.size(F.array_intersect("s_a", "s_b")).cast("long").alias("common"),
-            (F.size("s_a") + F.size("s_b")).cast("long").alias("both"))
-        return sized.select("a", "b", "common", (F.col("both") - F.col("common")).alias("total"))
-
-    def link(self, measured: DataFrame) -> None:
-        near = F.col("common") * 100 >= F.col("total") * self.percent
-        self.links.append(self.write(measured.where(near).select(F.col("a").alias("u"), F.col("b").alias("v")), "links"))
+        x, y = bits.alias("x"), bits.alias("y")
+        return pairs.join(x, F.col("a") == F.col("x.cid")).join(
+            y, (F.col("b") == F.col("y.cid")) & _unrefuted("x", "y", self.percent)).select("a", "b")
+
+    def link(self, pairs: DataFrame) -> None:
+        """Adds the pairs (a, b) that link to the links, by the exact sizes of intersection and union."""
+        if pairs.isEmpty():
+            return
+        sets = self.sets(pairs.select(F.explode(F.array("a", "b")).alias("cid")))
+        sized = pairs.join(sets.toDF("a", "s_a"), "a").join(sets.toDF("b", "s_b"), "b").select(
+            "a", "b", F.size(F.array_intersect("s_a", "s_b")).alias("common"), (F.size("s_a") + F.size("s_b")).alias("both"))
+        near = F.col("common") * 100 >= (F.col("both") - F.col("common")) * self.percent
+        self.links.append(self.write(sized.where(near).select(F.col("a").alias("u"), F.col("b").alias("v")), "links"))
 
     def roots(self) -> DataFrame:
-        edges = self.links[0]
-        for more in self.links[1:]:
+        edges = self.classes.select(F.col("cid").alias("u"), F.col("cid").alias("v")).limit(0)
+        for more in self.links:
             edges = edges.unionByName(more)
         return connected_components(edges)
 
     def still_open(self, regions: DataFrame) -> DataFrame:
-        """``regions`` with each member's root so far, without the regions whose members are all joined."""
+        """``regions`` (region, cid, n, bitmap, home) with each member's ``root`` so far, the region's members ``k`` and
+        ``cross``, its pairs that are not joined; without the regions that have none."""
         named = regions.join(self.roots().withColumnRenamed("node", "cid"), "cid", "left").withColumn(
             "root", F.coalesce("root", "cid"))
-        open_ = named.groupBy("region").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y")
-        return self.write(named.join(open_.select("region"), "region"), "regions")
+        counts = named.groupBy("region", "root").agg(F.count("*").alias("c")).groupBy("region").agg(
+            F.sum("c").alias("k"), F.sum(F.col("c") * F.col("c")).alias("joined"))
+        cross = ((F.col("k") * F.col("k") - F.col("joined")) / 2).alias("cross")
+        return self.write(named.join(counts.select("region", "k", cross).where("cross > 0"), "region"), "regions")
 
     def pivots(self, regions: DataFrame, level: int) -> DataFrame:
-        """One round of document pivots on regions (region, cid, n): measures each member's distance to the region's
-        pivots, links what is near, and returns the members (region, cid, n, root, near, k, cross) of regions that are
-        still open: ``near`` has (pivot, distance) for each pivot, ``cross`` counts the pairs that are not joined."""
+        """Rows (region, pivots): up to ``PIVOTS`` members of each region, with cid, size and bitmap."""
         drawn = F.xxhash64(F.lit(level), "cid")
         few = regions.groupBy("region", F.pmod(drawn, F.lit(4 * PIVOTS)).alias("salt")).agg(
-            F.min(F.struct(drawn.alias("h"), F.col("cid").alias("p"))).alias("m"))
-        pivots = few.groupBy("region").agg(
-            F.slice(F.transform(F.array_sort(F.collect_list("m")), lambda m: m["p"]), 1, PIVOTS).alias("pivots"))
-        sets = pivots.select("region", F.explode("pivots").alias("cid")).join(self.sets, "cid").groupBy("region").agg(
-            F.collect_list(F.struct(F.col("cid").alias("p"), "s")).alias("pivots"))  # PIVOTS a region
-        here = regions.join(self.sets, "cid").join(sets, "region")
-        common = F.transform("pivots", lambda p: F.struct(p["p"].alias("p"), F.size(F.array_intersect(p["s"], "s")).alias(
-            "common"), (F.size(p["s"]) + F.size("s")).alias("both")))
-        near = F.array_sort(F.transform("common", lambda x: F.struct(
-            x["p"].alias("p"), (1.0 - x["common"] / (x["both"] - x["common"])).alias("d"),
-            ((x["common"] * 100) >= (x["both"] - x["common"]) * self.percent).alias("linked"))))
-        held = self.write(here.select("region", "cid", "n", common.alias("common")).select(
-            "region", "cid", "n", near.alias("near")), "near")
-        self.links.append(self.write(held.select(F.col("cid").alias("u"), F.explode("near").alias("to")).where(
-            "to.linked AND u != to.p").select("u", F.col("to.p").alias("v")).distinct(), "links"))
-        left = self.still_open(held.where(~F.exists("near", lambda x: x["p"] == F.col("cid"))))
-        counts = left.groupBy("region", "root").agg(F.count("*").alias("c")).groupBy("region").agg(
-            F.sum("c").alias("k"), F.sum(F.col("c") * F.col("c")).alias("joined"))
-        cross = ((F.col("k") * F.col("k") - F.col("joined")) / 2).alias("cross")
-        return self.write(left.join(counts.select("region", "k", cross), "region"), "members")
+            F.min(F.struct(drawn.alias("h"), "cid", "n")).alias("m"))
+        named = few.select("region", "m.*").join(self.classes.select("cid", "bitmap"), "cid")
+        return named.groupBy("region").agg(F.slice(F.array_sort(F.collect_list(F.struct("h", "cid", "n", "bitmap"))),
+                                                   1, PIVOTS).alias("pivots"))  # of 4 * PIVOTS rows
+
+    def to_pivots(self, regions: DataFrame, pivots: DataFrame) -> DataFrame:
+        """Pairs of members and pivots of their region that may link."""
+        near = regions.join(pivots, "region").select(F.struct("cid", "n", "bitmap").alias("x"),
+                                                     F.explode("pivots").alias("y"))
+        return near.where((F.col("x.cid") != F.col("y.cid")) & _unrefuted("x", "y", self.percent)).select(
+            F.col("y.cid").alias("a"), F.col("x.cid").alias("b")).distinct()
+
+    def distances(self, regions: DataFrame, pivots: DataFrame) -> DataFrame:
+        """``regions`` without the pivots, with ``near``: (pivot, exact distance) of each pivot of the region."""
+        sets = self.sets(regions.select("cid"))
+        held = pivots.select("region", F.explode("pivots.cid").alias("cid")).join(sets, "cid").groupBy("region").agg(
+            F.sort_array(F.collect_list(F.struct(F.col("cid").alias("p"), "s"))).alias("held"))  # PIVOTS rows
+
+        def distance(p: Column) -> Column:
+            common = F.size(F.array_intersect(p["s"], F.col("s")))
+            return F.struct(p["p"].alias("p"), (1.0 - common / (F.size(p["s"]) + F.size("s") - common)).alias("d"))
+
+        here = regions.join(sets, "cid").join(held, "region")
+        return self.write(here.where(~F.exists("held", lambda p: p["p"] == F.col("cid"))).withColumn(
+            "near", F.transform("held", distance)).drop("held", "s"), "near")
 
     def voronoi(self, members: DataFrame) -> DataFrame:
         """Members copied to their nearest pivot's region (home) and to those whose window they lie in; ``shrunk`` says
@@ -248,29 +253,28 @@ class _Join:
         least = F.array_min(F.transform("near", lambda x: F.struct(x["d"], x["p"])))
         parts = members.withColumn("least", least).select("*", F.explode("near").alias("to")).where(
             F.col("to.d") <= F.col("least.d") + window).select(
-            F.col("region").alias("parent"), F.xxhash64("region", "to.p").alias("region"), "cid", "n", "root", "near",
-            F.col("k").alias("whole"), (F.col("to.p") == F.col("least.p")).alias("home"))
+            F.col("region").alias("parent"), F.xxhash64("region", "to.p").alias("region"), "cid", "n", "bitmap", "root",
+            "near", F.col("k").alias("whole"), (F.col("to.p") == F.col("least.p")).alias("home"))
         sizes = parts.groupBy("parent", "region", "whole").agg(F.count("*").alias("k"))
         halves = sizes.groupBy("parent").agg(
             (F.sum(F.col("k") * F.col("k")) * 2 <= F.max(F.col("whole") * F.col("whole"))).alias("shrunk"))
         return self.write(parts.join(sizes.select("region", "k"), "region").join(halves, "parent"), "parts")
 
     def pairs(self, regions: DataFrame) -> DataFrame:
-        """Pairs of a region's members that are not joined yet, at least one of them at home there, whose sizes and
-        whose distances to every pivot are within the radius."""
+        """Pairs of a region's members that are not joined yet, at least one of them at home there, and that neither
+        sizes nor bitmaps nor distances to pivots (where known) rule out."""
+        if "near" not in regions.columns:
+            regions = regions.withColumn("near", F.array().cast("array<struct<p:long,d:double>>"))
         a, b = regions.alias("a"), regions.alias("b")
         radius = (100 - self.percent) / 100 + 1e-9
-        sizes = F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * self.percent
         windows = F.forall(F.arrays_zip(F.col("a.near").alias("x"), F.col("b.near").alias("y")),
                            lambda z: F.abs(z["x"]["d"] - z["y"]["d"]) <= radius)
-        return a.join(b, (F.col("a.region") == F.col("b.region")) & (F.col("a.cid") < F.col("b.cid")) & sizes
-                      & (F.col("a.root") != F.col("b.root")) & (F.col("a.home") | F.col("b.home")) & windows).select(
+        return a.join(b, (F.col("a.region") == F.col("b.region")) & (F.col("a.cid") < F.col("b.cid"))
+                      & (F.col("a.root") != F.col("b.root")) & (F.col("a.home") | F.col("b.home")) & windows
+                      & _unrefuted("a", "b", self.percent)).select(
             F.col("a.cid").alias("a"), F.col("b.cid").alias("b")).distinct()
 
-    def compare(self, regions: DataFrame) -> None:
-        self.link(self.measured(self.write(self.unrefuted(self.pairs(regions)), "pairs")))
-
-    def run(self, docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
+    def run(self) -> DataFrame:
         """Rows (node, root) of the classes that link with any other."""
         members = self.members()
         small, large = members.where(F.col("k") <= LEAF), members.where(F.col("k") > LEAF)
@@ -278,27 +282,28 @@ class _Join:
         met = a.join(b, (F.col("a.region") == F.col("b.region")) & (F.col("a.cid") < F.col("b.cid"))
                      & _may_link("a", "b", self.percent)).select(
             F.col("a.cid").alias("a"), F.col("b.cid").alias("b")).distinct()
-        pairs = self.write(self.unrefuted(met), "pairs")
         # Regions with the same lowest member overlap almost wholly: one region, with every member once.
         lead = large.groupBy("region").agg(F.min_by("cid", F.xxhash64("cid")).alias("lead"))
-        regions = self.write(large.join(lead, "region").select(F.col("lead").alias("region"), "cid", "n").distinct(),
-                             "regions")
-        self.gather(pairs.select(F.explode(F.array("a", "b")).alias("cid")).unionByName(regions.select("cid")),
-                    docs, key, text, width)
-        self.link(self.measured(pairs))
-        level = 0
-        while not regions.isEmpty():
-            members = self.pivots(regions, level)
-            few = F.col("cross") <= F.col("k") * LEAF
-            self.compare(members.where(few).withColumn("home", F.lit(True)))
-            parts = self.voronoi(members.where(~few))
-            self.compare(parts.where(F.col("shrunk") & (F.col("k") <= LEAF)))
-            self.compare(members.join(parts.where(~F.col("shrunk")).select(F.col("parent").alias("region")).distinct(),
-                                      "region", "left_semi").withColumn("home", F.lit(True)))
-            regions = self.write(parts.where(F.col("shrunk") & (F.col("k") > LEAF)).select("region", "cid", "n"),
-                                 "regions")
-            level += 1
-        return self.roots()
+        merged = large.join(lead, "region").select(F.col("lead").alias("region"), "cid").distinct()
+        regions = self.write(merged.join(self.classes.select("cid", "n", "bitmap"), "cid").withColumn(
+            "home", F.lit(True)), "regions")
+        found, level = self.unrefuted(met), 0
+        while True:
+            pivots = self.write(self.pivots(regions, level), "pivots")
+            self.link(self.write(found.unionByName(self.to_pivots(regions, pivots)).distinct(), "pairs"))
+            if regions.isEmpty():
+                return self.roots()
+            left = self.still_open(regions)
+            few = F.col("cross") <= F.col("k") * DIRECT
+            found, regions = self.pairs(left.where(few)), left.where(~few)
+            if not regions.isEmpty():
+                near = self.distances(regions, pivots)
+                parts = self.voronoi(near)
+                whole = parts.where(~F.col("shrunk")).select(F.col("parent").alias("region")).distinct()
+                found = found.unionByName(self.pairs(near.join(whole, "region", "left_semi"))).unionByName(
+                    self.pairs(parts.where(F.col("shrunk") & (F.col("k") <= LEAF))))
+                regions = parts.where(F.col("shrunk") & (F.col("k") > LEAF)).select("region", "cid", "n", "bitmap", "home")
+            regions, level = self.write(regions.select("region", "cid", "n", "bitmap", "home"), "regions"), level + 1
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3,
@@ -321,8 +326,8 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     classes = write_scratch(found.withColumn("cid", F.monotonically_increasing_id()), "classes")
     rows = write_scratch(all_rows.select("key", "n", "signature"), "rows")
     drop_scratch(all_rows)
-    join = _Join(classes, percent)
-    roots = join.run(docs, key, text, width)
+    join = _Join(classes, docs, key, text, width, percent)
+    roots = join.run()
     lowest = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
         "root", F.coalesce("root", "cid")).select("signature", "root", "owner")
     least = lowest.groupBy("root").agg(F.min("owner").alias("component_id"))
