@@ -28,7 +28,7 @@ from areapanel.llm.shingles import _power_tables, mix, text_blocks
 #: Bytes the rolling hash sees, and the mean size of a chunk as a power of two.
 WINDOW, CHUNK_BITS = 16, 9
 #: Ids in chunks that a worker remembers; it starts anew beyond.
-IDS = 6 << 20
+IDS = 2 << 20
 
 #: The pattern of byte-level pre-tokenisers, a fixed value of their format.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

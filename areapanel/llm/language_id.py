@@ -17,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from areapanel.llm.letters import blocks, grams
+from areapanel.llm.letters import blocks, grams, list_views
 
 #: Labelled rows to train on for each language, and n-gram sizes, buckets and width of the embedding.
-ROWS_PER_LANGUAGE, SIZES, BUCKETS, WIDTH = 1500, (2, 3, 4), 1 << 15, 16
+ROWS_PER_LANGUAGE, SIZES, BUCKETS, WIDTH = 800, (2, 3, 4), 1 << 15, 16
 EPOCHS, BATCH, RATE = 6, 32, 0.5
 #: Share of rows kept from training for calibration; share of right answers that rejection may cost.
 HELD, COST = 0.25, 0.002
@@ -91,11 +91,12 @@ def train(docs: DataFrame, usable: Column, text: str = "text", language: str = "
                 [pa.array([x[0] for x in found], pa.list_(pa.int32())), pa.array([x[1] for x in found], pa.list_(pa.int32())),
                  batch.column(1), batch.column(2)], ["bucket", "n", "language", "h"])
 
-    got = sample.mapInArrow(features, "bucket array<int>, n array<int>, language string, h long").toArrow().combine_chunks()
-    order = np.lexsort((got["language"].to_pylist(), got["h"].to_numpy()))
-    docs_x = [(np.asarray(got["bucket"][int(i)].as_py(), np.int64), np.asarray(got["n"][int(i)].as_py(), np.float64))
-              for i in order]
-    y = np.array([languages.index(got["language"][int(i)].as_py()) for i in order])
+    got = sample.mapInArrow(features, "bucket array<int>, n array<int>, language string, h long").toArrow()
+    names = got["language"].to_pylist()
+    order = np.lexsort((names, got["h"].to_numpy()))
+    buckets, counts = list_views(got["bucket"]), list_views(got["n"])
+    docs_x = [(buckets[i], counts[i].astype(np.float32)) for i in order]
+    y = np.array([languages.index(names[i]) for i in order])
     held = np.random.default_rng(1).random(len(y)) < HELD
     if held.all() or not held.any() or len(y) < 20:
         held = np.zeros(len(y), bool)

@@ -6,9 +6,10 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 _OTHER = re.compile(r"[\W\d_]+")
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 
 
 def letter_words(text: str | None) -> bytes:
@@ -55,3 +56,12 @@ def grams(data: np.ndarray, starts: np.ndarray, size: int, buckets: int) -> tupl
     whole = at + size <= starts[doc + 1]
     at, doc = at[whole], doc[whole]
     return (code[at] >> np.uint64(64 - (buckets - 1).bit_length())).astype(np.int64), doc
+
+
+def list_views(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The numbers of each row of a list column, without copies."""
+    out = []
+    for chunk in column.chunks:
+        values, ends = chunk.values.to_numpy(), chunk.offsets.to_numpy()
+        out += [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return out

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areapanel.llm.letters import letter_words
+from areapanel.llm.letters import letter_words, list_views
 from areapanel.llm.shingles import shingle_sets
 
 #: Labelled rows to train on, hash buckets of words, folds and passes.
@@ -109,10 +109,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             yield pa.RecordBatch.from_arrays([batch.column(1), found, batch.column(2)], ["id", "x", "y"])
 
     kind = docs.schema[key].dataType.simpleString()
-    got = rows.mapInArrow(features, f"id {kind}, x array<int>, y array<double>").toArrow().combine_chunks().sort_by("id")
+    got = rows.mapInArrow(features, f"id {kind}, x array<int>, y array<double>").toArrow().sort_by("id")
     if not len(got):
         raise ValueError("no labelled row to learn from")
-    x = [np.asarray(v.as_py(), np.int64) for v in got["x"]]
+    x = list_views(got["x"])
     y = np.array(got["y"].to_pylist())
     fold = np.random.default_rng(0).integers(0, FOLDS, len(x))
     seen = np.zeros((len(x), len(categories)))
