@@ -1 +1,6 @@
 """Operators that prepare text for language-model training. Nothing else in the library imports this subpackage."""
+
+import pyarrow as pa
+
+# Python workers live on from task to task: freed Arrow memory goes back to the system, not to a pool.
+pa.set_memory_pool(pa.system_memory_pool())

@@ -65,9 +65,9 @@ def _order(docs: DataFrame, key: str, text: str, width: int) -> np.ndarray:
 
 
 def _bitmap(s: np.ndarray) -> np.ndarray:
-    """Parity of the set's shingles in about ``len(s) / 2`` buckets, 64 to a long: two sets differ in at least as many
-    elements as their bitmaps differ in bits."""
-    bits = max(64, 1 << max(0, len(s) // 2 - 1).bit_length())
+    """Parity of the set's shingles in two to four times as many buckets, 64 to a long: two sets differ in at least as
+    many elements as their bitmaps differ in bits."""
+    bits = max(64, 1 << max(0, 2 * len(s) - 1).bit_length())
     cells = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(cells.astype(np.uint8), bitorder="little").view(np.int64)
 
