@@ -2,7 +2,7 @@
 
 Pages are parsed with JVM regular expressions: anchors are cut out with
 ``regexp_extract_all``, attributes with ``regexp_extract``. This covers the
-quoted-attribute anchors the link pages use; it is not a general HTML parser.
+anchors link pages use; it is not a general HTML parser.
 """
 
 from __future__ import annotations
@@ -21,16 +21,34 @@ def anchors(html: Column | str) -> Column:
     return F.regexp_extract_all(html, F.lit(ANCHOR_RE), 0)
 
 
+# Character references of HTML that link pages use; numeric ones are decoded by rule.
+_ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "amp": "&"}
+
+
 def _unescape(c: Column) -> Column:
-    return F.replace(c, F.lit("&amp;"), F.lit("&"))
+    """Numeric references below U+0100 that are printable, then the named ones, ``&amp;`` last."""
+    parts = F.split(c, "(?=&#)", -1)
+
+    def decoded(part: Column) -> Column:
+        ten, six = F.regexp_extract(part, r"^&#([0-9]{1,3});", 1), F.regexp_extract(part, r"^&#[xX]([0-9A-Fa-f]{1,2});", 1)
+        code = F.when(ten != "", ten.try_cast("int")).when(six != "", F.conv(six, 16, 10).try_cast("int"))
+        rest = F.regexp_replace(part, r"^&#[0-9xXA-Fa-f]+;", "")
+        return F.when(code.between(32, 255), F.concat(F.char(code), rest)).otherwise(part)
+
+    out = F.array_join(F.transform(parts, decoded), "")
+    for name, char in _ENTITIES.items():
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
+    return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
 
 
 def attribute(anchor: Column, name: str) -> Column:
-    """Value of a quoted attribute of the anchor tag; NULL when absent."""
+    """Value of an attribute of the anchor tag, quoted or not; NULL when absent."""
     tag = F.regexp_extract(anchor, _TAG_RE, 1)
-    pattern = r"(?is)(?:^|\s)" + name + r"""\s*=\s*["']([^"']*)["']"""
-    present = tag.rlike(r"(?is)(?:^|\s)" + name + r"\s*=")
-    return F.when(present, _unescape(F.regexp_extract(tag, pattern, 1)))
+    start = r"(?is)(?:^|\s)" + name + r"\s*=\s*"
+    value = (F.when(tag.rlike(start + '"'), F.regexp_extract(tag, start + '"([^"]*)"', 1))
+             .when(tag.rlike(start + "'"), F.regexp_extract(tag, start + "'([^']*)'", 1))
+             .otherwise(F.regexp_extract(tag, start + r"""([^\s"'>]*)""", 1)))
+    return F.when(tag.rlike(start), _unescape(value))
 
 
 def link_text(anchor: Column) -> Column:
@@ -39,22 +57,35 @@ def link_text(anchor: Column) -> Column:
     return _unescape(F.regexp_replace(inner, r"<[^>]*>", ""))
 
 
-def has_class(anchor: Column, css_class: str) -> Column:
-    """True when ``css_class`` is one of the whitespace-separated classes."""
-    classes = F.split(F.trim(F.coalesce(attribute(anchor, "class"), F.lit(""))), r"\s+")
-    return F.array_contains(classes, css_class)
+def _collapse(path: Column) -> Column:
+    """``.`` and ``..`` segments of an absolute path worked off from the left."""
+    parts = F.slice(F.split(path, "/", -1), 2, 1 << 20)
+
+    def step(kept: Column, part: Column) -> Column:
+        return F.when(part == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).when(
+            part == ".", kept).otherwise(F.concat(kept, F.array(part)))
+
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    closed = F.when(path.rlike(r"/\.\.?$") & (F.size(kept) > 0), "/").otherwise("")
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), closed)
 
 
 def resolve_url(base: Column | str, href: Column) -> Column:
-    """Resolve ``href`` against ``base`` like a browser for the common forms:
-    absolute URL, scheme-relative ``//host``, host-relative ``/path``, and
-    relative ``path`` (against the base's directory)."""
+    """Resolve ``href`` against ``base``: absolute URL, scheme-relative ``//host``, host-relative
+    ``/path``, relative ``path`` with ``.`` and ``..``, ``?query``, ``#fragment`` and empty."""
     base = F.lit(base) if isinstance(base, str) else base
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     path = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    query = F.regexp_extract(base, r"^[^?#]*(\?[^#]*)", 1)
+    own = F.regexp_extract(href, r"^([^?#]*)", 1)
+    tail = F.substring(href, F.length(own) + 1, F.length(href))
     directory = F.regexp_extract(path, r"^(.*/)", 1)
+    full = F.when(own.startswith("/"), own).otherwise(F.concat(F.when(directory == "", "/").otherwise(directory), own))
+    dotted = full.rlike(r"(^|/)\.\.?(/|$)")
     return (F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
             .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-            .when(href.startswith("/"), F.concat(origin, href))
-            .otherwise(F.concat(origin, F.when(directory == "", F.lit("/")).otherwise(directory), href)))
+            .when(href == "", base)
+            .when(href.startswith("#"), F.concat(origin, path, query, href))
+            .when(href.startswith("?"), F.concat(origin, path, href))
+            .otherwise(F.concat(origin, F.when(dotted, _collapse(full)).otherwise(full), tail)))

@@ -136,10 +136,21 @@ def normalise_name(c: Column | str) -> Column:
 def normalise_column_name(name: str) -> str:
     """B11 on one name: lower; a space between word characters becomes ``_``;
     parenthesised parts are removed; remaining spaces are removed."""
-    name = name.lower()
-    name = re.sub(r"(?<=\w) (?=\w)", "_", name)
-    name = re.sub(r"\((.*?)\)", "", name)
-    return name.replace(" ", "")
+    def word(c: str) -> bool:
+        return c.isalnum() or c == "_"
+
+    out, depth, text = [], False, name.lower()
+    for i, c in enumerate(text):
+        if c == "(" and ")" in text[i:]:
+            depth = True
+        if not depth:
+            between = 0 < i < len(text) - 1 and word(text[i - 1]) and word(text[i + 1])
+            out.append(("_" if between else "") if c == " " else c)
+        if c == ")":
+            if not depth:
+                continue
+            depth = False
+    return "".join(out)
 
 
 def normalise_column_name_expr(c: Column | str) -> Column:

@@ -41,7 +41,7 @@ def require_columns(df: DataFrame, cols: str | Iterable[str]) -> DataFrame:
     """
     missing = missing_columns(df, cols)
     if missing:
-        raise ValueError(f"{missing} were expected in column names but were missing")
+        raise ValueError(f"the table lacks these columns: {missing}")
     return df
 
 

@@ -25,7 +25,7 @@ FOREST_SEED = 42
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
 
 
 def forest_pipeline(features: Sequence[str], label: str = "count", num_trees: int = FOREST_TREES,

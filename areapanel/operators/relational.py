@@ -1,9 +1,9 @@
 """Joins, grouped sums, pivot, stacking, latest rows and splits
 (D1-D6, E1-E3, E5-E7, S1, L1-L4, C8).
 
-Lookups (names, edit tables, crosswalks) are broadcast only behind an explicit
-row-count bound (``bounded_broadcast``); above it the join falls back to a
-shuffle join that AQE can still convert or split for skew at run time.
+Lookups (names, edit tables, crosswalks) carry no broadcast hint: Spark compares
+their size in bytes with its broadcast threshold, in the plan or at run time, and
+splits skewed shuffle joins beyond it.
 """
 
 from __future__ import annotations
@@ -18,29 +18,14 @@ from pyspark.sql import functions as F
 from .checks import require_columns
 from .columns import q
 
-# Lookups above this many rows are joined with a shuffle instead of a broadcast.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
 def _as_list(cols: str | Iterable[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    The bound is proven with a ``limit(max_rows + 1).count()`` job, which stops
-    reading once the bound is passed.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 # --- joins ------------------------------------------------------------------------------------
 
 def lookup_left_join(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], null_safe: bool = False,
-                     suffixes: tuple[str, str] = ("_x", "_y"), broadcast_max_rows: int | None = BROADCAST_MAX_ROWS
-                     ) -> DataFrame:
+                     suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """Left join on shared key column(s); right duplicates fan out.
 
     ``null_safe`` matches NULL keys to NULL keys (pandas ``merge``, N1). Other
@@ -52,8 +37,6 @@ def lookup_left_join(df: DataFrame, lookup: DataFrame, on: str | Sequence[str],
     clash = (set(df.columns) & set(lookup.columns)) - set(keys)
     left = df.select(*[q(c).alias(c + suffixes[0] if c in clash else c) for c in df.columns])
     right = lookup.select(*[q(c).alias(c + suffixes[1] if c in clash else c) for c in lookup.columns])
-    if broadcast_max_rows is not None:
-        right = bounded_broadcast(right, broadcast_max_rows)
     if not null_safe:
         return left.join(right, on=keys, how="left")
     r = right.select(*[q(c).alias("__r_" + c if c in keys else c) for c in right.columns])
@@ -68,7 +51,7 @@ def crosswalk_join(df: DataFrame, crosswalk: DataFrame, source_col: str, crosswa
     crosswalk_source_col = crosswalk_source_col or source_col
     cw = crosswalk if crosswalk_source_col == source_col else crosswalk.withColumnRenamed(crosswalk_source_col,
                                                                                           source_col)
-    return df.join(bounded_broadcast(cw), on=source_col, how="left")
+    return df.join(cw, on=source_col, how="left")
 
 
 def join_panels(panels: Sequence[DataFrame], keys: Sequence[str] = ("area_code", "date"),
@@ -84,7 +67,7 @@ def join_panels(panels: Sequence[DataFrame], keys: Sequence[str] = ("area_code",
     out = reduce(lambda a, b: a.join(b, on=keys, how=how), panels)
     if names is not None:
         k = name_key or keys[0]
-        out = out.join(bounded_broadcast(names), on=k, how=how)
+        out = out.join(names, on=k, how=how)
     return out
 
 
@@ -132,7 +115,7 @@ def ratio_join_density(population: DataFrame, area: DataFrame, key: str, pop_col
     """Left join area onto population by key; ``out = pop / area``; inputs dropped."""
     require_columns(population, [key, pop_col])
     require_columns(area, [key, area_col])
-    joined = population.join(bounded_broadcast(area.select(key, area_col)), on=key, how="left")
+    joined = population.join(area.select(key, area_col), on=key, how="left")
     out = joined.withColumn(out_col, F.try_divide(q(pop_col).cast("double"), q(area_col).cast("double")))
     return out if keep_inputs else out.drop(pop_col, area_col)
 
@@ -216,21 +199,18 @@ def ordered_split(df: DataFrame, order: Sequence[str] = ("area_code", "date"), t
 
 def date_split(df: DataFrame, date_col: str = "date", test_fraction: float = 0.1) -> tuple[DataFrame, DataFrame]:
     """L4 (chronological): test = the latest dates that together hold at least
-    ``ceil(test_fraction * n)`` rows. Counts per date (one row per month) decide the cut."""
+    ``ceil(test_fraction * n)`` rows. Counts per date (one row per month) decide the cut.
+    Rows without a date are in the training part."""
     require_columns(df, date_col)
     per_date = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col(date_col).desc()).collect()
     total = sum(r["n"] for r in per_date)
     need = math.ceil(test_fraction * total)
     acc, cutoff = 0, None
     for r in per_date:
-        if acc >= need:
+        if acc >= need or r[date_col] is None:
             break
         acc += r["n"]
         cutoff = r[date_col]
     if cutoff is None:
         return df, df.limit(0)
-    return df.where(q(date_col) < F.lit(cutoff)), df.where(q(date_col) >= F.lit(cutoff))
-
-
-def sum_column(cols: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a + b, cols)
+    return df.where(q(date_col).isNull() | (q(date_col) < F.lit(cutoff))), df.where(q(date_col) >= F.lit(cutoff))

@@ -38,7 +38,6 @@ from pyspark.sql import types as T
 
 from ..session import reliable_checkpoint
 from .checks import require_columns
-from .relational import bounded_broadcast
 
 VERTEX_COLS = ["area_code", "part", "ring", "seq", "x", "y"]
 
@@ -166,7 +165,7 @@ def overlap_area(src: DataFrame, dst: DataFrame, key: str = "area_code", cell: f
     # Pairs of neighbouring areas are few next to the edges: they are written once
     # (shared checkpoint folder) and broadcast behind the row bound, so the edge
     # tables are not shuffled to meet them.
-    pairs = bounded_broadcast(reliable_checkpoint(pairs))
+    pairs = reliable_checkpoint(pairs)
     # Edges and ring areas are derived once per layer and feed both the winding fix
     # and the polygon areas.
     e_s, e_d = edges(src), edges(dst)
@@ -249,7 +248,7 @@ def crosswalk_reweight(values: DataFrame, crosswalk: DataFrame, value_cols: list
         ["overlap_area"] if kind == "rate" else [])), source_col)
     if kind == "count":
         return (j.groupBy(target_col, *group_cols)
-                .agg(*[F.sum(F.col(v) * F.col(weight_col)).alias(v) for v in value_cols]))
+                .agg(*[F.coalesce(F.sum(F.col(v) * F.col(weight_col)), F.lit(0.0)).alias(v) for v in value_cols]))
     share = F.col("overlap_area")
     return (j.groupBy(target_col, *group_cols)
             .agg(*[(F.sum(F.col(v) * share) / F.sum(F.when(F.col(v).isNotNull(), share))).alias(v)

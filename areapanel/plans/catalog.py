@@ -21,7 +21,6 @@ from ..operators import checks as C
 from ..operators import columns as B
 from ..operators import relational as R
 from ..operators import timeseries as TS
-from ..session import spread_scan
 from . import standins as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -51,7 +50,7 @@ def q_monthly_area_counts(spark: SparkSession, sf: str) -> DataFrame:
     code lookup on the name key → first-of-month date."""
     nation = S.table(spark, sf, "nation")
     rows = (S.order_rows(spark, sf)
-            .join(R.bounded_broadcast(nation.select("n_nationkey", "n_name")),
+            .join(nation.select("n_nationkey", "n_name"),
                   F.col("c_nationkey") == F.col("n_nationkey"))
             .select(F.col("n_name").alias("ward_name"), F.col("c_mktsegment").alias("council_name"),
                     F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
@@ -79,7 +78,7 @@ def q_group_sum(spark, sf):
 @register
 def q_group_sum_wide(spark, sf):
     nation = S.table(spark, sf, "nation").select("n_nationkey", "n_name")
-    rows = (S.order_rows(spark, sf).join(R.bounded_broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = (S.order_rows(spark, sf).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(F.col("c_mktsegment").alias("council_name"), F.col("n_name").alias("ward_name"),
                     F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
                     F.col("o_orderstatus").alias("crime_group"), F.col("o_orderpriority").alias("group_description"),
@@ -281,7 +280,7 @@ def q_to_month_date(spark, sf):
 
 @register
 def q_normalise_name(spark, sf):
-    d = spread_scan(S.table(spark, sf, "documents").select("doc_id", "text"))
+    d = S.table(spark, sf, "documents").select("doc_id", "text")
     return d.select("doc_id", normalise_name_expr("text").alias("name_key"))
 
 

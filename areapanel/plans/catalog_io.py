@@ -132,7 +132,7 @@ def q_links_by_title(spark, sf):
 
 @register
 def q_nth_link_by_regex(spark, sf):
-    return L.nth_link_by_regex(S.table(spark, sf, "pages"), r"^/[a-z]", n=1, base_col="url")
+    return L.nth_link_by_regex(S.table(spark, sf, "pages"), r"^/[a-z]", n=1, base_col="url", on_missing="drop")
 
 
 @register

@@ -121,10 +121,12 @@ def education_job(raw_2011: DataFrame, raw_2022: DataFrame, lookup_2007: DataFra
     e22 = _education_year(raw_2022, spec_2022, lookup_2022, "2022")
     e22 = B.subset_columns(e22, ["ward_code_2022", "pop_with_qual", "pop_without_qual"])  # X2: no name column
     e22 = B.set_date(e22, "date", spec_2022["date"])
-    both = R.stack_frames([e11, e22]).withColumnRenamed("ward_code_2022", "ward_code")
+    # Rows that matched no ward belong to no series.
+    both = R.stack_frames([e11, e22]).withColumnRenamed("ward_code_2022", "ward_code").where("ward_code IS NOT NULL")
     out = TS.densify_linear(both, "ward_code", "date", ["pop_with_qual", "pop_without_qual"])
     out = out.select("ward_code", "pop_with_qual", "pop_without_qual", "date")
     if check:
+        out = reliable_checkpoint(out)  # the checks read it three times
         cols = ["ward_code", "pop_with_qual", "pop_without_qual", "date"]
         C.enforce(out, {
             "timeseries": lambda d: C.check_month_series(d, "ward_code", "date", start=spec_2011["date"]),
@@ -173,7 +175,7 @@ def employment_job(raw_2011: DataFrame, raw_2022: DataFrame, lookup_2007: DataFr
     d22 = B.drop_columns(d22, "ward_name_2022").withColumnRenamed("ward_code_2022", "ward_code")
     d22 = B.set_date(d22, "date", spec_2022["date"])
 
-    both = R.stack_frames([d11, d22])
+    both = R.stack_frames([d11, d22]).where("ward_code IS NOT NULL")
     out = TS.densify_linear(both, "ward_code", "date", keep)
     return out.select("ward_code", "date", *keep)
 

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.checks import require_columns
-from ..operators.relational import bounded_broadcast
 from ..sources.sql import param_sql
 
 # V4 response shapes: column → type, in response order.
@@ -60,7 +59,7 @@ def map_slice(panel: DataFrame, names: DataFrame, date: str, key: str = "area_co
     """V5: one month of the panel with names (inner join) and ``ln(value)`` for a
     log colour scale (NULL for 0, where pandas gives -inf)."""
     month = panel.where(F.col("date") == F.lit(date).cast("date"))
-    return (month.join(bounded_broadcast(names), key, "inner")
+    return (month.join(names, key, "inner")
             .withColumn(f"log_{value}", F.ln(F.col(value))))
 
 

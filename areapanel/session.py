@@ -81,15 +81,6 @@ def reliable_checkpoint(df):
     return df.checkpoint()
 
 
-def spread_scan(df):
-    """Round-robin ``df`` over the cluster's cores only when its scan yields fewer
-    partitions than that (e.g. one large parquet row group, which Spark cannot
-    split). For CPU-heavy per-row text work the shuffle costs far less than idle
-    cores; a large input already has enough partitions and is left unshuffled."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder, removed when the
     application ends.

@@ -90,7 +90,7 @@ def pick_sheet(df: DataFrame, sheet: str, sheet_col: str = "sheet", drop_sheet_c
     picked = df.where(q(sheet_col) == F.lit(sheet))
     if picked.limit(1).count() == 0:
         sheets = sorted(r[0] for r in df.select(sheet_col).distinct().collect())
-        raise KeyError(f"Year {sheet} not present in data keys, only {sheets}")
+        raise KeyError(f"no sheet {sheet!r}; the sheets are {sheets}")
     return picked.drop(sheet_col) if drop_sheet_col else picked
 
 
@@ -128,18 +128,24 @@ def read_raw_rows(spark: SparkSession, paths: str | Sequence[str], sep: str = ",
     return parsed.select("_file", "_row", *[F.col("_r").getField(f"_c{i}").alias(f"_c{i}") for i in range(n_cols)])
 
 
-def promote_header(df: DataFrame, regex: str, row_col: str = "_row", drop: Sequence[str] = ("_file",)) -> DataFrame:
-    """The first row (by ``row_col``) with any cell matching ``regex`` becomes the
-    header; it and the rows above it are dropped. No match leaves ``df`` unchanged.
+def promote_header(df: DataFrame, regex: str, row_col: str = "_row", file_col: str = "_file") -> DataFrame:
+    """In each file the first row (by ``row_col``) with any cell matching ``regex`` is the
+    header; it and the rows above it are dropped. Files must agree on the header, and one
+    without it, among others that have it, is an error. No match at all leaves ``df`` unchanged.
 
-    Two small jobs: the header position (``min``) and the header row itself.
+    Two small jobs over one row a file: how many files have a header, and the distinct headers.
     """
-    cells = [c for c in df.columns if c != row_col and c not in drop]
+    cells = [c for c in df.columns if c not in (row_col, file_col)]
+    files = [file_col] if file_col in df.columns else []
     hit = reduce(lambda a, b: a | b, [F.coalesce(q(c).rlike(regex), F.lit(False)) for c in cells])
-    pos = df.where(hit).agg(F.min(row_col)).first()[0]
-    if pos is None:
+    tops = df.groupBy(*files).agg(F.min_by(F.struct(row_col, *[q(c) for c in cells]), F.when(hit, F.col(row_col))).alias("_top"))
+    headers = tops.select(F.struct(*[F.col("_top").getField(c).alias(c) for c in cells]).alias("h"),
+                          F.col("_top").isNotNull().alias("found")).distinct().limit(3).collect()
+    if not any(r["found"] for r in headers):
         return df
-    header = df.where(F.col(row_col) == pos).select(*cells).first()
-    names = [str(header[c]) if header[c] is not None else c for c in cells]
-    body = df.where(F.col(row_col) > pos)
-    return body.select(*[q(c).alias(n) for c, n in zip(cells, names)])
+    if len(headers) > 1:
+        raise ValueError(f"the files do not share one header: {[tuple(r['h']) if r['found'] else None for r in headers]}")
+    names = [headers[0]["h"][c] if headers[0]["h"][c] is not None else c for c in cells]
+    starts = tops.select(*files, F.col("_top").getField(row_col).alias("_start"))
+    body = df.join(starts, files) if files else df.crossJoin(starts)
+    return body.where(F.col(row_col) > F.col("_start")).select(*[q(c).alias(n) for c, n in zip(cells, names)])

@@ -40,12 +40,11 @@ def links_by_title(pages: DataFrame, needle: str, base_url: str, attr: str = "ti
 
 def nth_link_by_regex(pages: DataFrame, regex: str, n: int = 0, base_col: str | None = "url",
                       base_url: str | None = None, id_col: str = "page_id", html_col: str = "html",
-                      on_missing: str = "drop") -> DataFrame:
+                      on_missing: str = "error") -> DataFrame:
     """Per page, the ``n``-th (0-based) anchor whose ``href`` matches ``regex``
     anywhere, resolved against the page URL (or ``base_url``).
 
-    ``on_missing='error'`` fails the job for a page with too few matches, as the
-    reference raises; ``'drop'`` leaves such pages out.
+    A page with too few matches fails the job; ``on_missing='drop'`` leaves such pages out.
     """
     keep = [base_col] if base_col and not base_url else []
     links = page_links(pages, id_col, html_col, keep=keep).where(F.col("href").rlike(regex))
@@ -59,7 +58,7 @@ def nth_link_by_regex(pages: DataFrame, regex: str, n: int = 0, base_col: str |
         short = pages.select(id_col).join(counts, id_col, "left").where(F.coalesce("_m", F.lit(0)) <= n)
         bad = short.select(id_col, F.coalesce("_m", F.lit(0)).alias("_m")).take(5)
         if bad:
-            raise ValueError(f"match_index {n} is out of bounds on pages {[(r[0], r[1]) for r in bad]}")
+            raise ValueError(f"link number {n} does not exist on these pages (page, links): {[(r[0], r[1]) for r in bad]}")
     return picked
 
 
