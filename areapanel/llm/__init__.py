@@ -1,6 +1,24 @@
 """Operators that prepare text for language-model training. Nothing else in the library imports this subpackage."""
 
+import ctypes
+import functools
+
 import pyarrow as pa
 
 # Python workers live on from task to task: freed Arrow memory goes back to the system, not to a pool.
 pa.set_memory_pool(pa.system_memory_pool())
+
+
+def tidy(task):
+    """``task`` (an iterator of batches to another) that hands the worker's freed memory back at its end, where the C
+    library can."""
+
+    @functools.wraps(task)
+    def run(batches):
+        yield from task(batches)
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):
+            pass
+
+    return run

@@ -12,6 +12,7 @@ all their characters are of alphabets on which both agree.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import os
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from areapanel.llm import tidy
 from areapanel.llm.shingles import _power_tables, mix, text_blocks
 
 #: Bytes the rolling hash sees, and the mean size of a chunk as a power of two.
@@ -99,17 +101,22 @@ class ChunkEncoder:
     """Ids of many texts by one tokenizer (the JSON text of its file)."""
 
     def __init__(self, tokenizer_json: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_str(tokenizer_json)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.source = tokenizer_json
         self.special = [t["content"].encode() for t in json.loads(tokenizer_json).get("added_tokens", [])]
         self.fast = _fast_encoding(json.loads(tokenizer_json))
         self.chunks: dict[bytes, np.ndarray] = {}
         self.held = 0
 
+    @functools.cached_property
+    def library(self):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_str(self.source)
+        found.no_truncation()
+        found.no_padding()
+        return found
+
     def _learn(self, chunk: bytes) -> np.ndarray:
         if self.fast and _SETTLED.fullmatch(chunk) and not any(t in chunk for t in self.special):
             return self.fast.encode_to_numpy(chunk.decode(), disallowed_special=())
@@ -177,15 +184,10 @@ class Decoder:
         return self.data[at].tobytes().decode("utf-8", errors="replace")
 
 
-_coders: dict[str, tuple[ChunkEncoder, Decoder]] = {}
-
-
-def coder(tokenizer_json: str) -> tuple[ChunkEncoder, Decoder]:
-    """Encoder and decoder of this worker process: what one task has learned serves the next."""
-    if tokenizer_json not in _coders:
-        _coders.clear()
-        _coders[tokenizer_json] = ChunkEncoder(tokenizer_json), Decoder(tokenizer_json)
-    return _coders[tokenizer_json]
+@functools.lru_cache(1)
+def encoder_of(tokenizer_json: str) -> ChunkEncoder:
+    """The encoder of this worker process: what one task has learned serves the next."""
+    return ChunkEncoder(tokenizer_json)
 
 
 def read_tokenizer(docs: DataFrame, path: str):
@@ -204,7 +206,7 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text
     shared = read_tokenizer(docs, tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = coder(shared.value)
+        encoder, decoder = encoder_of(shared.value), Decoder(shared.value)
         for batch in batches:
             counts, digests, decoded = [], [], []
             for ids in encoder.encode(batch.column(1).to_pylist()):
@@ -215,5 +217,5 @@ def encode_and_decode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text
                                               pa.array(decoded, pa.string())], ["key", "n", "ids", "decoded"])
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"key {kind}, n long, ids string, decoded string").toDF(
+    return rows.mapInArrow(tidy(run), f"key {kind}, n long, ids string, decoded string").toDF(
         key, "n_tokens", "ids_sha256", "decoded_sha256")

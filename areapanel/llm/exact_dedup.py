@@ -19,8 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from areapanel.llm import tidy
+
 #: Bytes of edge labels a trie holds before it spills a subtree; bytes of texts a task remembers to drop its repeats.
-TRIE_BYTES, SEEN_BYTES = 96 << 20, 32 << 20
+TRIE_BYTES, SEEN_BYTES = 64 << 20, 16 << 20
 
 _SPACES = b" \t\n\r\x0b\x0c"
 
@@ -196,9 +198,9 @@ def _owners(docs: DataFrame, key: str, text: str) -> DataFrame:
              pa.array(copies, pa.int64())], ["text_sha256", "n_bytes", "keep_id", "group_size"])
 
     body = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text"))
-    distinct = body.mapInArrow(own, f"key {kind}, copies long, n_bytes long, text binary")
+    distinct = body.mapInArrow(tidy(own), f"key {kind}, copies long, n_bytes long, text binary")
     dealt = distinct.repartition("n_bytes", F.xxhash64("text"))
-    return dealt.mapInArrow(insert, f"text_sha256 string, n_bytes long, keep_id {kind}, group_size long")
+    return dealt.mapInArrow(tidy(insert), f"text_sha256 string, n_bytes long, keep_id {kind}, group_size long")
 
 
 def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -219,7 +221,7 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                  pa.array(list(map(len, texts)), pa.int64())], ["key", "text_sha256", "n_bytes"])
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text")).mapInArrow(
-        digest, f"key {kind}, text_sha256 string, n_bytes long")
+        tidy(digest), f"key {kind}, text_sha256 string, n_bytes long")
     found = rows.join(_owners(docs, key, text), ["text_sha256", "n_bytes"])
     return found.select(F.col("key").alias(key), "keep_id", "group_size",
                         F.col("key").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")

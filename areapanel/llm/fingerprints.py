@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from areapanel.llm import tidy
 from areapanel.llm.shingles import mix, word_counts
 
 #: Samples of a fingerprint (4 hex digits each), slots for weighted words whose draws a task remembers, and words of a
@@ -153,5 +154,5 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
             ["key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
     return _in_order(docs, key, text).mapInArrow(
-        walk, f"key {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+        tidy(walk), f"key {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
               "near_edited double, near_next double").withColumnRenamed("key", key)

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from areapanel.llm import tidy
+
 #: Labelled pages to learn from, at most about; labelled pages that must have an element before its place counts.
 LABELLED_PAGES, SUPPORT = 2000, 20
 #: Score of a word, of a word in boilerplate, and the range of a tag's score.
@@ -157,7 +159,7 @@ def learn_weights(pages: DataFrame, html: str = "html") -> Weights:
                  pa.array([counts[k] if not k[3] else 0 for k in keys], pa.int64()),
                  pa.array([counts[k] if k[3] else 0 for k in keys], pa.int64())], ["name", "signature", "inside", "uses", "pages"])
 
-    rows = drawn.mapInArrow(places, "name string, signature string, inside long, uses long, pages long").groupBy(
+    rows = drawn.mapInArrow(tidy(places), "name string, signature string, inside long, uses long, pages long").groupBy(
         "name", "signature").agg(*(F.sum(c).alias(c) for c in ("inside", "uses", "pages"))).where(
         F.col("pages") >= SUPPORT).toArrow().to_pylist()
     tags: dict[str, float] = {}
@@ -191,4 +193,4 @@ def extract_text(pages: DataFrame, weights: Weights, html: str = "html", keep: t
                 [*keep, "text", "n_chars"])
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:]]
-    return rows.mapInArrow(extract, ", ".join([*kinds, "text string", "n_chars long"]))
+    return rows.mapInArrow(tidy(extract), ", ".join([*kinds, "text string", "n_chars long"]))

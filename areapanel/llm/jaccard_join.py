@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from areapanel.llm import tidy
 from areapanel.llm.components import connected_components
 from areapanel.llm.shingles import shingle_sets
 from areapanel.session import drop_scratch, write_scratch
@@ -59,7 +60,7 @@ def _order(docs: DataFrame, key: str, text: str, width: int) -> np.ndarray:
             values, counts = np.unique(flat, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], ["shingle", "n"])
 
-    found = sample.mapInArrow(shingles, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    found = sample.mapInArrow(tidy(shingles), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     rows = found.where(F.col("n") >= COMMON).orderBy(F.desc("n"), "shingle").limit(ORDER_SIZE).select("shingle").toArrow()
     return rows.column(0).to_numpy().view(np.uint64)
 
@@ -109,7 +110,7 @@ def _summaries(docs: DataFrame, key: str, text: str, width: int, percent: int, c
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text")).mapInArrow(
-        summarise, f"key {kind}, n long, signature binary, first array<long>, bitmap array<long>")
+        tidy(summarise), f"key {kind}, n long, signature binary, first array<long>, bitmap array<long>")
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
@@ -179,7 +180,7 @@ class _Join:
 
         rows = docs.select(F.pmod(F.xxhash64(self.key), F.lit(FILTER_BITS)).alias("bit"),
                            F.col(self.text).cast("binary").alias("text"))
-        found = rows.mapInArrow(hashed, "signature binary, s array<long>")
+        found = rows.mapInArrow(tidy(hashed), "signature binary, s array<long>")
         return self.write(found.join(wanted.select("cid", "signature"), "signature").groupBy("signature").agg(
             F.first("cid").alias("cid"), F.first("s").alias("s")).select("cid", "s"), "sets")
 

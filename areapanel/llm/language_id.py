@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from areapanel.llm import tidy
 from areapanel.llm.letters import blocks, grams, list_views
 
 #: Labelled rows to train on for each language, and n-gram sizes, buckets and width of the embedding.
@@ -91,7 +92,7 @@ def train(docs: DataFrame, usable: Column, text: str = "text", language: str = "
                 [pa.array([x[0] for x in found], pa.list_(pa.int32())), pa.array([x[1] for x in found], pa.list_(pa.int32())),
                  batch.column(1), batch.column(2)], ["bucket", "n", "language", "h"])
 
-    got = sample.mapInArrow(features, "bucket array<int>, n array<int>, language string, h long").toArrow()
+    got = sample.mapInArrow(tidy(features), "bucket array<int>, n array<int>, language string, h long").toArrow()
     names = got["language"].to_pylist()
     order = np.lexsort((names, got["h"].to_numpy()))
     buckets, counts = list_views(got["bucket"]), list_views(got["n"])
@@ -157,7 +158,7 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
                  pa.array(~letters | (score < model.threshold), pa.bool_())], ["key", "lang_pred", "score", "rejected"])
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(predict, f"key {kind}, lang_pred string, score double, rejected boolean").withColumnRenamed(
+    return rows.mapInArrow(tidy(predict), f"key {kind}, lang_pred string, score double, rejected boolean").withColumnRenamed(
         "key", key)
 
 
@@ -177,4 +178,4 @@ def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text") -
             p, letters = model.scores(batch.column(place).to_pylist())
             yield batch.filter(pa.array(letters & (p.max(axis=1, initial=0.0) >= model.threshold), pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(tidy(keep), docs.schema)

@@ -21,7 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areapanel.llm.bpe import coder, read_tokenizer
+from areapanel.llm import tidy
+from areapanel.llm.bpe import encoder_of, read_tokenizer
 from areapanel.llm.sharding import with_slot
 from areapanel.session import write_scratch
 
@@ -130,7 +131,7 @@ def _cut_documents(docs: DataFrame, tokenizer: str, key: str, text: str, window:
     shared = read_tokenizer(docs, tokenizer)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, _ = coder(shared.value)
+        encoder = encoder_of(shared.value)
         for batch in batches:
             source, rows = [], []
             for i, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
@@ -157,7 +158,7 @@ def _cut_documents(docs: DataFrame, tokenizer: str, key: str, text: str, window:
                 ["key", "start", "length", "crc", "doc_tokens", "marks"])
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text")).mapInArrow(
-        cut, f"key {kind}, start long, length long, crc long, doc_tokens long, marks binary")
+        tidy(cut), f"key {kind}, start long, length long, crc long, doc_tokens long, marks binary")
     return rows.withColumn("row", F.monotonically_increasing_id())
 
 
@@ -227,7 +228,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: s
     pack, schema = _greedy(window, kind)
     rest = placed.where("offset IS NULL").select("row", "key", "start", "length", "crc", "doc_tokens", "marks")
     greedy = rest.repartition(tasks, F.xxhash64("row")).sortWithinPartitions("row").select(
-        "key", "start", "length", "crc", "doc_tokens", "marks").mapInArrow(pack, schema).withColumn(
+        "key", "start", "length", "crc", "doc_tokens", "marks").mapInArrow(tidy(pack), schema).withColumn(
         "sequence_id", F.col("sequence_id") + (1 << 61))
     return planned.unionByName(greedy).unionByName(whole).select(
         F.col("key").alias(key), "start", "length", F.col("crc").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

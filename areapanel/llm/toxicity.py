@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from areapanel.llm import tidy
 from areapanel.llm.letters import letter_words, list_views
 from areapanel.llm.shingles import shingle_sets
 
@@ -109,7 +110,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             yield pa.RecordBatch.from_arrays([batch.column(1), found, batch.column(2)], ["id", "x", "y"])
 
     kind = docs.schema[key].dataType.simpleString()
-    got = rows.mapInArrow(features, f"id {kind}, x array<int>, y array<double>").toArrow().sort_by("id")
+    got = rows.mapInArrow(tidy(features), f"id {kind}, x array<int>, y array<double>").toArrow().sort_by("id")
     if not len(got):
         raise ValueError("no labelled row to learn from")
     x = list_views(got["x"])
@@ -153,4 +154,4 @@ def score_toxicity(docs: DataFrame, chain: Chain, key: str = "doc_id", text: str
 
     columns = ", ".join(f"`p_{c}` double, `{c}` boolean" for c in chain.categories)
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
-        score, f"key {kind}, {columns}").withColumnRenamed("key", key)
+        tidy(score), f"key {kind}, {columns}").withColumnRenamed("key", key)
