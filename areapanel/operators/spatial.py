@@ -6,37 +6,30 @@ holes, ``seq`` orders the vertices. No geometry library is used.
 
 Overlap (I4) without a spatial index or theta join
 -------------------------------------------------
-A polygon's indicator function is a signed sum of "trapezoids under its edges"
-(an edge running right-to-left adds the area below it, one running
-left-to-right subtracts it, once rings have consistent winding). Hence
-
-    area(A ∩ B) = Σ over edge pairs (a, b)  s_a · s_b · ∫ min(f_a(x), f_b(x)) dx
-
-over the x-range both edges share, with heights measured from a baseline below
-both polygons. The integral of the minimum of two straight lines is closed
-form. The job is:
-
-1. candidate pairs: bounding boxes are bucketed on a grid (equi-join on the cell)
-   and each pair is kept once, in the cell holding the lower-left corner of the
-   box intersection (no ``distinct``);
-2. every edge of a candidate pair is cut at fixed x-slab boundaries chosen per pair
-   from its edge density (the integral adds over x, so cutting is exact);
-3. an equi-join on ``(pair, slab)`` pairs edges that share x-range; the slab keeps
-   each group to the few edges crossing one narrow strip;
-4. closed-form integrals are summed per pair (partial aggregation).
+Both layers are cut by square grids and compared cell by cell, one polygon part at a time.
+
+1. Candidate pairs: a box lives on the grid level (cell size a power of two) that its own size asks for, so it touches at
+   most four cells, and is repeated on the coarser levels the other layer uses. A pair meets once, on the level of its
+   larger box, in the cell that holds the lower-left corner of the box intersection (no ``distinct``).
+2. A pair is compared on cells of about the size of its smaller box, finer where both outlines are dense, and only on
+   cells of its box intersection.
+3. Each polygon is cut once per level. Inside a cell its indicator function is a signed sum of areas under line pieces:
+   its clipped edges, a piece along the cell's top from each place where the outline crosses the top, and one along the
+   whole top when the upper left corner is inside. The corner is found by a running sum down the grid line. Edges meet
+   pairs by (polygon, level, cell), never by polygon alone.
+4. ``area(A and B in the cell) = sum of s_a * s_b * integral of min(f_a, f_b)`` over pieces that share x-range. The integral
+   of the lower of two lines is closed form; it is summed per cell, then per pair.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import reliable_checkpoint
+from ..session import drop_scratch, reliable_checkpoint, write_scratch
 from .checks import require_columns
 
 VERTEX_COLS = ["area_code", "part", "ring", "seq", "x", "y"]
@@ -106,109 +99,185 @@ def polygon_area(vertices: DataFrame, key: str = "area_code", out_col: str = "ar
 
 
 def bounds(vertices: DataFrame, key: str = "area_code") -> DataFrame:
-    return vertices.groupBy(key).agg(F.min("x").alias("xmin"), F.min("y").alias("ymin"),
-                                     F.max("x").alias("xmax"), F.max("y").alias("ymax"),
-                                     F.count(F.lit(1)).alias("n_vertices"))
+    """Box, size (longer side) and vertex count of every polygon part with an extent, as ``poly = (key, part)``."""
+    b = (vertices.groupBy(F.struct(F.col(key).alias("area_code"), F.col("part")).alias("poly"))
+         .agg(F.min("x").alias("xmin"), F.min("y").alias("ymin"), F.max("x").alias("xmax"), F.max("y").alias("ymax"),
+              F.count(F.lit(1)).alias("n_vertices")))
+    return (b.where((F.col("xmin") < F.col("xmax")) & (F.col("ymin") < F.col("ymax")))
+            .withColumn("size", F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))))
 
 
 # --- overlap ----------------------------------------------------------------------------------
 
-def _cells(b: DataFrame, cell: float) -> DataFrame:
-    """Explode each bounding box into the grid cells it touches."""
-    return (b.withColumn("cx", F.explode(F.sequence(F.floor(F.col("xmin") / cell), F.floor(F.col("xmax") / cell))))
-            .withColumn("cy", F.explode(F.sequence(F.floor(F.col("ymin") / cell), F.floor(F.col("ymax") / cell)))))
-
-
-def candidate_pairs(src_bounds: DataFrame, dst_bounds: DataFrame, cell: float) -> DataFrame:
-    """Pairs whose boxes overlap: ``(src, dst, box stats)``, each pair once."""
-    a = _cells(src_bounds, cell).select(
-        F.col("area_code").alias("src"), "cx", "cy", *[F.col(c).alias("a_" + c) for c in
-                                                       ("xmin", "ymin", "xmax", "ymax", "n_vertices")])
-    b = _cells(dst_bounds, cell).select(
-        F.col("area_code").alias("dst"), "cx", "cy", *[F.col(c).alias("b_" + c) for c in
-                                                       ("xmin", "ymin", "xmax", "ymax", "n_vertices")])
-    j = a.join(b, ["cx", "cy"])
-    ix0 = F.greatest("a_xmin", "b_xmin")
-    iy0 = F.greatest("a_ymin", "b_ymin")
-    overlap = (ix0 < F.least("a_xmax", "b_xmax")) & (iy0 < F.least("a_ymax", "b_ymax"))
-    home = (F.floor(ix0 / cell) == F.col("cx")) & (F.floor(iy0 / cell) == F.col("cy"))
-    return j.where(overlap & home).drop("cx", "cy")
-
-
-def overlap_area(src: DataFrame, dst: DataFrame, key: str = "area_code", cell: float | None = None,
-                 slab_edges: float = 4.0, rel_eps: float = 1e-9) -> DataFrame:
+CELL_EDGES = 8  # edges of the sparser outline per cell that the cell size of a pair aims at
+LEVEL_SPAN = 14  # a pair's cells are at most 2**14 times smaller than its larger box
+
+
+def _level(size: Column) -> Column:
+    """Exponent of the smallest power of two that is not below ``size``."""
+    return F.ceil(F.log2(size)).cast("int")
+
+
+def _cell_size(level: str = "level") -> Column:
+    return F.pow(F.lit(2.0), F.col(level))
+
+
+def _index(x: Column, cell: Column) -> Column:
+    return F.floor(x / cell)
+
+
+def _whole(start: Column, end: Column) -> Column:
+    """``start .. end`` as an array, NULL (no rows when exploded) if empty."""
+    return F.when(start <= end, F.sequence(start, F.greatest(start, end)))
+
+
+def _on_levels(b: DataFrame, other: DataFrame, own_kinds: list[int], lifted_kind: int) -> DataFrame:
+    """Boxes in the cells they touch, on their own level and on the coarser ones of ``other``. ``kind`` tells whose own
+    level a meeting is on, so boxes that are both lifted never meet. Levels are at most the exponents of a double."""
+    used = other.agg(F.collect_set("own").alias("ls")).scalar()
+    lifted = F.transform(F.filter("used", lambda l: l > F.col("own")),
+                         lambda l: F.struct(l.alias("level"), F.lit(lifted_kind).alias("kind")))
+    own = F.array(*[F.struct(F.col("own").alias("level"), F.lit(k).alias("kind")) for k in own_kinds])
+    at = b.withColumn("used", used).withColumn("at", F.explode(F.concat(own, lifted)))
+    at = at.select("*", "at.level", "at.kind").drop("at", "used")
+    c = _cell_size()
+    return (at.withColumn("cx", F.explode(F.sequence(_index(F.col("xmin"), c), _index(F.col("xmax"), c))))
+            .withColumn("cy", F.explode(F.sequence(_index(F.col("ymin"), c), _index(F.col("ymax"), c)))))
+
+
+def candidate_pairs(src_bounds: DataFrame, dst_bounds: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of polygon parts whose boxes overlap, each once, with the box intersection
+    ``(ix0, iy0, ix1, iy1)`` and the ``level`` of the cells they are compared on."""
+    box = ["xmin", "ymin", "xmax", "ymax", "n_vertices", "size"]
+    sb = src_bounds.withColumn("own", _level(F.col("size")))
+    db = dst_bounds.withColumn("own", _level(F.col("size")))
+    at = ["kind", "level", "cx", "cy"]
+    a = _on_levels(sb, db, [0], 1).select(*at, F.col("poly").alias("a"), *[F.col(c).alias("a_" + c) for c in box])
+    b = _on_levels(db, sb, [0, 1], 0).select(*at, F.col("poly").alias("b"), *[F.col(c).alias("b_" + c) for c in box])
+    ix0, iy0 = F.greatest("a_xmin", "b_xmin"), F.greatest("a_ymin", "b_ymin")
+    ix1, iy1 = F.least("a_xmax", "b_xmax"), F.least("a_ymax", "b_ymax")
+    c = _cell_size()
+    home = (_index(ix0, c) == F.col("cx")) & (_index(iy0, c) == F.col("cy"))
+    j = a.join(b, at).where((ix0 < ix1) & (iy0 < iy1) & home)
+    small, big = F.least("a_size", "b_size"), F.greatest("a_size", "b_size")
+    near = F.least(*[F.col(s + "_n_vertices") * small / F.col(s + "_size") for s in "ab"])
+    finer = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(near / CELL_EDGES, F.lit(1.0))) / 2).cast("int"))
+    return j.select("a", "b", ix0.alias("ix0"), iy0.alias("iy0"), ix1.alias("ix1"), iy1.alias("iy1"),
+                    F.greatest(_level(small) - finer, _level(big) - LEVEL_SPAN).alias("level"))
+
+
+def _pieces(e: DataFrame, cells: DataFrame) -> DataFrame:
+    """Signed line pieces ``(poly, level, cx, cy, xl, xr, hl, hr, s)`` of every polygon of ``e`` (oriented edges) in the
+    cells ``(poly, level, cx, cy)``, heights counted from the cell's bottom; other cells may come along."""
+    at = ["poly", "level", "cx", "cy"]
+    le = (e.select(F.struct("area_code", "part").alias("poly"), "x1", "y1", "x2", "y2")
+          .join(cells.select("poly", "level").distinct(), "poly").withColumn("c", _cell_size()))
+    c = F.col("c")
+    x1, y1, x2, y2 = (F.col(n) for n in ("x1", "y1", "x2", "y2"))
+    right_to_left = x1 > x2
+    side = F.when(right_to_left, 1.0).otherwise(-1.0)
+
+    # Clipped edges: first to grid columns, then to grid rows.
+    lx, rx = F.least(x1, x2), F.greatest(x1, x2)
+    ly, ry = F.when(right_to_left, y2).otherwise(y1), F.when(right_to_left, y1).otherwise(y2)
+    cols = le.select("poly", "level", "c", side.alias("s"), lx.alias("lx"), ly.alias("ly"), rx.alias("rx"),
+                     ry.alias("ry"), F.explode(_whole(_index(lx, c), _index(rx, c))).alias("cx"))
+    cols = cols.withColumns({"xa": F.greatest(F.col("lx"), F.col("cx") * c),
+                             "xb": F.least(F.col("rx"), (F.col("cx") + 1) * c)}).where(F.col("xa") < F.col("xb"))
+
+    def y_at(x: str, end: str, y_end: str) -> Column:
+        t = (F.col(x) - F.col("lx")) / (F.col("rx") - F.col("lx"))
+        return F.when(F.col(x) == F.col(end), F.col(y_end)).otherwise(F.col("ly") + (F.col("ry") - F.col("ly")) * t)
+
+    cols = cols.withColumns({"ya": y_at("xa", "lx", "ly"), "yb": y_at("xb", "rx", "ry")})
+    rows = cols.withColumn("cy", F.explode(_whole(_index(F.least("ya", "yb"), c), _index(F.greatest("ya", "yb"), c))))
+    rise = F.col("yb") - F.col("ya")
+
+    def x_at(y: Column) -> Column:
+        return F.col("xa") + (y - F.col("ya")) / F.nullif(rise, F.lit(0.0)) * (F.col("xb") - F.col("xa"))
+
+    bottom, top = x_at(F.col("cy") * c), x_at((F.col("cy") + 1) * c)
+    rows = rows.withColumns({  # greatest and least pass over the NULL of a flat edge
+        "xl": F.greatest(F.col("xa"), F.when(rise > 0, bottom).otherwise(top)),
+        "xr": F.least(F.col("xb"), F.when(rise > 0, top).otherwise(bottom))}).where(F.col("xl") < F.col("xr"))
+
+    def height(x: str) -> Column:
+        y = F.col("ya") + rise * ((F.col(x) - F.col("xa")) / (F.col("xb") - F.col("xa")))
+        return F.greatest(F.lit(0.0), F.least(c, y - F.col("cy") * c))
+
+    clipped = rows.select(*at, "xl", "xr", height("xl").alias("hl"), height("xr").alias("hr"), "s")
+
+    # Crossings of row lines: to the right of one, the outline's share of the line above changes by one.
+    def cross_x(y: Column) -> Column:
+        x = x1 + (x2 - x1) * ((y - y1) / F.nullif(y2 - y1, F.lit(0.0)))
+        return F.greatest(lx, F.least(rx, x))
+
+    ylo, yhi = F.least(y1, y2), F.greatest(y1, y2)
+    tops = le.withColumn("q", F.explode(_whole(_index(ylo, c) + 1, _index(yhi, c))))
+    tops = tops.withColumn("xl", cross_x(F.col("q") * c)).withColumn("cx", _index(F.col("xl"), c))
+    tops = tops.select("poly", "level", "cx", (F.col("q") - 1).alias("cy"), "xl", ((F.col("cx") + 1) * c).alias("xr"),
+                       c.alias("hl"), c.alias("hr"), F.when(y2 > y1, -1.0).otherwise(1.0).alias("s"))
+
+    # Crossings of column lines: the highest row line below each counts towards all corners from there down. Whether an
+    # edge is above a corner is told by the column in which it crosses the row line, so both kinds always agree.
+    sides = le.withColumn("cx", F.explode(_whole(_index(lx, c) + 1, _index(rx, c))))
+    q0 = _index(y1 + (y2 - y1) * ((F.col("cx") * c - x1) / F.nullif(x2 - x1, F.lit(0.0))), c)
+
+    def above(q: Column) -> Column:
+        y = q * c
+        before = _index(cross_x(y), c) < F.col("cx")
+        return F.when((y1 < y) == (y2 < y), y1 >= y).otherwise(F.when((y2 > y1) == (x2 > x1), before).otherwise(~before))
+
+    sides = sides.withColumn("q0", q0)
+    q = F.when(above(F.col("q0") + 1), F.col("q0") + 1).when(above(F.col("q0")), F.col("q0")).otherwise(F.col("q0") - 1)
+    events = (sides.select("poly", "level", "cx", q.alias("q"), side.alias("s")).groupBy("poly", "level", "cx", "q")
+              .agg(F.sum("s").alias("s")).select("*", F.lit(0).alias("asks")))
+    asks = cells.select("poly", "level", "cx", (F.col("cy") + 1).alias("q"), F.lit(0.0).alias("s"), F.lit(1).alias("asks"))
+    down = (Window.partitionBy("poly", "level", "cx").orderBy(F.desc("q"), "asks")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    corners = (events.unionByName(asks).withColumn("s", F.sum("s").over(down))
+               .where((F.col("asks") == 1) & (F.col("s") != 0)).withColumn("c", _cell_size())
+               .select("poly", "level", "cx", (F.col("q") - 1).alias("cy"), (F.col("cx") * c).alias("xl"),
+                       ((F.col("cx") + 1) * c).alias("xr"), c.alias("hl"), c.alias("hr"), "s"))
+    return clipped.unionByName(tops).unionByName(corners)
+
+
+def overlap_area(src: DataFrame, dst: DataFrame, key: str = "area_code", rel_eps: float = 1e-9) -> DataFrame:
     """I4: intersection area of every overlapping (source, target) pair:
     ``(source_code, target_code, overlap_area, source_area)``. Pairs that only touch are dropped
-    (relative to the smaller polygon), as overlays keeping polygon results do.
-
-    ``cell`` is the candidate grid size (default: median box size of the source
-    layer, one small aggregate job). ``slab_edges`` is the target number of edges
-    of the denser polygon per slab.
+    (relative to the smaller polygon), as overlays keeping polygon results do. The result does
+    not depend on cell sizes.
     """
     src = src.select(F.col(key).alias("area_code"), "part", "ring", "seq", "x", "y")
     dst = dst.select(F.col(key).alias("area_code"), "part", "ring", "seq", "x", "y")
-    sb, db = bounds(src), bounds(dst)
-    if cell is None:
-        med = sb.select(F.percentile_approx(F.greatest(F.col("xmax") - F.col("xmin"),
-                                                       F.col("ymax") - F.col("ymin")), 0.5)).first()[0]
-        cell = float(med) if med and med > 0 else 1.0
-    pairs = candidate_pairs(sb, db, cell)
-    # Slab width per pair: the union box width over the denser side's edge count, so a
-    # slab holds about ``slab_edges`` edges of each polygon whatever its size.
-    width = F.greatest("a_xmax", "b_xmax") - F.least("a_xmin", "b_xmin")
-    dens = F.greatest("a_n_vertices", "b_n_vertices")
-    pairs = pairs.select(
-        "src", "dst",
-        F.least("a_ymin", "b_ymin").alias("base"),
-        F.greatest("a_xmin", "b_xmin").alias("lo"), F.least("a_xmax", "b_xmax").alias("hi"),
-        (width * F.lit(slab_edges) / dens).alias("slab_w"))
-    # Pairs of neighbouring areas are few next to the edges: they are written once
-    # (shared checkpoint folder) and broadcast behind the row bound, so the edge
-    # tables are not shuffled to meet them.
-    pairs = reliable_checkpoint(pairs)
-    # Edges and ring areas are derived once per layer and feed both the winding fix
-    # and the polygon areas.
+    pairs = candidate_pairs(bounds(src), bounds(dst)).withColumn("c", _cell_size())
+    c = F.col("c")
+
+    def span(lo: str, hi: str) -> Column:
+        first = _index(F.col(lo), c)
+        return F.sequence(first, F.greatest(first, F.ceil(F.col(hi) / c) - 1))
+
+    # Cells of all pairs are written once: both layers are cut by them and then meet in them.
+    cells = reliable_checkpoint(pairs.withColumn("cx", F.explode(span("ix0", "ix1")))
+                                .withColumn("cy", F.explode(span("iy0", "iy1"))).select("a", "b", "level", "cx", "cy"))
+    at = ["level", "cx", "cy"]
     e_s, e_d = edges(src), edges(dst)
     r_s, r_d = ring_signed_areas(e_s), ring_signed_areas(e_d)
-    ea = _orient(e_s, r_s, "area_code").where(F.col("x1") != F.col("x2"))
-    eb = _orient(e_d, r_d, "area_code").where(F.col("x1") != F.col("x2"))
-    pa = ea.join(pairs, ea.area_code == pairs.src).drop("area_code")
-    pb = eb.join(pairs.select("src", "dst", "base", "lo", "hi", "slab_w"), eb.area_code == pairs.dst) \
-        .drop("area_code")
-
-    def cut(df: DataFrame) -> DataFrame:
-        # Clip each edge to the pair's shared x-range, then to slab lines.
-        xa = F.greatest(F.least("x1", "x2"), F.col("lo"))
-        xb = F.least(F.greatest("x1", "x2"), F.col("hi"))
-        clipped = df.where(xa < xb).select(
-            "src", "dst", "base", "slab_w", "x1", "y1", "x2", "y2", xa.alias("xa"), xb.alias("xb"),
-            F.when(F.col("x1") > F.col("x2"), F.lit(1.0)).otherwise(F.lit(-1.0)).alias("s"))
-        s0 = F.floor(F.col("xa") / F.col("slab_w"))
-        s1 = F.floor(F.col("xb") / F.col("slab_w"))
-        pieces = clipped.withColumn("slab", F.explode(F.sequence(s0.cast("long"), s1.cast("long"))))
-        left = F.greatest(F.col("xa"), F.col("slab") * F.col("slab_w"))
-        right = F.least(F.col("xb"), (F.col("slab") + 1) * F.col("slab_w"))
-
-        def h(x: Column) -> Column:
-            return F.col("y1") + (F.col("y2") - F.col("y1")) * ((x - F.col("x1")) / (F.col("x2") - F.col("x1"))) \
-                - F.col("base")
-
-        return pieces.where(left < right).select("src", "dst", "slab", left.alias("xl"), right.alias("xr"),
-                                                 h(left).alias("hl"), h(right).alias("hr"), "s")
-
-    ca, cb = cut(pa), cut(pb)
-    b = cb.select("src", "dst", "slab", *[F.col(c).alias("b_" + c) for c in ("xl", "xr", "hl", "hr", "s")])
-    j = ca.join(b, ["src", "dst", "slab"])
+    pa = _pieces(_orient(e_s, r_s, "area_code"), cells.select(F.col("a").alias("poly"), *at).distinct())
+    pb = _pieces(_orient(e_d, r_d, "area_code"), cells.select(F.col("b").alias("poly"), *at).distinct())
+    line = ["xl", "xr", "hl", "hr", "s"]
+    j = (pa.withColumnRenamed("poly", "a").join(cells, ["a", *at])
+         .join(pb.select(F.col("poly").alias("b"), *at, *[F.col(n).alias("b_" + n) for n in line]), ["b", *at]))
     xl = F.greatest("xl", "b_xl")
     xr = F.least("xr", "b_xr")
     j = j.where(xl < xr)
 
-    def at(x: Column, l: str, r: str, hl: str, hr: str) -> Column:
+    def at_x(x: Column, l: str, r: str, hl: str, hr: str) -> Column:
         return F.col(hl) + (F.col(hr) - F.col(hl)) * ((x - F.col(l)) / (F.col(r) - F.col(l)))
 
-    aL, aR = at(xl, "xl", "xr", "hl", "hr"), at(xr, "xl", "xr", "hl", "hr")
-    bL, bR = at(xl, "b_xl", "b_xr", "b_hl", "b_hr"), at(xr, "b_xl", "b_xr", "b_hl", "b_hr")
-    t = j.select("src", "dst", (xr - xl).alias("w"), aL.alias("aL"), aR.alias("aR"), bL.alias("bL"),
+    aL, aR = at_x(xl, "xl", "xr", "hl", "hr"), at_x(xr, "xl", "xr", "hl", "hr")
+    bL, bR = at_x(xl, "b_xl", "b_xr", "b_hl", "b_hr"), at_x(xr, "b_xl", "b_xr", "b_hl", "b_hr")
+    t = j.select("a", "b", *at, (xr - xl).alias("w"), aL.alias("aL"), aR.alias("aR"), bL.alias("bL"),
                  bR.alias("bR"), (F.col("s") * F.col("b_s")).alias("ss"))
     dL = F.col("aL") - F.col("bL")
     dR = F.col("aR") - F.col("bR")
@@ -217,7 +286,8 @@ def overlap_area(src: DataFrame, dst: DataFrame, key: str = "area_code", cell: f
     m = F.col("aL") + (F.col("aR") - F.col("aL")) * tt
     cross = F.col("w") * (tt * (F.least("aL", "bL") + m) / 2.0 + (1 - tt) * (m + F.least("aR", "bR")) / 2.0)
     integral = F.when(dL * dR >= 0, no_cross).otherwise(cross)
-    inter = t.groupBy("src", "dst").agg(F.sum(F.col("ss") * integral).alias("overlap_area"))
+    inter = t.groupBy(F.col("a.area_code").alias("src"), F.col("b.area_code").alias("dst")) \
+        .agg(F.sum(F.col("ss") * integral).alias("overlap_area"))
     sizes = _areas(r_s).select(F.col("area_code").alias("src"), F.col("area").alias("_sa"))
     dsizes = _areas(r_d).select(F.col("area_code").alias("dst"), F.col("area").alias("_da"))
     out = inter.join(sizes, "src").join(dsizes, "dst")
@@ -464,81 +534,56 @@ def project_vertices(vertices: DataFrame, to: str = "EPSG:4326") -> DataFrame:
 
 # --- simplification (I6) ----------------------------------------------------------------------
 
-def _douglas_peucker(xy: np.ndarray, tol: float) -> np.ndarray:
-    """Indices kept by Douglas-Peucker on an open polyline (iterative, vectorised)."""
-    n = len(xy)
-    if n <= 2:
-        return np.arange(n)
-    keep = np.zeros(n, dtype=bool)
-    keep[0] = keep[-1] = True
-    stack = [(0, n - 1)]
-    while stack:
-        i, j = stack.pop()
-        if j <= i + 1:
-            continue
-        p, q = xy[i], xy[j]
-        seg = q - p
-        pts = xy[i + 1:j] - p
-        L = float(np.hypot(*seg))
-        if L == 0.0:
-            d = np.hypot(pts[:, 0], pts[:, 1])
-        else:
-            d = np.abs(seg[0] * pts[:, 1] - seg[1] * pts[:, 0]) / L
-        k = int(np.argmax(d))
-        if d[k] > tol:
-            m = i + 1 + k
-            keep[m] = True
-            stack.append((i, m))
-            stack.append((m, j))
-    return np.flatnonzero(keep)
-
-
-def simplify_rings(vertices: DataFrame, tolerance: float, key: str = "area_code",
-                   chunk_size: int = 50_000) -> DataFrame:
-    """Douglas-Peucker on every ring, in bounded pieces (``applyInPandas``).
-
-    A ring is cut into chunks of ``chunk_size`` consecutive positions (``seq``); each
-    chunk is simplified as an open polyline that ends at the first vertex of the next
-    chunk (the ring's first vertex for the last chunk). Chunk ends are always kept, so
-    every input vertex stays within ``tolerance`` of the output and no group holds
-    more than ``chunk_size + 1`` vertices, however long a coastline is. A ring keeps
-    at least three vertices. ``seq`` keeps the input positions. Shared borders of
-    neighbouring areas are simplified independently (topology is not preserved).
+def simplify_rings(vertices: DataFrame, tolerance: float, key: str = "area_code") -> DataFrame:
+    """Douglas-Peucker on every ring, all open segments of all rings one level at a time.
+
+    A ring is first split at its first vertex and the vertex farthest from it. Each round finds, by a grouped maximum,
+    the vertex farthest from the chord of every open segment (of equals the first); beyond ``tolerance`` it is kept and
+    splits the segment, else the segment's vertices go. The ring's farthest one is kept in the first round whatever its
+    distance, so a ring of three or more vertices keeps three. Rounds end when no segment splits: as many as the
+    deepest split, about the logarithm of the longest ring. A ring's vertices are spread over tasks, and each round is
+    written to the shared folder. ``seq`` keeps the input positions. Shared borders of neighbouring areas are simplified
+    independently (topology is not preserved).
     """
     require_columns(vertices, [key, "part", "ring", "seq", "x", "y"])
-    ring_keys = [key, "part", "ring"]
-    schema = T.StructType([vertices.schema[key], T.StructField("part", T.IntegerType()),
-                           T.StructField("ring", T.IntegerType()), T.StructField("seq", T.IntegerType()),
-                           T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
-    src = vertices.select(key, F.col("part").cast("int").alias("part"), F.col("ring").cast("int").alias("ring"),
-                          F.col("seq").cast("int").alias("seq"), F.col("x").cast("double").alias("x"),
-                          F.col("y").cast("double").alias("y"))
-    src = src.withColumn("chunk", F.floor(F.col("seq") / chunk_size).cast("int"))
-    # One row per chunk (partial aggregate), then a window over a ring's chunks only.
-    firsts = src.groupBy(*ring_keys, "chunk").agg(F.min_by(F.struct("x", "y"), "seq").alias("p"))
-    w = Window.partitionBy(*ring_keys).orderBy("chunk")
-    wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = firsts.select(*ring_keys, "chunk", F.coalesce(F.lead("p").over(w), F.first("p").over(wall)).alias("e"),
-                         F.count(F.lit(1)).over(wall).alias("n_chunks"))
-    end_rows = ends.select(*ring_keys, "chunk", F.lit(None).cast("int").alias("seq"), F.col("e.x").alias("x"),
-                           F.col("e.y").alias("y"), F.lit(True).alias("_end"), "n_chunks")
-    body = src.select(*ring_keys, "chunk", "seq", "x", "y", F.lit(False).alias("_end"),
-                      F.lit(None).cast("long").alias("n_chunks"))
-
-    def simplify(pdf: pd.DataFrame) -> pd.DataFrame:
-        end = pdf[pdf["_end"]]
-        pts = pdf[~pdf["_end"]].sort_values("seq")
-        xy = np.vstack([pts[["x", "y"]].to_numpy(dtype=float), end[["x", "y"]].to_numpy(dtype=float)])
-        n = len(pts)
-        kept = _douglas_peucker(xy, tolerance)
-        kept = kept[kept < n]
-        if int(end["n_chunks"].iloc[0]) == 1 and len(kept) < 3 <= n:
-            far = int(np.argmax(np.hypot(*(xy[:n] - xy[0]).T)))
-            kept = np.unique(np.concatenate([kept, [0, far, (far + n) // 2 % n, far // 2]]))[:max(3, len(kept))]
-        out = pts.iloc[np.sort(kept)]
-        return pd.DataFrame({key: out[key].to_numpy(), "part": out["part"].astype("int32").to_numpy(),
-                             "ring": out["ring"].astype("int32").to_numpy(),
-                             "seq": out["seq"].astype("int32").to_numpy(),
-                             "x": out["x"].to_numpy(dtype=float), "y": out["y"].to_numpy(dtype=float)})
-
-    return body.unionByName(end_rows).groupBy(*ring_keys, "chunk").applyInPandas(simplify, schema)
+    rk = [key, "part", "ring"]
+    v = vertices.select(F.col(key), *[F.col(n).cast("int").alias(n) for n in ("part", "ring", "seq")],
+                        *[F.col(n).cast("double").alias(n) for n in ("x", "y")])
+    firsts = v.groupBy(*rk).agg(F.min(F.struct("seq", "x", "y")).alias("p"))
+    from_first = v.join(firsts, rk).where(F.col("seq") != F.col("p.seq"))
+    far = F.hypot(F.col("x") - F.col("p.x"), F.col("y") - F.col("p.y"))
+    best = F.max(F.struct(far.alias("d"), (-F.col("seq")).alias("back"), "x", "y"))
+    seconds = from_first.groupBy(*rk).agg(best.alias("m"))
+    kept = [firsts.select(*rk, "p.*"), seconds.select(*rk, (-F.col("m.back")).alias("seq"), "m.x", "m.y")]
+
+    def split(points: DataFrame) -> DataFrame:
+        """Give each point but the splitting one ``m`` its new segment: start ``lo`` and end ``hi``."""
+        m_seq = -F.col("m.back")
+        mid = F.struct(m_seq.alias("seq"), F.col("m.x").alias("x"), F.col("m.y").alias("y"))
+        first_half = F.col("seq") < m_seq
+        return points.where(F.col("seq") != m_seq).select(
+            *rk, "seq", "x", "y", F.when(first_half, F.col("lo")).otherwise(mid).alias("lo"),
+            F.when(first_half, mid).otherwise(F.col("hi")).alias("hi"))
+
+    start = from_first.join(seconds, rk).withColumns({"lo": F.col("p"), "hi": F.col("p")})
+    left = write_scratch(split(start), "ring-round")
+    cx, cy = F.col("hi.x") - F.col("lo.x"), F.col("hi.y") - F.col("lo.y")
+    px, py = F.col("x") - F.col("lo.x"), F.col("y") - F.col("lo.y")
+    chord = F.hypot(cx, cy)
+    distance = F.when(chord == 0, F.hypot(px, py)).otherwise(F.abs(cx * py - cy * px) / chord)
+    first_round = True
+    while True:
+        best = F.max(F.struct(distance.alias("d"), (-F.col("seq")).alias("back"), "x", "y")).alias("m")
+        segments = left.groupBy(*rk, F.col("lo.seq").alias("lo_seq")).agg(best)
+        splits = F.col("m.d") > tolerance
+        if first_round:
+            splits |= F.col("m") == F.max("m").over(Window.partitionBy(*rk))
+        segments = write_scratch(segments.withColumn("splits", splits).where("splits").drop("splits"), "ring-splits")
+        if segments.isEmpty():
+            break
+        kept.append(segments.select(*rk, (-F.col("m.back")).alias("seq"), "m.x", "m.y"))
+        done, left = left, write_scratch(
+            split(left.withColumn("lo_seq", F.col("lo.seq")).join(segments, [*rk, "lo_seq"])), "ring-round")
+        drop_scratch(done)
+        first_round = False
+    return reduce(DataFrame.unionByName, kept)

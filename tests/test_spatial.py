@@ -145,21 +145,101 @@ def _seg_dist(p, a, b):
     return math.hypot(px - ax - t * dx, py - ay - t * dy)
 
 
-def test_simplify_in_chunks_stays_within_tolerance(spark):
+def test_simplify_stays_within_tolerance(spark):
     rnd = random.Random(3)
     ring = [(math.cos(2 * math.pi * i / 200) * (10 + rnd.uniform(-0.3, 0.3)),
              math.sin(2 * math.pi * i / 200) * (10 + rnd.uniform(-0.3, 0.3))) for i in range(200)]
     v = spark.createDataFrame(poly("c", [ring]), SCHEMA)
     tol = 0.5
-    for chunk in (7, 50_000):
-        out = sorted((r.seq, r.x, r.y) for r in G.simplify_rings(v, tol, chunk_size=chunk).collect())
-        pts = [(x, y) for _, x, y in out]
-        assert 3 <= len(pts) < 200
-        segs = list(zip(pts, pts[1:] + pts[:1]))
-        worst = max(min(_seg_dist(p, a, b) for a, b in segs) for p in ring)
-        assert worst <= tol + 1e-9, (chunk, worst)
-        if chunk == 7:  # chunk starts are kept
-            assert {s for s, _, _ in out} >= set(range(0, 200, 7))
+    out = sorted((r.seq, r.x, r.y) for r in G.simplify_rings(v, tol).collect())
+    pts = [(x, y) for _, x, y in out]
+    assert 3 <= len(pts) < 200
+    segs = list(zip(pts, pts[1:] + pts[:1]))
+    assert max(min(_seg_dist(p, a, b) for a, b in segs) for p in ring) <= tol + 1e-9
+    spread = G.simplify_rings(v.repartition(7), tol)
+    assert sorted((r.seq, r.x, r.y) for r in spread.collect()) == out
+
+
+def test_simplify_square_keeps_four_and_flat_ring_three(spark):
+    side = [(i / 25, 0) for i in range(25)] + [(1, i / 25) for i in range(25)] \
+        + [(1 - i / 25, 1) for i in range(25)] + [(0, 1 - i / 25) for i in range(25)]
+    flat = [(0, 0), (1, 1e-9), (2, 0), (1, -2e-9)]
+    v = spark.createDataFrame(poly("s", [side]) + poly("f", [flat]) + poly("t", [[(0, 0), (1, 1)]]), SCHEMA)
+    got = {}
+    for r in G.simplify_rings(v, 0.01).collect():
+        got.setdefault(r.area_code, set()).add(r.seq)
+    assert got == {"s": {0, 25, 50, 75}, "f": {0, 2, 3}, "t": {0, 1}}
+
+
+def test_simplify_empty(spark):
+    assert G.simplify_rings(spark.createDataFrame([], SCHEMA), 0.1).count() == 0
+
+
+def _half_plane_cut(ring, box):
+    """Sutherland-Hodgman: area of a simple ring clipped to a box (exact for any simple ring's area)."""
+    x0, y0, x1, y1 = box
+    for axis, lim, sign in ((0, x0, 1), (0, x1, -1), (1, y0, 1), (1, y1, -1)):
+        out = []
+        for p, q in zip(ring, ring[1:] + ring[:1]):
+            dp, dq = sign * (p[axis] - lim), sign * (q[axis] - lim)
+            if dp >= 0:
+                out.append(p)
+            if (dp > 0 > dq) or (dp < 0 < dq):
+                t = dp / (dp - dq)
+                out.append((p[0] + (q[0] - p[0]) * t, p[1] + (q[1] - p[1]) * t))
+        ring = out
+    return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:] + ring[:1]))) / 2
+
+
+def test_one_huge_box_over_many_small(spark):
+    small = [r for i in range(30) for j in range(30) for r in poly(f"s{i}_{j}", [sq(i, j, 0.5)])]
+    huge = poly("h", [sq(-5000.25, -4999.75, 10000)])
+    out = G.overlap_area(spark.createDataFrame(small, SCHEMA), spark.createDataFrame(huge, SCHEMA)).collect()
+    assert len(out) == 900 and all(abs(r.overlap_area - 0.25) < 1e-12 for r in out)
+    back = G.overlap_area(spark.createDataFrame(huge, SCHEMA), spark.createDataFrame(small, SCHEMA)).collect()
+    assert len(back) == 900 and all(abs(r.overlap_area - 0.25) < 1e-12 for r in back)
+
+
+def test_steep_coast_against_clipping(spark):
+    rnd = random.Random(5)
+    coast = [(10 + rnd.uniform(-0.4, 0.4), y / 20) for y in range(400)]  # many edges in a narrow band of x
+    ring = [(0.0, -1.0), *coast, (0.0, 21.0)]
+    tiles = [(f"t{i}_{j}", (8 + i * 1.3, j * 2.5 - 1.7, 8 + i * 1.3 + 1.3, j * 2.5 + 0.8)) for i in range(4)
+             for j in range(9)]
+    dst = [r for n, (x0, y0, x1, y1) in tiles for r in poly(n, [[(x0, y0), (x1, y0), (x1, y1), (x0, y1)]])]
+    got = {r.target_code: r.overlap_area for r in G.overlap_area(
+        spark.createDataFrame(poly("c", [ring]), SCHEMA), spark.createDataFrame(dst, SCHEMA)).collect()}
+    for n, box in tiles:
+        assert abs(got.get(n, 0.0) - _half_plane_cut(ring, box)) < 1e-9, n
+
+
+def test_overlap_on_grid_lines_and_vertical_edges(spark):
+    a = [r for i in range(4) for j in range(4) for r in poly(f"a{i}{j}", [sq(i, j, 1)])]
+    b = poly("b", [[(0, 0), (2, 0), (2, 2), (1, 2), (1, 1), (0, 1)]]) + poly("b", [sq(3, 3, 1)], part=1)
+    out = {r.source_code: r.overlap_area for r in G.overlap_area(
+        spark.createDataFrame(a, SCHEMA), spark.createDataFrame(b, SCHEMA)).collect()}
+    assert out == {"a00": 1.0, "a10": 1.0, "a11": 1.0, "a33": 1.0}
+
+
+def test_overlap_of_wards_against_points(spark):
+    """Random star shapes on both sides: areas agree with counting points of a fine lattice."""
+    rnd = random.Random(11)
+
+    def star(cx, cy, r, n):
+        return [(cx + r * rnd.uniform(0.4, 1) * math.cos(2 * math.pi * i / n),
+                 cy + r * rnd.uniform(0.4, 1) * math.sin(2 * math.pi * i / n)) for i in range(n)]
+
+    A = {"big": star(0, 0, 4, 60), "mid": star(1, 1, 1, 12)}
+    B = {"x": star(0.5, 0.2, 3, 40), "y": star(-2, 1, 0.7, 9)}
+    mk = lambda d: spark.createDataFrame([r for n, ring in d.items() for r in poly(n, [ring])], SCHEMA)
+    got = {(r.source_code, r.target_code): r.overlap_area for r in G.overlap_area(mk(A), mk(B)).collect()}
+    step = 0.04
+    pts = [(i * step + 0.013, j * step + 0.007) for i in range(-100, 100) for j in range(-100, 100)]
+    inside = {n: {p for p in pts if _inside(p, ring)} for n, ring in {**A, **B}.items()}
+    for i in A:
+        for j in B:
+            want = len(inside[i] & inside[j]) * step * step
+            assert abs(got.get((i, j), 0.0) - want) < 0.02 * max(want, 1), (i, j)
 
 
 def test_edges_in_chunks_close_rings(spark):
