@@ -29,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import drop_scratch, reliable_checkpoint, write_scratch
+from ..session import drop_scratch, write_scratch
 from .checks import require_columns
 
 VERTEX_COLS = ["area_code", "part", "ring", "seq", "x", "y"]
@@ -258,13 +258,14 @@ def overlap_area(src: DataFrame, dst: DataFrame, key: str = "area_code", rel_eps
         return F.sequence(first, F.greatest(first, F.ceil(F.col(hi) / c) - 1))
 
     # Cells of all pairs are written once: both layers are cut by them and then meet in them.
-    cells = reliable_checkpoint(pairs.withColumn("cx", F.explode(span("ix0", "ix1")))
-                                .withColumn("cy", F.explode(span("iy0", "iy1"))).select("a", "b", "level", "cx", "cy"))
+    cells = write_scratch(pairs.withColumn("cx", F.explode(span("ix0", "ix1")))
+                          .withColumn("cy", F.explode(span("iy0", "iy1"))).select("a", "b", "level", "cx", "cy"),
+                          "overlap-cells")
     at = ["level", "cx", "cy"]
-    e_s, e_d = edges(src), edges(dst)
-    r_s, r_d = ring_signed_areas(e_s), ring_signed_areas(e_d)
-    pa = _pieces(_orient(e_s, r_s, "area_code"), cells.select(F.col("a").alias("poly"), *at).distinct())
-    pb = _pieces(_orient(e_d, r_d, "area_code"), cells.select(F.col("b").alias("poly"), *at).distinct())
+    # So are the turned edges, which are cut three ways and give the areas.
+    e_s, e_d = (write_scratch(oriented_edges(v), "overlap-edges") for v in (src, dst))
+    pa = _pieces(e_s, cells.select(F.col("a").alias("poly"), *at).distinct())
+    pb = _pieces(e_d, cells.select(F.col("b").alias("poly"), *at).distinct())
     line = ["xl", "xr", "hl", "hr", "s"]
     j = (pa.withColumnRenamed("poly", "a").join(cells, ["a", *at])
          .join(pb.select(F.col("poly").alias("b"), *at, *[F.col(n).alias("b_" + n) for n in line]), ["b", *at]))
@@ -288,8 +289,9 @@ def overlap_area(src: DataFrame, dst: DataFrame, key: str = "area_code", rel_eps
     integral = F.when(dL * dR >= 0, no_cross).otherwise(cross)
     inter = t.groupBy(F.col("a.area_code").alias("src"), F.col("b.area_code").alias("dst")) \
         .agg(F.sum(F.col("ss") * integral).alias("overlap_area"))
-    sizes = _areas(r_s).select(F.col("area_code").alias("src"), F.col("area").alias("_sa"))
-    dsizes = _areas(r_d).select(F.col("area_code").alias("dst"), F.col("area").alias("_da"))
+    turned_area = F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) / 2.0  # holes count as negative
+    sizes = e_s.groupBy(F.col("area_code").alias("src")).agg(turned_area.alias("_sa"))
+    dsizes = e_d.groupBy(F.col("area_code").alias("dst")).agg(turned_area.alias("_da"))
     out = inter.join(sizes, "src").join(dsizes, "dst")
     keep = F.col("overlap_area") > F.lit(rel_eps) * F.least("_sa", "_da")
     return out.where(keep).select(F.col("src").alias("source_code"), F.col("dst").alias("target_code"),

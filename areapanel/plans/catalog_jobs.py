@@ -60,9 +60,9 @@ POP_SPEC = {**SP.POPULATION, "years": {"1996": "1996-01-01", "2000": "2000-01-01
 
 
 def population_sheets(spark, sf) -> DataFrame:
-    """Population workbook rows: per year sheet a two-line preamble, the header row,
+    """Population workbook rows: per year sheet (all years) a two-line preamble, the header row,
     then per area a 'Persons' and a 'Males' row (orders in that year stand in for people)."""
-    rows = S.order_rows(spark, sf).where(F.year("o_orderdate").isin(1996, 2000))
+    rows = S.order_rows(spark, sf)
     per = rows.groupBy(F.year("o_orderdate").cast("string").alias("sheet"), "c_nationkey").count()
     nation = S.table(spark, sf, "nation").select("n_nationkey", "n_name")
     data = per.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -141,7 +141,7 @@ def layer_features(spark, sf, which: str) -> DataFrame:
         props = S.table(spark, sf, "supplier").select(
             F.concat(F.lit("P"), F.col("s_suppkey").cast("string")).alias("area_code"), F.col("s_name").alias("name"))
     else:
-        verts = S.nation_squares(spark, sf)
+        verts = S.nation_cover(spark, sf)
         props = S.names(spark, sf).select("area_code", F.col("area_name").alias("name"))
     props = props.withColumn("code", F.col("area_code"))
     return boundary_features(verts, "area_code", props)

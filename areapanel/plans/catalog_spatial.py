@@ -22,19 +22,19 @@ def q_polygon_area(spark, sf):
 
 @register
 def q_overlap_area(spark, sf):
-    out = G.overlap_area(S.supplier_squares(spark, sf), S.nation_squares(spark, sf))
+    out = G.overlap_area(S.supplier_squares(spark, sf), S.nation_cover(spark, sf))
     return out.select("source_code", "target_code", _r(F.col("overlap_area")).alias("overlap_area"))
 
 
 @register
 def q_overlap_weight(spark, sf):
-    out = G.overlap_weights(S.supplier_squares(spark, sf), S.nation_squares(spark, sf))
+    out = G.overlap_weights(S.supplier_squares(spark, sf), S.nation_cover(spark, sf))
     return out.select("source_code", "target_code", _r(F.col("weight")).alias("weight"))
 
 
 @register
 def q_crosswalk_reweight(spark, sf):
-    cw = G.overlap_weights(S.supplier_squares(spark, sf), S.nation_squares(spark, sf))
+    cw = G.overlap_weights(S.supplier_squares(spark, sf), S.nation_cover(spark, sf))
     values = S.table(spark, sf, "supplier").select(
         F.concat(F.lit("P"), F.col("s_suppkey").cast("string")).alias("source_code"),
         F.col("s_acctbal").alias("acctbal"), F.lit(1.0).alias("suppliers"))
@@ -48,7 +48,7 @@ def boundary_file(spark, sf):
     names = S.names(spark, sf).select("area_code", F.col("area_name").alias("name"))
     sup_names = S.table(spark, sf, "supplier").select(
         F.concat(F.lit("P"), F.col("s_suppkey").cast("string")).alias("area_code"), F.col("s_name").alias("name"))
-    verts = S.nation_squares(spark, sf).unionByName(S.supplier_squares(spark, sf))
+    verts = S.nation_cover(spark, sf).unionByName(S.supplier_squares(spark, sf))
     return boundary_features(verts, "area_code", names.unionByName(sup_names))
 
 

@@ -87,7 +87,7 @@ GROUP BY 1, 2, 3, 4, 5, 6"""
 
 SQL["lookup_left_join"] = """
 SELECT c.c_custkey, c.c_name AS c_name_x, c.c_nationkey, n.n_name AS c_name_y, n.n_regionkey
-FROM customer c LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 1) n ON c.c_nationkey = n.n_nationkey"""
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey + 1"""
 
 SQL["exclude_values"] = """
 SELECT c_custkey, c_mktsegment FROM customer
@@ -229,14 +229,14 @@ SELECT area_code, date, count, round({FILL}, 6) AS value FROM f"""
 SQL["resample_monthly"] = f"""
 WITH m AS (
   SELECT {AREA.format(k='c.c_nationkey')} AS area_code, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS date,
-         avg(round(o.o_totalprice)) AS v
+         avg(round(o.o_totalprice * 100)) AS v
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2),
 b AS (SELECT area_code, min(date) AS d0, max(date) AS d1 FROM m GROUP BY 1),
 g AS (SELECT area_code, CAST(unnest(generate_series(d0, d1, INTERVAL 1 MONTH)) AS DATE) AS date FROM b),
 s AS (SELECT g.area_code, g.date, m.v, row_number() OVER (PARTITION BY g.area_code ORDER BY g.date) AS pos
       FROM g LEFT JOIN m ON g.area_code = m.area_code AND g.date = m.date),
 f AS ({gapped_fill('s', 'area_code', 'date', 'v')})
-SELECT area_code, date, round({FILL}, 4) AS value FROM f"""
+SELECT area_code, date, round({FILL}, 6) AS value FROM f"""
 
 SQL["sheets_to_monthly"] = f"""
 WITH y AS (
@@ -294,7 +294,7 @@ FROM panel, cut"""
 
 SQL["check_nulls"] = """
 WITH j AS (SELECT c.c_custkey, n.n_name, n.n_regionkey FROM customer c
-           LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 1) n ON c.c_nationkey = n.n_nationkey),
+           LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey + 1),
 s AS (SELECT 'c_custkey' AS "column", CAST(count(*) FILTER (WHERE c_custkey IS NULL) AS BIGINT) AS null_count FROM j
       UNION ALL SELECT 'n_name', CAST(count(*) FILTER (WHERE n_name IS NULL) AS BIGINT) FROM j
       UNION ALL SELECT 'n_regionkey', CAST(count(*) FILTER (WHERE n_regionkey IS NULL) AS BIGINT) FROM j)
@@ -426,12 +426,14 @@ SQUARES = f"""
 sa AS (SELECT 'P' || CAST(s_suppkey AS VARCHAR) AS source_code, s_acctbal,
               CAST(s_suppkey % 10 AS DOUBLE) AS x0, CAST(floor(s_suppkey / 10) AS DOUBLE) AS y0, 1.0 AS w
        FROM supplier),
-sb AS (SELECT {AREA.format(k='n_nationkey')} AS target_code, CAST(n_nationkey % 4 AS DOUBLE) * 2.5 AS x0,
-              CAST(floor(n_nationkey / 4) AS DOUBLE) * 2.5 AS y0, 2.5 AS w FROM nation),
+sh AS (SELECT (floor(max(s_suppkey) / 10) + 1.5) / 5 AS h FROM supplier),
+sb AS (SELECT {AREA.format(k='n_nationkey')} AS target_code, CAST(n_nationkey % 5 AS DOUBLE) * 2.04 AS x0,
+              CAST(n_nationkey % 5 + 1 AS DOUBLE) * 2.04 AS x1, floor(n_nationkey / 5) * h AS y0,
+              (floor(n_nationkey / 5) + 1) * h AS y1 FROM nation, sh),
 ov AS (SELECT sa.source_code, sb.target_code, sa.s_acctbal, sa.w * sa.w AS src_area,
-              greatest(0, least(sa.x0 + sa.w, sb.x0 + sb.w) - greatest(sa.x0, sb.x0))
-              * greatest(0, least(sa.y0 + sa.w, sb.y0 + sb.w) - greatest(sa.y0, sb.y0)) AS a,
-              least(sa.w * sa.w, sb.w * sb.w) AS small
+              greatest(0, least(sa.x0 + sa.w, sb.x1) - greatest(sa.x0, sb.x0))
+              * greatest(0, least(sa.y0 + sa.w, sb.y1) - greatest(sa.y0, sb.y0)) AS a,
+              least(sa.w * sa.w, (sb.x1 - sb.x0) * (sb.y1 - sb.y0)) AS small
        FROM sa, sb),
 pairs AS (SELECT * FROM ov WHERE a > 1e-9 * small)"""
 
@@ -561,8 +563,7 @@ SELECT {AREA.format(k='n_nationkey')} AS ward_code, round((n_regionkey + 1) * 1.
 SQL["population_density_job"] = f"""
 WITH y AS (
   SELECT c.c_nationkey AS k, year(o.o_orderdate) AS yr, CAST(count(*) AS DOUBLE) AS n
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-  WHERE year(o.o_orderdate) IN (1996, 2000) GROUP BY 1, 2),
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2),
 a AS (SELECT n_nationkey AS k, (n_regionkey + 1) * 1.5e6 * 1e-6 AS area FROM nation),
 v AS (SELECT {AREA.format(k='a.k')} AS ward_code,
              y0.n / a.area AS v0, y1.n / a.area AS v1

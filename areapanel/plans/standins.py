@@ -73,11 +73,11 @@ def names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def anchors(panel_df: DataFrame, value_col: str) -> DataFrame:
-    """First and last month of each area with their values (census-style anchors)."""
-    bounds = panel_df.groupBy("area_code").agg(F.min("date").alias("d0"), F.max("date").alias("d1"))
-    return (panel_df.join(bounds, "area_code")
-            .where((F.col("date") == F.col("d0")) | (F.col("date") == F.col("d1")))
-            .select("area_code", "date", value_col))
+    """First and last month of each area with their values (census-style anchors), in one pass over the panel."""
+    row = F.struct("date", F.col(value_col))
+    ends = panel_df.groupBy("area_code").agg(F.min_by(row, "date").alias("first"), F.max_by(row, "date").alias("last"))
+    both = F.array_distinct(F.array("first", "last"))
+    return ends.select("area_code", F.explode(both).alias("r")).select("area_code", "r.*")
 
 
 def squares(df: DataFrame, key: str, width: float, code_prefix: str, cols: int = 10, step: float = 1.0,
@@ -110,6 +110,21 @@ def nation_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
                    code=area_code("n_nationkey"))
 
 
+def nation_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target layer of the overlap queries: one rectangle per nation, 5 by 5, that together cover every supplier square.
+    They are 2.04 wide, and as tall as a fifth of the supplier grid, so the layer grows with the source layer."""
+    rows = table(spark, sf_dir, "supplier").agg(F.floor(F.max("s_suppkey") / 10).alias("r")).scalar()
+    h = (rows + 1.5) / 5
+    k = F.col("n_nationkey").cast("long")
+    x0, y0 = (k % 5).cast("double") * 2.04, F.floor(k / 5).cast("double") * F.col("h")
+    x1, y1 = (k % 5 + 1).cast("double") * 2.04, (F.floor(k / 5) + 1).cast("double") * F.col("h")
+    corners = F.array(*[F.struct(F.lit(i).alias("seq"), x.alias("x"), y.alias("y"))
+                        for i, (x, y) in enumerate([(x0, y0), (x1, y0), (x1, y1), (x0, y1)])])
+    return (table(spark, sf_dir, "nation").withColumn("h", h)
+            .select(area_code("n_nationkey").alias("area_code"), F.explode(corners).alias("v"))
+            .select("area_code", F.lit(0).alias("part"), F.lit(0).alias("ring"), "v.seq", "v.x", "v.y"))
+
+
 def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A concave pentagon per part (a rectangle with a V-notch in its top edge):
     ``w = 1 + p_size / 50``, ``h = 1 + (p_retailprice % 100) / 100``, area ``0.65 w h``."""
