@@ -371,15 +371,17 @@ def prepare_boundaries(features: DataFrame, code_prop: str, name_prop: str, year
     normalised and the polygon area.
     """
     code, name, area = f"ward_code_{year}", f"ward_name_{year}", f"area_{year}"
-    v = geojson_vertices(features, props={code_prop: code, name_prop: name})
-    v = v.where(F.col(code).startswith(prefix))
+    v = geojson_vertices(features, props={code_prop: "area_code"}).where(F.col("area_code").startswith(prefix))
+    geometry = v.select("area_code", "part", "ring", "seq", "x", "y")
+    areas = polygon_area(geometry).select(F.col("area_code").alias(code), F.col("area").alias(area))
+    # Names come from the features, one row each, never from their vertices.
+    names = features.select(*[F.get_json_object("feature", f"$.properties.{k}").alias(v)
+                              for k, v in ((code_prop, code), (name_prop, name))])
+    names = names.where(F.col(code).startswith(prefix)).dropDuplicates([code])
     if latin1:
-        v = v.withColumn(name, misdecode_latin1(name))
+        names = names.withColumn(name, misdecode_latin1(name))
     if name_fn is not None:
-        v = v.withColumn(name, name_fn(F.col(name)))
-    geometry = v.select(F.col(code).alias("area_code"), "part", "ring", "seq", "x", "y")
-    areas = polygon_area(geometry).select(F.col("area_code").alias(code), F.col("area").alias(area))
-    names = v.select(code, name).dropDuplicates([code])
+        names = names.withColumn(name, name_fn(F.col(name)))
     return geometry.withColumnRenamed("area_code", code), names.join(areas, code)
 
 

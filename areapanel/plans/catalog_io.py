@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import normalise_name
@@ -41,13 +41,14 @@ def _meta(key_df: DataFrame, part_col: str, entries: list[tuple[int, int, object
 
 
 def render_customer_extract(spark, sf) -> str:
-    """Customers as CSV extracts, one file per market segment, with a 3-line
-    preamble and a 2-line trailer."""
+    """Customers as CSV extracts, one file per market segment and 2,000 keys, with a
+    3-line preamble and a 2-line trailer: more customers make more files, not longer ones."""
     c = S.table(spark, sf, "customer")
-    data = c.select(F.col("c_mktsegment").alias("seg"), F.lit(2).alias("section"), F.col("c_custkey").alias("k"),
+    seg = F.concat_ws("-", "c_mktsegment", F.floor(F.col("c_custkey") / 2000).cast("string"))
+    data = c.select(seg.alias("seg"), F.lit(2).alias("section"), F.col("c_custkey").alias("k"),
                     F.concat_ws(",", "c_custkey", "c_name", "c_nationkey",
                                 F.col("c_acctbal").cast("string")).alias("value"))
-    segs = c.select(F.col("c_mktsegment").alias("seg")).distinct()
+    segs = c.select(seg.alias("seg")).distinct()
     meta = _meta(segs, "seg", [(0, 0, "Customer extract"), (0, 1, F.concat(F.lit("Segment: "), F.col("seg"))),
                                (0, 2, ""), (1, 0, "c_custkey,c_name,c_nationkey,c_acctbal"), (3, 0, ""),
                                (3, 1, "Source: test tables")])
@@ -153,6 +154,44 @@ def q_history_crime(spark, sf):
     return V.typed_projection(V.history_crime(crime_table(spark, sf)), V.CRIME_SHAPE)
 
 
+def published_crime(spark, sf) -> DataFrame:
+    """The crime table written by the sink and read back with its year partitions."""
+    path = K.replace_table(crime_table(spark, sf), scratch_path(spark, "crime_table"))
+    return K.read_table(spark, path, keep_year=True)
+
+
+@register
+def q_history_crime_month(spark, sf):
+    """V1 with a date bound: all areas of one month from the published table (one year's files are read)."""
+    return V.typed_projection(V.history_crime(published_crime(spark, sf), None, "1997-05-01"), V.CRIME_SHAPE)
+
+
+@register
+def q_history_crime_area(spark, sf):
+    """V1 with code and date bound."""
+    return V.typed_projection(V.history_crime(published_crime(spark, sf), "S00000003", "1997-05-01"), V.CRIME_SHAPE)
+
+
+@register
+def q_history_optional_area(spark, sf):
+    """V2 with a code bound, from the published table."""
+    return V.history_optional(published_crime(spark, sf), "S00000003")
+
+
+@register
+def q_area_series_one(spark, sf):
+    """V6 for one area, from the published table; the position shows the order."""
+    out = V.area_series(published_crime(spark, sf), "S00000003")
+    before = F.count(F.lit(1)).over(Window.partitionBy("ward_code").orderBy("date"))
+    return out.withColumn("position", before)
+
+
+@register
+def q_vertex_table(spark, sf):
+    """K2: the boundary vertices of the source layer written as a table (no date) and read back."""
+    return K.read_table(spark, K.replace_table(S.supplier_squares(spark, sf), scratch_path(spark, "vertices")))
+
+
 @register
 def q_history_optional(spark, sf):
     return V.history_optional(crime_table(spark, sf))

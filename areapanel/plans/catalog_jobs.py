@@ -150,13 +150,11 @@ def layer_features(spark, sf, which: str) -> DataFrame:
 @register
 def q_education_job(spark, sf):
     """2011 shares on old boundaries moved to new ones by area share, 2022 shares,
-    monthly line in between. Areas without a 2011 value keep their single 2022 row
-    (the run-time series check is left to the caller here)."""
+    monthly line in between; the run-time checks are on."""
     geo07, look07 = J.boundary_lookup(layer_features(spark, sf, "2007"), LAYER_2007, "2007")
     geo22, look22 = J.boundary_lookup(layer_features(spark, sf, "2022"), LAYER, "2022")
     cw = J.crosswalk(geo07, geo22)
-    out = J.education_job(census_2011(spark, sf), census_2022(spark, sf), look07, look22, cw, EDU_2011, EDU_2022,
-                          check=False)
+    out = J.education_job(census_2011(spark, sf), census_2022(spark, sf), look07, look22, cw, EDU_2011, EDU_2022)
     return out.select("ward_code", _r(F.col("pop_with_qual")).alias("pop_with_qual"),
                       _r(F.col("pop_without_qual")).alias("pop_without_qual"), "date")
 

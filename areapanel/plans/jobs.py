@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import year_month_date
 from ..functions.text import normalise_name
@@ -107,6 +108,12 @@ def _education_year(raw_long: DataFrame, spec: Mapping, lookup: DataFrame, year:
     return B.fractions(wide, {"pop_with_qual": "total_population", "pop_without_qual": "total_population"})
 
 
+# What the published education table must look like.
+EDUCATION_SCHEMA = T.StructType([
+    T.StructField("ward_code", T.StringType(), False), T.StructField("pop_with_qual", T.DoubleType(), False),
+    T.StructField("pop_without_qual", T.DoubleType(), False), T.StructField("date", T.DateType(), False)])
+
+
 def education_job(raw_2011: DataFrame, raw_2022: DataFrame, lookup_2007: DataFrame, lookup_2022: DataFrame,
                   crosswalk_df: DataFrame, spec_2011: Mapping = SP.EDUCATION_2011,
                   spec_2022: Mapping = SP.EDUCATION_2022, check: bool = True) -> DataFrame:
@@ -126,12 +133,13 @@ def education_job(raw_2011: DataFrame, raw_2022: DataFrame, lookup_2007: DataFra
     out = TS.densify_linear(both, "ward_code", "date", ["pop_with_qual", "pop_without_qual"])
     out = out.select("ward_code", "pop_with_qual", "pop_without_qual", "date")
     if check:
-        out = reliable_checkpoint(out)  # the checks read it three times
+        out = reliable_checkpoint(out)  # the checks read it again
         cols = ["ward_code", "pop_with_qual", "pop_without_qual", "date"]
         C.enforce(out, {
             "timeseries": lambda d: C.check_month_series(d, "ward_code", "date", start=spec_2011["date"]),
             "nulls": lambda d: C.check_nulls(d, cols),
             "columns": lambda d: C.check_columns(d, cols),
+            "schema": lambda d: C.check_schema(d, EDUCATION_SCHEMA),
         })
     return out
 

@@ -383,6 +383,19 @@ SQL["history_crime"] = f"""
 WITH {PANEL}, {CRIME}
 SELECT count, ward_code, date FROM crime WHERE ward_code IS NOT NULL AND date IS NOT NULL"""
 
+SQL["history_crime_month"] = SQL["history_crime"] + " AND date = DATE '1997-05-01'"
+SQL["history_crime_area"] = SQL["history_crime_month"] + " AND ward_code = 'S00000003'"
+SQL["history_optional_area"] = f"WITH {PANEL}, {CRIME} SELECT * FROM crime WHERE ward_code = 'S00000003'"
+SQL["area_series_one"] = f"""
+WITH {PANEL}, {CRIME}
+SELECT *, row_number() OVER (ORDER BY date) AS position FROM crime WHERE ward_code = 'S00000003'"""
+
+SQL["vertex_table"] = """
+SELECT 'P' || CAST(s_suppkey AS VARCHAR) AS area_code, 0 AS part, 0 AS ring, CAST(i AS INTEGER) AS seq,
+       CAST(s_suppkey % 10 AS DOUBLE) + CASE WHEN i IN (1, 2) THEN 1 ELSE 0 END AS x,
+       CAST(floor(s_suppkey / 10) AS DOUBLE) + CASE WHEN i IN (2, 3) THEN 1 ELSE 0 END AS y
+FROM supplier, range(4) t(i)"""
+
 SQL["history_optional"] = f"WITH {PANEL}, {CRIME} SELECT * FROM crime"
 
 SQL["area_names"] = f"SELECT {AREA.format(k='n_nationkey')} AS ward_code, n_name AS ward_name FROM nation"

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.checks import require_columns
+from ..sinks.tables import YEAR_PARTITION
 from ..sources.sql import param_sql
 
 # V4 response shapes: column → type, in response order.
@@ -34,19 +35,22 @@ def history_crime(crime: DataFrame, ward_code: str | None = None, date: dt.date
     """V1: ``code = COALESCE(:code, code) AND date = COALESCE(:date, date)``.
 
     Rows with a NULL code or date are never returned, even without filters (the
-    reference's semantics)."""
+    reference's semantics). On a table read with its year partition column a bound date
+    reads that year only; the column is not returned."""
     if isinstance(date, str):
         date = dt.date.fromisoformat(date)
     sql = (f"SELECT * FROM {{t}} WHERE `{code_col}` = COALESCE(:code, `{code_col}`) "
            f"AND `{date_col}` = COALESCE(:d, `{date_col}`)")
-    return param_sql(crime.sparkSession, sql, {"code": ward_code, "d": date}, {"t": crime})
+    if YEAR_PARTITION in crime.columns and date is not None:
+        sql += f" AND `{YEAR_PARTITION}` = year(:d)"
+    return param_sql(crime.sparkSession, sql, {"code": ward_code, "d": date}, {"t": crime}).drop(YEAR_PARTITION)
 
 
 def history_optional(table: DataFrame, ward_code: str | None = None, code_col: str = "ward_code") -> DataFrame:
     """V2: ``(:code IS NULL OR code = :code)``: without a code every row comes back,
     NULL codes included."""
     sql = f"SELECT * FROM {{t}} WHERE (:code IS NULL OR `{code_col}` = :code)"
-    return param_sql(table.sparkSession, sql, {"code": ward_code}, {"t": table})
+    return param_sql(table.sparkSession, sql, {"code": ward_code}, {"t": table}).drop(YEAR_PARTITION)
 
 
 def area_names(names: DataFrame) -> DataFrame:

@@ -19,22 +19,25 @@ YEAR_PARTITION = "date_year"
 
 def replace_table(df: DataFrame, path: str, date_col: str | None = "date", fmt: str = "parquet") -> str:
     """K1/K2: overwrite the table at ``path``. With ``date_col`` the files are
-    partitioned by its year (column ``date_year``), so each task writes at most
-    one file per year it holds."""
+    partitioned by its year (column ``date_year``). Rows are first ranged on the year and
+    a hash of the row: a task holds one or few years, so there are about as many files as
+    tasks and years together, and a year with many rows is spread over many tasks."""
     writer_df = df
     if date_col and date_col in df.columns:
-        writer_df = df.withColumn(YEAR_PARTITION, F.year(F.col(date_col)))
+        spread = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+        writer_df = (df.withColumn(YEAR_PARTITION, F.year(F.col(date_col)))
+                     .repartitionByRange(F.col(YEAR_PARTITION), spread))
         writer_df.write.mode("overwrite").partitionBy(YEAR_PARTITION).format(fmt).save(path)
     else:
         writer_df.write.mode("overwrite").format(fmt).save(path)
     return path
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a table written by ``replace_table`` (the year partition column is dropped;
-    filters on the month column still prune through it when also given on the year)."""
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", keep_year: bool = False) -> DataFrame:
+    """Read a table written by ``replace_table``. The year partition column is dropped unless ``keep_year``; a
+    filter on it reads only that year's files, and the history views set one when a date is bound."""
     df = spark.read.format(fmt).load(path)
-    return df.drop(YEAR_PARTITION) if YEAR_PARTITION in df.columns else df
+    return df.drop(YEAR_PARTITION) if YEAR_PARTITION in df.columns and not keep_year else df
 
 
 def gated_replace(df: DataFrame, path: str, required: Iterable[str], date_col: str | None = "date") -> str:

@@ -25,5 +25,7 @@ def param_sql(spark: SparkSession, sql: str, args: Mapping[str, object] | None =
     remaining predicates into the scan.
     """
     views = {k: temp_view(v, k) for k, v in (tables or {}).items()}
-    text = sql.format(**views) if views else sql
+    text = sql
+    for k, view in views.items():
+        text = text.replace("{" + k + "}", view)
     return spark.sql(text, args=dict(args or {}))

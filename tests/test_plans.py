@@ -17,7 +17,7 @@ def formatted(df) -> str:
 
 
 NATIVE = ["monthly_area_counts", "normalise_name", "densify_linear", "interpolate_linear", "overlap_area",
-          "training_features", "links_by_title", "trend_forecast", "crosswalk_reweight"]
+          "training_features", "links_by_title", "trend_forecast", "crosswalk_reweight", "simplify_rings"]
 
 
 def test_native_queries_have_no_python_udfs(spark, sf_dir):
@@ -44,6 +44,7 @@ def test_windows_are_partitioned(spark, sf_dir):
         assert "Window" in text and "SinglePartition" not in text, name
 
 
-def test_simplify_uses_grouped_pandas(spark, sf_dir):
-    text = formatted(E.queries()["simplify_rings"](spark, sf_dir))
-    assert "FlatMapGroupsInPandas" in text
+def test_bound_history_reads_one_year(spark, sf_dir):
+    text = formatted(E.queries()["history_crime_month"](spark, sf_dir))
+    filters = next(line for line in text.splitlines() if line.startswith("PartitionFilters"))
+    assert "date_year" in filters and "1997" in filters
