@@ -19,6 +19,10 @@ regions whose window of width ``r`` (or ``2 r`` between two nearest pivots) it l
 Small regions are joined exactly. Candidates are checked against size, position and a folded bitmap (none can refute a
 true link), and the survivors by the exact size of the intersection. Documents with equal sets are one class and are
 compared once; components over classes come from ``components.connected_components``.
+
+Components need few links of a group, its number of links needs them all: where asked for, members of the large regions
+are dealt over blocks, and each pair of blocks is one group that counts its links in a matrix of exact intersections. A
+pair that meets in several regions counts in the lowest one, so no list of pairs is written.
 """
 
 from __future__ import annotations
@@ -44,6 +48,9 @@ ORDER_SIZE = 500_000
 LEAF, PIVOTS, DIRECT = 64, 16, 1024
 #: Bits of the filter that tells rows whose sets are needed.
 FILTER_BITS = 1 << 23
+#: Members and shingles of a block of a large region, about; columns of a matrix; share of full cells that makes a column
+#: one of a matrix.
+BLOCK_MEMBERS, BLOCK_SHINGLES, COLUMNS, DENSE = 1024, 1 << 19, 2048, 0.02
 
 
 def _order(docs: DataFrame, key: str, text: str, width: int) -> np.ndarray:
@@ -138,6 +145,76 @@ def _unrefuted(a: str, b: str, percent: int) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (differ * (100 + percent) <= (n + m) * (100 - percent))
 
 
+def _flat(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a column of lists, and the row of each."""
+    one = pa.concat_arrays(lists.chunks)
+    sizes = one.value_lengths().to_numpy()
+    return one.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
+
+
+def _common(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], rows: int, columns: int) -> np.ndarray:
+    """Sizes of the intersections of ``rows`` sets with ``columns`` sets, both as of ``_flat``."""
+    shared = np.intersect1d(x[0], y[0])
+    sides = []
+    for values, owner in (x, y):
+        at = np.searchsorted(shared, values)
+        held = shared[np.minimum(at, len(shared) - 1)] == values if len(shared) else np.zeros(len(values), bool)
+        by = np.argsort(at[held], kind="stable")
+        sides.append((at[held][by], owner[held][by]))
+    (at, a), (bt, b) = sides
+    n, m = np.bincount(at, minlength=len(shared)), np.bincount(bt, minlength=len(shared))
+    out = np.zeros(rows * columns, np.int64)
+    dense = n * m > DENSE * rows * columns
+    place = np.cumsum(dense) - 1
+    in_a, in_b = dense[at], dense[bt]
+    for low in range(0, int(dense.sum()), COLUMNS):
+        parts = []
+        for t, owner, part, size in ((at, a, in_a, rows), (bt, b, in_b, columns)):
+            p = place[t[part]]
+            here = slice(*np.searchsorted(p, (low, low + COLUMNS)))
+            parts.append(np.zeros((size, COLUMNS), np.float32))
+            parts[-1][owner[part][here], p[here] - low] = 1
+        out += (parts[0] @ parts[1].T).astype(np.int64).ravel()
+    at, a, first = at[~in_a], a[~in_a], np.cumsum(m) - m
+    ends = np.cumsum(m[at])
+    low = 0
+    while low < len(at):  # at least one entry, about a million pairs at a time
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + (1 << 20))))
+        times = m[at[low:high]]
+        begins = np.cumsum(times) - times
+        partner = np.arange(int(times.sum())) - np.repeat(begins - first[at[low:high]], times)
+        out += np.bincount(np.repeat(a[low:high], times) * columns + b[partner], minlength=rows * columns)
+        low = high
+    return out.reshape(rows, columns)
+
+
+def _links_of_blocks(found: pa.Table, percent: int) -> pa.Table:
+    """Rows (cid, links): links of one pair of blocks of a region, weighted by the rows of the other class, without pairs
+    that also meet in a lower region."""
+    region, i, j = (found.column(c)[0].as_py() for c in ("region", "i", "j"))
+    block = found.column("block").to_numpy()
+    sides = [found.filter(pa.array(block == x)) for x in ((i,) if i == j else (i, j))]
+    x, y = sides[0], sides[-1]
+    if not len(x) or not len(y):
+        return pa.table({"cid": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
+
+    def lower(side: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        values, owner = _flat(side.column("held"))
+        return values[values < region], owner[values < region]
+
+    common = _common(_flat(x.column("s")), _flat(y.column("s")), len(x), len(y))
+    both = x.column("n").to_numpy()[:, None] + y.column("n").to_numpy()[None, :] - common
+    near = (common * 100 >= both * percent) & (_common(lower(x), lower(y), len(x), len(y)) == 0)
+    if i == j:
+        np.fill_diagonal(near, False)
+    cids, links = [x.column("cid").to_numpy()], [near @ y.column("m").to_numpy()]
+    if i != j:
+        cids.append(y.column("cid").to_numpy())
+        links.append(near.T @ x.column("m").to_numpy())
+    cid, n = np.concatenate(cids), np.concatenate(links)
+    return pa.table({"cid": cid[n > 0], "links": n[n > 0].astype(np.int64)})
+
+
 class _Join:
     """One join over the class table: its members in regions, the sets that any comparison needs, and the links found."""
 
@@ -275,6 +352,33 @@ class _Join:
                       & _unrefuted("a", "b", self.percent)).select(
             F.col("a.cid").alias("a"), F.col("b.cid").alias("b")).distinct()
 
+    def counts(self) -> DataFrame:
+        """After ``run``: rows (cid, links) of the classes that link with any other: the rows of those, each once."""
+        held = self.large.groupBy("cid").agg(F.sort_array(F.collect_set("region")).alias("held"))
+        here = self.classes.select("cid", "n", "m").join(held, "cid").join(self.sets(self.large.select("cid")), "cid")
+        sizes = self.large.groupBy("region").agg(F.greatest(
+            F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+        block = F.pmod(F.xxhash64("cid", F.lit(1)), F.col("blocks")).cast("int")
+        dealt = self.large.select("region", "cid").join(sizes, "region").withColumn("block", block).withColumn(
+            "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        percent = self.percent
+        blocks = dealt.join(here, "cid").select(
+            "region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "n", "m",
+            "held", "s")
+        hot = blocks.groupBy("region", "i", "j").applyInArrow(
+            lambda found: _links_of_blocks(found, percent), "cid long, links long")
+
+        # Links of small regions: those between classes that share no large one.
+        pairs = self.classes.select(F.col("cid").alias("a"), F.col("cid").alias("b")).limit(0)
+        for more in self.links:
+            pairs = pairs.unionByName(more.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")))
+        pairs = pairs.distinct().join(held.toDF("a", "held_a"), "a", "left").join(held.toDF("b", "held_b"), "b", "left").where(
+            ~F.coalesce(F.arrays_overlap("held_a", "held_b"), F.lit(False))).select("a", "b")
+        both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        cold = both.join(self.classes.select(F.col("cid").alias("b"), F.col("m").alias("links")), "b").select(
+            F.col("a").alias("cid"), "links")
+        return self.write(hot.unionByName(cold).groupBy("cid").agg(F.sum("links").alias("links")), "counts")
+
     def run(self) -> DataFrame:
         """Rows (node, root) of the classes that link with any other."""
         members = self.members()
@@ -288,6 +392,7 @@ class _Join:
         merged = large.join(lead, "region").select(F.col("lead").alias("region"), "cid").distinct()
         regions = self.write(merged.join(self.classes.select("cid", "n", "bitmap"), "cid").withColumn(
             "home", F.lit(True)), "regions")
+        self.large = regions
         found, level = self.unrefuted(met), 0
         while True:
             pivots = self.write(self.pivots(regions, level), "pivots")
@@ -308,11 +413,12 @@ class _Join:
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3,
-                 percent: int = 90) -> DataFrame:
+                 percent: int = 90, links: bool = False) -> DataFrame:
     """Components of documents whose ``width``-word shingle sets link: ``100 * common >= percent * union``.
 
     Returns one row per row of ``docs``: the key column, n_shingles (size of its set), component_id (smallest key that
-    it reaches by links, its own included). Other columns of ``docs`` are not read, whatever their names.
+    it reaches by links, its own included); with ``links`` also n_links (the other rows that it links with). Other columns
+    of ``docs`` are not read, whatever their names.
 
     * Null and empty texts, and texts of white space only, have no shingles and link with nothing: their component is
       their own key. A text with fewer than ``width`` words has its whole word sequence as one shingle.
@@ -323,19 +429,24 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     common = _order(docs, key, text, width)
     all_rows = write_scratch(_summaries(docs, key, text, width, percent, common), "rows")
     found = all_rows.where("n > 0").groupBy("signature").agg(
-        F.min("key").alias("owner"), *(F.first(c).alias(c) for c in ("n", "first", "bitmap")))
+        F.min("key").alias("owner"), F.count("*").alias("m"), *(F.first(c).alias(c) for c in ("n", "first", "bitmap")))
     classes = write_scratch(found.withColumn("cid", F.monotonically_increasing_id()), "classes")
     rows = write_scratch(all_rows.select("key", "n", "signature"), "rows")
     drop_scratch(all_rows)
     join = _Join(classes, docs, key, text, width, percent)
     roots = join.run()
     lowest = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
-        "root", F.coalesce("root", "cid")).select("signature", "root", "owner")
+        "root", F.coalesce("root", "cid"))
+    if links:
+        lowest = lowest.join(join.counts(), "cid", "left")
+    n_links = [(F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links")] if links else []
+    lowest = lowest.select("signature", "root", "owner", *n_links)
     least = lowest.groupBy("root").agg(F.min("owner").alias("component_id"))
-    named = write_scratch(lowest.join(least, "root").select("signature", "component_id"), "named")
+    named = write_scratch(lowest.join(least, "root").drop("root", "owner"), "named")
     out = rows.join(named, "signature", "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", F.when(F.col("n") == 0, F.col("key"))).alias("component_id"))
+        F.coalesce("component_id", F.when(F.col("n") == 0, F.col("key"))).alias("component_id"),
+        *([F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if links else []))
     drop_scratch(*join.tables, classes)
     return out
 

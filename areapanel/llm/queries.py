@@ -46,6 +46,21 @@ SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, component_id FROM sets JOIN le
 """
 
 
+@query
+def op2_ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join with each document's number of links."""
+    from areapanel.llm.jaccard_join import jaccard_join
+
+    return jaccard_join(table(spark, sf_dir, "documents"), width=3, percent=90, links=True)
+
+
+SQL["op2_ngram_jaccard_links"] = SQL["op2_ngram_jaccard_join"].rpartition("SELECT sets.doc_id")[0] + r"""
+SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, component_id,
+       (SELECT count(*) FROM both_ways b WHERE b.u = sets.doc_id)::BIGINT AS n_links
+FROM sets JOIN least USING (doc_id)
+"""
+
+
 @query
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from areapanel.llm.sharding import shard_documents
