@@ -59,6 +59,20 @@ def _is_card(value: Column) -> Column:
     return F.when(F.length(digits).between(14, 19), _luhn(digits)).otherwise(False)
 
 
+#: Lengths of account numbers by country, from the IBAN registry and the countries that use the format without an entry.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU"}
+#: A country's own length ends the match, whatever follows. Codes not listed, and other lengths: the longest run that ends
+#: with a word, up to what looks like the next number.
+_IBAN = (r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?:(?:"
+         + "|".join(rf"(?:{'|'.join(c.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in _IBAN_LENGTHS.items())
+         + r")(?![A-Za-z0-9])|[A-Z]{2}[0-9]{2}(?:(?!\x20[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4})\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9]))")
+
+
 @dataclass(frozen=True)
 class Kind:
     """``gate``: cheap test that a text may hold one; ``score`` of a valid span without context words."""
@@ -93,9 +107,11 @@ KINDS = (
          "tel|phone|call|fax|mobile|cell"),
     Kind("card", r"(?<![0-9])(?:[0-9]{14,19}|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{2,7})(?![0-9])", _like("[0-9]{4}[\\x20-]?[0-9]{4}"),
          _is_card, 0.8, "", base=False, again=True),
+    Kind("card", r"(?<![0-9])[0-9]{4}([\x20-])[0-9]{6}\1[0-9]{4,5}(?![0-9])", _like("[0-9]{4}[\\x20-][0-9]{6}[\\x20-]"),
+         _is_card, 0.8, "", base=False, again=True),
     Kind("phone", r"\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])", _has("+"),
          lambda v: F.length(_digits(v)).between(10, 15), 0.7, "", base=False, again=True),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", _like("[A-Z]{2}[0-9]{2}"),
+    Kind("iban", _IBAN, _like("[A-Z]{2}[0-9]{2}"),
          _mod97, 0.9, "iban|account|bank|konto", base=False),
     Kind("ssn", r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])", _like("[0-9]-[0-9]{2}-[0-9]"),
          lambda v: F.lit(True), 0.3, "ssn|social security|social|tax", base=False),
