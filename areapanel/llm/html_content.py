@@ -4,7 +4,8 @@ A page is a sequence of words and tags. Words score positive, tags negative; one
 the largest sum, which is the content region. Weights come from labelled pages: pages whose markup names its main part
 with one ``<article>`` element say which tags stand inside the content and which outside. The label itself is not a
 feature. Elements that stand outside in (almost) all labelled pages, and those whose name says so, are boilerplate: their
-words score like tags and are left out where they lie inside the region.
+words score like tags and are left out where they lie inside the region. A tag outside boilerplate has a score learned from
+such uses alone, so a list or a link of an article does not pay for those in menus.
 """
 
 from __future__ import annotations
@@ -76,8 +77,9 @@ def _signature(name: str, attributes: str) -> tuple[str, list[str]]:
 
 @dataclass
 class Weights:
-    tags: dict[str, float] = field(default_factory=dict)  # by element name
+    tags: dict[str, float] = field(default_factory=dict)  # by element name, outside boilerplate
     boilerplate: frozenset[str] = frozenset()  # signatures
+    boiler_tags: dict[str, float] = field(default_factory=dict)  # by element name, in boilerplate
 
     def is_boilerplate(self, name: str, attributes: str) -> bool:
         if name in BOILERPLATE:
@@ -86,6 +88,15 @@ class Weights:
         return signature in self.boilerplate or name in SECTIONS and not HINTS.isdisjoint(words)
 
 
+def _enter(inside: list[str], name: str, attributes: str, weights: Weights) -> None:
+    """Adds an opened element to ``inside`` if it is boilerplate, or named as the boilerplate element it stands in."""
+    if inside:
+        if name == inside[0]:
+            inside.append(name)
+    elif name not in VOID and weights.is_boilerplate(name, attributes):
+        inside.append(name)
+
+
 def main_text(html: str | None, weights: Weights) -> str:
     """Text of the best region: character references decoded, white space inside a block one space, blocks in order
     joined by one space. Empty for a null page or one without words outside boilerplate."""
@@ -102,16 +113,12 @@ def main_text(html: str | None, weights: Weights) -> str:
                 total += WORD * words
                 pieces.append(rest)
         else:
-            total += weights.tags.get(name, MILDEST)
+            if kind == "open":
+                _enter(inside, name, rest, weights)
+            total += (weights.boiler_tags if inside else weights.tags).get(name, MILDEST)
             if name in BLOCKS:
                 pieces.append(None)
-            if kind == "open":
-                if inside:
-                    if name == inside[0]:
-                        inside.append(name)
-                elif name not in VOID and weights.is_boilerplate(name, rest):
-                    inside.append(name)
-            elif inside and name == inside[0]:
+            if kind == "close" and inside and name == inside[0]:
                 inside.pop()
         if total <= 0:
             total, begin = 0.0, len(pieces)
@@ -126,30 +133,35 @@ def main_text(html: str | None, weights: Weights) -> str:
     return " ".join(t for t in (" ".join(unescape("".join(b)).split()) for b in blocks) if t)
 
 
-def _places(html: str | None) -> list[tuple[str, str, bool]]:
-    """(name, signature, inside) of each element of a labelled page; nothing unless it has exactly one article."""
+def _places(html: str | None, known: Weights | None = None) -> list[tuple[str, str, bool]]:
+    """(name, signature, inside) of each element of a labelled page, outside the boilerplate of ``known`` if given; nothing
+    unless it has exactly one article."""
     tokens = list(_elements(html or ""))
     if sum(kind == "open" and name == "article" for kind, name, _ in tokens) != 1:
         return []
     found, deep = [], False
+    boilerplate: list[str] = []
     for kind, name, rest in tokens:
         if name == "article":
             deep = kind == "open"
         elif kind == "open":
-            found.append((name, _signature(name, rest)[0], deep))
+            if known is not None:
+                _enter(boilerplate, name, rest, known)
+            if not boilerplate:
+                found.append((name, _signature(name, rest)[0], deep))
+        elif kind == "close" and boilerplate and name == boilerplate[0]:
+            boilerplate.pop()
     return found
 
 
-def learn_weights(pages: DataFrame, html: str = "html") -> Weights:
-    """Weights from at most about ``LABELLED_PAGES`` pages, drawn by a hash of their markup."""
-    share = min(1.0, LABELLED_PAGES / max(1, pages.count()))
-    drawn = pages.where(F.pmod(F.xxhash64(html), F.lit(1 << 30)) < int(share * (1 << 30))).select(F.col(html).alias("html"))
+def _uses(pages: DataFrame, known: Weights | None = None) -> list[dict]:
+    """Per name and signature: uses inside the content, all uses, labelled pages; those of at least ``SUPPORT`` pages."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: Counter = Counter()
             for page in batch.column(0).to_pylist():
-                found = _places(page)
+                found = _places(page, known)
                 counts.update((n, s, d, 0) for n, s, d in found)
                 counts.update((n, s, True, 1) for n, s in {(n, s) for n, s, _ in found})
             keys = list(counts)
@@ -159,20 +171,29 @@ def learn_weights(pages: DataFrame, html: str = "html") -> Weights:
                  pa.array([counts[k] if not k[3] else 0 for k in keys], pa.int64()),
                  pa.array([counts[k] if k[3] else 0 for k in keys], pa.int64())], ["name", "signature", "inside", "uses", "pages"])
 
-    rows = drawn.mapInArrow(tidy(places), "name string, signature string, inside long, uses long, pages long").groupBy(
+    return pages.mapInArrow(tidy(places), "name string, signature string, inside long, uses long, pages long").groupBy(
         "name", "signature").agg(*(F.sum(c).alias(c) for c in ("inside", "uses", "pages"))).where(
         F.col("pages") >= SUPPORT).toArrow().to_pylist()
-    tags: dict[str, float] = {}
+
+
+def _scores(rows: list[dict]) -> dict[str, float]:
     names: dict[str, list[int]] = {}
     for r in rows:
         held = names.setdefault(r["name"], [0, 0])
         held[0] += r["inside"]
         held[1] += r["uses"]
-    for name, (inside, uses) in names.items():
-        tags[name] = MILDEST + (HARSHEST - MILDEST) * (1 - inside / uses)
+    return {name: MILDEST + (HARSHEST - MILDEST) * (1 - inside / uses) for name, (inside, uses) in names.items()}
+
+
+def learn_weights(pages: DataFrame, html: str = "html") -> Weights:
+    """Weights from at most about ``LABELLED_PAGES`` pages, drawn by a hash of their markup: boilerplate first, then the
+    tags outside it."""
+    share = min(1.0, LABELLED_PAGES / max(1, pages.count()))
+    drawn = pages.where(F.pmod(F.xxhash64(html), F.lit(1 << 30)) < int(share * (1 << 30))).select(F.col(html).alias("html"))
+    rows = _uses(drawn)
     outside = frozenset(r["signature"] for r in rows if r["name"] in SECTIONS and r["inside"] <= INSIDE * r["uses"]
                         and (r["signature"] != r["name"] or r["name"] not in ("div", "section", "table", "ul", "ol")))
-    return Weights(tags, outside)
+    return Weights(_scores(_uses(drawn, Weights(boilerplate=outside))), outside, _scores(rows))
 
 
 def extract_text(pages: DataFrame, weights: Weights, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")
