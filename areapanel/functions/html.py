@@ -7,6 +7,9 @@ anchors link pages use; it is not a general HTML parser.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,24 +24,41 @@ def anchors(html: Column | str) -> Column:
     return F.regexp_extract_all(html, F.lit(ANCHOR_RE), 0)
 
 
-# Character references of HTML that link pages use; numeric ones are decoded by rule.
-_ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "amp": "&"}
+# Named character references of the HTML standard that end in a semicolon; what 128 to 159 stand for there.
+_NAMED = json.dumps({name[:-1]: char for name, char in html5.items() if name[-1] == ";"})
+_C1 = "".join(map(chr, range(128, 160)))
+_WINDOWS = "".join(bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(128, 160))
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point, by its UTF-8 bytes; U+FFFD for 0, surrogates and what is past the last one."""
+    def low(shift: int) -> Column:
+        return 128 + F.shiftright(code, shift).bitwiseAND(F.lit(63))
+
+    value = (F.when(code < 0x80, code).when(code < 0x800, (0xC0 + F.shiftright(code, 6)) * 256 + low(0))
+             .when(code < 0x10000, ((0xE0 + F.shiftright(code, 12)) * 256 + low(6)) * 256 + low(0))
+             .otherwise((((0xF0 + F.shiftright(code, 18)) * 256 + low(12)) * 256 + low(6)) * 256 + low(0)))
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    text = F.decode(F.unhex(F.hex(F.when(valid, value).otherwise(0xEFBFBD))), "UTF-8")
+    return F.translate(text, _C1, _WINDOWS)
 
 
 def _unescape(c: Column) -> Column:
-    """Numeric references below U+0100 that are printable, then the named ones, ``&amp;`` last."""
-    parts = F.split(c, "(?=&#)", -1)
+    """Named and numeric character references that end in a semicolon, each decoded once; unknown names stay."""
+    named = F.from_json(F.lit(_NAMED), "map<string,string>")
 
     def decoded(part: Column) -> Column:
-        ten, six = F.regexp_extract(part, r"^&#([0-9]{1,3});", 1), F.regexp_extract(part, r"^&#[xX]([0-9A-Fa-f]{1,2});", 1)
-        code = F.when(ten != "", ten.try_cast("int")).when(six != "", F.conv(six, 16, 10).try_cast("int"))
-        rest = F.regexp_replace(part, r"^&#[0-9xXA-Fa-f]+;", "")
-        return F.when(code.between(32, 255), F.concat(F.char(code), rest)).otherwise(part)
-
-    out = F.array_join(F.transform(parts, decoded), "")
-    for name, char in _ENTITIES.items():
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
-    return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
+        name = F.regexp_extract(part, r"^&([A-Za-z][A-Za-z0-9]*);", 1)
+        ten, six = F.regexp_extract(part, r"^&#([0-9]+);", 1), F.regexp_extract(part, r"^&#[xX]([0-9A-Fa-f]+);", 1)
+        code = F.when(ten != "", F.regexp_extract(ten, "^0*(.*)$", 1)).otherwise(
+            F.conv(F.right(six, F.lit(8)), 16, 10))
+        past = (F.length(code) > 7) | (F.length(F.regexp_replace(six, "^0+", "")) > 6)
+        number = F.when(past, -1).otherwise(F.coalesce(code.try_cast("long"), F.lit(0)))
+        char = F.when(name != "", F.element_at(named, name)).when((ten != "") | (six != ""), _character(number))
+        return F.when(char.isNull(), part).otherwise(
+            F.concat(char, F.substring(part, F.instr(part, ";") + 1, F.length(part))))
+
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(F.split(c, "(?=&)", -1), decoded), "")).otherwise(c)
 
 
 def attribute(anchor: Column, name: str) -> Column:
