@@ -117,7 +117,6 @@ def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-
 @query
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from areapanel.llm.pii import find_pii
@@ -143,3 +142,58 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from areapanel.llm.packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"), _tokenizer())
+
+
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from areapanel.llm.alignment import align_tokens
+
+    return align_tokens(table(spark, sf_dir, "documents"), _tokenizer(), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from areapanel.llm.divergence import source_divergence
+
+    return source_divergence(table(spark, sf_dir, "documents"), least=30, top=50)
+
+
+SQL["op12_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+found AS (SELECT id, lang, source,
+                 unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM found GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT f.lang, f.source, f.term, count(*) AS c FROM found f JOIN kept k ON f.lang = k.lang AND f.term = k.term
+      GROUP BY f.lang, f.source, f.term),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY lang, source),
+cell AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+         1 + (1000000000 * (coalesce(c.c, 0) + 5)::HUGEINT) // (coalesce(n.n, 0) + 5 * v.v)::HUGEINT AS p,
+         1 + (1000000000 * (k.total + 5)::HUGEINT) // (v.n + 5 * v.v)::HUGEINT AS q
+  FROM grp g JOIN kept k ON g.lang = k.lang JOIN v ON v.lang = g.lang
+  LEFT JOIN n ON n.lang = g.lang AND n.source = g.source
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+             FROM cell x JOIN cell y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) s
+  ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM cell WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+           FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from areapanel.llm.quality_rules import quality_verdicts
+
+    return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
