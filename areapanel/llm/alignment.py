@@ -92,8 +92,9 @@ class Aligner:
         ours = pd.DataFrame({"start": a["start"], "doc": a["doc"], "a": np.arange(len(a))})
         theirs = pd.DataFrame({"start": b["start"], "doc": b["doc"], "b": np.arange(len(b))})
         by_a = pd.merge_asof(ours, theirs, on="start", by="doc")
-        by_b = pd.merge_asof(theirs, ours, on="start", by="doc", allow_exact_matches=False)
-        return pd.concat([by_a[["a", "b"]], by_b.dropna()[["a", "b"]]]).astype(np.int64)
+        by_b = pd.merge_asof(theirs, ours, on="start", by="doc")
+        later = b["start"].to_numpy() > a["start"].to_numpy()[by_b["a"]]  # with equal starts, the pair is in by_a
+        return pd.concat([by_a[["a", "b"]], by_b.loc[later, ["a", "b"]]])
 
     def groups(self, a: pd.DataFrame, b: pd.DataFrame, docs: int) -> tuple[pd.DataFrame, list[str]]:
         """Links (places in ``a`` and ``b``, in the order of their ends) and the digest of each document's groups."""
