@@ -9,6 +9,14 @@ import pyarrow as pa
 pa.set_memory_pool(pa.system_memory_pool())
 
 
+def unused(df, name: str) -> str:
+    """A column name that ``df`` doesn't have, in any spelling of case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def tidy(task):
     """``task`` (an iterator of batches to another) that hands the worker's freed memory back at its end, where the C
     library can."""

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areapanel.llm import tidy
+from areapanel.llm import tidy, unused
 
 #: Bytes of edge labels a trie holds before it spills a subtree; bytes of texts a task remembers to drop its repeats.
 TRIE_BYTES, SEEN_BYTES = 64 << 20, 16 << 20
@@ -228,10 +228,15 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of equal texts: one with the smallest key."""
-    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    """``docs`` with one row of each group of equal texts: one with the smallest key.
+
+    Equal is what ``exact_groups`` calls equal; null and empty texts are one group. Of rows that repeat the smallest key, or
+    of a group with null keys only, any one stays. All columns stay as they are; an empty table stays empty.
+    """
+    digest, name = unused(docs, "_sha256"), unused(docs, "_name")
     owners = _owners(docs, key, text).select(
-        F.col("text_sha256").alias("_sha256"), F.coalesce(F.col("keep_id").cast("string"), F.lit("")).alias("_name"))
+        F.col("text_sha256").alias(digest), F.coalesce(F.col("keep_id").cast("string"), F.lit("")).alias(name))
     spaces = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "[\\x20\\x09-\\x0D]+", " ")
-    named = docs.withColumns({"_sha256": F.sha2(spaces.cast("binary"), 256), "_name": name})
-    return named.join(owners, ["_sha256", "_name"]).dropDuplicates(["_sha256", "_name"]).select(*docs.columns)
+    named = docs.withColumns({digest: F.sha2(spaces.cast("binary"), 256),
+                              name: F.coalesce(F.col(key).cast("string"), F.lit(""))})
+    return named.join(owners, [digest, name]).dropDuplicates([digest, name]).select(*docs.columns)

@@ -9,12 +9,14 @@ the sum of the smaller weights over the sum of the larger ones.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from areapanel.llm import tidy
 from areapanel.llm.shingles import mix, word_counts
@@ -92,13 +94,23 @@ def edited(text: str, after: str) -> str:
     return text[: len(text) - half] + after[:half]
 
 
+def _place(docs: DataFrame, key: str) -> Callable[[Column], Column]:
+    """A number that rises with the key: the key itself, or of a string the seven bytes after what all keys begin with."""
+    if not isinstance(docs.schema[key].dataType, StringType):
+        return lambda value: value
+    least, most = docs.agg(F.min(key), F.max(key)).first()
+    common = len(os.path.commonprefix([(least or "").encode(), (most or "").encode()]))
+    return lambda value: F.conv(F.rpad(F.hex(F.substring(value.cast("binary"), common + 1, 7)), 14, "0"), 16, 10).cast("long")
+
+
 def _in_order(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Rows (part, guest, key, same, text) with parts in key order; each part ends with the guest rows that follow its
     last one: the rows of the next part's smallest key (after the last part, of the first)."""
     parts = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = docs.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)], 100_000)).first()[0] or []
+    place = _place(docs, key)
+    cuts = docs.agg(F.percentile_approx(place(F.col(key)), [i / parts for i in range(1, parts)], 100_000)).first()[0] or []
     cuts = F.array(*[F.lit(c) for c in sorted(set(cuts))])
-    part = F.when(F.col("key").isNull(), 0).otherwise(F.size(F.filter(cuts, lambda c: c <= F.col("key"))))
+    part = F.when(F.col("key").isNull(), 0).otherwise(F.size(F.filter(cuts, lambda c: c <= place(F.col("key")))))
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn(
         "part", part.cast("int"))
     heads = rows.groupBy("part").agg(F.min(F.struct(F.col("key").isNotNull().alias("has"), "key")).alias("head")).orderBy(

@@ -22,12 +22,14 @@ from pyspark.sql import functions as F
 
 from areapanel.llm import tidy
 
-#: Labelled pages to learn from, at most about; labelled pages that must have an element before its place counts.
+#: Labelled pages to learn from, at most about. Elements of a class met on fewer than ``SUPPORT`` of them aren't taken for
+#: boilerplate by their place; a tag's learned score counts for half at ``SUPPORT`` uses, for more with more uses.
 LABELLED_PAGES, SUPPORT = 2000, 20
 #: Score of a word, of a word in boilerplate, and the range of a tag's score.
 WORD, BOILER, MILDEST, HARSHEST = 1.0, -0.1, -0.02, -4.0
-#: An element is boilerplate if at most this share of its uses lies inside the content.
-INSIDE = 0.02
+#: An element is boilerplate if at most this share of its uses lies inside the content, and none that holds more than this
+#: share of the page's words.
+INSIDE, MOST = 0.02, 0.75
 
 # Element names and class words whose meaning in HTML and on the web is fixed.
 RAW = ("script", "style", "noscript", "template", "svg", "iframe", "textarea")
@@ -40,6 +42,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HINTS = frozenset("ad ads advert advertisement adverts sponsored promo sidebar comment comments cookie cookies consent notice "
                   "banner menu nav navbar navigation breadcrumb breadcrumbs footer share social related newsletter "
                   "subscribe popup modal masthead widget".split())
+# Words that turn a class name into a statement about what a page has or lacks, not what the element is.
+MODIFIERS = frozenset("has with no without not is free enabled disabled hide hidden show open closed above below".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)"
                     r"|[^<]+|<", re.S)
@@ -72,7 +76,8 @@ def _elements(html: str) -> Iterator[tuple[str, str, str]]:
 def _signature(name: str, attributes: str) -> tuple[str, list[str]]:
     """The element's name with its class, id and role, and the single words in them."""
     marks = " ".join(x for m in _MARK.findall(attributes) for x in m if x).lower() if attributes else ""
-    return (f"{name} {marks}" if marks else name), _PART.findall(marks)
+    words = [w for mark in marks.split() for w in (_PART.findall(mark),) if MODIFIERS.isdisjoint(w)]
+    return (f"{name} {marks}" if marks else name), [x for w in words for x in w]
 
 
 @dataclass
@@ -88,15 +93,39 @@ class Weights:
         return signature in self.boilerplate or name in SECTIONS and not HINTS.isdisjoint(words)
 
 
-def _enter(inside: list[str], name: str, attributes: str, weights: Weights) -> None:
-    """Adds an opened element to ``inside`` if it is boilerplate, or named as the boilerplate element it stands in."""
+def _enter(inside: list[str], name: str, attributes: str, weights: Weights, wrapper: bool = False) -> None:
+    """Adds an opened element to ``inside`` if it is boilerplate, or named as the boilerplate element it stands in. Only its
+    name can make a ``wrapper`` boilerplate."""
     if inside:
         if name == inside[0]:
             inside.append(name)
-    elif name not in VOID and weights.is_boilerplate(name, attributes):
+    elif name not in VOID and (name in BOILERPLATE or not wrapper and weights.is_boilerplate(name, attributes)):
         inside.append(name)
 
 
+def _wrappers(tokens: list[tuple[str, str, str]]) -> set[int]:
+    """Places of opened elements that hold the page's first article or main element (of no telling class), or most of its
+    words outside elements that are boilerplate by name. Elements end with their closing tag, or with the page."""
+    words, mains = [0], [0]
+    named: list[str] = []
+    opened: dict[str, list[int]] = {}
+    ends: dict[int, int] = {}
+    for i, (kind, name, rest) in enumerate(tokens):
+        words.append(words[-1] + (len(rest.split()) if kind == "text" and not named else 0))
+        first = kind == "open" and name in ("article", "main") and not mains[-1] and HINTS.isdisjoint(_signature(name, rest)[1])
+        mains.append(mains[-1] + first)
+        if kind == "open" and name in SECTIONS:
+            opened.setdefault(name, []).append(i)
+        elif kind == "close" and opened.get(name):
+            ends[opened[name].pop()] = i
+        if kind == "open" and (name == named[0] if named else name in BOILERPLATE):
+            named.append(name)
+        elif kind == "close" and named and name == named[0]:
+            named.pop()
+    ends |= {i: len(tokens) - 1 for left in opened.values() for i in left}
+    return {i for i, end in ends.items() if mains[end + 1] > mains[i + 1] or words[end + 1] - words[i] > MOST * words[-1]}
+
+
 def main_text(html: str | None, weights: Weights) -> str:
     """Text of the best region: character references decoded, white space inside a block one space, blocks in order
     joined by one space. Empty for a null page or one without words outside boilerplate."""
@@ -104,17 +133,19 @@ def main_text(html: str | None, weights: Weights) -> str:
     best = (0.0, 0, 0)
     total, begin = 0.0, 0
     pieces: list[str | None] = []  # text outside boilerplate; None ends a block
-    for kind, name, rest in _elements(html or ""):
+    tokens = list(_elements(html or ""))
+    wrappers = _wrappers(tokens)
+    for i, (kind, name, rest) in enumerate(tokens):
         if kind == "text":
             words = len(rest.split())
             if inside:
                 total += BOILER * words
             else:
                 total += WORD * words
-                pieces.append(rest)
+                pieces.append(unescape(rest))  # a reference never runs on across a tag
         else:
             if kind == "open":
-                _enter(inside, name, rest, weights)
+                _enter(inside, name, rest, weights, i in wrappers)
             total += (weights.boiler_tags if inside else weights.tags).get(name, MILDEST)
             if name in BLOCKS:
                 pieces.append(None)
@@ -130,7 +161,7 @@ def main_text(html: str | None, weights: Weights) -> str:
             blocks.append([])
         else:
             blocks[-1].append(piece)
-    return " ".join(t for t in (" ".join(unescape("".join(b)).split()) for b in blocks) if t)
+    return " ".join(t for t in (" ".join("".join(b).split()) for b in blocks) if t)
 
 
 def _places(html: str | None, known: Weights | None = None) -> list[tuple[str, str, bool]]:
@@ -141,12 +172,13 @@ def _places(html: str | None, known: Weights | None = None) -> list[tuple[str, s
         return []
     found, deep = [], False
     boilerplate: list[str] = []
-    for kind, name, rest in tokens:
+    wrappers = _wrappers(tokens) if known is not None else set()
+    for i, (kind, name, rest) in enumerate(tokens):
         if name == "article":
             deep = kind == "open"
         elif kind == "open":
             if known is not None:
-                _enter(boilerplate, name, rest, known)
+                _enter(boilerplate, name, rest, known, i in wrappers)
             if not boilerplate:
                 found.append((name, _signature(name, rest)[0], deep))
         elif kind == "close" and boilerplate and name == boilerplate[0]:
@@ -155,7 +187,7 @@ def _places(html: str | None, known: Weights | None = None) -> list[tuple[str, s
 
 
 def _uses(pages: DataFrame, known: Weights | None = None) -> list[dict]:
-    """Per name and signature: uses inside the content, all uses, labelled pages; those of at least ``SUPPORT`` pages."""
+    """Per name and signature: uses inside the content, all uses, labelled pages. The drawn pages bound their number."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,8 +204,7 @@ def _uses(pages: DataFrame, known: Weights | None = None) -> list[dict]:
                  pa.array([counts[k] if k[3] else 0 for k in keys], pa.int64())], ["name", "signature", "inside", "uses", "pages"])
 
     return pages.mapInArrow(tidy(places), "name string, signature string, inside long, uses long, pages long").groupBy(
-        "name", "signature").agg(*(F.sum(c).alias(c) for c in ("inside", "uses", "pages"))).where(
-        F.col("pages") >= SUPPORT).toArrow().to_pylist()
+        "name", "signature").agg(*(F.sum(c).alias(c) for c in ("inside", "uses", "pages"))).toArrow().to_pylist()
 
 
 def _scores(rows: list[dict]) -> dict[str, float]:
@@ -182,16 +213,20 @@ def _scores(rows: list[dict]) -> dict[str, float]:
         held = names.setdefault(r["name"], [0, 0])
         held[0] += r["inside"]
         held[1] += r["uses"]
-    return {name: MILDEST + (HARSHEST - MILDEST) * (1 - inside / uses) for name, (inside, uses) in names.items()}
+    return {name: MILDEST + (HARSHEST - MILDEST) * (uses - inside) / (uses + SUPPORT) for name, (inside, uses) in names.items()}
 
 
 def learn_weights(pages: DataFrame, html: str = "html") -> Weights:
     """Weights from at most about ``LABELLED_PAGES`` pages, drawn by a hash of their markup: boilerplate first, then the
-    tags outside it."""
+    tags outside it.
+
+    A page is labelled if it has exactly one article element; null and empty pages are not, and copies of a page are drawn
+    or left together. With few labelled pages scores stay near the mildest, with none (an empty table too) every tag has it.
+    """
     share = min(1.0, LABELLED_PAGES / max(1, pages.count()))
     drawn = pages.where(F.pmod(F.xxhash64(html), F.lit(1 << 30)) < int(share * (1 << 30))).select(F.col(html).alias("html"))
     rows = _uses(drawn)
-    outside = frozenset(r["signature"] for r in rows if r["name"] in SECTIONS and r["inside"] <= INSIDE * r["uses"]
+    outside = frozenset(r["signature"] for r in rows if r["name"] in SECTIONS and r["pages"] >= SUPPORT and r["inside"] <= INSIDE * r["uses"]
                         and (r["signature"] != r["name"] or r["name"] not in ("div", "section", "table", "ul", "ol")))
     return Weights(_scores(_uses(drawn, Weights(boilerplate=outside))), outside, _scores(rows))
 

@@ -3,12 +3,24 @@
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-_OTHER = re.compile(r"[\W\d_]+")
+
+
+def _numbers() -> str:
+    """Characters that Python counts as word characters though their Unicode category is no letter: as ranges of a class."""
+    found = [i for i in range(128, sys.maxunicode + 1) if chr(i).isalnum() and unicodedata.category(chr(i))[0] != "L"]
+    starts = [i for i, x in enumerate(found) if i == 0 or x != found[i - 1] + 1]
+    return "".join(f"{chr(found[a])}-{chr(found[b - 1])}" for a, b in zip(starts, [*starts[1:], len(found)], strict=True))
+
+
+#: Runs of anything but letters (Unicode categories L*).
+_OTHER = re.compile(rf"[\W\d_{_numbers()}]+")
 BLOCK = 1 << 19
 
 

@@ -181,8 +181,9 @@ def _marked(kind: Kind) -> Callable[[Column, Column], Column]:
 
 
 def with_spans(df: DataFrame, text: str, spans: str = "spans", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
-    """``df`` with ``spans``: array of (start, place of the kind, kind, end, score), sorted; null text counts as empty."""
-    out = df.withColumn("_t", F.coalesce(F.col(text), F.lit("")))
+    """``df`` with ``spans``: array of (start, place of the kind, kind, end, score), sorted; null text counts as empty.
+    A column of that name is replaced, all others stay."""
+    out = _packed(df).withColumn("_t", F.coalesce(F.col(f"_row.{_quoted(text)}"), F.lit("")))
     found = []
     none = "array<struct<start:int,place:int,kind:string,end:int,score:double>>"
     for place, kind in enumerate(kinds):
@@ -198,19 +199,28 @@ def with_spans(df: DataFrame, text: str, spans: str = "spans", kinds: tuple[Kind
         found.append(f"_spans{place}")
         out = out.withColumn(found[-1], F.when(F.size("_m") > 0, scored).otherwise(F.array().cast(none)))
     joined = F.array_sort(F.concat(*found))
-    return out.withColumn(spans, joined).drop("_t", "_m", "_p", "_s", *found)
+    return out.select(*[F.col(f"_row.{_quoted(c)}") for c in df.columns if c != spans], joined.alias(spans))
 
 
 def redact(df: DataFrame, text: str, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """``df`` with every confirmed span of ``text`` replaced by its kind in brackets, one kind after the other. A null
-    text stays null; other columns stay as they are."""
-    columns = df.columns
-    out = df
+    text stays null; other columns stay as they are, whatever their names; rows that
+    repeat give the same; an empty table stays empty."""
+    out = _packed(df).withColumn("_t", F.col(f"_row.{_quoted(text)}"))
     for kind in kinds:
-        out = _matches(out, kind, text)
+        out = _matches(out, kind, "_t")
         marked = F.concat(F.array_join(F.transform("_m", _marked(kind)), ""), F.get("_p", F.size("_m")))
-        out = out.withColumn(text, F.when(F.size("_m") > 0, marked).otherwise(F.col(text)))
-    return out.select(*columns)
+        out = out.withColumn("_t", F.when(F.size("_m") > 0, marked).otherwise(F.col("_t")))
+    return out.select(*[F.col("_t").alias(c) if c == text else F.col(f"_row.{_quoted(c)}") for c in df.columns])
+
+
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
+def _packed(df: DataFrame) -> DataFrame:
+    """All columns in one, so that no name clashes with those used here."""
+    return df.select(F.struct(*[F.col(_quoted(c)) for c in df.columns]).alias("_row"))
 
 
 def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

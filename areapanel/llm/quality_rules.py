@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from areapanel.llm import unused
 from areapanel.session import write_scratch
 
 #: Share of a stratum's good documents that all rules together may reject; probability that a guarantee fails.
@@ -110,19 +111,13 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
     lines = _let(F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")), _line_measures)
     new = {"n_symbols": F.regexp_count(t, F.lit(_SYMBOLS)).cast("long"), "n_upper": F.regexp_count(t, F.lit(r"\p{Lu}")).cast(
         "long")}
-    w, x = _unused(df, "words"), _unused(df, "lines")
+    w, x = unused(df, "words"), unused(df, "lines")
     out = df.withColumns(new | {w: words, x: lines})
     parts = {n: F.col(f"`{w}`.{n}") for n in ("n_words", "word_chars", "n_repeat_words")} | {
         n: F.col(f"`{x}`.{n}") for n in ("n_lines", "n_dup_lines")}
     return out.withColumns(parts).drop(w, x, text)
 
 
-def _unused(df: DataFrame, name: str) -> str:
-    while name in df.columns:
-        name += "_"
-    return name
-
-
 def base_failed() -> Column:
     """Too few words, or too many of them in repeated windows."""
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))

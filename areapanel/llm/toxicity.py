@@ -41,7 +41,8 @@ class Chain:
     weights: np.ndarray  # categories x (buckets + 1 + categories): words, bias, earlier probabilities
     thresholds: list[float]
 
-    def probabilities(self, texts: list[str | None]) -> np.ndarray:
+    def probabilities(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities (texts x categories) and whether each text has letter words."""
         found = list(word_buckets(texts))
         cut = np.cumsum([0, *map(len, found)])
         flat = np.concatenate([np.zeros(0, np.int64), *found])
@@ -50,7 +51,7 @@ class Chain:
         for c, w in enumerate(self.weights):
             z = np.bincount(doc, weights=w[flat], minlength=len(found)) + w[BUCKETS] + p[:, :c] @ w[BUCKETS + 1 :][:c]
             p[:, c] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        return p
+        return p, np.diff(cut) > 0
 
 
 def _fit(rows: list[np.ndarray], extra: np.ndarray, y: np.ndarray, seed: int) -> np.ndarray:
@@ -94,25 +95,31 @@ def _threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
           categories: dict[str, str] | None = None) -> Chain:
-    """A chain from about ``TRAIN_ROWS`` labelled rows at most, drawn by a hash of the key."""
+    """A chain from at most ``TRAIN_ROWS`` labelled rows, those with the smallest hashes of their keys.
+
+    A key labelled more than once has each category that any of its labels has. Labels with a null, and null keys, are left
+    out; rows that repeat a key count each, within the bound. A null text has no words. Without any labelled row (an empty
+    table too) the chain gives every text probability 0.5 and no category. Columns of other names are not read.
+    """
     categories = categories or CATEGORIES
     known = labels.select(F.col(key).alias("_id"), *[F.expr(sql).cast("double").alias(f"y{i}")
                                                      for i, sql in enumerate(categories.values())]).dropna()
-    share = min(1.0, TRAIN_ROWS / max(1, known.count()))
-    drawn = known.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     ys = [f"y{i}" for i in range(len(categories))]
+    place = F.xxhash64("_id")
+    drawn = known.groupBy("_id").agg(*[F.max(y).alias(y) for y in ys]).orderBy(place, "_id").limit(TRAIN_ROWS)
     rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("text")).join(F.broadcast(drawn), "_id").select(
-        "text", "_id", F.array(*ys).alias("y"))
+        "text", "_id", F.array(*ys).alias("y"), F.struct(place.alias("a"), F.xxhash64("text").alias("b")).alias("place"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = pa.array([x.tolist() for x in word_buckets(batch.column(0).to_pylist())], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(1), found, batch.column(2)], ["id", "x", "y"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), found, batch.column(2), batch.column(3)], ["id", "x", "y", "place"])
 
     kind = docs.schema[key].dataType.simpleString()
-    got = rows.mapInArrow(tidy(features), f"id {kind}, x array<int>, y array<double>").toArrow().sort_by("id")
+    found = rows.mapInArrow(tidy(features), f"id {kind}, x array<int>, y array<double>, place struct<a: long, b: long>")
+    got = found.orderBy("place", "id").limit(TRAIN_ROWS).drop("place").toArrow().sort_by("id")
     if not len(got):
-        raise ValueError("no labelled row to learn from")
+        return Chain(list(categories), np.zeros((len(categories), BUCKETS + 1 + len(categories))), [2.0] * len(categories))
     x = list_views(got["x"])
     y = np.array(got["y"].to_pylist())
     fold = np.random.default_rng(0).integers(0, FOLDS, len(x))
@@ -145,8 +152,7 @@ def score_toxicity(docs: DataFrame, chain: Chain, key: str = "doc_id", text: str
         chain = shared.value
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            p = chain.probabilities(texts)
-            words = np.array([bool(letter_words(t)) if len(t or "") < 200 else True for t in texts], bool)
+            p, words = chain.probabilities(texts)
             out = [batch.column(0)]
             for c, least in enumerate(chain.thresholds):
                 out += [pa.array(p[:, c], pa.float64()), pa.array(words & (p[:, c] >= least), pa.bool_())]
