@@ -30,9 +30,9 @@ from areapanel.llm.shingles import text_blocks
 from areapanel.session import write_scratch
 
 #: Bytes of text and number of documents in a block; one longer text is a block of its own.
-BLOCK, DOCUMENTS = 4 << 20, 1 << 14
-#: Rows taken from an Arrow batch at a time.
-ROWS = 256
+BLOCK, DOCUMENTS = 2 << 20, 1 << 14
+#: Rows and bytes aligned at a time.
+ROWS, BYTES = 64, 1 << 17
 
 
 class PlainEncoder(ChunkEncoder):
@@ -151,7 +151,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
         for at in range(0, batch.num_rows, ROWS):
             part = batch.slice(at, ROWS)
             keys, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-            for block in text_blocks(texts):
+            for block in text_blocks(texts, BYTES):
                 yield keys[: len(block)], block
                 keys = keys[len(block) :]
 

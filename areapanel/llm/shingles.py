@@ -93,13 +93,13 @@ def _block_shingles(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
-def text_blocks(texts: list[bytes | None]) -> Iterator[list[bytes]]:
-    """Consecutive texts, about ``BLOCK`` bytes at a time; a null text counts as empty."""
+def text_blocks(texts: list[bytes | None], most: int = BLOCK) -> Iterator[list[bytes]]:
+    """Consecutive texts, at most ``most`` bytes or a single text at a time; a null text counts as empty."""
     block: list[bytes] = []
     size = 0
     for t in texts:
         t = t or b""
-        if block and size + len(t) > BLOCK:
+        if block and size + len(t) > most:
             yield block
             block, size = [], 0
         block.append(t)
