@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import normalise_name
 from ..operators import spatial as G
+from ..operators import topology as TP
+from ..session import reliable_checkpoint
 from ..sinks.tables import boundary_features
 from . import standins as S
 from .catalog import _r, register
@@ -96,3 +98,20 @@ def jagged_rings(spark, sf):
 @register
 def q_simplify_rings(spark, sf):
     return G.simplify_rings(jagged_rings(spark, sf), 0.1)
+
+
+@register
+def q_simplify_topology(spark, sf):
+    out = TP.simplify_topology(S.jagged_parcels(spark, sf), 0.05)
+    return out.select("area_code", F.col("seq").cast("bigint").alias("seq"), _r(F.col("x")).alias("x"),
+                      _r(F.col("y")).alias("y"))
+
+
+@register
+def q_topology_faults(spark, sf):
+    """Different border segments of the simplified layer, and pairs of them that meet elsewhere than in a common end."""
+    v = reliable_checkpoint(TP.simplify_topology(S.jagged_parcels(spark, sf), 0.05))
+    p, q = F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))
+    segments = G.edges(v).select(F.least(p, q).alias("p"), F.greatest(p, q).alias("q")).groupBy("p", "q").count()
+    return segments.agg(F.count("*").alias("segments"), F.count(F.when(F.col("count") == 2, 1)).alias("shared"), F.lit(
+        TP.topology_faults(v).count()).cast("bigint").alias("faults"))

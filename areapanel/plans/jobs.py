@@ -22,6 +22,7 @@ from ..operators import features as M
 from ..operators import models as ML
 from ..operators import relational as R
 from ..operators import spatial as G
+from ..operators import topology as TP
 from ..operators import timeseries as TS
 from ..sources.files import pick_sheet, promote_header
 from ..session import reliable_checkpoint
@@ -67,11 +68,11 @@ def name_lookup_job(features_2022: DataFrame, spec: Mapping = SP.BOUNDARIES_2022
 def boundary_job(features_2022: DataFrame, spec: Mapping = SP.BOUNDARIES_2022,
                  tolerance: float = SP.SIMPLIFY_TOLERANCE_DEGREES) -> DataFrame:
     """Boundary vertices with codes containing ``S`` (any case), reprojected from the
-    British National Grid to WGS84 and simplified; vertex table keyed ``ward_code``."""
+    British National Grid to WGS84 and simplified with shared borders kept; vertex table keyed ``ward_code``."""
     v = G.geojson_vertices(features_2022, props={spec["code"]: "ward_code"})
     v = B.contains_all(v, "ward_code", "S")
     v = G.project_vertices(v.select("ward_code", "part", "ring", "seq", "x", "y"), "EPSG:4326")
-    return G.simplify_rings(v, tolerance, key="ward_code")
+    return TP.simplify_topology(v, tolerance, key="ward_code")
 
 
 # --- J1 crime ---------------------------------------------------------------------------------

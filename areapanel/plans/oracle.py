@@ -471,6 +471,34 @@ SQL["boundary_features"] = f"""
 SELECT {AREA.format(k='n_nationkey')} AS area_code, 'Feature' AS feature_type, 'MultiPolygon' AS geometry_type,
        CAST(5 AS BIGINT) AS n_positions FROM nation"""
 
+JAGGED = """
+cells AS (SELECT 'Q' || CAST(p_partkey AS VARCHAR) AS area_code, p_partkey % 50 AS c, p_partkey // 50 AS r FROM part),
+sides AS (SELECT * FROM (VALUES (0, 0, 0, 0, 0), (8, 1, 1, 0, 0), (16, 0, 0, 1, 1), (24, 1, 0, 0, 1))
+          AS v(first, across, dc, dr, back)),
+steps AS (SELECT area_code, first + k AS seq, across, c + dc AS i, r + dr AS j, CASE WHEN back = 1 THEN 8 - k ELSE k END AS s
+          FROM cells, sides, range(8) AS t(k)),
+bent AS (SELECT *, (i * 7 + j * 13 + across) % 3 - 1 AS bulge,
+                CASE WHEN s IN (0, 8) THEN 0.0 ELSE ((i * 7 + j * 13 + across) % 3 - 1) * 0.2::DOUBLE
+                     * (1 - abs(2 * (s / 8.0::DOUBLE) - 1)) + ((i * 31 + j * 17 + s * 11) % 5 - 2) * 0.001::DOUBLE END AS d
+         FROM steps),
+jagged AS (SELECT area_code, seq, across, i, j, s, bulge,
+                  CASE WHEN across = 0 THEN i + s / 8.0::DOUBLE ELSE i + d END AS x,
+                  CASE WHEN across = 0 THEN j + d ELSE j + s / 8.0::DOUBLE END AS y FROM bent)"""
+
+# Of a border stay its ends and, if it bulges, the middle: all else is within the tolerance of the lines between those.
+SQL["simplify_topology"] = f"""
+WITH {JAGGED}
+SELECT area_code, CAST(seq AS BIGINT) AS seq, round(x, 6) AS x, round(y, 6) AS y FROM jagged
+WHERE s IN (0, 8) OR s = 4 AND bulge <> 0"""
+
+SQL["topology_faults"] = f"""
+WITH {JAGGED},
+borders AS (SELECT across, i, j, any_value(bulge) AS bulge, count(DISTINCT area_code) AS owners FROM jagged
+            GROUP BY across, i, j)
+SELECT CAST(sum(CASE WHEN bulge = 0 THEN 1 ELSE 2 END) AS BIGINT) AS segments,
+       CAST(sum(CASE WHEN owners = 1 THEN 0 WHEN bulge = 0 THEN 1 ELSE 2 END) AS BIGINT) AS shared,
+       CAST(0 AS BIGINT) AS faults FROM borders"""
+
 # --- features and models ----------------------------------------------------------------------
 
 HIST = """hist AS (SELECT p.area_code, p.date, p.count, p.value, s.qty, s.gross

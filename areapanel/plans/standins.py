@@ -138,3 +138,29 @@ def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     arr = F.array(*[F.struct(F.lit(i).alias("seq"), x.alias("x"), y.alias("y")) for i, (x, y) in enumerate(pts)])
     return (p.select(F.concat(F.lit("Q"), k.cast("string")).alias("area_code"), F.explode(arr).alias("v"))
             .select("area_code", F.lit(0).alias("part"), F.lit(0).alias("ring"), "v.seq", "v.x", "v.y"))
+
+
+def jagged_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cell of a 50-wide grid per part, with borders of eight edges that both neighbours trace alike, each from its own
+    corner and in its own direction. A border bulges by 0.2 to either side, or not at all, and every vertex on it is off by
+    up to 0.002; all of it follows from the border's place."""
+    k = F.col("p_partkey").cast("long")
+    cells = table(spark, sf_dir, "part").select(F.concat(F.lit("Q"), k.cast("string")).alias("area_code"),
+                                                (k % 50).alias("c"), F.floor(k / 50).alias("r"))
+
+    def side(first: int, across: int, dc: int, dr: int, back: bool) -> Column:
+        """Vertices ``first ..`` of the border at (c + dc, r + dr), without its last one in ring order."""
+        steps = [8 - s if back else s for s in range(8)]
+        return F.array(*[F.struct(F.lit(first + i).alias("seq"), F.lit(across).alias("across"), (F.col("c") + dc).alias("i"),
+                                  (F.col("r") + dr).alias("j"), F.lit(s).alias("s")) for i, s in enumerate(steps)])
+
+    ring = F.concat(side(0, 0, 0, 0, False), side(8, 1, 1, 0, False), side(16, 0, 0, 1, True), side(24, 1, 0, 0, True))
+    v = cells.select("area_code", F.inline(ring))
+    t = F.col("s") / 8.0
+    bulge = ((F.col("i") * 7 + F.col("j") * 13 + F.col("across")) % 3 - 1) * 0.2
+    off = ((F.col("i") * 31 + F.col("j") * 17 + F.col("s") * 11) % 5 - 2) * 0.001
+    d = F.when(F.col("s").isin(0, 8), 0.0).otherwise(bulge * (1 - F.abs(2 * t - 1)) + off)
+    flat = F.col("across") == 0
+    return v.select("area_code", F.lit(0).alias("part"), F.lit(0).alias("ring"), "seq",
+                    F.when(flat, F.col("i") + t).otherwise(F.col("i") + d).alias("x"),
+                    F.when(flat, F.col("j") + d).otherwise(F.col("j") + t).alias("y"))
