@@ -166,6 +166,19 @@ def candidate_pairs(src_bounds: DataFrame, dst_bounds: DataFrame) -> DataFrame:
                     F.greatest(_level(small) - finer, _level(big) - LEVEL_SPAN).alias("level"))
 
 
+def pair_cells(pairs: DataFrame) -> DataFrame:
+    """The cells ``(a, b, level, cx, cy)`` of each pair's box intersection."""
+    pairs = pairs.withColumn("c", _cell_size())
+    c = F.col("c")
+
+    def span(lo: str, hi: str) -> Column:
+        first = _index(F.col(lo), c)
+        return F.sequence(first, F.greatest(first, F.ceil(F.col(hi) / c) - 1))
+
+    return pairs.withColumn("cx", F.explode(span("ix0", "ix1"))).withColumn("cy", F.explode(span("iy0", "iy1"))).select(
+        "a", "b", "level", "cx", "cy")
+
+
 def _pieces(e: DataFrame, cells: DataFrame) -> DataFrame:
     """Signed line pieces ``(poly, level, cx, cy, xl, xr, hl, hr, s)`` of every polygon of ``e`` (oriented edges) in the
     cells ``(poly, level, cx, cy)``, heights counted from the cell's bottom; other cells may come along."""
@@ -250,17 +263,8 @@ def overlap_area(src: DataFrame, dst: DataFrame, key: str = "area_code", rel_eps
     """
     src = src.select(F.col(key).alias("area_code"), "part", "ring", "seq", "x", "y")
     dst = dst.select(F.col(key).alias("area_code"), "part", "ring", "seq", "x", "y")
-    pairs = candidate_pairs(bounds(src), bounds(dst)).withColumn("c", _cell_size())
-    c = F.col("c")
-
-    def span(lo: str, hi: str) -> Column:
-        first = _index(F.col(lo), c)
-        return F.sequence(first, F.greatest(first, F.ceil(F.col(hi) / c) - 1))
-
     # Cells of all pairs are written once: both layers are cut by them and then meet in them.
-    cells = write_scratch(pairs.withColumn("cx", F.explode(span("ix0", "ix1")))
-                          .withColumn("cy", F.explode(span("iy0", "iy1"))).select("a", "b", "level", "cx", "cy"),
-                          "overlap-cells")
+    cells = write_scratch(pair_cells(candidate_pairs(bounds(src), bounds(dst))), "overlap-cells")
     at = ["level", "cx", "cy"]
     # So are the turned edges, which are cut three ways and give the areas.
     e_s, e_d = (write_scratch(oriented_edges(v), "overlap-edges") for v in (src, dst))

@@ -8,6 +8,7 @@ import math
 from pyspark.sql import functions as F
 
 from ..functions.text import normalise_name
+from ..operators import clip as CL
 from ..operators import spatial as G
 from ..operators import topology as TP
 from ..session import reliable_checkpoint
@@ -115,3 +116,14 @@ def q_topology_faults(spark, sf):
     segments = G.edges(v).select(F.least(p, q).alias("p"), F.greatest(p, q).alias("q")).groupBy("p", "q").count()
     return segments.agg(F.count("*").alias("segments"), F.count(F.when(F.col("count") == 2, 1)).alias("shared"), F.lit(
         TP.topology_faults(v).count()).cast("bigint").alias("faults"))
+
+
+@register
+def q_clip_overlaps(spark, sf):
+    """Corners of the outline of every overlap, and the outline's number of rings and area."""
+    v = reliable_checkpoint(CL.clip_overlaps(S.supplier_squares(spark, sf), S.nation_cover(spark, sf)))
+    pair = F.concat_ws("|", "source_code", "target_code")
+    area = G.polygon_area(v.select(pair.alias("pair"), "part", "ring", "seq", "x", "y"), "pair")
+    rings = v.groupBy(pair.alias("pair")).agg(F.count_distinct("part", "ring").alias("rings"))
+    return v.withColumn("pair", pair).join(area, "pair").join(rings, "pair").select(
+        "source_code", "target_code", _r(F.col("x")).alias("x"), _r(F.col("y")).alias("y"), "rings", _r(F.col("area")).alias("area"))

@@ -463,6 +463,16 @@ WITH {SQUARES}
 SELECT target_code, round(sum(s_acctbal * (a / src_area)), 4) AS acctbal, round(sum(a / src_area), 6) AS suppliers
 FROM pairs GROUP BY 1"""
 
+# Both layers are rectangles, so an overlap has the four corners of what they share.
+SQL["clip_overlaps"] = f"""
+WITH {SQUARES},
+shared AS (SELECT p.source_code, p.target_code, p.a, greatest(sa.x0, sb.x0) AS x0, least(sa.x0 + sa.w, sb.x1) AS x1,
+                  greatest(sa.y0, sb.y0) AS y0, least(sa.y0 + sa.w, sb.y1) AS y1
+           FROM pairs p JOIN sa ON sa.source_code = p.source_code JOIN sb ON sb.target_code = p.target_code)
+SELECT source_code, target_code, round(CASE WHEN i IN (0, 3) THEN x0 ELSE x1 END, 6) AS x,
+       round(CASE WHEN i < 2 THEN y0 ELSE y1 END, 6) AS y, CAST(1 AS BIGINT) AS rings, round(a, 6) AS area
+FROM shared, range(4) AS t(i)"""
+
 SQL["prepare_boundaries"] = f"""
 SELECT {AREA.format(k='n_nationkey')} AS ward_code_2022, {norm('n_name')} AS ward_name_2022, CAST(6.25 AS DOUBLE) AS area_2022
 FROM nation"""
