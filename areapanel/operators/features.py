@@ -74,6 +74,21 @@ def trend_forecast(df: DataFrame, key: str = "area_code", date_col: str = "date"
     return g.select(*out_cols)
 
 
+def trend_lines(df: DataFrame, key: str = "area_code", date_col: str = "date", target: str = "count",
+                cols: Sequence[str] | None = None) -> DataFrame:
+    """The lines behind ``trend_forecast``, one row per area: ``_n`` rows, ``_last`` date, and for every column c the value
+    ``_start_c`` at position 0 and the slope ``_slope_c`` per row."""
+    cols = list(cols) if cols is not None else _numeric(df, [target])
+    w = Window.partitionBy(q(key)).orderBy(q(date_col))
+    staged = df.withColumn("_x", (F.row_number().over(w) - 1).cast("double"))
+    aggs = [F.count(F.lit(1)).cast("double").alias("_n"), F.max(q(date_col)).alias("_last")]
+    for c in cols:
+        y = q(c).cast("double")
+        aggs += [F.coalesce(F.regr_intercept(y, F.col("_x")), F.avg(y)).alias(f"_start_{c}"),
+                 F.coalesce(F.regr_slope(y, F.col("_x")), F.lit(0.0)).alias(f"_slope_{c}")]
+    return staged.groupBy(q(key)).agg(*aggs)
+
+
 def add_crime_features(df: DataFrame, key: str = "area_code", date_col: str = "date", target: str = "count",
                        density_col: str | None = "population_density", dropna: bool = True) -> DataFrame:
     """F1 + F2 + H5: three lags and the mean of the three previous values of

@@ -9,15 +9,17 @@ are compared by metrics. Models are ``PipelineModel``s saved to shared storage.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
-from .checks import require_columns
+from .columns import q
+from .features import DENSITY_LOG, LAG_NAMES, ROLLING_NAME, trend_lines
 
 FOREST_TREES = 500
 FOREST_MAX_DEPTH = 30   # Spark's limit; the reference grows trees without a limit
@@ -88,6 +90,42 @@ def score(model: PipelineModel, features: DataFrame, key: str = "area_code", dat
     return model.transform(features).select(key, date_col, F.col("prediction").alias("crime_prediction"))
 
 
+def forecast_months(model: PipelineModel, history: DataFrame, months: int, key: str = "area_code", date_col: str = "date",
+                    target: str = "count", density_col: str | None = "population_density",
+                    trend_cols: Sequence[str] | None = None) -> DataFrame:
+    """M7 for several months: ``(key, date, step, crime_prediction)`` for the ``months`` months after each area's last row.
+
+    Every step predicts all areas at once; its predictions become the newest of the three values that the next step's lags
+    and rolling mean come from. Other columns go on along each area's own line (M1): a point on a line doesn't turn it, so
+    the line is fitted once. What a step passes on, one row per area, is written to the shared folder, so a plan is as deep
+    at the last month as at the first. Areas with fewer than three rows have no lags and are left out.
+    """
+    if months < 1:
+        raise ValueError("months must be at least 1")
+    lines = trend_lines(history, key, date_col, target, trend_cols)
+    newest = Window.partitionBy(q(key)).orderBy(F.desc(q(date_col)))
+    last = history.select(q(key), q(date_col), q(target).cast("double").alias("_y")).withColumn(
+        "_r", F.row_number().over(newest)).where(F.col("_r") <= len(LAG_NAMES))
+    lags = last.groupBy(q(key)).agg(*[F.max(F.when(F.col("_r") == i + 1, F.col("_y"))).alias(n) for i, n in enumerate(LAG_NAMES)])
+    state = reliable_checkpoint(lines.join(lags.na.drop(subset=[LAG_NAMES[-1]]), key))
+    trends = [f.name for f in lines.schema.fields if f.name.startswith("_slope_")]
+    steps = []
+    for step in range(months):
+        rows = state.withColumn(date_col, F.add_months(F.col("_last"), step + 1))
+        for name in trends:
+            c = name.removeprefix("_slope_")
+            rows = rows.withColumn(c, F.col(f"_start_{c}") + F.col(name) * (F.col("_n") + step))
+        rows = rows.withColumn(ROLLING_NAME, sum(F.col(n) for n in LAG_NAMES) / len(LAG_NAMES))
+        if density_col is not None and density_col in rows.columns:
+            rows = rows.withColumn(DENSITY_LOG, F.log1p(q(density_col)))
+        scored = model.transform(rows).select(*state.columns, q(date_col), F.col("prediction").alias("_p"))
+        scored = reliable_checkpoint(scored)
+        steps.append(scored.select(q(key), q(date_col), F.lit(step + 1).alias("step"), F.col("_p").alias("crime_prediction")))
+        state = scored.select(*[c for c in state.columns if c not in LAG_NAMES], F.col("_p").alias(LAG_NAMES[0]), *[
+            F.col(a).alias(b) for a, b in zip(LAG_NAMES[:-1], LAG_NAMES[1:], strict=True)])
+    return reduce(DataFrame.unionByName, steps)
+
+
 def linear_coefficients(model: PipelineModel, features: Sequence[str]) -> list[tuple[str, float]]:
     """M8: ``[("intercept", b0), (feature, b), …]`` from a fitted linear pipeline."""
     lr = model.stages[-1]
@@ -101,7 +139,3 @@ def save_model(model: PipelineModel, path: str) -> str:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
-
-
-def require_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return require_columns(df, list(features))

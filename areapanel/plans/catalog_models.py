@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import features as M
@@ -10,9 +10,11 @@ from ..operators import models as ML
 from ..operators import relational as R
 from ..operators import timeseries as TS
 from ..session import reliable_checkpoint
+from . import jobs as J
 from . import standins as S
 from .catalog import _r, register
 from .catalog_io import trend_panel
+from .views import prediction_for
 
 
 def density_panel(spark, sf, panel_df: DataFrame | None = None) -> DataFrame:
@@ -36,7 +38,8 @@ def q_trend_forecast(spark, sf):
 
 @register
 def q_prediction_features(spark, sf):
-    h = R.join_panels([S.panel(spark, sf), S.supply_panel(spark, sf), density_panel(spark, sf)])
+    p = reliable_checkpoint(S.panel(spark, sf))  # its orders are scanned once for both panels
+    h = reliable_checkpoint(R.join_panels([p, S.supply_panel(spark, sf), density_panel(spark, sf, p)]))
     out = M.prediction_features(h, "area_code", "date", "count", "population_density")
     return out.withColumns({**{c: _r(F.col(c), 4) for c in ("value", "qty", "gross")},
                             M.ROLLING_NAME: _r(F.col(M.ROLLING_NAME)), M.DENSITY_LOG: _r(F.col(M.DENSITY_LOG))})
@@ -88,19 +91,73 @@ def q_linear_fit(spark, sf):
     return spark.createDataFrame([(t, round(v, 6)) for t, v in coefs], "term string, coefficient double")
 
 
+FORECAST_MONTHS = 6
+
+
+@register
+def q_forecast_months(spark, sf):
+    """Six months ahead by a linear model of the mean of the last three months."""
+    p = reliable_checkpoint(S.panel(spark, sf))
+    feats = M.add_crime_features(p, "area_code", "date", "count", None)
+    model = ML.fit(ML.linear_pipeline([M.ROLLING_NAME]), feats)
+    out = ML.forecast_months(model, p, FORECAST_MONTHS, "area_code", "date", "count", None)
+    return out.select("area_code", "date", "step", _r(F.col("crime_prediction"), 4).alias("crime_prediction"))
+
+
+def ward_panels(spark, sf) -> dict[str, DataFrame]:
+    """The four published panels under their published column names, from the stand-in panels."""
+    p = reliable_checkpoint(S.panel(spark, sf))
+    ward = F.col("area_code").alias("ward_code")
+    supply, trend = S.supply_panel(spark, sf), trend_panel(spark, sf, p)
+    return {"crime": p.select(ward, "date", "count"),
+            "education": supply.select(ward, "date", F.col("qty").alias("pop_with_qual"), F.col("gross").alias("pop_without_qual")),
+            "employment": trend.select(ward, "date", F.col("value_trend").alias("unemployed_adults")),
+            "density": density_panel(spark, sf, p).select(ward, "date", "population_density")}
+
+
+def ward_names(spark, sf) -> DataFrame:
+    return S.names(spark, sf).select(F.col("area_code").alias("ward_code"), F.col("area_name").alias("ward_name"))
+
+
 @register
 def q_rf_fit_predict(spark, sf):
-    feats, cols = training_frame(spark, sf)
-    train, test = R.ordered_split(feats, ["area_code", "date"], 0.1)
-    model = ML.fit(ML.forest_pipeline(cols), train)
-    return ML.predict_frame(model, test)
+    """J7 with the full forest: predictions for the last tenth of the rows."""
+    return J.training_job(**ward_panels(spark, sf), names=ward_names(spark, sf))["results"]
 
 
 @register
 def q_score_next_month(spark, sf):
-    panels = model_panels(spark, sf)
-    feats, cols = training_frame(spark, sf, panels)
-    model = ML.fit(ML.forest_pipeline(cols), feats)
-    hist = R.join_panels(panels)
-    pred_rows = M.prediction_features(hist, "area_code", "date", "count", "population_density")
-    return ML.score(model, pred_rows)
+    """J8 with the full forest: next month's prediction for every ward."""
+    panels = ward_panels(spark, sf)
+    model = J.training_job(**panels, names=ward_names(spark, sf))["model"]
+    return J.scoring_job(model, **panels)
+
+
+#: Trees of the forest where only facts about the result are compared.
+FEW_TREES = 20
+
+
+def _plausible(value: str, labels: DataFrame) -> Column:
+    """A mean of training labels lies between the least and the greatest of them."""
+    ends = labels.agg(F.min("count").alias("lo"), F.max("count").alias("hi"))
+    return F.col(value).between(ends.select("lo").scalar(), ends.select("hi").scalar())
+
+
+@register
+def q_training_job(spark, sf):
+    """The rows tested and what was counted there; predictions lie within the labels seen."""
+    panels = ward_panels(spark, sf)
+    out = J.training_job(**panels, names=ward_names(spark, sf), num_trees=FEW_TREES)
+    return out["results"].select("ward_code", "date", "actual_crime", _plausible("predicted_crime", panels["crime"]).alias("plausible"))
+
+
+@register
+def q_scoring_job(spark, sf):
+    """The month after each ward's last, a plausible prediction, and the answer for that ward alone."""
+    panels = ward_panels(spark, sf)
+    model = J.training_job(**panels, names=ward_names(spark, sf), num_trees=FEW_TREES)["model"]
+    scored = reliable_checkpoint(J.scoring_job(model, **panels))
+    one = S.area_code(F.lit(7))
+    answer = prediction_for(scored, one, "ward_code").select(F.col("crime_prediction").alias("answer"))
+    return scored.join(answer, (F.col("ward_code") == one) & (F.col("answer") == F.col("crime_prediction")), "left").select(
+        "ward_code", "date", _plausible("crime_prediction", panels["crime"]).alias("plausible"), F.col("answer").isNotNull().alias("answered"))

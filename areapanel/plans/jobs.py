@@ -247,9 +247,12 @@ def training_job(crime: DataFrame, education: DataFrame, employment: DataFrame,
             "first_areas": R.first_k_keys(results, "ward_code", 4)}
 
 
-def scoring_job(model, crime: DataFrame, education: DataFrame, employment: DataFrame, density: DataFrame
-                ) -> DataFrame:
-    """Next month's predicted count for every ward: ``(ward_code, date, crime_prediction)``."""
+def scoring_job(model, crime: DataFrame, education: DataFrame, employment: DataFrame, density: DataFrame,
+                months: int = 1) -> DataFrame:
+    """Next month's predicted count for every ward: ``(ward_code, date, crime_prediction)``; with ``months`` above one
+    the months after it too, each predicted from the ones before, and a column ``step``."""
     hist = R.join_panels(_panels(crime, education, employment, density), ("ward_code", "date"))
+    if months > 1:
+        return ML.forecast_months(model, reliable_checkpoint(hist), months, "ward_code", "date", "count", "population_density")
     rows = M.prediction_features(hist, "ward_code", "date", "count", "population_density")
     return ML.score(model, rows, "ward_code")

@@ -564,6 +564,34 @@ l AS (SELECT area_code, date, count, value, qty, gross, value_trend, area_name,
              round(ln(1 + population_density), 6) AS pop_density_log FROM j)
 SELECT * FROM l WHERE crime_last_three_months IS NOT NULL"""
 
+SQL["forecast_months"] = f"""
+WITH RECURSIVE {PANEL},
+x AS (SELECT area_code, date, CAST(count AS DOUBLE) AS y, avg(count) OVER ({_W} ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS m,
+             lag(count, 3) OVER ({_W}) AS third, row_number() OVER (PARTITION BY area_code ORDER BY date DESC) AS back FROM panel),
+line AS (SELECT regr_slope(y, m) AS s, regr_intercept(y, m) AS i FROM x WHERE third IS NOT NULL),
+ends AS (SELECT area_code, max(date) AS last, max(CASE WHEN back = 1 THEN y END) AS a, max(CASE WHEN back = 2 THEN y END) AS b,
+                max(CASE WHEN back = 3 THEN y END) AS c FROM x GROUP BY area_code),
+ahead AS (SELECT area_code, last, 0 AS step, a, b, c FROM ends WHERE c IS NOT NULL
+          UNION ALL SELECT area_code, last, step + 1, i + s * (a + b + c) / 3, a, b FROM ahead, line WHERE step < 6)
+SELECT area_code, CAST(last + to_months(step) AS DATE) AS date, CAST(step AS INTEGER) AS step, round(a, 4) AS crime_prediction
+FROM ahead WHERE step > 0"""
+
+JOINED = f"""
+j AS (SELECT p.area_code, p.date, p.count FROM panel p JOIN supply s ON p.area_code = s.area_code AND p.date = s.date
+      JOIN trend t ON p.area_code = t.area_code AND p.date = t.date
+      JOIN dens d ON p.area_code = d.area_code AND p.date = d.date)"""
+
+SQL["training_job"] = f"""
+WITH {PANEL}, {SUPPLY_PANEL}, {NAMES}, {TREND}, {DENSITY}, {JOINED},
+l AS (SELECT area_code, date, count, lag(count, 3) OVER ({_W}) AS third FROM j),
+o AS (SELECT *, row_number() OVER (ORDER BY area_code, date) AS k, count(*) OVER () AS n FROM l WHERE third IS NOT NULL)
+SELECT area_code AS ward_code, date, CAST(count AS DOUBLE) AS actual_crime, true AS plausible FROM o WHERE k > n - ceil(0.1 * n)"""
+
+SQL["scoring_job"] = f"""
+WITH {PANEL}, {SUPPLY_PANEL}, {NAMES}, {TREND}, {DENSITY}, {JOINED}
+SELECT area_code AS ward_code, CAST(max(date) + INTERVAL 1 MONTH AS DATE) AS date, true AS plausible,
+       area_code = {AREA.format(k='7')} AS answered FROM j GROUP BY area_code HAVING count(*) >= 3"""
+
 LAGRES = f"""lr AS (SELECT area_code, date, CAST(lag(count, 1) OVER ({_W}) AS DOUBLE) AS predicted_crime,
                     CAST(count AS DOUBLE) AS actual_crime FROM panel),
 res AS (SELECT * FROM lr WHERE predicted_crime IS NOT NULL)"""

@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.checks import require_columns
@@ -72,6 +72,6 @@ def area_series(crime: DataFrame, ward_code: str | None = None, code_col: str =
     return history_crime(crime, ward_code, None, code_col).orderBy(code_col, "date")
 
 
-def prediction_for(predictions: DataFrame, ward_code: str, code_col: str = "area_code") -> DataFrame:
+def prediction_for(predictions: DataFrame, ward_code: str | Column, code_col: str = "area_code") -> DataFrame:
     """V7: ``{crime_prediction}`` for one area from the scored table."""
     return predictions.where(F.col(code_col) == ward_code).select("crime_prediction")
