@@ -18,7 +18,7 @@ def months_on(d, k):
 
 def test_steps_feed_the_next(spark):
     random.seed(8)
-    rows = [(a, months_on(dt.date(2020, 1, 1), i), random.randint(5, 60), random.uniform(0, 9), random.uniform(1, 90))
+    rows = [(a, months_on(dt.date(2020, 1, 1), i), random.randint(5, 60), random.uniform(0, 9), 50 + 3 * i + random.uniform(0, 2))
             for a, n in (("A", 12), ("B", 7), ("C", 3), ("D", 2)) for i in range(n)]
     df = spark.createDataFrame(rows, "area_code string, date date, count long, extra double, population_density double")
     cols = ["extra", *M.LAG_NAMES, M.ROLLING_NAME, M.DENSITY_LOG]
