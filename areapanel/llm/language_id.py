@@ -78,16 +78,15 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def _counts(texts: list[str | None]) -> Iterator[tuple[list[int], list[int]]]:
-    """Distinct fine buckets of each text's n-grams and how often each occurs."""
+def _counts(texts: list[str | None]) -> Iterator[tuple[pa.ListArray, pa.ListArray]]:
+    """Distinct fine buckets of each text's n-grams and how often each occurs, a block of texts at a time."""
+    fine = BUCKETS << FINE_BITS
     for data, starts in blocks(texts):
-        fine = BUCKETS << FINE_BITS
         found = [grams(data, starts, size, fine) for size in SIZES]
         bucket, doc = np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
         pair, n = np.unique(doc * fine + bucket, return_counts=True)
-        cut = np.searchsorted(pair, np.arange(len(starts)) * fine)
-        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-            yield (pair[a:b] % fine).tolist(), n[a:b].tolist()
+        cut = pa.array(np.searchsorted(pair, np.arange(len(starts)) * fine).astype(np.int32))
+        yield tuple(pa.ListArray.from_arrays(cut, pa.array(x.astype(np.int32))) for x in (pair % fine, n))
 
 
 def _nothing() -> LanguageModel:
@@ -118,10 +117,11 @@ def train(docs: DataFrame, usable: Column, text: str = "text", language: str = "
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = list(_counts(batch.column(0).to_pylist()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in found], pa.list_(pa.int32())), pa.array([x[1] for x in found], pa.list_(pa.int32())),
-                 batch.column(1), batch.column(2)], ["bucket", "n", "language", "h"])
+            at = 0
+            for bucket, n in _counts(batch.column(0).to_pylist()):
+                rest = batch.slice(at, len(n))
+                at += len(n)
+                yield pa.RecordBatch.from_arrays([bucket, n, rest.column(1), rest.column(2)], ["bucket", "n", "language", "h"])
 
     got = sample.mapInArrow(tidy(features), "bucket array<int>, n array<int>, language string, h long").toArrow()
     names = got["language"].to_pylist()

@@ -21,7 +21,7 @@ def _numbers() -> str:
 
 #: Runs of anything but letters (Unicode categories L*).
 _OTHER = re.compile(rf"[\W\d_{_numbers()}]+")
-BLOCK = 1 << 19
+BLOCK = 1 << 17
 
 
 def letter_words(text: str | None) -> bytes:

@@ -25,7 +25,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 #: Bytes hashed at once; documents longer than this are hashed alone.
-BLOCK = 1 << 19
+BLOCK = 1 << 17
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
