@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.checks import require_columns
-from ..sinks.tables import YEAR_PARTITION
+from ..sinks.tables import YEAR_PARTITION, area_part, area_partition, drop_partitions
 from ..sources.sql import param_sql
 
 # V4 response shapes: column → type, in response order.
@@ -36,21 +36,31 @@ def history_crime(crime: DataFrame, ward_code: str | None = None, date: dt.date
 
     Rows with a NULL code or date are never returned, even without filters (the
     reference's semantics). On a table read with its year partition column a bound date
-    reads that year only; the column is not returned."""
+    reads that year only, on one clustered by area a bound code its part only; partition columns are not returned."""
     if isinstance(date, str):
         date = dt.date.fromisoformat(date)
     sql = (f"SELECT * FROM {{t}} WHERE `{code_col}` = COALESCE(:code, `{code_col}`) "
            f"AND `{date_col}` = COALESCE(:d, `{date_col}`)")
     if YEAR_PARTITION in crime.columns and date is not None:
         sql += f" AND `{YEAR_PARTITION}` = year(:d)"
-    return param_sql(crime.sparkSession, sql, {"code": ward_code, "d": date}, {"t": crime}).drop(YEAR_PARTITION)
+    found = param_sql(crime.sparkSession, sql, {"code": ward_code, "d": date}, {"t": _part_of(crime, ward_code)})
+    return drop_partitions(found)
+
+
+def _part_of(table: DataFrame, ward_code: str | None) -> DataFrame:
+    """The part of a table clustered by area that holds the code's rows; all of it without a code."""
+    clustered = area_partition(table.columns)
+    if ward_code is None or clustered is None:
+        return table
+    name, parts = clustered
+    return table.where(F.col(name) == area_part(F.lit(ward_code), parts))
 
 
 def history_optional(table: DataFrame, ward_code: str | None = None, code_col: str = "ward_code") -> DataFrame:
     """V2: ``(:code IS NULL OR code = :code)``: without a code every row comes back,
     NULL codes included."""
     sql = f"SELECT * FROM {{t}} WHERE (:code IS NULL OR `{code_col}` = :code)"
-    return param_sql(table.sparkSession, sql, {"code": ward_code}, {"t": table}).drop(YEAR_PARTITION)
+    return drop_partitions(param_sql(table.sparkSession, sql, {"code": ward_code}, {"t": _part_of(table, ward_code)}))
 
 
 def area_names(names: DataFrame) -> DataFrame:

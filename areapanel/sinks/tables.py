@@ -9,12 +9,40 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.checks import require_columns
 
 YEAR_PARTITION = "date_year"
+#: Partition column of tables clustered by area; the number of parts follows in its name.
+AREA_PARTITION = "area_part_"
+AREA_PARTS = 8
+
+
+def area_part(code: Column, parts: int) -> Column:
+    """The part of a clustered table that holds an area's rows."""
+    return F.pmod(F.xxhash64(code), F.lit(parts)).cast("int")
+
+
+def area_partition(columns: Iterable[str]) -> tuple[str, int] | None:
+    """Name and number of parts of a clustered table's area partition column."""
+    return next(((c, int(c.removeprefix(AREA_PARTITION))) for c in columns if c.startswith(AREA_PARTITION)), None)
+
+
+def cluster_table(df: DataFrame, path: str, area_col: str, date_col: str = "date", parts: int = AREA_PARTS) -> str:
+    """K1 for tables that are asked for by area: files are partitioned by year and by a hash of the area, rows inside them
+    sorted by area and date, with a Parquet bloom filter on the area. A lookup of one area opens one part a year, and reads
+    the row groups and pages with its code. Rows are ranged on all of these and a hash of the row, so a year or an area
+    with many rows is spread over many tasks."""
+    part = f"{AREA_PARTITION}{parts}"
+    spread = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+    order = [F.col(YEAR_PARTITION), F.col(part), F.col(f"`{area_col}`"), F.col(f"`{date_col}`")]
+    rows = df.withColumns({YEAR_PARTITION: F.year(F.col(f"`{date_col}`")), part: area_part(F.col(f"`{area_col}`"), parts)})
+    rows = rows.repartitionByRange(*order[:3], spread).sortWithinPartitions(*order)
+    rows.write.mode("overwrite").option(f"parquet.bloom.filter.enabled#{area_col}", "true").partitionBy(
+        YEAR_PARTITION, part).parquet(path)
+    return path
 
 
 def replace_table(df: DataFrame, path: str, date_col: str | None = "date", fmt: str = "parquet") -> str:
@@ -34,10 +62,15 @@ def replace_table(df: DataFrame, path: str, date_col: str | None = "date", fmt:
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", keep_year: bool = False) -> DataFrame:
-    """Read a table written by ``replace_table``. The year partition column is dropped unless ``keep_year``; a
-    filter on it reads only that year's files, and the history views set one when a date is bound."""
+    """Read a table written by ``replace_table`` or ``cluster_table``. The partition columns are dropped unless
+    ``keep_year``; filters on them read only their files, and the history views set them for a bound date or area."""
     df = spark.read.format(fmt).load(path)
-    return df.drop(YEAR_PARTITION) if YEAR_PARTITION in df.columns and not keep_year else df
+    return df if keep_year else drop_partitions(df)
+
+
+def drop_partitions(df: DataFrame) -> DataFrame:
+    """``df`` without the partition columns that tables are written with."""
+    return df.drop(*[c for c in df.columns if c == YEAR_PARTITION or c.startswith(AREA_PARTITION)])
 
 
 def gated_replace(df: DataFrame, path: str, required: Iterable[str], date_col: str | None = "date") -> str:

@@ -1,9 +1,7 @@
 """File sources.
 
-* ``read_trimmed_csv`` (A1): CSV files with preamble and trailer lines. Each file is
-  read whole (``wholetext``) because the trailer is counted from the end of the
-  file; one file is one task, and any number of files is read in one plan.
-  Meant for published statistical extracts (megabytes per file).
+* ``read_trimmed_csv`` (A1): CSV files with preamble and trailer lines, of any size:
+  files are read by block, and lines numbered from per-block counts.
 * ``read_csv`` (A2): plain headered CSV with an explicit schema.
 * ``pick_sheet`` (A3): a workbook held as a table with a sheet-name column.
 * ``read_many`` (A4): one read over many files, keyed by a part of the path.
@@ -17,15 +15,37 @@ import io
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.columns import q
+from ..session import write_scratch
 
 
-def _lines(value_col: str = "value"):
-    """Lines of a whole-file text, trailing line breaks ignored."""
-    return F.split(F.regexp_replace(F.col(value_col), r"(\r?\n)+$", ""), r"\r?\n")
+def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Lines of text files with their place: ``(_file, _row, _n, _line)``, ``_row`` from 0 and ``_n`` the lines of the file
+    without empty ones at its end. Lines end with a line feed; a carriage return before it is dropped.
+
+    Files are read by block, so a large file is many tasks. Row ids count up inside a partition, and a block's lines follow
+    one another there; so a first pass needs one row a block (its first id and number of lines) for a line's number to be its
+    id less the first one, plus the lines of earlier blocks. No line is shuffled or sorted.
+    """
+    row_id = F.monotonically_increasing_id()
+    raw = spark.read.option("lineSep", "\n").text(paths).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), row_id.alias("_id"),
+        F.regexp_replace("value", "\r$", "").alias("_line")).withColumn("_part", F.shiftright("_id", 33))
+    blocks = raw.groupBy("_file", "_block", "_part").agg(
+        F.min("_id").alias("_first"), F.count("*").alias("_lines"), F.max(F.when(F.col("_line") != "", F.col("_id"))).alias("_last"))
+    order = Window.partitionBy("_file").orderBy("_block")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = F.coalesce(F.sum("_lines").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.withColumn("_base", before).withColumn(
+        "_n", F.coalesce(F.max(F.col("_base") + F.col("_last") - F.col("_first") + 1).over(whole), F.lit(0)))
+    blocks = write_scratch(blocks.drop("_lines", "_last"), "line-blocks")
+    placed = raw.join(blocks, ["_file", "_block", "_part"], "left")
+    # Both passes cut files alike; were they ever not to, that must not lose lines.
+    first = F.coalesce("_first", F.raise_error(F.lit("the files changed while they were read")).cast("long"))
+    return placed.select("_file", (F.col("_id") - first + F.col("_base")).alias("_row"), "_n", "_line")
 
 
 def _parse_header(line: str, sep: str) -> list[str]:
@@ -40,27 +60,28 @@ def read_trimmed_csv(spark: SparkSession, paths: str | Sequence[str], skiprows:
 
     Columns are strings unless ``schema`` (name → SQL type) casts them (ANSI:
     bad text raises, like ``pd.read_csv`` with a dtype). Files with different
-    headers are stacked by name.
+    headers are stacked by name, in one pass over all files. The distinct header
+    lines are collected: they are the result's columns.
     """
-    raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("_file"), "value")
-    lines = _lines()
-    kept = F.slice(lines, skiprows + 1, F.greatest(F.size(lines) - skiprows - skipfooter, F.lit(0)))
-    body = raw.select("_file", F.filter(kept, lambda ln: F.length(F.trim(ln)) > 0).alias("_lines"))
-    body = body.select("_file", F.col("_lines")[0].alias("_header"), "_lines")
-    headers = [r["_header"] for r in body.select("_header").distinct().collect() if r["_header"] is not None]
-    frames = []
-    for header in headers:
-        names = _parse_header(header, sep)
-        ddl = ", ".join(f"`_c{i}` STRING" for i in range(len(names)))
-        rows = (body.where(F.col("_header") == header)
-                .select("_file", F.posexplode(F.slice("_lines", 2, F.greatest(F.size("_lines") - 1, F.lit(0))))
-                        .alias("_line_no", "_line"))
-                .select("_file", F.from_csv("_line", ddl, {"sep": sep, "mode": "PERMISSIVE"}).alias("_r")))
-        cols = [F.col("_r").getField(f"_c{i}").alias(n) for i, n in enumerate(names)]
-        frames.append(rows.select(*(["_file"] if keep_file else []), *cols))
-    if not frames:
+    lines = numbered_lines(spark, paths).where(
+        (F.col("_row") >= skiprows) & (F.col("_row") < F.col("_n") - skipfooter) & (F.trim("_line") != ""))
+    tops = write_scratch(lines.groupBy("_file").agg(F.min_by("_line", "_row").alias("_header"), F.min("_row").alias("_top")), "headers")
+    headers = {r["_header"]: _parse_header(r["_header"], sep) for r in tops.select("_header").distinct().orderBy("_header").collect()}
+    if not headers:
         raise ValueError(f"no header line found in {paths!r}")
-    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    ddl = ", ".join(f"`_c{i}` STRING" for i in range(max(map(len, headers.values()))))
+    rows = lines.join(tops, "_file").where(F.col("_row") > F.col("_top")).select(
+        "_file", "_header", F.from_csv("_line", ddl, {"sep": sep, "mode": "PERMISSIVE"}).alias("_r"))
+
+    def value(name: str) -> Column:
+        """The cell under ``name``, by the header of the row's file; null where that has no such column."""
+        at = {h: names.index(name) for h, names in headers.items() if name in names}
+        if len(at) == len(headers) and len(set(at.values())) == 1:
+            return F.col("_r").getField(f"_c{min(at.values())}")
+        return F.coalesce(*[F.when(F.col("_header") == h, F.col("_r").getField(f"_c{i}")) for h, i in at.items()])
+
+    order = list(dict.fromkeys(n for names in headers.values() for n in names))
+    out = rows.select(*(["_file"] if keep_file else []), *[value(n).alias(n) for n in order])
     return _apply_schema(out, schema)
 
 
@@ -119,8 +140,7 @@ def read_raw_rows(spark: SparkSession, paths: str | Sequence[str], sep: str = ",
     search) become explicit order. ``n_cols`` defaults to the widest line (one
     small aggregate job).
     """
-    raw = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("_file"), "value")
-    lines = raw.select("_file", F.posexplode(_lines()).alias("_row", "_line"))
+    lines = numbered_lines(spark, paths).where(F.col("_row") < F.col("_n")).drop("_n")
     if n_cols is None:
         n_cols = lines.agg(F.max(F.size(F.split("_line", sep)))).first()[0] or 1
     ddl = ", ".join(f"`_c{i}` STRING" for i in range(n_cols))

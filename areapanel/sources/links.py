@@ -22,20 +22,26 @@ def page_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
     """All anchors: ``(id, *keep, link_pos, href, title, text, css_class)``; ``link_pos`` is 0-based."""
     exploded = pages.select(id_col, *keep, F.posexplode(H.anchors(html_col)).alias("link_pos", "_a"))
     a = F.col("_a")
-    return exploded.select(
-        id_col, *keep, F.col("link_pos").cast("bigint").alias("link_pos"),
-        H.attribute(a, "href").alias("href"), H.attribute(a, "title").alias("title"),
-        H.link_text(a).alias("text"), H.attribute(a, "class").alias("css_class"))
+    names = ["href", "title", "text", "css_class"]
+    raw = F.array(H.raw_attribute(a, "href"), H.raw_attribute(a, "title"), H.raw_text(a), H.raw_attribute(a, "class"))
+    return exploded.select(id_col, *keep, F.col("link_pos").cast("bigint").alias("link_pos"), H.decoded(raw).alias("_v")).select(
+        id_col, *keep, "link_pos", *[F.col("_v")[i].alias(n) for i, n in enumerate(names)])
 
 
 def links_by_title(pages: DataFrame, needle: str, base_url: str, attr: str = "title",
                    id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """A5: anchors whose ``attr`` (``title`` by default) contains ``needle``
     (case-sensitive) → ``(id, link_pos, title, url)`` with ``url = base_url + href``."""
-    links = page_links(pages, id_col, html_col)
-    label = F.col(attr)
-    return (links.where(label.isNotNull() & (label != "") & label.contains(needle) & F.col("href").isNotNull())
-            .select(id_col, "link_pos", label.alias("title"), F.concat(F.lit(base_url), F.col("href")).alias("url")))
+    exploded = pages.select(id_col, F.posexplode(H.anchors(html_col)).alias("link_pos", "_a"))
+    a = F.col("_a")
+    part = {"text": H.raw_text(a), "css_class": H.raw_attribute(a, "class")}.get(attr)
+    raw = exploded.select(id_col, F.col("link_pos").cast("bigint").alias("link_pos"), (
+        H.raw_attribute(a, attr) if part is None else part).alias("_label"), H.raw_attribute(a, "href").alias("_href"))
+    # A label without a reference is tested as it stands; what passes is decoded, and the rest of the labels tested then.
+    kept = raw.where(F.col("_label").contains(needle) | F.col("_label").contains("&")).where("_href is not null")
+    found = kept.select(id_col, "link_pos", H.decoded(F.array("_label", "_href")).alias("_v"))
+    return found.select(id_col, "link_pos", F.col("_v")[0].alias("title"), F.concat(F.lit(base_url), F.col("_v")[1]).alias("url")).where(
+        F.col("title").contains(needle) & (F.col("title") != ""))
 
 
 def nth_link_by_regex(pages: DataFrame, regex: str, n: int = 0, base_col: str | None = "url",
