@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,3 +140,55 @@ def enforce(df: DataFrame, checks: dict[str, Callable[[DataFrame], DataFrame]],
         if rows:
             raise PipelineCheckError(name, f"{len(rows)}+ violations, e.g. {rows[0]}", rows)
     return df
+
+
+class Gate:
+    """Q1-Q4 for a panel, found out by the job that writes it.
+
+    ``attach`` compares the schema (no job) and returns the frame with metrics on it: rows, nulls of every non-nullable
+    column, months out of line, repeated months, areas of a single row. They are gathered while any one action runs over
+    the whole frame, such as a write; ``verify`` then raises, or leaves them in ``report``. A series must be its first month
+    (``start``, if given), the month after, and so on. Areas with a single row are no series: they are counted, not faulted.
+    """
+
+    def __init__(self, schema: T.StructType, key: str, date_col: str = "date", start: str | None = None):
+        self.schema, self.key, self.date_col, self.start = schema, key, date_col, start
+        self.report: dict = {}
+        self._seen: Observation | None = None
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        have = {f.name: f.dataType for f in df.schema.fields}
+        for f in self.schema.fields:
+            if have.get(f.name) != f.dataType:
+                found = have[f.name].simpleString() if f.name in have else "no column"
+                raise PipelineCheckError("schema", f"{f.name}: {found} instead of {f.dataType.simpleString()}")
+        date = F.col(f"`{self.date_col}`").cast("date")
+        area = Window.partitionBy(F.col(f"`{self.key}`"))
+        w = area.orderBy(date)
+        first = F.lit(self.start).cast("date") if self.start else F.first(date).over(w)
+        alone = F.count(F.lit(1)).over(area) == 1
+        out = ~date.eqNullSafe(F.add_months(first, F.row_number().over(w) - 1)) & ~alone
+        marked = df.withColumns({"_gate_out": out, "_gate_again": F.coalesce(F.lag(date).over(w) == date, F.lit(False)),
+                                 "_gate_alone": alone})
+        self._not_null = [f.name for f in self.schema.fields if not f.nullable]
+        self._seen = Observation()
+        first_out = F.min(F.when(F.col("_gate_out"), F.struct(F.col(f"`{self.key}`").cast("string").alias("k"), date.alias("d"))))
+        seen = marked.observe(
+            self._seen, F.count(F.lit(1)).alias("rows"),
+            *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{i}") for i, c in enumerate(self._not_null)],
+            F.count_if("_gate_out").alias("out_of_line"), F.count_if("_gate_again").alias("repeated"),
+            F.count_if("_gate_alone").alias("single"), first_out["k"].alias("out_key"), first_out["d"].alias("out_date"))
+        return seen.drop("_gate_out", "_gate_again", "_gate_alone")
+
+    def verify(self) -> dict:
+        """The metrics of the action that ran; raises ``PipelineCheckError`` if they show a fault."""
+        got = self._seen.get
+        self.report = {"rows": got["rows"], "single": got["single"], "out_of_line": got["out_of_line"], "repeated": got["repeated"],
+                       "nulls": {c: got[f"null_{i}"] for i, c in enumerate(self._not_null) if got[f"null_{i}"]}}
+        if self.report["nulls"]:
+            raise PipelineCheckError("nulls", str(self.report["nulls"]))
+        if got["repeated"]:
+            raise PipelineCheckError("unique", f"{got['repeated']} months repeated")
+        if got["out_of_line"]:
+            raise PipelineCheckError("timeseries", f"{got['out_of_line']} months out of line, first {got['out_key']} {got['out_date']}")
+        return self.report

@@ -11,10 +11,12 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import normalise_name
 from ..operators import relational as R
 from ..operators import timeseries as TS
+from ..operators.checks import Gate
 from ..operators.columns import extract_lookup
 from ..session import scratch_path
 from ..sinks import tables as K
@@ -115,6 +117,18 @@ def q_gated_replace(spark, sf):
     return K.read_table(spark, path).select("area_code", "date", "qty", "gross")
 
 
+PANEL_SCHEMA = T.StructType([T.StructField("area_code", T.StringType(), False), T.StructField("date", T.DateType(), False),
+                             T.StructField("value_trend", T.DoubleType(), False)])
+
+
+@register
+def q_checked_publish(spark, sf):
+    """K3 with Q1-Q4: the monthly census-style panel written, checked and published by one job; rows as published."""
+    path = scratch_path(spark, "trend_table")
+    K.publish(trend_panel(spark, sf).select("area_code", "date", "value_trend"), path, Gate(PANEL_SCHEMA, "area_code"))
+    return K.read_table(spark, path).select("area_code", "date", "value_trend")
+
+
 @register
 def q_extract_lookup(spark, sf):
     sup = S.table(spark, sf, "supplier")

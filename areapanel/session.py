@@ -90,7 +90,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     reads back; never a machine-local folder.
     """
     path = f"{checkpoint_dir(spark).rstrip('/')}/areapanel-scratch/{name}-{uuid.uuid4().hex[:12]}"
-    target, fs = _hadoop_path(spark, path)
+    target, fs = hadoop_path(spark, path)
     fs.deleteOnExit(target)
     return path
 
@@ -107,11 +107,12 @@ def drop_scratch(*frames) -> None:
     """Delete the files behind frames from ``write_scratch`` that nothing reads any more."""
     for df in frames:
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            target, fs = _hadoop_path(df.sparkSession, folder)
+            target, fs = hadoop_path(df.sparkSession, folder)
             fs.delete(target, True)
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """``path`` for Hadoop, and the file system it is on."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -121,4 +122,4 @@ def is_local_master(spark: SparkSession) -> bool:
 
 
 __all__ = ["get_session", "checkpoint_dir", "reliable_checkpoint", "scratch_path", "write_scratch", "drop_scratch",
-           "is_local_master", "DEFAULT_CONF"]
+           "hadoop_path", "is_local_master", "DEFAULT_CONF"]

@@ -7,12 +7,14 @@ partitions. Write errors propagate (the reference swallowed them, X16).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.checks import require_columns
+from ..operators.checks import Gate, require_columns
+from ..session import hadoop_path
 
 YEAR_PARTITION = "date_year"
 #: Partition column of tables clustered by area; the number of parts follows in its name.
@@ -79,6 +81,35 @@ def gated_replace(df: DataFrame, path: str, required: Iterable[str], date_col: s
     return replace_table(df, path, date_col)
 
 
+def publish(df: DataFrame, path: str, gate: Gate, parts: int = 1) -> dict:
+    """K3 with Q1-Q4: writes ``df`` beside ``path`` and gathers the gate's metrics in that same job; only a clean table then
+    takes the place of the old one. A table that fails is removed, the error raised, and the old one stays as it is.
+
+    The table is clustered by year and area like ``cluster_table``; each folder is one task's work, which suits panels (at
+    most twelve rows an area and year). Returns the gate's report. Between the two renames at the end a reader can find no
+    table; the old one is beside it until the new one is in place.
+    """
+    spark, token = df.sparkSession, uuid.uuid4().hex[:12]
+    staged, old = f"{path.rstrip('/')}-staged-{token}", f"{path.rstrip('/')}-old-{token}"
+    part, key, date = f"{AREA_PARTITION}{parts}", F.col(f"`{gate.key}`"), F.col(f"`{gate.date_col}`")
+    rows = gate.attach(df).withColumns({YEAR_PARTITION: F.year(date), part: area_part(key, parts)})
+    rows = rows.repartition(F.col(YEAR_PARTITION), F.col(part)).sortWithinPartitions(YEAR_PARTITION, part, key, date)
+    (target, fs), (new, _), (past, _) = (hadoop_path(spark, p) for p in (path, staged, old))
+    try:
+        rows.write.option(f"parquet.bloom.filter.enabled#{gate.key}", "true").partitionBy(YEAR_PARTITION, part).parquet(staged)
+        report = gate.verify()
+    except Exception:
+        fs.delete(new, True)
+        raise
+    if fs.exists(target) and not fs.rename(target, past):
+        raise OSError(f"{path} can't be moved aside")
+    if not fs.rename(new, target):
+        fs.rename(past, target)
+        raise OSError(f"{staged} can't take the place of {path}")
+    fs.delete(past, True)
+    return report
+
+
 def boundary_features(vertices: DataFrame, key: str = "area_code", props: DataFrame | None = None) -> DataFrame:
     """K4: one GeoJSON ``Feature`` per area from a vertex table
     ``(key, part, ring, seq, x, y)``: rings ordered by ``seq``, polygons by ``ring``,
