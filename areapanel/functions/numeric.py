@@ -28,11 +28,6 @@ def row_sum(cols: list[Column | str]) -> Column:
     return reduce(lambda a, b: a + b, [F.coalesce(_c(c).cast("double"), F.lit(0.0)) for c in cols])
 
 
-def product(a: Column | str, b: Column | str) -> Column:
-    """``a * b``; NULL propagates."""
-    return _c(a) * _c(b)
-
-
 def scale(c: Column | str, factor: float) -> Column:
     """Multiply by a constant (``1e-6`` turns m² into km²)."""
     return _c(c) * F.lit(factor)

@@ -30,7 +30,6 @@ NAME_DELETE_CHARS = "&/,.-'()’"
 NAME_DELETE_TOKEN = "agus"
 NAME_TRAILING_TOKEN = "ward"
 
-_WHITESPACE_RE = r"(?U)[\s\x1c-\x1f]+"
 _DELETE_RE = r"(?U)[\s\x1c-\x1f" + "".join("\\" + c if c in "-\\[]^&" else c for c in NAME_DELETE_CHARS) + "]+"
 _NON_ASCII_RE = r"[^\x00-\x7F]"
 
@@ -133,33 +132,14 @@ def normalise_name(c: Column | str) -> Column:
     return ascii_fold(s)
 
 
+# FIXED VALUES: the rule for column names, in this order, after lower-casing: a space between word characters becomes an
+# underscore; parenthesised parts go; other spaces go.
+COLUMN_NAME_RULE = ((r"(?<=\w) (?=\w)", "_"), (r"\(.*?\)", ""), (r" ", ""))
+
+
 def normalise_column_name(name: str) -> str:
-    """B11 on one name: lower; a space between word characters becomes ``_``;
-    parenthesised parts are removed; remaining spaces are removed."""
-    def word(c: str) -> bool:
-        return c.isalnum() or c == "_"
-
-    out, depth, text = [], False, name.lower()
-    for i, c in enumerate(text):
-        if c == "(" and ")" in text[i:]:
-            depth = True
-        if not depth:
-            between = 0 < i < len(text) - 1 and word(text[i - 1]) and word(text[i + 1])
-            out.append(("_" if between else "") if c == " " else c)
-        if c == ")":
-            if not depth:
-                continue
-            depth = False
-    return "".join(out)
-
-
-def normalise_column_name_expr(c: Column | str) -> Column:
-    """B11 as a column expression, for names held as data (e.g. header cells)."""
-    c = F.col(c) if isinstance(c, str) else c
-    s = F.lower(c)
-    s = F.regexp_replace(s, r"(?U)(?<=\w) (?=\w)", "_")
-    s = F.regexp_replace(s, r"\((.*?)\)", "")
-    return F.replace(s, F.lit(" "), F.lit(""))
+    """B11 on one name, by ``COLUMN_NAME_RULE``."""
+    return functools.reduce(lambda text, step: re.sub(step[0], step[1], text), COLUMN_NAME_RULE, name.lower())
 
 
 def map_literal(mapping: Mapping[str, str]) -> Column:

@@ -97,15 +97,6 @@ def extract_lookup(df: DataFrame, code: str, name: str, name_fn: Callable[[Colum
     return out.dropDuplicates([code]) if dedupe else out
 
 
-def extract_geometry(df: DataFrame, code: str, geometry_cols: Iterable[str]) -> DataFrame:
-    """The code with its geometry columns."""
-    cols = [code, *geometry_cols]
-    require_columns(df, cols)
-    return df.select(*[q(c) for c in cols])
-
-
-# --- filters ----------------------------------------------------------------------------------
-
 def exclude_values(df: DataFrame, col: str, values: Iterable) -> DataFrame:
     """Drop rows whose value is in ``values``; NULL rows are kept."""
     require_columns(df, col)

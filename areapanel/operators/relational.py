@@ -12,7 +12,7 @@ import math
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .checks import require_columns
@@ -96,7 +96,10 @@ def pivot_wide(df: DataFrame, index: str | Sequence[str], columns: str, values:
     index = _as_list(index)
     require_columns(df, index + [columns, values])
     if pivot_values is None:
-        pivot_values = [r[0] for r in df.select(columns).distinct().where(q(columns).isNotNull()).collect()]
+        most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+        pivot_values = [r[0] for r in df.select(columns).where(q(columns).isNotNull()).distinct().limit(most + 1).collect()]
+        if len(pivot_values) > most:
+            raise ValueError(f"{columns} has more than {most} values (spark.sql.pivotMaxValues)")
     pivot_values = sorted(pivot_values)
     cell = F.when(F.count(F.lit(1)) > 1,
                   F.raise_error(F.lit("pivot_wide: index contains duplicate entries, cannot reshape"))) \
@@ -155,7 +158,6 @@ def range_stretches(df: DataFrame, order: Sequence[str]) -> DataFrame:
     checkpoint folder, so every later branch sees the same numbering of tied rows
     (shuffle fetch order is not fixed) and a lost executor recomputes from it.
     """
-    from pyspark.sql import Window
     from ..session import reliable_checkpoint
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     staged = df.repartitionByRange(n, *[q(c) for c in order]).withColumn("_part", F.spark_partition_id())
@@ -166,7 +168,6 @@ def range_stretches(df: DataFrame, order: Sequence[str]) -> DataFrame:
 def stretch_offsets(stretches: DataFrame) -> DataFrame:
     """``(_part, _n, _off)``: rows per stretch and rows in all earlier stretches.
     One row per partition, so it is small whatever the data size."""
-    from pyspark.sql import Window
     counts = stretches.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     prior = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn("_off", F.coalesce(F.sum("_n").over(prior), F.lit(0)))
@@ -199,18 +200,24 @@ def ordered_split(df: DataFrame, order: Sequence[str] = ("area_code", "date"), t
 
 def date_split(df: DataFrame, date_col: str = "date", test_fraction: float = 0.1) -> tuple[DataFrame, DataFrame]:
     """L4 (chronological): test = the latest dates that together hold at least
-    ``ceil(test_fraction * n)`` rows. Counts per date (one row per month) decide the cut.
-    Rows without a date are in the training part."""
+    ``ceil(test_fraction * n)`` rows. Rows without a date are in the training part.
+
+    The cut is a scalar subquery, nothing is collected: counts per date are ranged by date, added up inside each stretch and
+    shifted by the counts of the later stretches (one row a partition); the cut is the latest date with enough rows from it on.
+    """
     require_columns(df, date_col)
-    per_date = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col(date_col).desc()).collect()
-    total = sum(r["n"] for r in per_date)
-    need = math.ceil(test_fraction * total)
-    acc, cutoff = 0, None
-    for r in per_date:
-        if acc >= need or r[date_col] is None:
-            break
-        acc += r["n"]
-        cutoff = r[date_col]
-    if cutoff is None:
-        return df, df.limit(0)
-    return df.where(q(date_col).isNull() | (q(date_col) < F.lit(cutoff))), df.where(q(date_col) >= F.lit(cutoff))
+    day = q(date_col)
+    per_date = df.groupBy(day.alias("_d")).agg(F.count(F.lit(1)).alias("_c"))
+    stretches = range_stretches(per_date, ["_d"])
+    totals = stretches.groupBy("_part").agg(F.sum("_c").alias("_n"))
+    later = totals.withColumn("_later", F.coalesce(F.sum("_n").over(Window.orderBy(F.desc("_part")).rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0)))  # one row a partition
+    within = Window.partitionBy("_part").orderBy(F.desc("_i"))
+    held = stretches.join(F.broadcast(later.select("_part", "_later")), "_part").withColumn(
+        "_from", F.col("_later") + F.sum("_c").over(within)).where("_d is not null")
+    need = F.ceil(F.lit(test_fraction) * F.sum("_c")).alias("need")
+    need = stretches.agg(need).scalar()
+    # Too few dated rows: all of them are test. No row needed: none is.
+    cut = held.agg(F.when(need > 0, F.coalesce(F.max(F.when(F.col("_from") >= need, F.col("_d"))), F.min("_d"))).alias("cut")).scalar()
+    late = F.coalesce(day >= cut, F.lit(False))
+    return df.where(~late), df.where(late)

@@ -253,6 +253,15 @@ def q_to_number(spark, sf):
                     .alias("k"))
 
 
+@register
+def q_to_number_strict(spark, sf):
+    """H4 strict: account balances as text, parsed back; text that is no number would fail the query."""
+    c = S.table(spark, sf, "customer")
+    return c.select("c_custkey", N.to_number(F.concat(F.lit(" "), F.col("c_acctbal").cast("string"))).alias("acctbal"),
+                    N.nan_to_null(F.when(F.col("c_custkey") % 7 == 0, F.lit("NaN").cast("double")).otherwise(
+                        F.col("c_acctbal"))).alias("known"))
+
+
 VALUE_EDITS = {"NATION_1": "nation one", "NATION_2": "nation two", "NATION_24": "nation twenty-four"}
 DISAMBIGUATION = {"S00000003": "nationthree_north", "S00000013": "nationthirteen_south"}
 

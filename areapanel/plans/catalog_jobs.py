@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalise_name
+from ..operators import spatial as G
 from . import jobs as J
 from . import specs as SP
 from . import standins as S
@@ -218,9 +219,11 @@ def q_name_lookup_job(spark, sf):
 
 @register
 def q_boundary_job(spark, sf):
-    """New boundaries placed on the British National Grid → WGS84 → simplified."""
+    """New boundaries placed on the British National Grid → WGS84 → simplified; coordinates as the grid has them."""
     from .catalog_spatial import grid_layer
     from ..sinks.tables import boundary_features
     verts = grid_layer(spark, sf)
     props = S.names(spark, sf).select("area_code", F.col("area_code").alias("code"))
-    return J.boundary_job(boundary_features(verts, "area_code", props), LAYER)
+    out = J.boundary_job(boundary_features(verts, "area_code", props), LAYER)
+    back = G.project_vertices(out, "EPSG:27700")
+    return back.select("ward_code", F.col("seq").cast("bigint").alias("seq"), F.round("x", 1).alias("x"), F.round("y", 1).alias("y"))

@@ -64,12 +64,13 @@ def q_prepare_boundaries(spark, sf):
 
 @register
 def q_boundary_features(spark, sf):
-    f = boundary_features(S.nation_squares(spark, sf))
-    return f.select("area_code",
-                    F.get_json_object("feature", "$.type").alias("feature_type"),
-                    F.get_json_object("feature", "$.geometry.type").alias("geometry_type"),
-                    F.size(F.from_json(F.get_json_object("feature", "$.geometry.coordinates[0][0]"),
-                                       "array<array<double>>")).cast("bigint").alias("n_positions"))
+    """All positions of all features, in order."""
+    f = boundary_features(S.supplier_squares(spark, sf))
+    parts = F.from_json(F.get_json_object("feature", "$.geometry.coordinates"), "array<array<array<array<double>>>>")
+    rows = f.select("area_code", F.get_json_object("feature", "$.type").alias("feature_type"),
+                    F.get_json_object("feature", "$.geometry.type").alias("geometry_type"), F.posexplode(F.flatten(F.flatten(parts))))
+    return rows.select("area_code", "feature_type", "geometry_type", F.col("pos").cast("bigint").alias("position"),
+                       F.col("col")[0].alias("x"), F.col("col")[1].alias("y"))
 
 
 def grid_layer(spark, sf):
@@ -80,7 +81,12 @@ def grid_layer(spark, sf):
 
 @register
 def q_project_vertices(spark, sf):
-    return G.project_vertices(grid_layer(spark, sf), "EPSG:4326")
+    """Supplier squares (10 m) at one place of the grid to longitude and latitude, and back to the grid."""
+    v = S.supplier_squares(spark, sf).withColumns({"x": F.col("x") * 10 + 250000, "y": F.col("y") * 10 + 650000})
+    there = G.project_vertices(v, "EPSG:4326")
+    back = G.project_vertices(there, "EPSG:27700").select("area_code", "seq", _r(F.col("x"), 2).alias("x"), _r(F.col("y"), 2).alias("y"))
+    placed = there.select("area_code", "seq", (F.col("x").between(-5, -3.5) & F.col("y").between(55.5, 56.5)).alias("in_scotland"))
+    return back.join(placed, ["area_code", "seq"])
 
 
 def jagged_rings(spark, sf):

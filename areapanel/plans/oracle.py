@@ -166,6 +166,9 @@ SELECT area_code, date, round(ln(1 + count), 6) AS count_log1p,
 SQL["to_number"] = """
 SELECT event_id, TRY_CAST(regexp_extract(props, '(-?\\d+(\\.\\d+)?)', 1) AS DOUBLE) AS k FROM events"""
 
+SQL["to_number_strict"] = """
+SELECT c_custkey, CAST(c_acctbal AS DOUBLE) AS acctbal, CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal END AS known FROM customer"""
+
 SQL["value_edits"] = """
 SELECT n_nationkey, CASE n_name WHEN 'NATION_1' THEN 'nation one' WHEN 'NATION_2' THEN 'nation two'
                      WHEN 'NATION_24' THEN 'nation twenty-four' ELSE n_name END AS n_name FROM nation"""
@@ -477,9 +480,23 @@ SQL["prepare_boundaries"] = f"""
 SELECT {AREA.format(k='n_nationkey')} AS ward_code_2022, {norm('n_name')} AS ward_name_2022, CAST(6.25 AS DOUBLE) AS area_2022
 FROM nation"""
 
+CORNERS = """
+       CASE WHEN i IN (1, 2) THEN 1 ELSE 0 END AS dx, CASE WHEN i IN (2, 3) THEN 1 ELSE 0 END AS dy"""
+
 SQL["boundary_features"] = f"""
-SELECT {AREA.format(k='n_nationkey')} AS area_code, 'Feature' AS feature_type, 'MultiPolygon' AS geometry_type,
-       CAST(5 AS BIGINT) AS n_positions FROM nation"""
+WITH c AS (SELECT s_suppkey AS k, i, {CORNERS} FROM supplier, range(5) AS t(i))
+SELECT 'P' || CAST(k AS VARCHAR) AS area_code, 'Feature' AS feature_type, 'MultiPolygon' AS geometry_type,
+       CAST(i AS BIGINT) AS position, CAST(k % 10 + dx AS DOUBLE) AS x, CAST(floor(k / 10) + dy AS DOUBLE) AS y FROM c"""
+
+SQL["project_vertices"] = f"""
+WITH c AS (SELECT s_suppkey AS k, i, {CORNERS} FROM supplier, range(4) AS t(i))
+SELECT 'P' || CAST(k AS VARCHAR) AS area_code, CAST(i AS INTEGER) AS seq, CAST((k % 10 + dx) * 10 + 250000 AS DOUBLE) AS x,
+       CAST((floor(k / 10) + dy) * 10 + 650000 AS DOUBLE) AS y, true AS in_scotland FROM c"""
+
+SQL["boundary_job"] = f"""
+WITH c AS (SELECT n_nationkey AS k, i, {CORNERS} FROM nation, range(4) AS t(i))
+SELECT {AREA.format(k='k')} AS ward_code, CAST(i AS BIGINT) AS seq, CAST((k % 4 + dx) * 25000 + 250000 AS DOUBLE) AS x,
+       CAST((floor(k / 4) + dy) * 25000 + 650000 AS DOUBLE) AS y FROM c"""
 
 JAGGED = """
 cells AS (SELECT 'Q' || CAST(p_partkey AS VARCHAR) AS area_code, p_partkey % 50 AS c, p_partkey // 50 AS r FROM part),

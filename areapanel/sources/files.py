@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.numeric import nan_to_null
 from ..operators.columns import q
 from ..session import write_scratch
 
@@ -88,7 +89,13 @@ def read_trimmed_csv(spark: SparkSession, paths: str | Sequence[str], skiprows:
 def _apply_schema(df: DataFrame, schema: Mapping[str, str] | None) -> DataFrame:
     if not schema:
         return df
-    return df.withColumns({c: q(c).cast(t) for c, t in schema.items() if c in df.columns})
+    return without_nan(df.withColumns({c: q(c).cast(t) for c, t in schema.items() if c in df.columns}))
+
+
+def without_nan(df: DataFrame) -> DataFrame:
+    """The rule at every source: a floating NaN is NULL, so only one kind of missing value exists."""
+    floats = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("float", "double")]
+    return df.withColumns({c: nan_to_null(q(c)) for c in floats}) if floats else df
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: str | None = None, sep: str = ",",
@@ -99,7 +106,7 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: str | None
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", True)
-    return reader.csv(paths)
+    return without_nan(reader.csv(paths))
 
 
 def pick_sheet(df: DataFrame, sheet: str, sheet_col: str = "sheet", drop_sheet_col: bool = True) -> DataFrame:
@@ -129,7 +136,7 @@ def read_many(spark: SparkSession, path: str | Sequence[str], fmt: str = "parque
     df = reader.load(path)
     file_path = F.col("_metadata.file_path")
     key = F.regexp_extract(file_path, key_pattern, 1) if key_pattern else file_path
-    return df.select(key.alias(key_col), "*")
+    return without_nan(df.select(key.alias(key_col), "*"))
 
 
 def read_raw_rows(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", n_cols: int | None = None
