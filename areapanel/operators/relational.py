@@ -59,7 +59,7 @@ def join_panels(panels: Sequence[DataFrame], keys: Sequence[str] = ("area_code",
     """Join panels on ``keys`` (keys appear once, B12) and add names.
 
     Sort-merge joins on the same keys reuse the first exchange, so n panels cost
-    n exchanges; the name table is broadcast behind a size bound.
+    n exchanges; whether the name table is broadcast is left to Spark's size threshold.
     """
     keys = list(keys)
     for p in panels:
@@ -73,6 +73,14 @@ def join_panels(panels: Sequence[DataFrame], keys: Sequence[str] = ("area_code",
 
 # --- aggregation ------------------------------------------------------------------------------
 
+def join_bucketed(panels: Sequence[DataFrame], keys: Sequence[str] = ("area_code", "date"), names: DataFrame | None = None,
+                  name_key: str | None = None) -> DataFrame:
+    """D4/D5 on panels from ``sinks.tables.bucket_panel``: joined where they lie. Buckets of the area alone are enough for
+    keys that include it once the session lets a join be partitioned by some of its keys, which this sets."""
+    panels[0].sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return join_panels(panels, keys, names, name_key)
+
+
 def group_sum(df: DataFrame, keys: str | Sequence[str], sums: str | Sequence[str], sort: bool = False
               ) -> DataFrame:
     """Sum columns by keys. Rows with a NULL key are dropped (N2); a group

@@ -374,11 +374,19 @@ def prepare_boundaries(features: DataFrame, code_prop: str, name_prop: str, year
     lookup: ``(ward_code_{year}, ward_name_{year}, area_{year})`` with names optionally
     normalised and the polygon area.
     """
-    code, name, area = f"ward_code_{year}", f"ward_name_{year}", f"area_{year}"
+    code, area = f"ward_code_{year}", f"area_{year}"
     v = geojson_vertices(features, props={code_prop: "area_code"}).where(F.col("area_code").startswith(prefix))
     geometry = v.select("area_code", "part", "ring", "seq", "x", "y")
     areas = polygon_area(geometry).select(F.col("area_code").alias(code), F.col("area").alias(area))
-    # Names come from the features, one row each, never from their vertices.
+    names = boundary_names(features, code_prop, name_prop, year, prefix, name_fn, latin1)
+    return geometry.withColumnRenamed("area_code", code), names.join(areas, code)
+
+
+def boundary_names(features: DataFrame, code_prop: str, name_prop: str, year: str | int, prefix: str = "S",
+                   name_fn=None, latin1: bool = True) -> DataFrame:
+    """The lookup of ``prepare_boundaries`` without areas: codes and names come from the features, one row each, and no
+    geometry is read."""
+    code, name = f"ward_code_{year}", f"ward_name_{year}"
     names = features.select(*[F.get_json_object("feature", f"$.properties.{k}").alias(v)
                               for k, v in ((code_prop, code), (name_prop, name))])
     names = names.where(F.col(code).startswith(prefix)).dropDuplicates([code])
@@ -386,7 +394,7 @@ def prepare_boundaries(features: DataFrame, code_prop: str, name_prop: str, year
         names = names.withColumn(name, misdecode_latin1(name))
     if name_fn is not None:
         names = names.withColumn(name, name_fn(F.col(name)))
-    return geometry.withColumnRenamed("area_code", code), names.join(areas, code)
+    return names
 
 
 # --- projection (I1) --------------------------------------------------------------------------

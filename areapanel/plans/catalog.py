@@ -1,6 +1,6 @@
 """Registered queries: each SURVEY §2 operator run on the driver's test tables.
 
-Every function takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
+Every function takes ``(spark, sf_dir)`` and returns a DataFrame over the
 whole tables (no id subsets, no row caps except where a limit is the feature).
 ``oracle.py`` holds the equivalent DuckDB SQL under the same names; computed
 columns carry the same aliases there. Doubles that depend on summation order

@@ -8,6 +8,7 @@ write, then reading them back with the source under test.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -238,6 +239,15 @@ def q_join_panel(spark, sf):
     return R.join_panels([S.panel(spark, sf), S.supply_panel(spark, sf)], names=S.names(spark, sf))
 
 
+@register
+def q_join_bucketed(spark, sf):
+    """The panels published in buckets of their areas, then joined without an exchange."""
+    token = uuid.uuid4().hex[:8]
+    panels = [K.bucket_panel(df, f"areapanel_{name}_{token}", scratch_path(spark, f"bucketed-{name}"))
+              for name, df in (("orders", S.panel(spark, sf)), ("supply", S.supply_panel(spark, sf)), ("trend", trend_panel(spark, sf)))]
+    return R.join_bucketed(panels, names=S.names(spark, sf))
+
+
 def trend_panel(spark, sf, panel_df: DataFrame | None = None) -> DataFrame:
     """Census-style panel: value at each area's first and last month, densified."""
     panel_df = S.panel(spark, sf) if panel_df is None else panel_df

@@ -40,12 +40,12 @@ def boundary_lookup(features: DataFrame, spec: Mapping, year: str, normalise: bo
                     ) -> tuple[DataFrame, DataFrame]:
     """Boundary features → (geometry keyed ``area_code``, lookup ``(ward_code_Y, ward_name_Y)``)
     with name keys and the code-based disambiguation applied."""
-    geometry, lookup = G.prepare_boundaries(features, spec["code"], spec["name"], year,
-                                            prefix=spec.get("code_prefix", "S"),
-                                            name_fn=normalise_name if normalise else None)
+    prefix = spec.get("code_prefix", "S")
     code, name = f"ward_code_{year}", f"ward_name_{year}"
-    lookup = B.disambiguate(lookup.select(code, name), code, name, spec.get("name_disambiguation", {}))
-    return geometry.withColumnRenamed(code, "area_code"), lookup
+    vertices = G.geojson_vertices(features, props={spec["code"]: "area_code"}).where(F.col("area_code").startswith(prefix))
+    lookup = G.boundary_names(features, spec["code"], spec["name"], year, prefix, normalise_name if normalise else None)
+    lookup = B.disambiguate(lookup, code, name, spec.get("name_disambiguation", {}))
+    return vertices.select("area_code", "part", "ring", "seq", "x", "y"), lookup
 
 
 def crosswalk(geometry_2007: DataFrame, geometry_2022: DataFrame) -> DataFrame:
@@ -54,14 +54,13 @@ def crosswalk(geometry_2007: DataFrame, geometry_2022: DataFrame) -> DataFrame:
     w = G.overlap_weights(geometry_2007, geometry_2022)
     cw = w.select(F.col("source_code").alias("ward_code_2007"), F.col("target_code").alias("ward_code_2022"),
                   F.col("weight").alias("overlap_pct"))
-    # Computed once and written to the shared checkpoint folder: the jobs that use
-    # it (and the size check before broadcasting it) read the written table.
+    # Computed once and written to the shared checkpoint folder, where the jobs that use it read it.
     return reliable_checkpoint(cw)
 
 
 def name_lookup_job(features_2022: DataFrame, spec: Mapping = SP.BOUNDARIES_2022) -> DataFrame:
     """``(ward_code, ward_name)`` with the boundary file's names as read."""
-    _, lookup = G.prepare_boundaries(features_2022, spec["code"], spec["name"], "2022")
+    lookup = G.boundary_names(features_2022, spec["code"], spec["name"], "2022")
     return lookup.select(F.col("ward_code_2022").alias("ward_code"), F.col("ward_name_2022").alias("ward_name"))
 
 

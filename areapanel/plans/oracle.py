@@ -746,3 +746,5 @@ WHERE ward_code NOT IN (SELECT ward_code FROM e11)"""
 SQL["name_lookup_job"] = f"SELECT {AREA.format(k='n_nationkey')} AS ward_code, n_name AS ward_name FROM nation"
 
 SQL["checked_publish"] = f"WITH {PANEL}, {TREND} SELECT area_code, date, value_trend FROM trend"
+
+SQL["join_bucketed"] = SQL["area_history"]

@@ -47,6 +47,18 @@ def cluster_table(df: DataFrame, path: str, area_col: str, date_col: str = "date
     return path
 
 
+def bucket_panel(df: DataFrame, name: str, path: str, key: str = "area_code", date_col: str = "date",
+                 buckets: int | None = None) -> DataFrame:
+    """A panel published as a table in buckets of its areas, each sorted by area and month. Panels with the same number of
+    buckets (the session's shuffle partitions by default) join on area and month, and feed windows by area, without an
+    exchange: see ``relational.join_bucketed``."""
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartition(buckets, F.col(f"`{key}`"))
+    rows.write.mode("overwrite").bucketBy(buckets, key).sortBy(key, date_col).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def replace_table(df: DataFrame, path: str, date_col: str | None = "date", fmt: str = "parquet") -> str:
     """K1/K2: overwrite the table at ``path``. With ``date_col`` the files are
     partitioned by its year (column ``date_year``). Rows are first ranged on the year and

@@ -48,3 +48,32 @@ def test_bound_history_reads_one_year(spark, sf_dir):
     text = formatted(E.queries()["history_crime_month"](spark, sf_dir))
     filters = next(line for line in text.splitlines() if line.startswith("PartitionFilters"))
     assert "date_year" in filters and "1997" in filters
+
+
+def test_bucketed_panels_join_without_an_exchange(spark, sf_dir):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        from areapanel.operators import relational as R
+        from areapanel.operators import timeseries as TS
+        from areapanel.plans import standins as S
+        from areapanel.session import scratch_path
+        from areapanel.sinks import tables as K
+        panels = [K.bucket_panel(df, f"plan_{name}", scratch_path(spark, name)) for name, df in (
+            ("a", S.panel(spark, sf_dir)), ("b", S.supply_panel(spark, sf_dir)))]
+        joined = R.join_bucketed(panels)
+        lagged = TS.lag_features(joined, "area_code", "date", "count", (1,), ["before"])
+        for df in (joined, lagged):
+            assert "Exchange" not in formatted(df) and "SortMergeJoin" in formatted(df)
+        assert joined.count() == R.join_panels([S.panel(spark, sf_dir), S.supply_panel(spark, sf_dir)]).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in "ab":
+            spark.sql(f"DROP TABLE IF EXISTS plan_{name}")
+
+
+def test_name_lookup_reads_no_geometry(spark, sf_dir):
+    from areapanel.plans import jobs as J
+    from areapanel.plans.catalog_jobs import LAYER, layer_features
+    text = formatted(J.name_lookup_job(layer_features(spark, sf_dir, "2022"), LAYER))
+    assert "from_json" not in text.lower().replace("to_json", "")
