@@ -39,7 +39,8 @@ def links_by_title(pages: DataFrame, needle: str, base_url: str, attr: str = "ti
         H.raw_attribute(a, attr) if part is None else part).alias("_label"), H.raw_attribute(a, "href").alias("_href"))
     # A label without a reference is tested as it stands; what passes is decoded, and the rest of the labels tested then.
     kept = raw.where(F.col("_label").contains(needle) | F.col("_label").contains("&")).where("_href is not null")
-    found = kept.select(id_col, "link_pos", H.decoded(F.array("_label", "_href")).alias("_v"))
+    # As a generated column: a filter on it is not pushed below, where it would decode once more.
+    found = kept.select(id_col, "link_pos", F.explode(F.array(H.decoded(F.array("_label", "_href")))).alias("_v"))
     return found.select(id_col, "link_pos", F.col("_v")[0].alias("title"), F.concat(F.lit(base_url), F.col("_v")[1]).alias("url")).where(
         F.col("title").contains(needle) & (F.col("title") != ""))
 
