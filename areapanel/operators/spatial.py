@@ -24,8 +24,12 @@ Both layers are cut by square grids and compared cell by cell, one polygon part
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -550,21 +554,181 @@ def project_vertices(vertices: DataFrame, to: str = "EPSG:4326") -> DataFrame:
 
 # --- simplification (I6) ----------------------------------------------------------------------
 
+#: Vertices of a ring, or between two kept ones, that a task simplifies by itself.
+SHORT = 20_000
+#: Rows that a task takes up at once; more only if one ring or stretch has more.
+TASK_ROWS = 1 << 17
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Places where a run of equal rows begins."""
+    return np.concatenate([[0], 1 + np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0))])
+
+
+def _runs(starts: np.ndarray, size: int) -> np.ndarray:
+    """The number of its run for each of ``size`` rows."""
+    return np.repeat(np.arange(len(starts)), np.diff(np.append(starts, size)))
+
+
+def _first_maxima(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The place of the first greatest value of each run."""
+    run = _runs(starts, len(values))
+    at = np.flatnonzero(values == np.maximum.reduceat(values, starts)[run])
+    return at[_changes(run[at])]
+
+
+def _distances(x: np.ndarray, y: np.ndarray, null: np.ndarray, rows: np.ndarray, lo: np.ndarray, hi: np.ndarray, run: np.ndarray
+               ) -> tuple[np.ndarray, np.ndarray]:
+    """How far each of ``rows`` is from the chord of its ``run``, -1 if that is null, and whether a run's chord is a point."""
+    with np.errstate(all="ignore"):
+        cx, cy = x[hi] - x[lo], y[hi] - y[lo]
+        chord, px, py = np.hypot(cx, cy), x[rows] - x[lo][run], y[rows] - y[lo][run]
+        far = np.abs(cx[run] * py - cy[run] * px) / chord[run]
+        at = np.flatnonzero((chord == 0)[run])
+        far[at] = np.hypot(px[at], py[at])
+    if null.any():
+        far[null[rows] | (null[lo] | null[hi])[run]] = -1
+    return far, chord == 0
+
+
+def keep_farthest(x: np.ndarray, y: np.ndarray, null: np.ndarray, seq: np.ndarray, rows: np.ndarray, lo: np.ndarray,
+                  hi: np.ndarray, tolerance: float, ring: np.ndarray | None = None, closed: bool = False) -> np.ndarray:
+    """Douglas-Peucker on many stretches at once: those of ``rows`` that are kept.
+
+    ``rows``, ``lo`` and ``hi`` are places in ``x``, ``y`` (``null`` where one is null) and ``seq``: vertices, and the ends of
+    the stretch of each. Rows of a stretch follow one another, of equally far ones the first is kept. Whatever the tolerance,
+    with ``ring`` (of each place) the first stretch of a ring is split and then the farthest vertex of the ring is kept; with
+    ``closed`` any stretch is split whose ends are one point.
+    """
+    kept, turn = [np.zeros(0, np.int64)], 0
+    while len(rows):
+        starts = _changes(lo)
+        run = _runs(starts, len(rows))
+        far, point = _distances(x, y, null, rows, lo[starts], hi[starts], run)
+        limit = np.array([tolerance], np.float64)
+        if np.isnan(far).any():  # in Spark NaN is above all numbers, as its bits are
+            far[np.isnan(far)] = np.nan
+            far, limit = far.view(np.int64), limit.view(np.int64)
+        at = _first_maxima(far, starts)
+        splits = (far[at] > limit) & (far[at] >= 0)
+        if closed:
+            splits |= point
+        if ring is not None and turn == 0:
+            splits[:] = True
+        if ring is not None and turn == 1:
+            splits |= np.isin(at, _first_maxima(far, _changes(ring[rows])))
+        kept.append(rows[at[splits]])
+        mid, stays = rows[at], splits[run]
+        rows, run = rows[stays], run[stays]
+        place, middle = seq[rows], seq[mid][run]
+        before = place < middle
+        lo, hi = np.where(before, lo[starts][run], mid[run]), np.where(before, mid[run], hi[starts][run])
+        stays = place != middle
+        rows, lo, hi, turn = rows[stays], lo[stays], hi[stays], turn + 1
+    return np.sort(np.concatenate(kept))
+
+
+def by_groups(names: list[str], work: Callable[[pa.Table, np.ndarray], pa.Table]) -> Callable:
+    """A task over rows of which those with equal ``names`` (no nulls) follow one another: ``work`` gets whole groups, about
+    ``TASK_ROWS`` rows of them, and where each begins."""
+
+    def begins(rows: pa.Table) -> np.ndarray:
+        n = rows.num_rows
+        other = [pc.not_equal(c.slice(1), c.slice(0, n - 1)).to_numpy() for c in map(rows.column, names)]
+        return np.concatenate([[0], 1 + np.flatnonzero(np.any(other, axis=0))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, most = [], 0, TASK_ROWS
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size < most:
+                continue
+            rows = pa.Table.from_batches(held).combine_chunks()
+            starts = begins(rows)
+            last = int(starts[-1])  # the last group may go on in the next batch
+            if last:
+                yield from work(rows.slice(0, last), starts[:-1]).to_batches()
+            held, size = rows.slice(last).to_batches(), rows.num_rows - last
+            most = max(TASK_ROWS, 2 * size)
+        if size:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            yield from work(rows, begins(rows)).to_batches()
+
+    return run
+
+
+def coordinates(rows: pa.Table, *names: str) -> tuple[list[np.ndarray], np.ndarray]:
+    """Columns of doubles (NaN for null), and where any is null."""
+    columns = [rows.column(c) for c in names]
+    null = np.any([pc.is_null(c).to_numpy() for c in columns], axis=0)
+    return [pc.fill_null(c, math.nan).to_numpy() for c in columns], null
+
+
+def finish_stretches(names: list[str], seq: str, out: list[str], tolerance: float, closed: bool = False) -> Callable:
+    """A task that simplifies stretches: ``names`` tell them apart, their rows follow one another with ``seq``, the vertex
+    x, y and the ends x0, y0, x1, y1. Gives the columns ``out`` of the kept vertices."""
+
+    def kept(rows: pa.Table, starts: np.ndarray) -> pa.Table:
+        n, k = rows.num_rows, len(starts)
+        run, parts = _runs(starts, n), [rows, rows.take(starts), rows.take(starts)]
+        found = [coordinates(t, *c) for t, c in zip(parts, (("x", "y"), ("x0", "y0"), ("x1", "y1")), strict=True)]
+        (x, y), null = (np.concatenate(c) for c in zip(*(f[0] for f in found), strict=True)), np.concatenate([f[1] for f in found])
+        at = keep_farthest(x, y, null, rows.column(seq).to_numpy(), np.arange(n), n + run, n + k + run, tolerance, closed=closed)
+        return rows.take(at).select(out)
+
+    return by_groups(names, kept)
+
+
+def _whole_rings(rk: list[str], tolerance: float) -> Callable:
+    """A task that simplifies whole rings, whose rows follow one another by seq, x and y descending."""
+
+    def kept(rows: pa.Table, starts: np.ndarray) -> pa.Table:
+        (x, y), null = coordinates(rows, "x", "y")
+        ring = _runs(starts, rows.num_rows)
+        # Null positions come first; a ring that has one keeps only its first vertex.
+        unplaced = pc.is_null(rows.column("seq")).to_numpy()
+        seq = np.where(unplaced, -(1 << 40), pc.fill_null(rows.column("seq"), 0).to_numpy())
+        outer = seq == seq[starts][ring]
+        first = starts + np.add.reduceat(outer.astype(np.int64), starts) - 1
+        inner = np.flatnonzero(~outer & ~unplaced[starts][ring])
+        at = keep_farthest(x, y, null, seq, inner, first[ring[inner]], first[ring[inner]], tolerance, ring)
+        return rows.take(np.concatenate([first, at]))
+
+    return by_groups(rk, kept)
+
+
 def simplify_rings(vertices: DataFrame, tolerance: float, key: str = "area_code") -> DataFrame:
-    """Douglas-Peucker on every ring, all open segments of all rings one level at a time.
-
-    A ring is first split at its first vertex and the vertex farthest from it. Each round finds, by a grouped maximum,
-    the vertex farthest from the chord of every open segment (of equals the first); beyond ``tolerance`` it is kept and
-    splits the segment, else the segment's vertices go. The ring's farthest one is kept in the first round whatever its
-    distance, so a ring of three or more vertices keeps three. Rounds end when no segment splits: as many as the
-    deepest split, about the logarithm of the longest ring. A ring's vertices are spread over tasks, and each round is
-    written to the shared folder. ``seq`` keeps the input positions. Shared borders of neighbouring areas are simplified
-    independently (topology is not preserved).
+    """Douglas-Peucker on every ring.
+
+    A ring is first split at its first vertex and the vertex farthest from it. In every open segment the vertex farthest
+    from its chord (of equals the first) is kept and splits it if it is farther than ``tolerance``, else the segment's
+    vertices go. The ring's farthest one is kept in the first round whatever its distance, so a ring of three or more
+    vertices keeps three. Rings of up to ``SHORT`` vertices are brought together, a task simplifies many of them at once.
+    Longer ones are spread over tasks and split by rounds of grouped maxima, written to the shared folder, until no segment
+    is longer. ``seq`` keeps the input positions. Shared borders of neighbouring areas are simplified independently
+    (topology is not preserved).
     """
     require_columns(vertices, [key, "part", "ring", "seq", "x", "y"])
     rk = [key, "part", "ring"]
     v = vertices.select(F.col(key), *[F.col(n).cast("int").alias(n) for n in ("part", "ring", "seq")],
                         *[F.col(n).cast("double").alias(n) for n in ("x", "y")])
+    known = reduce(Column.__and__, [F.col(n).isNotNull() for n in rk])
+    long = write_scratch(v.where(known).groupBy(*rk).count().where(F.col("count") > SHORT).drop("count"), "long-rings")
+    # One vertex of rings with a null name; of long rings there is at most one for SHORT vertices.
+    nameless = v.where(~known).groupBy(*rk).agg(F.min(F.struct("seq", "x", "y")).alias("p")).select(*rk, "p.*")
+    short = v.where(known)
+    if long.isEmpty():
+        kept = [nameless]
+    else:
+        short = short.join(F.broadcast(long), rk, "left_anti")
+        kept = [nameless, *_long_rings(v.join(F.broadcast(long), rk), tolerance, rk)]
+    ordered = short.repartition(*rk).sortWithinPartitions(*rk, "seq", F.desc("x"), F.desc("y"))
+    return reduce(DataFrame.unionByName, [ordered.mapInArrow(_whole_rings(rk, tolerance), v.schema), *kept])
+
+
+def _long_rings(v: DataFrame, tolerance: float, rk: list[str]) -> list[DataFrame]:
+    """The kept vertices of rings that are spread over tasks."""
     firsts = v.groupBy(*rk).agg(F.min(F.struct("seq", "x", "y")).alias("p"))
     from_first = v.join(firsts, rk).where(F.col("seq") != F.col("p.seq"))
     far = F.hypot(F.col("x") - F.col("p.x"), F.col("y") - F.col("p.y"))
@@ -572,14 +736,16 @@ def simplify_rings(vertices: DataFrame, tolerance: float, key: str = "area_code"
     seconds = from_first.groupBy(*rk).agg(best.alias("m"))
     kept = [firsts.select(*rk, "p.*"), seconds.select(*rk, (-F.col("m.back")).alias("seq"), "m.x", "m.y")]
 
-    def split(points: DataFrame) -> DataFrame:
-        """Give each point but the splitting one ``m`` its new segment: start ``lo`` and end ``hi``."""
+    def split(points: DataFrame, but: Column | None = None) -> DataFrame:
+        """Give each point but the splitting one ``m`` its new segment: start ``lo`` and end ``hi``. Where ``but`` holds it
+        keeps its own."""
         m_seq = -F.col("m.back")
         mid = F.struct(m_seq.alias("seq"), F.col("m.x").alias("x"), F.col("m.y").alias("y"))
+        but = F.lit(False) if but is None else but
         first_half = F.col("seq") < m_seq
-        return points.where(F.col("seq") != m_seq).select(
-            *rk, "seq", "x", "y", F.when(first_half, F.col("lo")).otherwise(mid).alias("lo"),
-            F.when(first_half, mid).otherwise(F.col("hi")).alias("hi"))
+        return points.where(but | (F.col("seq") != m_seq)).select(
+            *rk, "seq", "x", "y", F.when(but | first_half, F.col("lo")).otherwise(mid).alias("lo"),
+            F.when(but | ~first_half, F.col("hi")).otherwise(mid).alias("hi"))
 
     start = from_first.join(seconds, rk).withColumns({"lo": F.col("p"), "hi": F.col("p")})
     left = write_scratch(split(start), "ring-round")
@@ -590,16 +756,23 @@ def simplify_rings(vertices: DataFrame, tolerance: float, key: str = "area_code"
     first_round = True
     while True:
         best = F.max(F.struct(distance.alias("d"), (-F.col("seq")).alias("back"), "x", "y")).alias("m")
-        segments = left.groupBy(*rk, F.col("lo.seq").alias("lo_seq")).agg(best)
-        splits = F.col("m.d") > tolerance
+        segments = left.groupBy(*rk, F.col("lo.seq").alias("lo_seq")).agg(best, F.count("*").alias("size"))
+        splits = F.coalesce(F.col("m.d") > tolerance, F.lit(False))
         if first_round:
             splits |= F.col("m") == F.max("m").over(Window.partitionBy(*rk))
-        segments = write_scratch(segments.withColumn("splits", splits).where("splits").drop("splits"), "ring-splits")
+        else:
+            segments = segments.where(F.col("size") > SHORT)
+        segments = write_scratch(segments.withColumn("splits", splits).drop("size"), "ring-splits")
         if segments.isEmpty():
             break
-        kept.append(segments.select(*rk, (-F.col("m.back")).alias("seq"), "m.x", "m.y"))
-        done, left = left, write_scratch(
-            split(left.withColumn("lo_seq", F.col("lo.seq")).join(segments, [*rk, "lo_seq"])), "ring-round")
+        kept.append(segments.where("splits").select(*rk, (-F.col("m.back")).alias("seq"), "m.x", "m.y"))
+        # Segments that don't split lose their vertices, short ones wait.
+        here = left.withColumn("lo_seq", F.col("lo.seq")).join(segments, [*rk, "lo_seq"], "left").where("splits is null or splits")
+        done, left = left, write_scratch(split(here, F.col("splits").isNull()), "ring-round")
         drop_scratch(done)
         first_round = False
-    return reduce(DataFrame.unionByName, kept)
+    ends = [F.col(f"{end}.{c}").alias(f"{c}{i}") for i, end in enumerate(("lo", "hi")) for c in "xy"]
+    rows = left.select(*rk, F.col("lo.seq").alias("at"), "seq", "x", "y", *ends)
+    ordered = rows.repartition(*rk, "at").sortWithinPartitions(*rk, "at", "seq", F.desc("x"), F.desc("y"))
+    kept.append(ordered.mapInArrow(finish_stretches([*rk, "at"], "seq", v.columns, tolerance), v.schema))
+    return kept

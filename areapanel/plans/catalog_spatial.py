@@ -91,7 +91,7 @@ def q_project_vertices(spark, sf):
 
 def jagged_rings(spark, sf):
     """A 64-vertex star-like ring per part (radius modulated by part attributes)."""
-    p = S.table(spark, sf, "part").select("p_partkey", "p_size")
+    p = S.dealt(S.table(spark, sf, "part").select("p_partkey", "p_size"), "p_partkey")
     i = F.col("i")
     ang = i * (2 * math.pi / 64)
     r = 1 + 0.05 * F.sin(i * F.col("p_size")) + 0.3 * F.when(i % 16 == 0, 1).otherwise(0)

@@ -31,6 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt over the shuffle partitions: a file read by one task holds few bytes but gives many vertices."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def area_code(nationkey: Column | str) -> Column:
     nationkey = F.col(nationkey) if isinstance(nationkey, str) else nationkey
     return F.concat(F.lit("S"), F.lpad(nationkey.cast("string"), 8, "0"))

@@ -251,3 +251,25 @@ def test_edges_in_chunks_close_rings(spark):
         want = {(float(a), float(b), float(c), float(d)) for (a, b), (c, d) in zip(ring, ring[1:] + ring[:1])}
         assert e == want, chunk
         assert G.polygon_area(v).first().area == 8.0
+
+
+def test_simplify_brings_short_rings_to_one_task_and_splits_long_ones(spark, monkeypatch):
+    """No table of a row per ring is broadcast; rounds for long rings, and odd rows, change nothing."""
+    rnd = random.Random(7)
+    rows = [(f"R{k}", 0, 0, i, math.cos(2 * math.pi * i / n) * rnd.uniform(.8, 1), math.sin(2 * math.pi * i / n) * rnd.uniform(.8, 1))
+            for k, n in enumerate([3, 40, 41, 90, 400]) for i in range(n)]
+    rows += [("R1", 0, 0, 7, 0.0, 0.0), ("N", 0, 0, 0, None, None), ("N", 0, 0, 1, 1.0, None), ("N", 0, 0, 2, 1.0, 1.0), ("N", 0, 0, 3, 2.0, 1.0),
+             (None, 0, 0, 4, 1.0, 1.0), (None, 0, 0, 3, 2.0, 2.0), ("S", 0, 0, None, 1.0, 1.0), ("S", 0, 0, 1, 3.0, 1.0)]
+    v = spark.createDataFrame(rows, SCHEMA)
+
+    def got(df):
+        return sorted(map(tuple, df.collect()), key=repr)
+
+    whole = G.simplify_rings(v, 0.1)
+    assert "Broadcast" not in whole._jdf.queryExecution().executedPlan().toString()
+    want = got(whole)
+    assert [r for r in want if r[0] not in ("R0", "R1", "R2", "R3", "R4")] == [
+        ("N", 0, 0, 0, None, None), ("N", 0, 0, 1, 1.0, None), ("N", 0, 0, 2, 1.0, 1.0), ("S", 0, 0, None, 1.0, 1.0), (None, 0, 0, 3, 2.0, 2.0)]
+    monkeypatch.setattr(G, "SHORT", 20)
+    monkeypatch.setattr(G, "TASK_ROWS", 64)
+    assert got(G.simplify_rings(v.repartition(5), 0.1)) == want
