@@ -560,21 +560,21 @@ SHORT = 20_000
 TASK_ROWS = 1 << 17
 
 
-def _changes(*columns: np.ndarray) -> np.ndarray:
+def changes(*columns: np.ndarray) -> np.ndarray:
     """Places where a run of equal rows begins."""
     return np.concatenate([[0], 1 + np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0))])
 
 
-def _runs(starts: np.ndarray, size: int) -> np.ndarray:
+def runs(starts: np.ndarray, size: int) -> np.ndarray:
     """The number of its run for each of ``size`` rows."""
     return np.repeat(np.arange(len(starts)), np.diff(np.append(starts, size)))
 
 
 def _first_maxima(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The place of the first greatest value of each run."""
-    run = _runs(starts, len(values))
+    run = runs(starts, len(values))
     at = np.flatnonzero(values == np.maximum.reduceat(values, starts)[run])
-    return at[_changes(run[at])]
+    return at[changes(run[at])]
 
 
 def _distances(x: np.ndarray, y: np.ndarray, null: np.ndarray, rows: np.ndarray, lo: np.ndarray, hi: np.ndarray, run: np.ndarray
@@ -602,8 +602,8 @@ def keep_farthest(x: np.ndarray, y: np.ndarray, null: np.ndarray, seq: np.ndarra
     """
     kept, turn = [np.zeros(0, np.int64)], 0
     while len(rows):
-        starts = _changes(lo)
-        run = _runs(starts, len(rows))
+        starts = changes(lo)
+        run = runs(starts, len(rows))
         far, point = _distances(x, y, null, rows, lo[starts], hi[starts], run)
         limit = np.array([tolerance], np.float64)
         if np.isnan(far).any():  # in Spark NaN is above all numbers, as its bits are
@@ -616,7 +616,7 @@ def keep_farthest(x: np.ndarray, y: np.ndarray, null: np.ndarray, seq: np.ndarra
         if ring is not None and turn == 0:
             splits[:] = True
         if ring is not None and turn == 1:
-            splits |= np.isin(at, _first_maxima(far, _changes(ring[rows])))
+            splits |= np.isin(at, _first_maxima(far, changes(ring[rows])))
         kept.append(rows[at[splits]])
         mid, stays = rows[at], splits[run]
         rows, run = rows[stays], run[stays]
@@ -634,7 +634,7 @@ def by_groups(names: list[str], work: Callable[[pa.Table, np.ndarray], pa.Table]
 
     def begins(rows: pa.Table) -> np.ndarray:
         n = rows.num_rows
-        other = [pc.not_equal(c.slice(1), c.slice(0, n - 1)).to_numpy() for c in map(rows.column, names)]
+        other = [pc.fill_null(pc.not_equal(c.slice(1), c.slice(0, n - 1)), True).to_numpy() for c in map(rows.column, names)]
         return np.concatenate([[0], 1 + np.flatnonzero(np.any(other, axis=0))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -671,7 +671,7 @@ def finish_stretches(names: list[str], seq: str, out: list[str], tolerance: floa
 
     def kept(rows: pa.Table, starts: np.ndarray) -> pa.Table:
         n, k = rows.num_rows, len(starts)
-        run, parts = _runs(starts, n), [rows, rows.take(starts), rows.take(starts)]
+        run, parts = runs(starts, n), [rows, rows.take(starts), rows.take(starts)]
         found = [coordinates(t, *c) for t, c in zip(parts, (("x", "y"), ("x0", "y0"), ("x1", "y1")), strict=True)]
         (x, y), null = (np.concatenate(c) for c in zip(*(f[0] for f in found), strict=True)), np.concatenate([f[1] for f in found])
         at = keep_farthest(x, y, null, rows.column(seq).to_numpy(), np.arange(n), n + run, n + k + run, tolerance, closed=closed)
@@ -685,7 +685,7 @@ def _whole_rings(rk: list[str], tolerance: float) -> Callable:
 
     def kept(rows: pa.Table, starts: np.ndarray) -> pa.Table:
         (x, y), null = coordinates(rows, "x", "y")
-        ring = _runs(starts, rows.num_rows)
+        ring = runs(starts, rows.num_rows)
         # Null positions come first; a ring that has one keeps only its first vertex.
         unplaced = pc.is_null(rows.column("seq")).to_numpy()
         seq = np.where(unplaced, -(1 << 40), pc.fill_null(rows.column("seq"), 0).to_numpy())

@@ -9,13 +9,15 @@ Douglas-Peucker keeps an arc within the tolerance but may cross other arcs, or l
 another. So after simplifying, segments meet on grid cells of the size of the larger one; a segment that touches another
 elsewhere than in a common end gets back the vertex farthest from it, until there is none that can.
 
-Work is spread by arc and by grid cell. Rings are numbered in chunks of positions, long arcs are split by rounds of grouped
-maxima until what lies between two kept vertices is short, and only such short stretches are finished inside a task.
+Work is spread by ring, by arc and by grid cell. Rings of up to ``SHORT`` vertices are cut and simplified many at a time inside
+tasks. Longer ones are numbered in chunks of positions, their long arcs are split by rounds of grouped maxima until what lies
+between two kept vertices is short, and only such short stretches are finished inside a task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,17 +26,14 @@ from pyspark.sql import functions as F
 
 from ..session import drop_scratch, write_scratch
 from .checks import require_columns
-from .spatial import EDGE_CHUNK, edges
-
-#: Vertices between two kept ones that a task simplifies by itself.
-SHORT = 20_000
+from .spatial import EDGE_CHUNK, SHORT, by_groups, changes, coordinates, edges, finish_stretches, keep_farthest, runs
 
 
 def junctions(edge_df: DataFrame) -> DataFrame:
     """Vertices ``(x, y)`` with three or more different neighbours along the edges of all rings."""
     there = edge_df.select("x1", "y1", "x2", "y2")
     back = edge_df.select(F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2"))
-    pairs = there.unionByName(back).distinct()
+    pairs = there.unionByName(back).repartition("x1", "y1").distinct()  # one exchange for both groupings
     return pairs.groupBy(F.col("x1").alias("x"), F.col("y1").alias("y")).count().where("count >= 3").drop("count")
 
 
@@ -69,14 +68,84 @@ def _numbered(v: DataFrame, rk: list[str]) -> DataFrame:
     return joined.withColumn("start", start).drop("k", "base", "before", "chunk")
 
 
-def ring_arcs(vertices: DataFrame, key: str = "area_code") -> DataFrame:
+def _short_ring_arcs(rk: list[str], tolerance: float) -> Callable:
+    """A task over whole rings, whose rows follow one another by seq: the rows of their arcs as of ``ring_arcs``, with the
+    name of the arc in ax, ay, nx, ny, and whether each is ``kept``."""
+
+    def arcs(rows: pa.Table, starts: np.ndarray) -> pa.Table:
+        (x, y), null = coordinates(rows, "x", "y")
+        seq, cut, size = rows.column("seq").to_numpy(), rows.column("cut").to_numpy(), rows.num_rows
+        ring = runs(starts, size)
+        sizes, i = np.diff(np.append(starts, size)), np.arange(size) - starts[ring]
+        alone = ~np.maximum.reduceat(cut, starts)
+        cut = cut.copy()
+        cut[np.lexsort((seq, y, x, ring))[starts[alone]]] = True
+        cuts = np.flatnonzero(cut)
+        n = sizes[ring[cuts]]
+        firsts = changes(ring[cuts])  # of each ring's cuts
+        lasts = np.append(firsts[1:], len(cuts)) - 1
+        follow = np.arange(1, len(cuts) + 1)
+        follow[lasts] = firsts
+        m = (i[cuts[follow]] - i[cuts] - 1) % n + 1
+        here = np.cumsum(cut) - 1
+        here = np.where(here < firsts[ring], lasts[ring], here)
+
+        # Both ends of each arc, and the vertices next to them.
+        base = starts[ring[cuts]]
+        ends = [(cuts, base + (i[cuts] + 1) % n), (cuts[follow], base + (i[cuts[follow]] - 1) % n)]
+        there, back = ([c[k] for k in e for c in (x, y)] for e in ends)
+        turned, same = np.zeros(len(cuts), bool), np.ones(len(cuts), bool)
+        for p, q in zip(there, back, strict=True):
+            turned, same = turned | same & (q < p), same & (q == p)
+        name = [np.where(turned, q, p) for p, q in zip(there, back, strict=True)]
+
+        at, arc = np.concatenate([np.arange(size), cuts[follow]]), np.concatenate([here, np.arange(len(cuts))])
+        p = np.concatenate([(i - i[cuts[here]]) % sizes[ring], m])
+        pos = np.where(turned[arc], m[arc] - p, p)
+        by = np.lexsort((pos, arc))
+        at, arc, pos = at[by], arc[by], pos[by]
+        x, y, null = x[at], y[at], null[at]
+        first = changes(arc)
+        inner = np.flatnonzero((pos > 0) & (pos < m[arc]))
+        kept = (pos == 0) | (pos == m[arc])
+        kept[keep_farthest(x, y, null, pos, inner, first[arc[inner]], (first + m)[arc[inner]], tolerance, closed=True)] = True
+        own = by < size
+        out = rows.select([*rk, "seq", "x", "y"]).take(at)
+        for column, values in (("own", own), ("pos", pos), ("m", m[arc]), ("kept", kept), *(
+                (c, v[arc]) for c, v in zip(("ax", "ay", "nx", "ny"), name, strict=True))):
+            out = out.append_column(column, pa.array(values))
+        return out
+
+    return by_groups(rk, arcs)
+
+
+def ring_arcs(vertices: DataFrame, tolerance: float, key: str = "area_code") -> tuple[DataFrame, DataFrame | None]:
     """The vertices of all arcs of all rings: key, part, ring, seq, x, y, ``own`` (false where the vertex is only the end of
     an arc), ``arc`` (name), ``pos`` (in the arc, from the end that names it), ``m`` (edges of the arc). A ring without
-    junctions is one arc from its first vertex by coordinates back to itself."""
+    junctions is one arc from its first vertex by coordinates back to itself.
+
+    Rings of up to ``SHORT`` vertices are brought together and cut inside tasks, which also simplify their arcs (``kept``):
+    both neighbours of a border read it from the same end and keep the same vertices. The rows of longer rings come second,
+    not simplified, if there are any."""
     rk = [key, "part", "ring"]
     v = write_scratch(_without_repeats(vertices, rk), "outlines")
     meet = junctions(edges(v, key)).withColumn("cut", F.lit(True))
     marked = v.join(meet, ["x", "y"], "left").withColumn("cut", F.col("cut").isNotNull())
+    long = write_scratch(v.groupBy(*rk).count().where(F.col("count") > SHORT).drop("count"), "long-rings")
+    many = not long.isEmpty()
+    short = marked.join(F.broadcast(long), rk, "left_anti") if many else marked  # at most one ring for SHORT vertices
+    ordered = short.select(*rk, "seq", "x", "y", "cut").repartition(*rk).sortWithinPartitions(*rk, "seq")
+    names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in v.select(*rk, "seq", "x", "y").schema)
+    cut = ordered.mapInArrow(_short_ring_arcs(rk, tolerance), names + ", own boolean, pos long, m long, kept boolean, "
+                             "ax double, ay double, nx double, ny double")
+    arc = F.struct(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")).alias("a"),
+                   F.struct(F.col("nx").alias("x"), F.col("ny").alias("y")).alias("next"))
+    rows = write_scratch(cut.select(*rk, "seq", "x", "y", "own", arc.alias("arc"), "pos", "m", "kept"), "arcs")
+    return rows, write_scratch(_long_ring_arcs(marked.join(F.broadcast(long), rk), rk), "arcs") if many else None
+
+
+def _long_ring_arcs(marked: DataFrame, rk: list[str]) -> DataFrame:
+    """The rows of arcs of rings that are spread over tasks."""
     first = marked.groupBy(*rk).agg(F.max("cut").alias("any"), F.min(F.struct("x", "y", "seq")).alias("first"))
     marked = marked.join(first, rk).withColumn("cut", F.col("cut") | (~F.col("any") & (F.col("seq") == F.col("first.seq"))))
     v = write_scratch(_numbered(marked.drop("any", "first"), rk), "outline-vertices")
@@ -114,57 +183,8 @@ def _distance(lo: str, hi: str) -> Column:
     return F.when(chord == 0, F.hypot(px, py)).otherwise(F.abs(cx * py - cy * px) / chord)
 
 
-def _douglas_peucker(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
-    """Places of the vertices kept between the first and the last."""
-    kept, open_ = [], [(0, len(x) - 1)]
-    while open_:
-        a, b = open_.pop()
-        if b - a < 2:
-            continue
-        cx, cy = x[b] - x[a], y[b] - y[a]
-        px, py = x[a + 1 : b] - x[a], y[a + 1 : b] - y[a]
-        chord = np.hypot(cx, cy)
-        far = np.hypot(px, py) if chord == 0 else np.abs(cx * py - cy * px) / chord
-        at = int(far.argmax())
-        if far[at] > tolerance or chord == 0:
-            kept.append(a + 1 + at)
-            open_ += [(a, a + 1 + at), (a + 1 + at, b)]
-    return np.sort(np.array(kept, np.int64))
-
-
 _STRETCH = ("arc.a.x", "arc.a.y", "arc.next.x", "arc.next.y", "lo.pos")
-_ENDS = ("lo.x", "lo.y", "hi.x", "hi.y")
-
-
-def _finish(tolerance: float):
-    """A task over the rows of stretches, which follow one another: columns ``_STRETCH`` name the stretch, then ``_ENDS`` and
-    the row itself (pos, x, y, arc)."""
-    named, ends = len(_STRETCH), len(_STRETCH) + len(_ENDS)
-
-    def kept(rows: pa.Table, starts: np.ndarray) -> pa.Table:
-        x, y = rows["x"].to_numpy(), rows["y"].to_numpy()
-        x0, y0, x1, y1 = (rows.column(i).to_numpy() for i in range(named, ends))
-        found = [np.zeros(0, np.int64)]
-        for a, b in zip(starts, [*starts[1:], len(x)], strict=True):
-            found.append(a - 1 + _douglas_peucker(np.concatenate([x0[a : a + 1], x[a:b], x1[a : a + 1]]),
-                                                  np.concatenate([y0[a : a + 1], y[a:b], y1[a : a + 1]]), tolerance))
-        return rows.take(np.concatenate(found)).select(["arc", "pos", "x", "y"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
-            names = [rows.column(i).to_numpy() for i in range(named)]
-            starts = np.concatenate([[0], 1 + np.flatnonzero(np.any([c[1:] != c[:-1] for c in names], axis=0))])
-            last = int(starts[-1])  # the last stretch may go on in the next batch
-            if last:
-                yield from kept(rows.slice(0, last), starts[:-1]).to_batches()
-            held = rows.slice(last)
-        if held is not None and held.num_rows:
-            yield from kept(held, np.zeros(1, np.int64)).to_batches()
-
-    return run
+_ENDS = {"x0": "lo.x", "y0": "lo.y", "x1": "hi.x", "y1": "hi.y"}
 
 
 def simplify_arcs(points: DataFrame, tolerance: float) -> DataFrame:
@@ -194,9 +214,11 @@ def simplify_arcs(points: DataFrame, tolerance: float) -> DataFrame:
             F.when(low, F.col("mid")).otherwise(F.col("hi")).alias("hi")), "arc-left")
         drop_scratch(done)
     ordered = left.repartition("arc", F.col("lo.pos")).sortWithinPartitions("arc", "lo.pos", "pos")
-    rows = ordered.select(*[F.col(c).alias(f"s{i}") for i, c in enumerate(_STRETCH + _ENDS)], "pos", "x", "y", "arc")
+    rows = ordered.select(*[F.col(c).alias(f"s{i}") for i, c in enumerate(_STRETCH)],
+                          *[F.col(c).alias(name) for name, c in _ENDS.items()], "pos", "x", "y", "arc")
+    task = finish_stretches([f"s{i}" for i in range(len(_STRETCH))], "pos", ["arc", "pos", "x", "y"], tolerance, closed=True)
     arc = points.schema["arc"].dataType.simpleString()
-    return kept.unionByName(rows.mapInArrow(_finish(tolerance), f"arc {arc}, pos long, x double, y double"))
+    return kept.unionByName(rows.mapInArrow(task, f"arc {arc}, pos long, x double, y double"))
 
 
 # --- segments that meet where they mustn't ----------------------------------------------------
@@ -273,9 +295,16 @@ def simplify_topology(vertices: DataFrame, tolerance: float, key: str = "area_co
     different vertices keep three. Faults of the input itself (segments that cross, borders with vertices on one side only)
     stay as they are. Repeated rows and rings of fewer than three vertices should not occur; they don't fail."""
     require_columns(vertices, [key, "part", "ring", "seq", "x", "y"])
-    rings = write_scratch(ring_arcs(vertices, key), "arcs")
-    points = write_scratch(rings.groupBy("arc", "pos").agg(*[F.first(c).alias(c) for c in ("x", "y", "m")]), "arc-points")
-    kept = write_scratch(simplify_arcs(points, tolerance), "arc-kept")
+    short, long = ring_arcs(vertices, tolerance, key)
+    kept, rings, points = short.where("kept").select("arc", "pos", "x", "y"), short, short.select("arc", "pos", "x", "y")
+    if long is not None:
+        whole = write_scratch(long.groupBy("arc", "pos").agg(*[F.first(c).alias(c) for c in ("x", "y", "m")]), "arc-points")
+        found = write_scratch(simplify_arcs(whole, tolerance), "arc-found")
+        kept, points = kept.unionByName(found), points.unionByName(whole.drop("m"))
+        rings = short.unionByName(long.join(found.select("arc", "pos").distinct().withColumn("kept", F.lit(True)), ["arc", "pos"], "left")
+                                  .withColumn("kept", F.col("kept").isNotNull()))
+    kept = write_scratch(kept.dropDuplicates(["arc", "pos"]), "arc-kept")
+    restored = []
     while True:
         faulty = touching(_segments(kept)).select(F.explode(F.array("a", "b")).alias("id")).distinct()
         faulty = faulty.where(F.col("id.end") > F.col("id.pos") + 1)
@@ -289,7 +318,11 @@ def simplify_topology(vertices: DataFrame, tolerance: float, key: str = "area_co
             "arc", (-F.col("far.back")).alias("pos"), "far.x", "far.y"), "arc-restored")
         if back.isEmpty():
             break
+        restored.append(back.select("arc", "pos"))
         done, kept = kept, write_scratch(kept.unionByName(back), "arc-kept")
         drop_scratch(done)
-    return rings.where("own").join(kept.select("arc", "pos"), ["arc", "pos"], "left_semi").select(
-        key, "part", "ring", "seq", "x", "y")
+    out = [rings.where("own and kept")]
+    if restored:
+        out.append(rings.where("own and not kept").join(
+            reduce(DataFrame.unionByName, restored).distinct(), ["arc", "pos"], "left_semi"))
+    return reduce(DataFrame.unionByName, [df.select(key, "part", "ring", "seq", "x", "y") for df in out])

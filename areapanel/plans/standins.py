@@ -150,8 +150,9 @@ def jagged_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     corner and in its own direction. A border bulges by 0.2 to either side, or not at all, and every vertex on it is off by
     up to 0.002; all of it follows from the border's place."""
     k = F.col("p_partkey").cast("long")
-    cells = table(spark, sf_dir, "part").select(F.concat(F.lit("Q"), k.cast("string")).alias("area_code"),
-                                                (k % 50).alias("c"), F.floor(k / 50).alias("r"))
+    part = dealt(table(spark, sf_dir, "part").select("p_partkey"), "p_partkey")
+    cells = part.select(F.concat(F.lit("Q"), k.cast("string")).alias("area_code"),
+                        (k % 50).alias("c"), F.floor(k / 50).alias("r"))
 
     def side(first: int, across: int, dc: int, dr: int, back: bool) -> Column:
         """Vertices ``first ..`` of the border at (c + dc, r + dr), without its last one in ring order."""

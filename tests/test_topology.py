@@ -145,3 +145,21 @@ def test_touching(spark):
     df = spark.createDataFrame([(i, *map(float, r)) for i, *r in rows], "id int, x1 double, y1 double, x2 double, y2 double")
     got = {tuple(r) for r in T.touching(df).collect()}
     assert got == {(1, 2), (2, 6), (1, 4), (4, 6), (3, 4), (1, 6), (1, 8), (6, 8)}
+
+
+def test_long_and_short_rings_keep_the_same_border(spark, monkeypatch):
+    """Rings cut inside tasks and rings spread over tasks name their arcs alike; short ones come with what they keep."""
+    random.seed(8)
+    border = [(i / 10, random.uniform(-.3, .3)) for i in range(1, 30)]
+    coast = [(3 - i / 20, 4 + random.uniform(-.3, .3)) for i in range(1, 60)]
+    v = layer(spark, [("L", 0, [(0, 0), *border, (3, 0), (3, 4), *coast, (0, 4)]), ("K", 0, [(3, 0), *border[::-1], (0, 0), (0, -3), (3, -3)]),
+                      ("I", 0, [(9, 9), (10, 9), (10, 10)])])
+    want = sorted(map(tuple, T.simplify_topology(v, 0.1).collect()))
+    assert T.ring_arcs(v, 0.1)[1] is None
+    monkeypatch.setattr(T, "SHORT", 40)
+    short, long = T.ring_arcs(v, 0.1)
+    assert {r[0] for r in short.select("area_code").distinct().collect()} == {"K", "I"}
+    assert {r[0] for r in long.select("area_code").distinct().collect()} == {"L"}
+    names = [{tuple(r) for r in df.select("arc", "pos", "m", "x", "y").collect()} for df in (short, long)]
+    assert len(names[0] & names[1]) >= len(border) + 2
+    assert sorted(map(tuple, T.simplify_topology(v, 0.1).collect())) == want and len(want) < v.count()
