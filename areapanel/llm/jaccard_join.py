@@ -8,7 +8,9 @@ regions whose window of width ``r`` (or ``2 r`` between two nearest pivots) it l
    ``f_s(x)`` is the share of ``x`` that comes before ``s`` in that order. A document's own region is that of its first
    shingle (``f_s = 0``); its window reaches the other regions with ``f_s(x) <= r``. Two documents with
    ``d <= r`` meet in the region of their first common shingle, so no link is lost, whatever the order. The order only
-   decides how full regions get; it is taken from a sample of documents.
+   decides how full regions get; it is taken from a sample of documents. Shingles that recur there come last. A sample
+   can't tell a shingle of one document from one of hundreds, but it tells how often words occur: all other shingles go
+   by the sum of their words' classes, about the logarithm of how often they would meet by chance.
 2. Document pivots work on regions that are still large. Links to a few member documents join members at once, and a
    region whose members are all joined is done. If the pairs not joined yet are at most ``DIRECT`` a member, they are
    compared. Else exact distances to the pivots give each member a nearest pivot (Voronoi region) and copy it to every
@@ -37,11 +39,12 @@ from pyspark.sql import functions as F
 
 from areapanel.llm import tidy
 from areapanel.llm.components import connected_components
-from areapanel.llm.shingles import shingle_sets
+from areapanel.llm.shingles import scored_sets, shingle_sets, words_by_cell
 from areapanel.session import drop_scratch, write_scratch
 
-#: Documents whose shingles give the order of rarity, and the number of sampled documents that makes a shingle common.
-ORDER_SAMPLE, COMMON = 10_000, 3
+#: Documents, at least, and share of them whose shingles and words give the order of rarity; the number of sampled
+#: documents that makes a shingle common; cells in which words are counted (a byte each is sent to the tasks).
+ORDER_SAMPLE, ORDER_SHARE, COMMON, WORD_CELLS = 10_000, 1 / 64, 3, 1 << 20
 #: Most shingles told apart as common in the order (8 bytes each are sent to the tasks).
 ORDER_SIZE = 500_000
 #: Members up to which a region is joined directly; pivots for a larger one; comparisons a member that need no split.
@@ -53,23 +56,33 @@ FILTER_BITS = 1 << 23
 BLOCK_MEMBERS, BLOCK_SHINGLES, COLUMNS, DENSE = 1024, 1 << 19, 2048, 0.02
 
 
-def _order(docs: DataFrame, key: str, text: str, width: int) -> np.ndarray:
-    """Common shingles of a sample of documents, the most frequent first: they come last in the global order."""
+def _order(docs: DataFrame, key: str, text: str, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of a sample of documents: common shingles, the most frequent first (they come last in the global order), and the
+    class of each cell of words by how often they occur (the sums over its words order all other shingles)."""
     total = docs.count()
-    share = min(1.0, ORDER_SAMPLE / max(1, total))
+    share = min(1.0, max(ORDER_SAMPLE / max(1, total), ORDER_SHARE))
     part = F.pmod(F.xxhash64(key, F.octet_length(text)), F.lit(1 << 20))
     sample = docs.where(part < round(share * (1 << 20))).select(F.col(text).cast("binary").alias("text"))
 
-    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = list(shingle_sets(batch.column(0).to_pylist(), width))
-            flat = np.concatenate([np.zeros(0, np.uint64), *sets])
-            values, counts = np.unique(flat, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], ["shingle", "n"])
-
-    found = sample.mapInArrow(tidy(shingles), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    rows = found.where(F.col("n") >= COMMON).orderBy(F.desc("n"), "shingle").limit(ORDER_SIZE).select("shingle").toArrow()
-    return rows.column(0).to_numpy().view(np.uint64)
+            texts = batch.column(0).to_pylist()
+            sets = list(shingle_sets(texts, width))
+            values, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
+            found = [(False, values.view(np.int64), counts), *((True, *x) for x in words_by_cell(texts, WORD_CELLS))]
+            for word, item, n in found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(item), word)), pa.array(item), pa.array(n)],
+                                                 ["word", "item", "n"])
+
+    found = sample.mapInArrow(tidy(items), "word boolean, item long, n long").groupBy("word", "item").agg(
+        F.sum("n").alias("n"))
+    found = write_scratch(found.where((F.col("n") >= COMMON) | F.col("word")), "order")
+    common = found.where("not word").orderBy(F.desc("n"), "item").limit(ORDER_SIZE).select("item").toArrow()
+    words = found.where("word").select(F.col("item").cast("int"), F.round(4 * F.log2(F.col("n") + 1)).cast("int").alias("c")).toArrow()
+    drop_scratch(found)
+    classes = np.zeros(WORD_CELLS, np.uint8)
+    classes[words.column(0).to_numpy()] = words.column(1).to_numpy()
+    return common.column(0).to_numpy().view(np.uint64), classes
 
 
 def _bitmap(s: np.ndarray) -> np.ndarray:
@@ -90,17 +103,18 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
 
-def _summaries(docs: DataFrame, key: str, text: str, width: int, percent: int, common: np.ndarray) -> DataFrame:
+def _summaries(docs: DataFrame, key: str, text: str, width: int, percent: int, common: np.ndarray,
+               classes: np.ndarray) -> DataFrame:
     """Per row: key, set size, 128-bit signature of the set, the first shingles in the global order, the bitmap."""
     by_value = np.argsort(common)
     values, ranks = common[by_value], (len(common) - by_value).astype(np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast((values, ranks))
+    shared = docs.sparkSession.sparkContext.broadcast((values, ranks, classes))
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, ranks = shared.value
+        values, ranks, classes = shared.value
         for batch in batches:
             sizes, signatures, firsts, bitmaps = [], [], [], []
-            for s in shingle_sets(batch.column(1).to_pylist(), width):
+            for s, score in scored_sets(batch.column(1).to_pylist(), width, classes):
                 n = len(s)
                 sizes.append(n)
                 signatures.append(_signature(s))
@@ -108,7 +122,7 @@ def _summaries(docs: DataFrame, key: str, text: str, width: int, percent: int, c
                 at = np.searchsorted(values, s)
                 at[at == len(values)] = 0
                 rank = np.where(values[at] == s, ranks[at], 0) if len(values) else np.zeros(n, np.int64)
-                firsts.append(s[np.lexsort((s, rank))[:reach]].view(np.int64))
+                firsts.append(s[np.lexsort((s, score, rank))[:reach]].view(np.int64))
                 bitmaps.append(_bitmap(s))
             first, bitmap = _lists(firsts), _lists(bitmaps)
             yield pa.RecordBatch.from_arrays(
@@ -426,8 +440,8 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     * A null key is never the smallest one; a component of null keys only has a null component_id.
     * An empty table gives an empty result.
     """
-    common = _order(docs, key, text, width)
-    all_rows = write_scratch(_summaries(docs, key, text, width, percent, common), "rows")
+    common, word_classes = _order(docs, key, text, width)
+    all_rows = write_scratch(_summaries(docs, key, text, width, percent, common, word_classes), "rows")
     found = all_rows.where("n > 0").groupBy("signature").agg(
         F.min("key").alias("owner"), F.count("*").alias("m"), *(F.first(c).alias(c) for c in ("n", "first", "bitmap")))
     classes = write_scratch(found.withColumn("cid", F.monotonically_increasing_id()), "classes")

@@ -74,23 +74,27 @@ def _block_words(texts: list[bytes], space: np.ndarray = _SPACE) -> tuple[np.nda
     return hashes, np.searchsorted(start, starts_doc).tolist(), np.searchsorted(start, ends_doc).tolist()
 
 
-def _block_shingles(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
+def _block_shingles(texts: list[bytes], width: int, classes: np.ndarray | None = None) -> Iterator:
     hashes, first, last = _block_words(texts)
     rolled = hashes.copy()
     for k in range(1, width):
         ahead = np.zeros_like(hashes)
         ahead[: max(0, len(hashes) - k)] = hashes[k:]
         rolled = mix(rolled * np.uint64(_BASE) + ahead)
+    sums = None if classes is None else np.cumsum(np.concatenate([[0], classes[word_cells(hashes, len(classes))]]))
     for a, b in zip(first, last, strict=True):
         if b - a >= width:
-            yield np.unique(rolled[a : b - width + 1])
-        elif b > a:
-            h = np.uint64([b - a])
+            found = rolled[a : b - width + 1]
+            if sums is None:
+                yield np.unique(found)
+            else:
+                found, at = np.unique(found, return_index=True)
+                yield found, sums[a + at + width] - sums[a + at]
+        else:
+            h = np.uint64([b - a] if b > a else [])
             for x in hashes[a:b]:
                 h = mix(h * np.uint64(_BASE) + x)
-            yield h
-        else:
-            yield np.zeros(0, np.uint64)
+            yield h if sums is None else (h, np.full(len(h), sums[b] - sums[a]))
 
 
 def text_blocks(texts: list[bytes | None], most: int = BLOCK) -> Iterator[list[bytes]]:
@@ -115,6 +119,25 @@ def shingle_sets(texts: list[bytes | None], width: int) -> Iterator[np.ndarray]:
             yield from _block_shingles(block, width)
 
 
+def scored_sets(texts: list[bytes | None], width: int, classes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The sets of ``shingle_sets``, and for each shingle the sum of ``classes`` (by ``word_cells``) of its words."""
+    with np.errstate(over="ignore"):
+        for block in text_blocks(texts):
+            yield from _block_shingles(block, width, classes)
+
+
+def word_cells(hashes: np.ndarray, cells: int) -> np.ndarray:
+    """The cell of each word, of ``cells`` (a power of two)."""
+    return (hashes & np.uint64(cells - 1)).astype(np.int64)
+
+
+def words_by_cell(texts: list[bytes | None], cells: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Cells that have words, and how many, some texts at a time."""
+    with np.errstate(over="ignore"):
+        for block in text_blocks(texts):
+            yield np.unique(word_cells(_block_words(block)[0], cells), return_counts=True)
+
+
 def word_counts(texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Distinct hashes of each text's words (white space and ASCII punctuation part them) and how often each occurs."""
     with np.errstate(over="ignore"):
