@@ -6,8 +6,8 @@ later of their starts lies in the other one, so the union of both directions is
 ranges end together are the links, and their ends cut both token sequences into groups.
 
 Corpus-wide counts of linked id pairs never leave the cluster and are never copied to every task. Documents are aligned in
-blocks of ``BLOCK`` bytes; a block is one row with its documents, its distinct pairs and, link by link, which of those it
-is. Only the distinct pairs of a block meet the counts, by a join on the pair, and come back to their block.
+blocks of ``BLOCK`` bytes; a block is one row with its documents, its distinct pairs and, packed link by link, which of
+those it is. Only the distinct pairs of a block meet the counts, by a join on the pair, and come back to their block.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from areapanel.llm.shingles import text_blocks
 from areapanel.session import write_scratch
 
 #: Bytes of text and number of documents in a block; one longer text is a block of its own.
-BLOCK, DOCUMENTS = 2 << 20, 1 << 14
+BLOCK, DOCUMENTS = 1 << 20, 1 << 13
 #: Rows and bytes aligned at a time.
 ROWS, BYTES = 64, 1 << 17
 
@@ -195,9 +195,22 @@ def _arrow_type(docs: DataFrame, key: str) -> pa.DataType:
     return to_arrow_type(docs.schema[key].dataType)
 
 
+def _packed(places: np.ndarray) -> bytes:
+    """Numbers from 0 on, compressed: outside of tasks in Python a block's links are one short value, not millions."""
+    narrow = places.astype("<u2" if not len(places) or places.max() < 1 << 16 else "<u4")
+    return bytes([narrow.itemsize]) + pa.Codec("zstd").compress(narrow, asbytes=True)
+
+
+def _unpacked(packed: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers of ``_packed``."""
+    size = packed[0]
+    return np.frombuffer(pa.Codec("zstd").decompress(packed[1:], n * size, asbytes=True), f"<u{size}")
+
+
 def aligned_blocks(docs: DataFrame, tokenizer: str, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per block: block, keys, n_a, n_b, n_links, digests (one entry a document), pairs (distinct linked id pairs,
-    ``a * 2**32 + b``), counts (links of each), links (the place in ``pairs`` of every link, document after document)."""
+    ``a * 2**32 + b``), counts (links of each), links (the place in ``pairs`` of every link, document after document, as of
+    ``_packed``)."""
     kind = docs.schema[key].dataType.simpleString()
     out_kind = _arrow_type(docs, key)
     json_text, proto = _shared(docs, tokenizer, model)
@@ -208,10 +221,10 @@ def aligned_blocks(docs: DataFrame, tokenizer: str, model: str, key: str = "doc_
         pairs, place, counts = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
         columns = [pa.array([x for k in keys for x in k], out_kind), *[pa.array(np.concatenate(x), pa.int64()) for x in (
             n_a, n_b, n_links)], pa.array([x for d in digests for x in d], pa.string()), pa.array(pairs, pa.int64()),
-            pa.array(counts, pa.int64()), pa.array(place.astype(np.int32), pa.int32())]
+            pa.array(counts, pa.int64())]
         block = pa.array([(TaskContext.get().partitionId() << 32) + number], pa.int64())
         return pa.RecordBatch.from_arrays([block, *[pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c)
-                                                    for c in columns]], names)
+                                                    for c in columns], pa.array([_packed(place)], pa.binary())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(json_text.value, proto.value)
@@ -230,9 +243,9 @@ def aligned_blocks(docs: DataFrame, tokenizer: str, model: str, key: str = "doc_
         if held:
             yield row(number, held)
 
-    lists = ", ".join(f"{n} array<{t}>" for n, t in zip(names[1:], [kind, "long", "long", "long", "string", "long", "long",
-                                                                     "int"], strict=True))
-    return _inputs(docs, key, text).mapInArrow(tidy(run), f"block long, {lists}")
+    lists = ", ".join(f"{n} array<{t}>" for n, t in zip(names[1:-1], [kind, "long", "long", "long", "string", "long", "long"],
+                                                        strict=True))
+    return _inputs(docs, key, text).mapInArrow(tidy(run), f"block long, {lists}, links binary")
 
 
 def align_tokens(docs: DataFrame, tokenizer: str, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -256,9 +269,10 @@ def align_tokens(docs: DataFrame, tokenizer: str, model: str, key: str = "doc_id
         total, best = np.zeros(right.num_rows, np.int64), np.zeros(right.num_rows, np.int64)
         at = right["place"].to_numpy()
         total[at], best[at] = right["total"].to_numpy(), right["best"].to_numpy(zero_copy_only=False)
-        one = {n: left[n].combine_chunks().flatten() for n in left.column_names if n != "block"}
-        n_links, links = one["n_links"].to_numpy(), one["links"].to_numpy()
+        one = {n: left[n].combine_chunks().flatten() for n in left.column_names if n not in ("block", "links")}
+        n_links = one["n_links"].to_numpy()
         ends = np.cumsum(n_links)
+        links = _unpacked(left["links"][0].as_py(), int(ends[-1]))
         sums = [np.concatenate([[0], np.cumsum(x[links])]) for x in (best, total)]
         found = [pa.array(s[ends] - s[ends - n_links], pa.int64()) for s in sums]
         return pa.table([one["keys"], one["n_a"], one["n_b"], one["n_links"], one["n_links"], *found, one["digests"]], [
